@@ -262,3 +262,23 @@ ORACLE_SQL: dict[str, str] = {
                         SELECT 'order_amount', doc FROM ({_hour_doc(ORDERS, 'create_date', 'create_hour',
                                                                    _money('total_amount'))}) b""",
 }
+
+# --- stream jobs: the table a stream builds equals the batch answer ---------------------
+
+ORDERS_FLAGGED = f"""
+SELECT *, CASE WHEN row_number() OVER (PARTITION BY user_id
+                 ORDER BY create_time, TRY_CAST(id AS BIGINT) NULLS FIRST, id) = 1 THEN '1' ELSE '0' END AS is_first_order
+FROM ({ORDERS}) o
+"""
+
+ORACLE_SQL.update({
+    "stream_collect": f"""SELECT CAST(event_id AS VARCHAR) AS key,
+                           CASE WHEN event_type = 'view' THEN 'startup_log' ELSE 'event_log' END AS topic,
+                           CAST(epoch_us(ts) // 1000 AS BIGINT) AS ts FROM events""",
+    "stream_cdc": ORACLE_SQL["cdc_after_image"],
+    "stream_dau": DAU,
+    "sink_dau": DAU,
+    "stream_orders": ORDERS_FLAGGED,
+    "sink_order": ORDERS_FLAGGED,
+    "stream_first_order": ORDERS_FLAGGED,
+})

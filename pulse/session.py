@@ -8,7 +8,6 @@ the values here are the correctness pins plus adaptive execution.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,7 +84,4 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     leaf = list(parts)
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
-    path = "/".join([root, "pulse", *leaf])
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return "/".join([root, "pulse", *leaf])

@@ -1,0 +1,66 @@
+"""Keyed state: "has this user ordered before?" with ``transformWithStateInPandas``.
+
+State lives in the RocksDB state store, partitioned by user like the stream, so a
+micro-batch looks up only the users it contains (no scan of all known users).
+Inside a batch, a user's rows arrive as Arrow chunks; only the running earliest
+order is held back, so memory per user is one chunk plus one row.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BooleanType, StructField, StructType
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+FLAG = "is_first_order"
+
+
+def _order_key(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Sort columns equal to (create_time, id as number (non-numbers first), id)."""
+    num = pd.to_numeric(pdf["id"], errors="coerce")
+    return pd.DataFrame({"t": pdf["create_time"].fillna(""), "has": num.notna().astype(int),
+                         "n": num.fillna(0), "s": pdf["id"].fillna("")}, index=pdf.index)
+
+
+class FirstOrderFlagger(StatefulProcessor):
+    """Per user: the earliest order ever seen gets "1", every other order "0"."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", StructType([StructField("v", BooleanType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            for pdf in rows:
+                yield pdf.assign(**{FLAG: "0"})
+            return
+        held = None  # one-row frame: the earliest order so far
+        for pdf in rows:
+            if pdf.empty:
+                continue
+            cand = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            k = _order_key(cand)
+            first = k.sort_values(["t", "has", "n", "s"], kind="mergesort").index[0]
+            rest = cand.drop(index=first)
+            if not rest.empty:
+                yield rest.assign(**{FLAG: "0"})
+            held = cand.loc[[first]]
+        if held is not None:
+            self.seen.update((True,))
+            yield held.assign(**{FLAG: "1"})
+
+    def close(self) -> None:
+        pass
+
+
+def flag_first_stream(orders: DataFrame, output_schema: StructType) -> DataFrame:
+    """Streaming (or batch) orders -> the same rows with ``is_first_order``."""
+    spark = orders.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return orders.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=FirstOrderFlagger(), outputStructType=output_schema,
+        outputMode="Append", timeMode="None")
