@@ -87,7 +87,7 @@ def run_cdc_relay(source: DataFrame, out_path: str, checkpoint: str, table: str
 # --- daily active devices ----------------------------------------------------------
 
 def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int | None = None,
-              log: BatchLog | None = None) -> None:
+              log: BatchLog | None = None, publish: str | None = None) -> None:
     """One micro-batch of parsed startups -> new first-starts in the DAU table.
 
     first start per (device, day) inside the batch (partial aggregate) -> anti join
@@ -107,7 +107,17 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
         firsts = dedup.first_per_key(src, DAU_KEYS, ["ts"])
         seen = sinks.seen_keys(rows.sparkSession, table, DAU_KEYS, "logDate", days, batch_id)
         new = firsts if seen is None else firsts.join(seen, DAU_KEYS, "left_anti")
-        sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
+        if publish is None:
+            sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
+        else:
+            # Two sinks from one computation: the table first (the source of truth),
+            # then the same rows as JSON lines on a downstream topic folder.
+            new = new.persist(StorageLevel.MEMORY_AND_DISK)
+            sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
+            (new.select(F.col("mid").alias("key"), F.to_json(F.struct(*new.columns)).alias("value"))
+             .withColumn(sinks.BATCH_COL, F.lit(str(batch_id))).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(sinks.BATCH_COL).parquet(publish))
+            new.unpersist()
         if log is not None:
             log({"batch": batch_id, **obs_in.get, **obs_out.get})
     finally:
@@ -115,10 +125,13 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
 
 
 def run_dau(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
-            retention_days: int | None = None, log: BatchLog | None = None) -> StreamingQuery:
-    """``source``: streaming JSON lines of the startup topic."""
+            retention_days: int | None = None, log: BatchLog | None = None,
+            publish: str | None = None) -> StreamingQuery:
+    """``source``: streaming JSON lines of the startup topic. ``publish``: optional
+    folder that also receives each batch's new first starts as JSON lines."""
     startups = ingest.parse_startup(source).where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
-    return _start(startups, lambda df, bid: dau_batch(df, bid, table, retention_days, log), checkpoint, trigger)
+    return _start(startups, lambda df, bid: dau_batch(df, bid, table, retention_days, log, publish),
+                  checkpoint, trigger)
 
 
 # --- orders ----------------------------------------------------------------------------

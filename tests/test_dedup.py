@@ -64,3 +64,11 @@ def test_day_without_data(spark):
     orders = spark.createDataFrame([("2024-01-14", "01", 2.5)], "create_date string, create_hour string, total_amount double")
     assert metrics.order_amount(orders, "2024-01-15").first().order_amount is None
     assert metrics.order_amount(orders, None).first().order_amount is None
+
+
+def test_hourly_active_exact_and_approx(spark):
+    rows = [(f"m{i % 7}", "2024-01-15", f"{i % 3:02d}") for i in range(60)] + [("z", "2024-01-14", "00")]
+    df = spark.createDataFrame(rows, "mid string, logDate string, logHour string")
+    exact = {r.logHour: r.active for r in metrics.hourly_active(df, "2024-01-15").collect()}
+    approx = {r.logHour: r.active for r in metrics.hourly_active(df, "2024-01-15", approx=True).collect()}
+    assert exact == {"00": 7, "01": 7, "02": 7} and approx == exact

@@ -120,3 +120,29 @@ def test_collector_two_sinks(spark, scratch):
     assert routed == {"1": ingest.TOPIC_STARTUP, "2": ingest.TOPIC_EVENT}
     landed = sorted(r.dt for r in spark.read.text(landing).collect())
     assert landed == ["2024-01-15", "2024-01-16"]
+
+
+def test_dau_publishes_new_rows_once(spark, scratch):
+    t, pub = scratch("pub_table"), scratch("pub_topic")
+    b = startup_lines(spark, [("a", BASE + 2), ("a", BASE + 1), ("b", BASE)])
+    jobs.dau_batch(b, 0, t, publish=pub)
+    jobs.dau_batch(b, 0, t, publish=pub)
+    out = spark.read.parquet(pub)
+    assert sorted(json.loads(r.value)["ts"] for r in out.collect()) == [BASE, BASE + 1]
+
+
+def test_file_topics_round_trip(spark, scratch):
+    from pulse.sources.topics import read_changes, read_topic, record_json, write_topic
+    base = scratch("topics_rt")
+    df = spark.createDataFrame([("1", '{"type":"startup"}', "startup_log"), ("2", '{"x":1}', "event_log")],
+                               "key string, value string, topic string")
+    write_topic(df, fmt="parquet", path=base)
+    write_topic(record_json(spark.createDataFrame([("3", "INSERT")], "id string, op string"), key="id"),
+                topic="changes", fmt="parquet", path=base)
+    s = read_topic(spark, "startup_log", fmt="parquet", path=base, max_per_trigger=1)
+    c = read_changes(spark, "changes", fmt="parquet", path=base)
+    assert s.isStreaming and c.isStreaming
+    q = s.writeStream.format("memory").queryName("rt_startup").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert [r.value for r in spark.sql("select value from rt_startup").collect()] == ['{"type":"startup"}']
+    assert spark.read.parquet(f"{base}/topic=changes").first().value == '{"id":"3","op":"INSERT"}'
