@@ -107,9 +107,9 @@ def q_stream_dau(spark, sf):
 def q_sink_dau(spark, sf):
     """The DAU micro-batch function called on day slices, then two batches replayed
     (the newest and the first): the table must not change."""
-    table = session.shared_dir(spark, "dau_sink")
-    parsed = ingest.parse_startup(_startup_lines(spark, sf))
-    parts = day_slices(parsed, "logDate")
+    table, topic = session.shared_dir(spark, "dau_sink"), session.shared_dir(spark, "dau_sink_topic")
+    ingest.parse_startup(_startup_lines(spark, sf)).write.parquet(topic)
+    parts = day_slices(spark.read.parquet(topic), "logDate")
     for i, part in enumerate(parts):
         jobs.dau_batch(part, i, table)
     jobs.dau_batch(parts[-1], len(parts) - 1, table)
@@ -130,9 +130,9 @@ def q_stream_orders(spark, sf):
 def q_sink_order(spark, sf):
     """The order micro-batch function on day slices, then the newest and the first
     batch replayed."""
-    table = session.shared_dir(spark, "orders_sink")
-    lines = _order_lines(spark, sf)
-    parts = day_slices(lines, "dt")
+    table, topic = session.shared_dir(spark, "orders_sink"), session.shared_dir(spark, "orders_sink_topic")
+    _order_lines(spark, sf).write.parquet(topic)
+    parts = day_slices(spark.read.parquet(topic), "dt")
     for i, part in enumerate(parts):
         jobs.orders_batch(part.select("key", "value"), i, table)
     jobs.orders_batch(parts[-1].select("key", "value"), len(parts) - 1, table)

@@ -67,7 +67,14 @@ def user_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _events(spark: SparkSession, sf_dir: str, with_area: bool) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     if with_area:
-        ev = ev.join(user_area(spark, sf_dir), "user_id", "left")
+        # events -> customer -> nation, in that order: the customer join is planned from
+        # the customer scan's own statistics (broadcast while small, shuffled when not);
+        # the 25-row nation dimension is always broadcast.
+        cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+        nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+        ev = (ev.join(cust, "user_id", "left")
+                .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+                .drop("c_nationkey", "n_nationkey"))
     else:
         ev = ev.withColumn("area", F.lit(None).cast("string"))
     return ev
