@@ -277,6 +277,7 @@ ORACLE_SQL.update({
                            CAST(epoch_us(ts) // 1000 AS BIGINT) AS ts FROM events""",
     "stream_cdc": ORACLE_SQL["cdc_after_image"],
     "stream_dau": DAU,
+    "stream_dau_state": DAU,
     "sink_dau": DAU,
     "stream_orders": ORDERS_FLAGGED,
     "sink_order": ORDERS_FLAGGED,

@@ -103,6 +103,15 @@ def q_stream_dau(spark, sf):
     return _dau_cols(sinks.read_result(spark, table))
 
 
+@query("stream_dau_state")
+def q_stream_dau_state(spark, sf):
+    """Startup topic -> DAU stream with keyed state (RocksDB, 24 h TTL) -> Parquet file sink."""
+    table = session.shared_dir(spark, "dau_state")
+    feed_and_run(spark, _startup_lines(spark, sf), "dt", ["key", "value"],
+                 lambda s, c: jobs.run_dau_keyed_state(s, table, c, "available_now"))
+    return _dau_cols(spark.read.parquet(table))
+
+
 @query("sink_dau")
 def q_sink_dau(spark, sf):
     """The DAU micro-batch function called on day slices, then two batches replayed

@@ -19,7 +19,7 @@ from pulse.functions import epoch_millis
 from pulse.operators import dedup, ingest
 from pulse.schemas import ORDER_FIELDS
 from pulse.streaming import sinks
-from pulse.streaming.state import flag_first_stream
+from pulse.streaming.state import first_start_stream, flag_first_stream
 
 MICRO_BATCH = "5 seconds"
 DAU_KEYS = ["mid", "logDate"]
@@ -134,6 +134,22 @@ def run_dau(source: DataFrame, table: str, checkpoint: str, trigger: str | None
                   checkpoint, trigger)
 
 
+def run_dau_keyed_state(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
+                        retention_days: int = 1) -> StreamingQuery:
+    """DAU job with the seen-set in RocksDB keyed state (evicted by event-time timers
+    behind a ``retention_days`` watermark) and the built-in Parquet file sink.
+
+    Each batch touches only the state of its own (device, day) keys, whatever the
+    size of the day's table; the file sink's commit log makes the output
+    exactly-once, so no per-batch folders are needed."""
+    startups = ingest.parse_startup(source).where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
+    firsts = first_start_stream(startups, retention_days)
+    w = (firsts.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
+         .partitionBy("logDate").outputMode("append"))
+    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger or MICRO_BATCH)
+    return w.start()
+
+
 # --- orders ----------------------------------------------------------------------------
 
 def _order_paths(table: str) -> tuple[str, str]:

@@ -64,3 +64,65 @@ def flag_first_stream(orders: DataFrame, output_schema: StructType) -> DataFrame
     return orders.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=FirstOrderFlagger(), outputStructType=output_schema,
         outputMode="Append", timeMode="None")
+
+
+# --- first start per (device, day) -------------------------------------------------
+
+DAY_MS = 86_400_000
+DAU_ORDER = ["ts", "uid", "appid", "area", "os", "ch", "logType", "vs", "logHour"]
+EVENT_TIME = "event_time"
+
+
+class FirstStartKeeper(StatefulProcessor):
+    """Per (device, day): emit the earliest start of the first batch that sees the key
+    and remember the key. An event-time timer at the end of the day plus the retention
+    clears it once the watermark has passed (the per-day seen-set expires), so state
+    holds only the days still open for late data."""
+
+    def __init__(self, retention_ms: int = DAY_MS):
+        self.retention_ms = retention_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", StructType([StructField("v", BooleanType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            for _ in rows:
+                pass
+            return
+        best = None
+        for pdf in rows:
+            if pdf.empty:
+                continue
+            cand = pdf if best is None else pd.concat([best, pdf], ignore_index=True)
+            order = [c for c in DAU_ORDER if c in cand.columns]
+            best = cand.sort_values(order, na_position="first", kind="mergesort").head(1)
+        if best is not None:
+            self.seen.update((True,))
+            day_start = int(pd.Timestamp(key[1]).value // 1_000_000)
+            self.handle.registerTimer(day_start + DAY_MS + self.retention_ms)
+            yield best.drop(columns=[EVENT_TIME])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def first_start_stream(startups: DataFrame, retention_days: int = 1) -> DataFrame:
+    """Streaming parsed startups -> one row per (mid, logDate), kept in RocksDB state.
+
+    The watermark trails the newest start by ``retention_days``: later starts of a day
+    that old are dropped (the late-data bound), and that day's keys are evicted."""
+    from pyspark.sql import functions as F
+    spark = startups.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    timed = (startups.withColumn(EVENT_TIME, F.timestamp_millis("ts"))
+             .withWatermark(EVENT_TIME, f"{int(retention_days)} days"))
+    return timed.groupBy("mid", "logDate").transformWithStateInPandas(
+        statefulProcessor=FirstStartKeeper(retention_days * DAY_MS), outputStructType=startups.schema,
+        outputMode="Append", timeMode="EventTime")

@@ -146,3 +146,18 @@ def test_file_topics_round_trip(spark, scratch):
     q.awaitTermination()
     assert [r.value for r in spark.sql("select value from rt_startup").collect()] == ['{"type":"startup"}']
     assert spark.read.parquet(f"{base}/topic=changes").first().value == '{"id":"3","op":"INSERT"}'
+
+
+def test_keyed_state_dau_drops_starts_behind_watermark(spark, scratch):
+    topic, table, ckpt = scratch("ks_topic"), scratch("ks_table"), scratch("ks_ckpt")
+    def run(recs):
+        lines = [(m, json.dumps({"type": "startup", "mid": m, "ts": t})) for m, t in recs]
+        spark.createDataFrame(lines, "key string, value string").write.mode("append").parquet(topic)
+        src = spark.readStream.schema("key string, value string").parquet(topic)
+        jobs.run_dau_keyed_state(src, table, ckpt, "available_now", retention_days=1).awaitTermination()
+    run([("a", BASE + 9), ("a", BASE + 4), ("b", BASE + 1)])
+    run([("a", BASE + 5 * DAY_MS)])
+    run([("c", BASE + 3)])          # 5 days behind the watermark: dropped
+    run([("a", BASE + 5 * DAY_MS + 1)])  # same key later: already seen
+    got = sorted((r.mid, r.logDate, r.ts) for r in spark.read.parquet(table).collect())
+    assert got == [("a", "2024-01-15", BASE + 4), ("a", "2024-01-20", BASE + 5 * DAY_MS), ("b", "2024-01-15", BASE + 1)]
