@@ -62,10 +62,14 @@ def sale_detail_wide(lineitem: DataFrame, orders: DataFrame, customer: DataFrame
     cu = customer.select("c_custkey", "c_nationkey")
     pa = part.select("p_partkey", "p_name", "p_brand", "p_retailprice")
     na = nation.select("n_nationkey", "n_name")
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(cu, od.o_custkey == cu.c_custkey)
-           .join(pa, li.l_partkey == pa.p_partkey)
-           .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey, "left"))
+    # Join order (Catalyst keeps it; join reordering needs CBO statistics): the order
+    # side is enriched first (orders ⋈ customer ⋈ nation), so the line items, the
+    # biggest input, are shuffled once for the order key and once for the part key
+    # when neither dimension is small enough to broadcast.
+    buyers = (od.join(cu, od.o_custkey == cu.c_custkey)
+                .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey, "left"))
+    j = (li.join(buyers, li.l_orderkey == buyers.o_orderkey)
+           .join(pa, li.l_partkey == pa.p_partkey))
     return j.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("_"),
                  F.col("l_linenumber").cast("string")).alias("order_detail_id"),

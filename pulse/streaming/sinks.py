@@ -31,17 +31,28 @@ def batch_days(df: DataFrame, day_col: str) -> list[str]:
     return sorted(r[0] for r in df.select(day_col).distinct().collect() if r[0] is not None)
 
 
+def read_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str]) -> DataFrame | None:
+    """Only the folders of ``days``: a path glob, so the rest of the table is not even
+    listed (the table keeps ``day_col`` and ``batch`` as columns via ``basePath``)."""
+    if not days:
+        return None
+    pattern = f"{path.rstrip('/')}/{day_col}={{{','.join(days)}}}"
+    try:
+        return spark.read.option("basePath", path).parquet(pattern)
+    except AnalysisException:
+        return None
+
+
 def seen_keys(spark: SparkSession, path: str, keys: Sequence[str], day_col: str,
               days: Sequence[str], batch_id: int) -> DataFrame | None:
     """Keys already stored for ``days`` by batches other than ``batch_id``.
 
-    Both predicates are partition filters: only those days' folders are read, and
-    only the key columns of their files."""
-    table = read_or_none(spark, path)
-    if table is None or not days:
+    Only those days' folders are listed and read, and only the key columns of their
+    files; the batch predicate is a partition filter."""
+    table = read_days(spark, path, day_col, days)
+    if table is None:
         return None
-    return (table.where(F.col(day_col).isin(list(days)) & (F.col(BATCH_COL) != F.lit(str(batch_id))))
-            .select(*keys))
+    return table.where(F.col(BATCH_COL) != F.lit(str(batch_id))).select(*keys)
 
 
 def write_batch(df: DataFrame, path: str, day_col: str, batch_id: int) -> None:
@@ -69,3 +80,45 @@ def read_result(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored rows without the bookkeeping ``batch`` column."""
     t = read_or_none(spark, path)
     return None if t is None else t.drop(BATCH_COL)
+
+
+def compact_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str]) -> int:
+    """Rewrite each of ``days`` from its many ``batch=<id>`` folders into one folder
+    ``batch=compact``; returns the number of rows rewritten.
+
+    For finished days only (older than anything a running job can still replay):
+    the rows are first staged under the shared checkpoint folder, then
+    ``INSERT OVERWRITE … PARTITION (<day>=…)`` through an external catalog table
+    replaces every folder of those days at once. Later batches keep anti-joining
+    against the compacted folder (its batch value is never a batch id)."""
+    from pulse.session import shared_dir
+    current = read_days(spark, path, day_col, days)
+    if current is None:
+        return 0
+    staging = shared_dir(spark, "compact_staging")
+    current.drop(BATCH_COL).write.partitionBy(day_col).parquet(staging)
+    staged = spark.read.parquet(staging)
+    cols = [c for c in staged.columns if c != day_col]
+    name = f"pulse_compact_{abs(hash((path, tuple(days)))) % 10**9}"
+    view = f"{name}_src"
+    staged.createOrReplaceTempView(view)
+    ddl_cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema.fields
+                         if f.name not in (day_col, BATCH_COL))
+    spark.sql(f"CREATE TABLE {name} ({ddl_cols}, `{day_col}` string, `{BATCH_COL}` string) USING parquet "
+              f"PARTITIONED BY (`{day_col}`, `{BATCH_COL}`) LOCATION '{path}'")
+    try:
+        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "STATIC")
+        try:
+            for day in days:
+                select_cols = ", ".join(f"`{c}`" for c in cols)
+                # Static day, dynamic batch: in static overwrite mode every folder under
+                # the day is replaced.
+                spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{day_col}` = '{day}', `{BATCH_COL}`) "
+                          f"SELECT {select_cols}, 'compact' AS `{BATCH_COL}` FROM {view} WHERE `{day_col}` = '{day}'")
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.dropTempView(view)
+    return staged.count()

@@ -161,3 +161,18 @@ def test_keyed_state_dau_drops_starts_behind_watermark(spark, scratch):
     run([("a", BASE + 5 * DAY_MS + 1)])  # same key later: already seen
     got = sorted((r.mid, r.logDate, r.ts) for r in spark.read.parquet(table).collect())
     assert got == [("a", "2024-01-15", BASE + 4), ("a", "2024-01-20", BASE + 5 * DAY_MS), ("b", "2024-01-15", BASE + 1)]
+
+
+def test_compaction_keeps_table_and_dedup(spark, scratch):
+    import os
+    t = scratch("compact")
+    for bid in range(3):
+        jobs.dau_batch(startup_lines(spark, [(f"m{bid}", BASE + bid), ("a", BASE + 10 + bid)]), bid, t)
+    before = table_rows(spark, t)
+    assert sinks.compact_days(spark, t, "logDate", ["2024-01-15"]) == len(before)
+    assert table_rows(spark, t) == before
+    local = t.replace("file:", "")
+    assert sorted(os.listdir(f"{local}/logDate=2024-01-15")) == ["batch=compact"]
+    jobs.dau_batch(startup_lines(spark, [("a", BASE), ("n", BASE + 99)]), 3, t)
+    after = table_rows(spark, t)
+    assert after == sorted(before + [("n", "2024-01-15", BASE + 99)])
