@@ -343,6 +343,13 @@ def q_report_hour(spark, sf):
     return a.unionByName(b)
 
 
+@query("report_detail")
+def q_report_detail(spark, sf):
+    """The drill-down document for the keyword search: page 2 of 20 rows, total, shares."""
+    return reports.report_detail(views.sale_detail(spark, sf), P.DRAW, P.PAGE_START, P.PAGE_LENGTH,
+                                 keyword=P.KEYWORD)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Devices by hour of first start on the report day, on the 24-hour axis."""
     return QUERIES["hour_spine"](spark, sf_dir)

@@ -51,6 +51,11 @@ def feed_and_run(spark: SparkSession, frame: DataFrame, day: str, cols: list[str
             raise q.exception()
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """State partitions for the keyed-state jobs: the cores the session has."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _startup_lines(spark, sf) -> DataFrame:
     """Stamped lines of the startup topic, with their day for slicing."""
     lines = ingest.with_log_day(ingest.stamp_lines(views.raw_logs(spark, sf)))
@@ -108,7 +113,8 @@ def q_stream_dau_state(spark, sf):
     """Startup topic -> DAU stream with keyed state (RocksDB, 24 h TTL) -> Parquet file sink."""
     table = session.shared_dir(spark, "dau_state")
     feed_and_run(spark, _startup_lines(spark, sf), "dt", ["key", "value"],
-                 lambda s, c: jobs.run_dau_keyed_state(s, table, c, "available_now"))
+                 lambda s, c: jobs.run_dau_keyed_state(s, table, c, "available_now",
+                                                       state_partitions=_state_partitions(spark)))
     return _dau_cols(spark.read.parquet(table))
 
 
@@ -154,5 +160,6 @@ def q_stream_first_order(spark, sf):
     """Order topic -> keyed-state flag (transformWithState, RocksDB) -> the order table."""
     table = session.shared_dir(spark, "orders_state")
     feed_and_run(spark, _order_lines(spark, sf), "dt", ["key", "value"],
-                 lambda s, c: jobs.run_orders_keyed_state(s, table, c, "available_now"))
+                 lambda s, c: jobs.run_orders_keyed_state(s, table, c, "available_now",
+                                                          state_partitions=_state_partitions(spark)))
     return sinks.read_result(spark, table).select(*ORDER_FIELDS)

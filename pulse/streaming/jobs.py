@@ -27,6 +27,24 @@ DAU_KEYS = ["mid", "logDate"]
 BatchLog = Callable[[dict], None]
 
 
+class _ShufflePartitions:
+    """Set ``spark.sql.shuffle.partitions`` while a query starts. For a stateful query
+    the value becomes its number of state partitions, recorded in the checkpoint at
+    the first start; size it to the cluster's cores, not to the data."""
+
+    def __init__(self, spark, n: int | None):
+        self.spark, self.n, self.old = spark, n, None
+
+    def __enter__(self):
+        if self.n:
+            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+
+    def __exit__(self, *exc):
+        if self.n:
+            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+
+
 def _start(df: DataFrame, fn, checkpoint: str, trigger: str | None, name: str | None = None) -> StreamingQuery:
     """foreachBatch writer with a checkpoint. ``trigger``: a processing-time interval
     (default ``5 seconds``) or ``"available_now"`` (drain what is there, then stop)."""
@@ -135,7 +153,7 @@ def run_dau(source: DataFrame, table: str, checkpoint: str, trigger: str | None
 
 
 def run_dau_keyed_state(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
-                        retention_days: int = 1) -> StreamingQuery:
+                        retention_days: int = 1, state_partitions: int | None = None) -> StreamingQuery:
     """DAU job with the seen-set in RocksDB keyed state (evicted by event-time timers
     behind a ``retention_days`` watermark) and the built-in Parquet file sink.
 
@@ -147,7 +165,8 @@ def run_dau_keyed_state(source: DataFrame, table: str, checkpoint: str, trigger:
     w = (firsts.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
          .partitionBy("logDate").outputMode("append"))
     w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger or MICRO_BATCH)
-    return w.start()
+    with _ShufflePartitions(source.sparkSession, state_partitions):
+        return w.start()
 
 
 # --- orders ----------------------------------------------------------------------------
@@ -199,10 +218,11 @@ def _insert_orders(batch: DataFrame, batch_id: int, table: str) -> None:
 
 
 def run_orders_keyed_state(source: DataFrame, table: str, checkpoint: str,
-                           trigger: str | None = None) -> StreamingQuery:
+                           trigger: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Order job with the first-order flag kept in RocksDB keyed state
     (``transformWithStateInPandas``) instead of the known-users table."""
     good, _ = ingest.split_valid_orders(ingest.prepare_orders(ingest.parse_order(source)))
     schema = good.select(*ORDER_FIELDS[:-1]).withColumn("is_first_order", F.lit("0")).schema
     flagged = flag_first_stream(good.select(*ORDER_FIELDS[:-1]), schema)
-    return _start(flagged, lambda df, bid: _insert_orders(df, bid, table), checkpoint, trigger)
+    with _ShufflePartitions(source.sparkSession, state_partitions):
+        return _start(flagged, lambda df, bid: _insert_orders(df, bid, table), checkpoint, trigger)
