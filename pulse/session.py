@@ -64,18 +64,15 @@ def get_session(master: str | None = None, app_name: str = "pulse",
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder is created
-    and registered, so later calls agree.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="pulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    Only when the session has none (local tests) a private folder is created and
+    registered with ``setCheckpointDir``, so later calls agree."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pulse-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:

@@ -16,8 +16,8 @@ def spark():
          .config("spark.sql.shuffle.partitions", "4"))
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("FATAL")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pulse-test-ckpt-"))
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.getCheckpointDir() is None:
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulse-test-ckpt-"))
     configure(s)
     yield s
     s.stop()
