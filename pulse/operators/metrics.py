@@ -70,6 +70,13 @@ def new_devices(dau: DataFrame, day: str) -> DataFrame:
     return firsts.agg(F.count_if(F.col("first_day") == F.lit(day)).cast("bigint").alias("new_mid"))
 
 
+def new_devices_on(first_seen: DataFrame, day: str) -> DataFrame:
+    """Same answer as :func:`new_devices`, from the first-seen table kept by the stream
+    (``streaming.jobs.run_first_seen``): one partition is counted, whatever the
+    length of the history."""
+    return on_date(first_seen, "logDate", day).agg(F.count(F.lit(1)).alias("new_mid"))
+
+
 def cum_dau(dau: DataFrame, day: str) -> DataFrame:
     """(logHour, ct, cum_ct): running total of first starts over the hours of ``day``.
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pulse import session
 from pulse.operators import ingest
+from pulse.plans import params as P
 from pulse.plans.catalog import query
 from pulse.schemas import ORDER_FIELDS
 from pulse.sources import views
@@ -118,6 +119,20 @@ def q_stream_dau_state(spark, sf):
     return _dau_cols(spark.read.parquet(table))
 
 
+@query("stream_new_mid")
+def q_stream_new_mid(spark, sf):
+    """Startup topic -> first-seen stream (keyed state per device) -> new devices per day."""
+    from pulse.operators import metrics
+    table = session.shared_dir(spark, "first_seen")
+    feed_and_run(spark, _startup_lines(spark, sf), "dt", ["key", "value"],
+                 lambda s, c: jobs.run_first_seen(s, table, c, "available_now",
+                                                  state_partitions=_state_partitions(spark)))
+    first_seen = spark.read.parquet(table)
+    per_day = first_seen.groupBy("logDate").agg(F.count(F.lit(1)).alias("new_mid"))
+    on_day = metrics.new_devices_on(first_seen, P.DAY).select(F.lit(P.DAY).alias("logDate"), "new_mid")
+    return per_day.where(F.col("logDate") != P.DAY).unionByName(on_day)
+
+
 @query("sink_dau")
 def q_sink_dau(spark, sf):
     """The DAU micro-batch function called on day slices, then two batches replayed

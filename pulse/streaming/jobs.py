@@ -19,7 +19,7 @@ from pulse.functions import epoch_millis
 from pulse.operators import dedup, ingest
 from pulse.schemas import ORDER_FIELDS
 from pulse.streaming import sinks
-from pulse.streaming.state import first_start_stream, flag_first_stream
+from pulse.streaming.state import first_seen_stream, first_start_stream, flag_first_stream
 
 MICRO_BATCH = "5 seconds"
 DAU_KEYS = ["mid", "logDate"]
@@ -169,6 +169,20 @@ def run_dau_keyed_state(source: DataFrame, table: str, checkpoint: str, trigger:
         return w.start()
 
 
+def run_first_seen(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
+                   state_partitions: int | None = None) -> StreamingQuery:
+    """Table of each device's first start ever, partitioned by that day, kept by keyed
+    state (no expiry) and written through the exactly-once Parquet file sink.
+    ``metrics.new_devices_on`` counts one partition of it."""
+    startups = ingest.parse_startup(source).where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
+    firsts = first_seen_stream(startups)
+    w = (firsts.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
+         .partitionBy("logDate").outputMode("append"))
+    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger or MICRO_BATCH)
+    with _ShufflePartitions(source.sparkSession, state_partitions):
+        return w.start()
+
+
 # --- orders ----------------------------------------------------------------------------
 
 def _order_paths(table: str) -> tuple[str, str]:

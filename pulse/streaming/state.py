@@ -74,12 +74,16 @@ EVENT_TIME = "event_time"
 
 
 class FirstStartKeeper(StatefulProcessor):
-    """Per (device, day): emit the earliest start of the first batch that sees the key
-    and remember the key. An event-time timer at the end of the day plus the retention
-    clears it once the watermark has passed (the per-day seen-set expires), so state
-    holds only the days still open for late data."""
+    """Per key: emit the earliest start of the first batch that sees the key and
+    remember the key.
 
-    def __init__(self, retention_ms: int = DAY_MS):
+    Keyed by (device, day) with ``retention_ms``: an event-time timer at the end of
+    the day plus the retention clears the key once the watermark has passed (the
+    per-day seen-set expires), so state holds only the days still open for late data.
+    Keyed by device with ``retention_ms=None``: the key is kept for good, and the
+    output is each device's first start ever (its first-seen day)."""
+
+    def __init__(self, retention_ms: int | None = DAY_MS):
         self.retention_ms = retention_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -100,9 +104,10 @@ class FirstStartKeeper(StatefulProcessor):
             best = cand.sort_values(order, na_position="first", kind="mergesort").head(1)
         if best is not None:
             self.seen.update((True,))
-            day_start = int(pd.Timestamp(key[1]).value // 1_000_000)
-            self.handle.registerTimer(day_start + DAY_MS + self.retention_ms)
-            yield best.drop(columns=[EVENT_TIME])
+            if self.retention_ms is not None:
+                day_start = int(pd.Timestamp(key[1]).value // 1_000_000)
+                self.handle.registerTimer(day_start + DAY_MS + self.retention_ms)
+            yield best.drop(columns=[EVENT_TIME], errors="ignore")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
@@ -126,3 +131,15 @@ def first_start_stream(startups: DataFrame, retention_days: int = 1) -> DataFram
     return timed.groupBy("mid", "logDate").transformWithStateInPandas(
         statefulProcessor=FirstStartKeeper(retention_days * DAY_MS), outputStructType=startups.schema,
         outputMode="Append", timeMode="EventTime")
+
+
+def first_seen_stream(startups: DataFrame) -> DataFrame:
+    """Streaming parsed startups -> each device's first start ever (one row per ``mid``;
+    its ``logDate`` is the day the device was new). State: one flag per device, kept
+    in RocksDB without expiry, touched only for the devices of the batch."""
+    spark = startups.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return startups.groupBy("mid").transformWithStateInPandas(
+        statefulProcessor=FirstStartKeeper(None), outputStructType=startups.schema,
+        outputMode="Append", timeMode="None")
