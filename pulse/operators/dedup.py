@@ -42,20 +42,26 @@ def drop_seen(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFra
 
 def flag_first(orders: DataFrame, user: str = "user_id",
                order: Sequence[str | Column] = ("create_time", "id"),
-               known_users: DataFrame | None = None, flag: str = "is_first_order") -> DataFrame:
+               known_users: DataFrame | None = None, flag: str = "is_first_order",
+               salts: int = 16) -> DataFrame:
     """``flag`` = "1" on a user's earliest order (by ``order``), "0" on the others;
     users in ``known_users`` (one column ``user``) have ordered before: all "0".
 
-    The earliest order per user is a partial aggregate; it is joined back on the
-    user. A user with a third of all orders makes that join skewed on one side only —
-    AQE's skew-join split handles it (the other side has one row per user).
+    The earliest order per user is a partial aggregate (one row per user). It is
+    joined back to the orders on (user, salt): each order gets a salt in
+    ``[0, salts)`` from a hash of its own sort key, and the per-user row is repeated
+    for every salt. A user with a third of all orders is so spread over ``salts``
+    join tasks, at the price of ``salts`` copies of the small per-user side.
     """
     key = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}")
                      for i, c in enumerate(order)])
     firsts = orders.groupBy(user).agg(F.min(key).alias("_first"))
     if known_users is not None:
         firsts = firsts.join(known_users.select(user).distinct(), user, "left_anti")
-    joined = orders.join(firsts, user, "left")
+    salted = orders.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)))
+    spread = firsts.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                             F.lit(salts - 1).cast("bigint"))))
+    joined = salted.join(spread, [user, "_salt"], "left")
     is_first = F.coalesce(key == F.col("_first"), F.lit(False))
     return (joined.withColumn(flag, F.when(is_first, F.lit("1")).otherwise(F.lit("0")))
             .select(*orders.columns, flag))
