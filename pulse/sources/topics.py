@@ -16,13 +16,16 @@ LINE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
 
 
 def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str | None = None,
-               options: dict | None = None, max_per_trigger: int | None = None) -> DataFrame:
+               options: dict | None = None, max_per_trigger: int | None = None,
+               min_partitions: int | None = None) -> DataFrame:
     """Streaming DataFrame with ``key``/``value`` strings (and ``timestamp`` from Kafka).
 
     ``fmt="kafka"``: subscribes to ``topic``, starting at the latest offsets unless
     ``options`` say otherwise; ``max_per_trigger`` bounds a micro-batch
-    (``maxOffsetsPerTrigger``). File formats (``parquet``/``json``) read
-    ``path/topic=<topic>`` with a fixed schema; the bound is ``maxFilesPerTrigger``.
+    (``maxOffsetsPerTrigger``); ``min_partitions`` splits the topic's partitions into
+    at least that many tasks, so a topic with few partitions still spreads over the
+    executors. File formats (``parquet``/``json``) read ``path/topic=<topic>`` with a
+    fixed schema; the bound is ``maxFilesPerTrigger``.
     """
     opts = dict(options or {})
     if fmt == "kafka":
@@ -30,6 +33,8 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str |
         opts.setdefault("startingOffsets", "latest")
         if max_per_trigger:
             opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger))
+        if min_partitions:
+            opts.setdefault("minPartitions", str(min_partitions))
         raw = spark.readStream.format("kafka").options(**opts).load()
         return raw.select(F.col("key").cast("string").alias("key"),
                           F.col("value").cast("string").alias("value"), "timestamp")

@@ -49,3 +49,11 @@ def test_report_total_null_value_drops_key(spark):
     doc = json.loads(reports.report_total(kpis).first().doc)
     assert doc == [{"id": "dau", "name": "d", "value": 3}, {"id": "new_mid", "name": "n", "value": 4},
                    {"id": "order_amount", "name": "o"}]
+
+
+def test_level_and_day_filters(spark, detail):
+    lvl = reports.filter_detail(detail, level=3)
+    assert lvl.count() == detail.where(F.col("user_level") == "3").count() > 0
+    day = detail.select("dt").first().dt
+    assert reports.filter_detail(detail, day=day).count() == detail.where(F.col("dt") == day).count()
+    assert reports.filter_detail(detail, day="not-a-day").count() == 0
