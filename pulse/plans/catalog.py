@@ -51,10 +51,7 @@ def dau_table(spark, sf, with_area=True) -> DataFrame:
     firsts = dedup.first_per_key(startups(spark, sf, with_area=False), ["mid", "logDate"], ["ts"])
     if not with_area:
         return firsts
-    area = views.user_area(spark, sf).select(F.col("user_id").cast("string").alias("uid"),
-                                             F.col("area").alias("_area"))
-    return (firsts.join(area, "uid", "left").withColumn("area", F.col("_area"))
-            .select(*firsts.columns))
+    return views.attach_area(firsts, spark, sf, "uid").select(*firsts.columns)
 
 
 def order_table(spark, sf) -> DataFrame:

@@ -55,29 +55,27 @@ def _channel() -> Column:
             .otherwise(F.concat(F.lit("store_"), (F.col("user_id") % 7).cast("string"))))
 
 
-def user_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user_id, area): customer -> nation name. ``nation`` has a fixed 25 rows, so it
-    is broadcast; ``customer`` grows with the data and is left to the planner."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-            .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("area")))
+def attach_area(df: DataFrame, spark: SparkSession, sf_dir: str, user_col: str = "user_id") -> DataFrame:
+    """Add ``area`` (the user's nation name) to ``df``.
+
+    ``df`` -> customer -> nation, in that order: the customer join is planned from the
+    customer scan's own statistics (broadcast while small, shuffled when not); the
+    25-row nation dimension is always broadcast."""
+    key_type = df.schema[user_col].dataType
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast(key_type).alias("_area_user"), "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("area"))
+    base = df.drop("area") if "area" in df.columns else df
+    out = (base.join(cust, F.col(user_col) == F.col("_area_user"), "left")
+               .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+    return out.drop("_area_user", "c_nationkey", "n_nationkey")
 
 
 def _events(spark: SparkSession, sf_dir: str, with_area: bool) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     if with_area:
-        # events -> customer -> nation, in that order: the customer join is planned from
-        # the customer scan's own statistics (broadcast while small, shuffled when not);
-        # the 25-row nation dimension is always broadcast.
-        cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
-        nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("area"))
-        ev = (ev.join(cust, "user_id", "left")
-                .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-                .drop("c_nationkey", "n_nationkey"))
-    else:
-        ev = ev.withColumn("area", F.lit(None).cast("string"))
-    return ev
+        return attach_area(ev, spark, sf_dir, "user_id")
+    return ev.withColumn("area", F.lit(None).cast("string"))
 
 
 def startup_log(spark: SparkSession, sf_dir: str, with_area: bool = True) -> DataFrame:
