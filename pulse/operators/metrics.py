@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.functions import AGE_LABELS, GENDER_LABELS, age_band, gender_label, on_date, prev_day
+from pulse.functions import age_band, gender_label, on_date
 from pulse.functions.columns import sales_band
 from pulse.operators.joins import fill_hours
 
@@ -138,7 +138,7 @@ def kpi_summary(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
 
 # --- detail rows ---------------------------------------------------------------
 
-def _share(df: DataFrame, label: Column, labels) -> DataFrame:
+def _share(df: DataFrame, label: Column) -> DataFrame:
     counts = df.groupBy(label.alias("name")).agg(F.count(F.lit(1)).alias("value"))
     total = df.agg(F.count(F.lit(1))).scalar()
     return counts.select("name", "value",
@@ -147,12 +147,12 @@ def _share(df: DataFrame, label: Column, labels) -> DataFrame:
 
 def gender_share(detail: DataFrame) -> DataFrame:
     """(name, value, share %): rows per gender of the (filtered) detail rows."""
-    return _share(detail, gender_label("user_gender"), GENDER_LABELS)
+    return _share(detail, gender_label("user_gender"))
 
 
 def age_share(detail: DataFrame) -> DataFrame:
     """(name, value, share %): rows per age band of the (filtered) detail rows."""
-    return _share(detail, age_band("user_age"), AGE_LABELS)
+    return _share(detail, age_band("user_age"))
 
 
 def province_sales(detail: DataFrame, day: str | None = None) -> DataFrame:
