@@ -43,25 +43,32 @@ def drop_seen(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFra
 def flag_first(orders: DataFrame, user: str = "user_id",
                order: Sequence[str | Column] = ("create_time", "id"),
                known_users: DataFrame | None = None, flag: str = "is_first_order",
-               salts: int = 16) -> DataFrame:
+               salts: int = 16, hot_rows: int = 1_000_000) -> DataFrame:
     """``flag`` = "1" on a user's earliest order (by ``order``), "0" on the others;
     users in ``known_users`` (one column ``user``) have ordered before: all "0".
 
-    The earliest order per user is a partial aggregate (one row per user). It is
-    joined back to the orders on (user, salt): each order gets a salt in
-    ``[0, salts)`` from a hash of its own sort key, and the per-user row is repeated
-    for every salt. A user with a third of all orders is so spread over ``salts``
-    join tasks, at the price of ``salts`` copies of the small per-user side.
+    One partial aggregate per user gives the earliest order and the user's row count;
+    it is joined back to the orders on (user, salt). Users with more than
+    ``hot_rows`` orders are hot: their orders get a salt in ``[0, salts)`` from a hash
+    of the order's own sort key and their aggregate row is repeated per salt, so a
+    user with a third of all orders is spread over ``salts`` join tasks. The hot list
+    is broadcast; its size is bounded by (all orders) / ``hot_rows`` users. Every
+    other user keeps salt 0 and a single aggregate row.
     """
     key = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}")
                      for i, c in enumerate(order)])
-    firsts = orders.groupBy(user).agg(F.min(key).alias("_first"))
+    stats = orders.groupBy(user).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    hot = stats.where(F.col("_n") > hot_rows).select(user, F.lit(True).alias("_hot"))
+    firsts = stats
     if known_users is not None:
         firsts = firsts.join(known_users.select(user).distinct(), user, "left_anti")
-    salted = orders.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)))
-    spread = firsts.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                             F.lit(salts - 1).cast("bigint"))))
-    joined = salted.join(spread, [user, "_salt"], "left")
+    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    spread = firsts.withColumn("_salt", F.explode(
+        F.when(F.col("_n") > hot_rows, all_salts).otherwise(F.array(F.lit(0).cast("bigint")))))
+    salted = (orders.join(F.broadcast(hot), user, "left")
+              .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(key), F.lit(salts)))
+                          .otherwise(F.lit(0).cast("bigint"))))
+    joined = salted.join(spread.select(user, "_salt", "_first"), [user, "_salt"], "left")
     is_first = F.coalesce(key == F.col("_first"), F.lit(False))
     return (joined.withColumn(flag, F.when(is_first, F.lit("1")).otherwise(F.lit("0")))
             .select(*orders.columns, flag))

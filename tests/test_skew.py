@@ -40,12 +40,14 @@ def hot_orders(spark, n=30_000):
 
 def test_flag_first_with_hot_user_is_exact_and_skew_split(spark):
     with conf(spark, FORCE_SKEW):
-        out = dedup.flag_first(hot_orders(spark), "user_id", ["create_time", *dedup.numeric_id("id")])
+        out = dedup.flag_first(hot_orders(spark), "user_id", ["create_time", *dedup.numeric_id("id")],
+                               hot_rows=1_000)
         stats = out.groupBy("user_id").agg(F.sum(F.col("is_first_order").cast("int")).alias("firsts"),
                                            F.count(F.lit(1)).alias("n"))
         rows = {r.user_id: (r.firsts, r.n) for r in stats.collect()}
         # The hot user's rows reach the join in many partitions (one per salt).
-        per_part = (dedup.flag_first(hot_orders(spark), "user_id", ["create_time", *dedup.numeric_id("id")])
+        per_part = (dedup.flag_first(hot_orders(spark), "user_id", ["create_time", *dedup.numeric_id("id")],
+                                     hot_rows=1_000)
                     .where(F.col("user_id") == "hot").withColumn("p", F.spark_partition_id())
                     .groupBy("p").count().collect())
     assert rows["hot"] == (1, 10_000)
