@@ -79,6 +79,16 @@ def parse_changes(df: DataFrame, value: str = "value") -> DataFrame:
     return df.select(F.from_json(F.col(value), CHANGE_ENVELOPE, _PERMISSIVE).alias("_e")).select("_e.*")
 
 
+def split_valid_changes(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(envelopes, quarantine): lines that decode to an envelope with an entry type and a
+    table, parsed; every other line as it came (``value``), instead of failing the job."""
+    env = F.from_json(F.col(value), CHANGE_ENVELOPE, _PERMISSIVE)
+    ok = env.isNotNull() & env["entry_type"].isNotNull() & env["table"].isNotNull()
+    tagged = lines.select(F.col(value), env.alias("_e"), F.coalesce(ok, F.lit(False)).alias("_ok"))
+    return (tagged.where("_ok").select("_e.*"),
+            tagged.where(~F.col("_ok")).select(value))
+
+
 def filter_changes(df: DataFrame, table: str = "order_info", op: str = "INSERT") -> DataFrame:
     """Row-data entries of one table and operation that carry at least one row."""
     return df.where((F.col("entry_type") == "ROWDATA") & (F.col("table") == F.lit(table))

@@ -102,6 +102,17 @@ def run_cdc_relay(source: DataFrame, out_path: str, checkpoint: str, table: str
     return w.start()
 
 
+def run_cdc_quarantine(source: DataFrame, out_path: str, checkpoint: str,
+                       trigger: str | None = None) -> StreamingQuery:
+    """Lines of the change topic that do not decode to an envelope, kept as they came
+    (a second query on the same topic, so the relay never blocks on them)."""
+    _, bad = ingest.split_valid_changes(source)
+    w = (bad.writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger or MICRO_BATCH)
+    return w.start()
+
+
 # --- daily active devices ----------------------------------------------------------
 
 def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int | None = None,

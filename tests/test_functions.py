@@ -95,3 +95,21 @@ def test_parse_startup_binds_type_and_ignores_unknown(spark):
     lines = spark.createDataFrame([('{"type":"startup","mid":"m1","zzz":1,"ts":1705312800000}',)], "value string")
     r = ingest.parse_startup(lines).first()
     assert (r.mid, r.logType, r.logDate, r.logHour, r.uid) == ("m1", "startup", "2024-01-15", "10", None)
+
+
+def test_undecodable_changes_are_quarantined(spark):
+    lines = spark.createDataFrame([('{"entry_type":"ROWDATA","table":"order_info","op":"INSERT","rows":[]}',),
+                                   ("{not json",), ('{"op":"INSERT"}',), ("[1,2]",)], "value string")
+    good, bad = ingest.split_valid_changes(lines)
+    assert [r.table for r in good.collect()] == ["order_info"]
+    assert sorted(r.value for r in bad.collect()) == sorted(["{not json", '{"op":"INSERT"}', "[1,2]"])
+
+
+def test_cdc_quarantine_stream(spark, scratch):
+    from pulse.streaming import jobs
+    src_dir, out, ck = scratch("cq_src"), scratch("cq_out"), scratch("cq_ck")
+    spark.createDataFrame([("1", "{bad"), ("2", '{"entry_type":"ROWDATA","table":"t","op":"INSERT","rows":[]}')],
+                          "key string, value string").write.parquet(src_dir)
+    src = spark.readStream.schema("key string, value string").parquet(src_dir)
+    jobs.run_cdc_quarantine(src, out, ck, "available_now").awaitTermination()
+    assert [r.value for r in spark.read.parquet(out).collect()] == ["{bad"]
