@@ -54,7 +54,10 @@ def feed_and_run(spark: SparkSession, frame: DataFrame, day: str, cols: list[str
 
 def _state_partitions(spark: SparkSession) -> int:
     """State partitions for the keyed-state jobs: the cores the session has."""
-    return max(1, spark.sparkContext.defaultParallelism)
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.default.parallelism", "8"))
 
 
 def _startup_lines(spark, sf) -> DataFrame:

@@ -66,8 +66,11 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) a private folder is created and
     registered with ``setCheckpointDir``, so later calls agree."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = sc.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if sc.getCheckpointDir() is None:
