@@ -41,6 +41,9 @@ class FirstOrderFlagger(StatefulProcessor):
         for pdf in rows:
             if pdf.empty:
                 continue
+            if held is None and len(pdf) == 1:
+                held = pdf
+                continue
             cand = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
             k = _order_key(cand)
             first = k.sort_values(["t", "has", "n", "s"], kind="mergesort").index[0]
@@ -73,6 +76,16 @@ DAU_ORDER = ["ts", "uid", "appid", "area", "os", "ch", "logType", "vs", "logHour
 EVENT_TIME = "event_time"
 
 
+def _earliest(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The row with the smallest ``ts``; ties settled by the rest of the record (nulls first)."""
+    ts = pdf["ts"]
+    at_min = pdf[ts == ts.min()]
+    if len(at_min) == 1:
+        return at_min
+    order = [c for c in DAU_ORDER if c in pdf.columns]
+    return pdf.sort_values(order, na_position="first", kind="mergesort").head(1)
+
+
 class FirstStartKeeper(StatefulProcessor):
     """Per key: emit the earliest start of the first batch that sees the key and
     remember the key.
@@ -100,8 +113,7 @@ class FirstStartKeeper(StatefulProcessor):
             if pdf.empty:
                 continue
             cand = pdf if best is None else pd.concat([best, pdf], ignore_index=True)
-            order = [c for c in DAU_ORDER if c in cand.columns]
-            best = cand.sort_values(order, na_position="first", kind="mergesort").head(1)
+            best = cand if len(cand) == 1 else _earliest(cand)
         if best is not None:
             self.seen.update((True,))
             if self.retention_ms is not None:
