@@ -43,6 +43,9 @@ def feed_and_run(spark: SparkSession, frame: DataFrame, day: str, cols: list[str
     run the stream built by ``start(stream_df, checkpoint)`` to completion."""
     topic = session.shared_dir(spark, "topic")
     ckpt = session.shared_dir(spark, "checkpoint")
+    staged = session.shared_dir(spark, "staged_input")
+    frame.select(*cols, day).write.parquet(staged)  # derive the input once, slice the copy
+    frame = spark.read.parquet(staged)
     for part in day_slices(frame, day):
         part.select(*cols).write.mode("append").parquet(topic)
         stream = spark.readStream.schema(schema).parquet(topic)

@@ -34,6 +34,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the session's cores when the scan has far fewer input
+    partitions than cores (one large file or row group), so per-row work runs in
+    parallel. A scan of many files — any real fact table — is left alone: no shuffle."""
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return df
+    return df.repartition(cores) if parts * 2 <= cores else df
+
+
+def _events_for_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` for the views that build and parse JSON per row (worth spreading)."""
+    return spread(table(spark, sf_dir, "events"))
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -119,7 +136,7 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     (a client that sends incomplete lines); ``ts`` is not in the line yet — the
     collector stamps it from ``arrival_ms``.
     """
-    ev = _events(spark, sf_dir, True)
+    ev = attach_area(_events_for_json(spark, sf_dir), spark, sf_dir, "user_id")
     k = _k()
     is_start = F.col("event_type") == "view"
     mid = F.concat(F.lit("mid_"), F.col("user_id").cast("string"))
@@ -170,7 +187,7 @@ def _order_columns() -> list[Column]:
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), "c_nationkey", "c_name")
-    return (table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return (_events_for_json(spark, sf_dir).where(F.col("event_type") == "purchase")
             .join(cust, "user_id", "left"))
 
 
@@ -206,7 +223,7 @@ def change_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = purchases.select(F.lit("ROWDATA").alias("entry_type"), F.lit("order_info").alias("table"),
                                F.lit("UPDATE").alias("op"), F.array(paid).alias("rows"),
                                F.col("id").alias("key"))
-    ev = table(spark, sf_dir, "events")
+    ev = _events_for_json(spark, sf_dir)
     carts = ev.where(F.col("event_type") == "click").select(
         F.lit("ROWDATA").alias("entry_type"), F.lit("cart_info").alias("table"),
         F.lit("INSERT").alias("op"),
