@@ -139,10 +139,11 @@ def kpi_summary(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
 # --- detail rows ---------------------------------------------------------------
 
 def _share(df: DataFrame, label: Column) -> DataFrame:
+    """One pass: counts per label, then each count over their sum. The window spans the
+    grouped rows only (at most a handful of labels), not the input."""
     counts = df.groupBy(label.alias("name")).agg(F.count(F.lit(1)).alias("value"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.select("name", "value",
-                         F.round(F.col("value") * 100.0 / total, 6).alias("share"))
+    total = F.sum("value").over(Window.partitionBy(F.lit(1)))
+    return counts.select("name", "value", F.round(F.col("value") * 100.0 / total, 6).alias("share"))
 
 
 def gender_share(detail: DataFrame) -> DataFrame:

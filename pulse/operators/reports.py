@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions import match_keyword, on_date, prev_day
-from pulse.operators.metrics import age_share, gender_share, money_sum
+from pulse.operators.metrics import money_sum
 from pulse.schemas import SALE_DETAIL_COLUMNS
 
 PAGE_SIZES = (10, 20, 50, 100)
@@ -98,20 +98,38 @@ def report_hour(metric: str, dau: DataFrame, orders: DataFrame, day: str) -> Dat
     return dau.sparkSession.range(1).select(F.lit(None).cast("string").alias("doc"))
 
 
+def _label_counts(label: Column, names, prefix: str) -> tuple[list[Column], Column]:
+    """Count columns for each fixed label (and for a null label), plus the expression
+    that turns them into the non-empty ``[{name, value}]`` options sorted by name —
+    the same list a ``groupBy(label).count()`` would give, from one aggregate."""
+    cols, items = [], []
+    for i, name in enumerate(list(names) + [None]):
+        alias = f"{prefix}{i}"
+        cond = label.isNull() if name is None else (label == F.lit(name))
+        cols.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(alias))
+        items.append(F.struct(F.lit(name).cast("string").alias("name"), F.col(alias).alias("value")))
+    options = F.array_sort(F.filter(F.array(*items), lambda x: x["value"] > 0))
+    return cols, options
+
+
 def report_detail(detail: DataFrame, draw: int, start: int, length: int, day: str | None = None,
                   keyword: str | None = None, level: str | None = None) -> DataFrame:
     """``{"draw":d,"data":{"total":n,"stat":[{"options":[age…]},{"options":[gender…]}],
-    "detail":[row…]}}`` — one page plus the age and gender shares of the filtered rows."""
+    "detail":[row…]}}`` — one page plus the age and gender shares of the filtered rows.
+
+    Two passes over the filtered rows: one aggregate gives the total and both share
+    lists (conditional counts per fixed label), the other the page (top-k)."""
+    from pulse.functions import AGE_LABELS, GENDER_LABELS, age_band, gender_label
     rows = filter_detail(detail, day, keyword, level)
     page = paged_detail(detail, start, length, day, keyword, level).drop("total")
-
-    def options(share: DataFrame) -> Column:
-        return share.agg(F.array_sort(F.collect_list(F.struct("name", "value")))).scalar()
+    age_cols, age_opts = _label_counts(age_band("user_age"), AGE_LABELS, "_age")
+    gen_cols, gen_opts = _label_counts(gender_label("user_gender"), GENDER_LABELS.values(), "_gender")
     detail_arr = page.agg(F.array_sort(F.collect_list(F.struct(*SALE_DETAIL_COLUMNS)))).scalar()
-    body = rows.agg(F.count(F.lit(1)).alias("total")).select(
+    counts = rows.agg(F.count(F.lit(1)).alias("total"), *age_cols, *gen_cols)
+    body = counts.select(
         F.lit(int(draw)).alias("draw"),
         F.struct(F.col("total"),
-                 F.array(F.struct(options(age_share(rows)).alias("options")),
-                         F.struct(options(gender_share(rows)).alias("options"))).alias("stat"),
+                 F.array(F.struct(age_opts.alias("options")),
+                         F.struct(gen_opts.alias("options"))).alias("stat"),
                  detail_arr.alias("detail")).alias("data"))
     return body.select(F.to_json(F.struct("draw", "data")).alias("doc"))
