@@ -61,20 +61,21 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: str | None, name: str |
 # --- collector -------------------------------------------------------------------
 
 def collect_batch(batch: DataFrame, batch_id: int, landing: str, topics: str,
-                  arrival_col: str = "arrival_ms") -> None:
+                  arrival_col: str = "arrival_ms", invalid: str | None = None) -> None:
     """Stamp, land by day and route one batch of raw lines: two sinks, one read.
 
-    Both writes go to ``batch=<id>`` folders with dynamic overwrite (replay-safe)."""
-    stamped = ingest.with_log_day(ingest.stamp_lines(batch, arrival_col)).where(F.col("value").isNotNull())
+    Lines that are not JSON objects cannot be stamped; they go to ``invalid``
+    (default ``<landing>_invalid``) as they came. All writes are ``batch=<id>``
+    folders with dynamic overwrite (replay-safe)."""
+    stamped = ingest.with_log_day(ingest.stamp_lines(batch.withColumn("_raw", F.col("value")), arrival_col))
     stamped = stamped.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        (stamped.select("value", "dt").withColumn(sinks.BATCH_COL, F.lit(str(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("dt", sinks.BATCH_COL).text(landing))
-        routed = ingest.route_logs(stamped).select("key", "value", "topic")
-        (routed.withColumn(sinks.BATCH_COL, F.lit(str(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("topic", sinks.BATCH_COL).parquet(topics))
+        good = stamped.where(F.col("value").isNotNull())
+        sinks.write_batch(good.select("value", "dt"), landing, "dt", batch_id, fmt="text")
+        routed = ingest.route_logs(good).select("key", "value", "topic")
+        sinks.write_batch(routed, topics, "topic", batch_id)
+        bad = stamped.where(F.col("value").isNull()).select(F.col("_raw").alias("value"))
+        sinks.write_batch(bad, invalid or f"{landing.rstrip('/')}_invalid", None, batch_id)
     finally:
         stamped.unpersist()
 
@@ -143,9 +144,8 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
             # then the same rows as JSON lines on a downstream topic folder.
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
             sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
-            (new.select(F.col("mid").alias("key"), F.to_json(F.struct(*new.columns)).alias("value"))
-             .withColumn(sinks.BATCH_COL, F.lit(str(batch_id))).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(sinks.BATCH_COL).parquet(publish))
+            sinks.write_batch(new.select(F.col("mid").alias("key"), F.to_json(F.struct(*new.columns)).alias("value")),
+                              publish, None, batch_id)
             new.unpersist()
         if log is not None:
             log({"batch": batch_id, **obs_in.get, **obs_out.get})
@@ -219,12 +219,9 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
         days = sinks.batch_days(flagged, "create_date")
         sinks.upsert_new(flagged.select(*ORDER_FIELDS), batch_id, table, ["id"], "create_date", days)
         buyers = flagged.where(F.col("is_first_order") == "1").select("user_id")
-        (buyers.withColumn(sinks.BATCH_COL, F.lit(str(batch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(sinks.BATCH_COL).parquet(users_path))
+        sinks.write_batch(buyers, users_path, None, batch_id)
         obs = Observation(f"quarantine_{batch_id}")
-        (bad.observe(obs, F.count(F.lit(1)).alias("quarantined")).withColumn(sinks.BATCH_COL, F.lit(str(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(sinks.BATCH_COL).parquet(bad_path))
+        sinks.write_batch(bad.observe(obs, F.count(F.lit(1)).alias("quarantined")), bad_path, None, batch_id)
         if log is not None:
             log({"batch": batch_id, **obs.get})
         flagged.unpersist()

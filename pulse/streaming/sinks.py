@@ -55,11 +55,14 @@ def seen_keys(spark: SparkSession, path: str, keys: Sequence[str], day_col: str,
     return table.where(F.col(BATCH_COL) != F.lit(str(batch_id))).select(*keys)
 
 
-def write_batch(df: DataFrame, path: str, day_col: str, batch_id: int) -> None:
-    """Write one batch's rows under ``<day>/batch=<id>`` (dynamic overwrite)."""
+def write_batch(df: DataFrame, path: str, parts: str | Sequence[str] | None, batch_id: int,
+                fmt: str = "parquet") -> None:
+    """Write one batch's rows under ``[<parts>/]batch=<id>`` with dynamic partition
+    overwrite: a re-run of the batch replaces exactly its own folders."""
+    cols = [] if parts is None else ([parts] if isinstance(parts, str) else list(parts))
     (df.withColumn(BATCH_COL, F.lit(str(batch_id)))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(day_col, BATCH_COL).parquet(path))
+       .partitionBy(*cols, BATCH_COL).format(fmt).save(path))
 
 
 def upsert_new(df: DataFrame, batch_id: int, path: str, keys: Sequence[str], day_col: str,

@@ -176,3 +176,13 @@ def test_compaction_keeps_table_and_dedup(spark, scratch):
     jobs.dau_batch(startup_lines(spark, [("a", BASE), ("n", BASE + 99)]), 3, t)
     after = table_rows(spark, t)
     assert after == sorted(before + [("n", "2024-01-15", BASE + 99)])
+
+
+def test_collector_quarantines_lines_that_are_not_objects(spark, scratch):
+    landing, topics = scratch("q_landing"), scratch("q_topics")
+    raw = spark.createDataFrame([("1", '{"type":"startup"}', BASE), ("2", "not json", BASE), ("3", "[1]", BASE)],
+                                "key string, value string, arrival_ms long")
+    jobs.collect_batch(raw, 0, landing, topics)
+    jobs.collect_batch(raw, 0, landing, topics)
+    assert sorted(r.value for r in spark.read.parquet(landing + "_invalid").collect()) == ["[1]", "not json"]
+    assert [r.key for r in spark.read.parquet(topics).collect()] == ["1"]
