@@ -45,17 +45,20 @@ class _ShufflePartitions:
             self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
 
 
+def _trigger(writer, trigger: str | None):
+    """``trigger``: a processing-time interval (default ``5 seconds``) or
+    ``"available_now"`` (drain what is there, then stop)."""
+    if trigger == "available_now":
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=trigger or MICRO_BATCH)
+
+
 def _start(df: DataFrame, fn, checkpoint: str, trigger: str | None, name: str | None = None) -> StreamingQuery:
-    """foreachBatch writer with a checkpoint. ``trigger``: a processing-time interval
-    (default ``5 seconds``) or ``"available_now"`` (drain what is there, then stop)."""
+    """foreachBatch writer with a checkpoint."""
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    if trigger == "available_now":
-        w = w.trigger(availableNow=True)
-    else:
-        w = w.trigger(processingTime=trigger or MICRO_BATCH)
-    return w.start()
+    return _trigger(w, trigger).start()
 
 
 # --- collector -------------------------------------------------------------------
@@ -99,7 +102,7 @@ def run_cdc_relay(source: DataFrame, out_path: str, checkpoint: str, table: str
     lines = ingest.relay_orders(ingest.parse_changes(source), table, op)
     w = (lines.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger or MICRO_BATCH)
+    w = _trigger(w, trigger)
     return w.start()
 
 
@@ -110,7 +113,7 @@ def run_cdc_quarantine(source: DataFrame, out_path: str, checkpoint: str,
     _, bad = ingest.split_valid_changes(source)
     w = (bad.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger or MICRO_BATCH)
+    w = _trigger(w, trigger)
     return w.start()
 
 
@@ -175,7 +178,7 @@ def run_dau_keyed_state(source: DataFrame, table: str, checkpoint: str, trigger:
     firsts = first_start_stream(startups, retention_days)
     w = (firsts.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
          .partitionBy("logDate").outputMode("append"))
-    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger or MICRO_BATCH)
+    w = _trigger(w, trigger)
     with _ShufflePartitions(source.sparkSession, state_partitions):
         return w.start()
 
@@ -189,7 +192,7 @@ def run_first_seen(source: DataFrame, table: str, checkpoint: str, trigger: str
     firsts = first_seen_stream(startups)
     w = (firsts.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
          .partitionBy("logDate").outputMode("append"))
-    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger or MICRO_BATCH)
+    w = _trigger(w, trigger)
     with _ShufflePartitions(source.sparkSession, state_partitions):
         return w.start()
 
