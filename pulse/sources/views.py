@@ -27,7 +27,6 @@ VERSION_REST = "1.1.1"
 ORDER_STATUS_NEW = "1001"
 ORDER_STATUS_PAID = "1002"
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
