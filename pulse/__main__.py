@@ -69,6 +69,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mode", choices=["table", "state"], default="table")
     p.add_argument("--retention-days", type=int, default=None)
     p.add_argument("--state-partitions", type=int, default=None)
+    p.add_argument("--compact-lag-days", type=int, default=None,
+                   help="table mode: compact days finished this long ago")
+    p.add_argument("--compact-every", type=int, default=100)
 
     p = sub.add_parser("orders", help="order table with first-order flags")
     _stream_args(p)
@@ -126,7 +129,8 @@ def main(argv: list[str] | None = None) -> int:
             q = jobs.run_dau_keyed_state(src, args.table, args.checkpoint, trig, args.retention_days or 1,
                                          args.state_partitions)
         else:
-            q = jobs.run_dau(src, args.table, args.checkpoint, trig, args.retention_days)
+            q = jobs.run_dau(src, args.table, args.checkpoint, trig, args.retention_days,
+                             compact_lag_days=args.compact_lag_days, compact_every=args.compact_every)
     elif args.cmd == "orders":
         if args.mode == "state":
             q = jobs.run_orders_keyed_state(src, args.table, args.checkpoint, trig, args.state_partitions)

@@ -120,13 +120,16 @@ def run_cdc_quarantine(source: DataFrame, out_path: str, checkpoint: str,
 # --- daily active devices ----------------------------------------------------------
 
 def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int | None = None,
-              log: BatchLog | None = None, publish: str | None = None) -> None:
+              log: BatchLog | None = None, publish: str | None = None,
+              compact_lag_days: int | None = None, compact_every: int = 100) -> None:
     """One micro-batch of parsed startups -> new first-starts in the DAU table.
 
     first start per (device, day) inside the batch (partial aggregate) -> anti join
     with the keys stored by other batches for the same days -> write. With
     ``retention_days``, starts older than the batch's newest day minus the
-    retention are dropped (counted as ``late``)."""
+    retention are dropped (counted as ``late``). With ``compact_lag_days``, every
+    ``compact_every`` batches the finished days (more than the lag before this
+    batch's oldest day) are rewritten into one folder each."""
     obs_in, obs_out = Observation(f"dau_in_{batch_id}"), Observation(f"dau_out_{batch_id}")
     rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -150,19 +153,26 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
             sinks.write_batch(new.select(F.col("mid").alias("key"), F.to_json(F.struct(*new.columns)).alias("value")),
                               publish, None, batch_id)
             new.unpersist()
+        entry = {"batch": batch_id, **obs_in.get, **obs_out.get}
+        if compact_lag_days is not None and days and batch_id % compact_every == 0:
+            from datetime import date, timedelta
+            horizon = (date.fromisoformat(days[0]) - timedelta(days=compact_lag_days)).isoformat()
+            entry["compacted"] = sinks.compact_finished(rows.sparkSession, table, "logDate", horizon)
         if log is not None:
-            log({"batch": batch_id, **obs_in.get, **obs_out.get})
+            log(entry)
     finally:
         rows.unpersist()
 
 
 def run_dau(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
             retention_days: int | None = None, log: BatchLog | None = None,
-            publish: str | None = None) -> StreamingQuery:
+            publish: str | None = None, compact_lag_days: int | None = None,
+            compact_every: int = 100) -> StreamingQuery:
     """``source``: streaming JSON lines of the startup topic. ``publish``: optional
     folder that also receives each batch's new first starts as JSON lines."""
     startups = ingest.parse_startup(source).where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
-    return _start(startups, lambda df, bid: dau_batch(df, bid, table, retention_days, log, publish),
+    return _start(startups, lambda df, bid: dau_batch(df, bid, table, retention_days, log, publish,
+                                                      compact_lag_days, compact_every),
                   checkpoint, trigger)
 
 

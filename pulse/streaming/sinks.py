@@ -125,3 +125,21 @@ def compact_days(spark: SparkSession, path: str, day_col: str, days: Sequence[st
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.dropTempView(view)
     return staged.count()
+
+
+def compact_finished(spark: SparkSession, path: str, day_col: str, newest_open_day: str,
+                     window_days: int = 7) -> list[str]:
+    """Compact the ``window_days`` days before ``newest_open_day`` (exclusive) that
+    still have per-batch folders; returns the days compacted. Only those days'
+    folders are listed (a glob), never the whole table."""
+    from datetime import date, timedelta
+    end = date.fromisoformat(newest_open_day)
+    candidates = [(end - timedelta(days=i)).isoformat() for i in range(window_days, 0, -1)]
+    current = read_days(spark, path, day_col, candidates)
+    if current is None:
+        return []
+    open_days = sorted(r[0] for r in current.where(F.col(BATCH_COL) != F.lit("compact"))
+                       .select(day_col).distinct().collect())
+    if open_days:
+        compact_days(spark, path, day_col, open_days)
+    return open_days

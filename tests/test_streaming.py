@@ -186,3 +186,20 @@ def test_collector_quarantines_lines_that_are_not_objects(spark, scratch):
     jobs.collect_batch(raw, 0, landing, topics)
     assert sorted(r.value for r in spark.read.parquet(landing + "_invalid").collect()) == ["[1]", "not json"]
     assert [r.key for r in spark.read.parquet(topics).collect()] == ["1"]
+
+
+def test_dau_job_compacts_finished_days(spark, scratch):
+    import os
+    t, plain = scratch("auto_compact"), scratch("no_compact")
+    logs = []
+    batches = [[("a", BASE + d * DAY_MS + 5), ("b", BASE + d * DAY_MS + 7)] for d in range(5)]
+    batches.insert(2, [("c", BASE + 10)])  # a late start for the first day
+    for bid, recs in enumerate(batches):
+        jobs.dau_batch(startup_lines(spark, recs), bid, t, log=logs.append, compact_lag_days=1, compact_every=1)
+        jobs.dau_batch(startup_lines(spark, recs), bid, plain)
+    assert table_rows(spark, t) == table_rows(spark, plain)
+    local = t.replace("file:", "")
+    assert os.listdir(f"{local}/logDate=2024-01-15") == ["batch=compact"]
+    assert os.listdir(f"{local}/logDate=2024-01-16") == ["batch=compact"]
+    assert "batch=compact" not in os.listdir(f"{local}/logDate=2024-01-19")
+    assert any(entry.get("compacted") for entry in logs)
