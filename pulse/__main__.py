@@ -118,12 +118,13 @@ def main(argv: list[str] | None = None) -> int:
     from pulse.streaming import jobs
     src = _source(spark, args)
     trig = args.trigger
+    extra = None
     if args.cmd == "collect":
         q = jobs.run_collector(src, args.landing, args.topics, args.checkpoint, trig)
     elif args.cmd == "cdc":
         q = jobs.run_cdc_relay(src, args.out, args.checkpoint, args.table_name, trigger=trig)
         if args.quarantine:
-            jobs.run_cdc_quarantine(src, args.quarantine, args.checkpoint.rstrip("/") + "_quarantine", trig)
+            extra = jobs.run_cdc_quarantine(src, args.quarantine, args.checkpoint.rstrip("/") + "_quarantine", trig)
     elif args.cmd == "dau":
         if args.mode == "state":
             q = jobs.run_dau_keyed_state(src, args.table, args.checkpoint, trig, args.retention_days or 1,
@@ -138,7 +139,12 @@ def main(argv: list[str] | None = None) -> int:
             q = jobs.run_orders(src, args.table, args.checkpoint, trig)
     else:
         q = jobs.run_first_seen(src, args.table, args.checkpoint, trig, args.state_partitions)
-    spark.streams.awaitAnyTermination() if trig != "available_now" else q.awaitTermination()
+    if trig == "available_now":
+        for query in (q, extra):
+            if query is not None:
+                query.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()
     return 0
 
 
