@@ -78,6 +78,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--table", required=True)
     p.add_argument("--mode", choices=["table", "state"], default="table")
     p.add_argument("--state-partitions", type=int, default=None)
+    p.add_argument("--compact-lag-days", type=int, default=None,
+                   help="table mode: compact days finished this long ago")
+    p.add_argument("--compact-every", type=int, default=100)
 
     p = sub.add_parser("first-seen", help="first start ever per device")
     _stream_args(p)
@@ -136,7 +139,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.mode == "state":
             q = jobs.run_orders_keyed_state(src, args.table, args.checkpoint, trig, args.state_partitions)
         else:
-            q = jobs.run_orders(src, args.table, args.checkpoint, trig)
+            q = jobs.run_orders(src, args.table, args.checkpoint, trig,
+                                compact_lag_days=args.compact_lag_days, compact_every=args.compact_every)
     else:
         q = jobs.run_first_seen(src, args.table, args.checkpoint, trig, args.state_partitions)
     if trig == "available_now":

@@ -213,7 +213,8 @@ def _order_paths(table: str) -> tuple[str, str]:
     return f"{table}_users", f"{table}_quarantine"
 
 
-def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | None = None) -> None:
+def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | None = None,
+                 compact_lag_days: int | None = None, compact_every: int = 100) -> None:
     """One micro-batch of order JSON lines -> the order table.
 
     parse -> split create time, mask phone -> quarantine rows without id or hour ->
@@ -235,17 +236,24 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
         sinks.write_batch(buyers, users_path, None, batch_id)
         obs = Observation(f"quarantine_{batch_id}")
         sinks.write_batch(bad.observe(obs, F.count(F.lit(1)).alias("quarantined")), bad_path, None, batch_id)
+        entry = {"batch": batch_id, **obs.get}
+        if compact_lag_days is not None and days and batch_id % compact_every == 0:
+            from datetime import date, timedelta
+            horizon = (date.fromisoformat(days[0]) - timedelta(days=compact_lag_days)).isoformat()
+            entry["compacted"] = sinks.compact_finished(spark, table, "create_date", horizon)
         if log is not None:
-            log({"batch": batch_id, **obs.get})
+            log(entry)
         flagged.unpersist()
     finally:
         prepared.unpersist()
 
 
 def run_orders(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
-               log: BatchLog | None = None) -> StreamingQuery:
+               log: BatchLog | None = None, compact_lag_days: int | None = None,
+               compact_every: int = 100) -> StreamingQuery:
     """``source``: streaming JSON lines of the order topic."""
-    return _start(source, lambda df, bid: orders_batch(df, bid, table, log), checkpoint, trigger)
+    return _start(source, lambda df, bid: orders_batch(df, bid, table, log, compact_lag_days, compact_every),
+                  checkpoint, trigger)
 
 
 def _insert_orders(batch: DataFrame, batch_id: int, table: str) -> None:

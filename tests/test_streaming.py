@@ -203,3 +203,17 @@ def test_dau_job_compacts_finished_days(spark, scratch):
     assert os.listdir(f"{local}/logDate=2024-01-16") == ["batch=compact"]
     assert "batch=compact" not in os.listdir(f"{local}/logDate=2024-01-19")
     assert any(entry.get("compacted") for entry in logs)
+
+
+def test_order_job_compacts_finished_days(spark, scratch):
+    import os
+    t = scratch("orders_compact")
+    def line(i, day):
+        return (str(i), json.dumps({"id": str(i), "user_id": "u", "create_time": f"2024-01-{day} 10:00:00",
+                                    "total_amount": "1.0", "consignee_tel": "13812348888"}))
+    for bid, day in enumerate([15, 15, 16, 17, 18]):
+        b = spark.createDataFrame([line(bid, day)], "key string, value string")
+        jobs.orders_batch(b, bid, t, compact_lag_days=1, compact_every=1)
+    rows = {r.id: r.is_first_order for r in sinks.read_result(spark, t).collect()}
+    assert rows == {"0": "1", "1": "0", "2": "0", "3": "0", "4": "0"}
+    assert os.listdir(f"{t.replace('file:', '')}/create_date=2024-01-15") == ["batch=compact"]
