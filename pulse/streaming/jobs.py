@@ -219,7 +219,9 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
 
     parse -> split create time, mask phone -> quarantine rows without id or hour ->
     first-order flag against the known-users table -> keyed insert; new buyers are
-    added to the known-users table. All writes are ``batch=<id>`` folders."""
+    added to the known-users table. All writes are ``batch=<id>`` folders; with
+    ``compact_lag_days`` finished days of the order table and finished generations of
+    the known-users table are compacted every ``compact_every`` batches."""
     users_path, bad_path = _order_paths(table)
     spark = batch.sparkSession
     prepared = ingest.prepare_orders(ingest.parse_order(batch)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -232,15 +234,21 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
         flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
         days = sinks.batch_days(flagged, "create_date")
         sinks.upsert_new(flagged.select(*ORDER_FIELDS), batch_id, table, ["id"], "create_date", days)
-        buyers = flagged.where(F.col("is_first_order") == "1").select("user_id")
-        sinks.write_batch(buyers, users_path, None, batch_id)
+        # Known users: gen=<batch_id // compact_every>/batch=<id>; a finished generation is
+        # rewritten into one folder when the next one starts.
+        gen = batch_id // compact_every
+        buyers = flagged.where(F.col("is_first_order") == "1").select("user_id", F.lit(str(gen)).alias("gen"))
+        sinks.write_batch(buyers, users_path, "gen", batch_id)
         obs = Observation(f"quarantine_{batch_id}")
         sinks.write_batch(bad.observe(obs, F.count(F.lit(1)).alias("quarantined")), bad_path, None, batch_id)
         entry = {"batch": batch_id, **obs.get}
-        if compact_lag_days is not None and days and batch_id % compact_every == 0:
-            from datetime import date, timedelta
-            horizon = (date.fromisoformat(days[0]) - timedelta(days=compact_lag_days)).isoformat()
-            entry["compacted"] = sinks.compact_finished(spark, table, "create_date", horizon)
+        if compact_lag_days is not None and batch_id % compact_every == 0:
+            if days:
+                from datetime import date, timedelta
+                horizon = (date.fromisoformat(days[0]) - timedelta(days=compact_lag_days)).isoformat()
+                entry["compacted"] = sinks.compact_finished(spark, table, "create_date", horizon)
+            if gen > 0:
+                sinks.compact_days(spark, users_path, "gen", [str(gen - 1)])
         if log is not None:
             log(entry)
         flagged.unpersist()

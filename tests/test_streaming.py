@@ -217,3 +217,5 @@ def test_order_job_compacts_finished_days(spark, scratch):
     rows = {r.id: r.is_first_order for r in sinks.read_result(spark, t).collect()}
     assert rows == {"0": "1", "1": "0", "2": "0", "3": "0", "4": "0"}
     assert os.listdir(f"{t.replace('file:', '')}/create_date=2024-01-15") == ["batch=compact"]
+    users = t.replace("file:", "") + "_users"
+    assert sorted(os.listdir(f"{users}/gen=0")) == ["batch=compact"]
