@@ -21,7 +21,7 @@ from pulse.plans import params as P
 from pulse.plans.catalog import query
 from pulse.schemas import ORDER_FIELDS
 from pulse.sources import views
-from pulse.sources.topics import LINE_SCHEMA
+from pulse.sources.topics import LINE_SCHEMA, read_changes, read_topic, write_topic
 from pulse.streaming import jobs, sinks
 
 SLICES = 3
@@ -38,18 +38,24 @@ def day_slices(frame: DataFrame, day: str, k: int = SLICES) -> list[DataFrame]:
 
 
 def feed_and_run(spark: SparkSession, frame: DataFrame, day: str, cols: list[str],
-                 start: Callable[[DataFrame, str], object], schema=LINE_SCHEMA) -> None:
+                 start: Callable[[DataFrame, str], object], schema=LINE_SCHEMA,
+                 topic: str = "lines", changes: bool = False) -> None:
     """Write the slices of ``frame`` to a fresh file topic one by one; after each,
-    run the stream built by ``start(stream_df, checkpoint)`` to completion."""
-    topic = session.shared_dir(spark, "topic")
+    run the stream built by ``start(stream_df, checkpoint)`` to completion. The
+    stream reads the topic with ``read_topic`` (``read_changes`` for a change feed)."""
+    base = session.shared_dir(spark, "topics")
     ckpt = session.shared_dir(spark, "checkpoint")
     staged = session.shared_dir(spark, "staged_input")
     frame.select(*cols, day).write.parquet(staged)  # derive the input once, slice the copy
     frame = spark.read.parquet(staged)
     for part in day_slices(frame, day):
-        part.select(*cols).write.mode("append").parquet(topic)
-        stream = spark.readStream.schema(schema).parquet(topic)
-        q = start(stream, ckpt)
+        write_topic(part.select(*cols), topic, fmt="parquet", path=base,
+                    extra=tuple(c for c in cols if c not in ("key", "value")))
+        if changes:
+            stream = read_changes(spark, topic, fmt="parquet", path=base, max_per_trigger=None)
+        else:
+            stream = read_topic(spark, topic, fmt="parquet", path=base, schema=schema)
+        q = start(stream.drop("topic"), ckpt)
         q.awaitTermination()
         if q.exception():
             raise q.exception()
@@ -102,7 +108,7 @@ def q_stream_cdc(spark, sf):
         .join(ev, "key", "left")
     out = session.shared_dir(spark, "order_topic")
     feed_and_run(spark, lines, "dt", ["key", "value"],
-                 lambda s, c: jobs.run_cdc_relay(s, out, c, trigger="available_now"))
+                 lambda s, c: jobs.run_cdc_relay(s, out, c, trigger="available_now"), changes=True)
     return spark.read.parquet(out).select("value")
 
 

@@ -17,7 +17,7 @@ LINE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
 
 def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str | None = None,
                options: dict | None = None, max_per_trigger: int | None = None,
-               min_partitions: int | None = None) -> DataFrame:
+               min_partitions: int | None = None, schema: T.StructType | str | None = None) -> DataFrame:
     """Streaming DataFrame with ``key``/``value`` strings (and ``timestamp`` from Kafka).
 
     ``fmt="kafka"``: subscribes to ``topic``, starting at the latest offsets unless
@@ -44,24 +44,30 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str |
         opts.setdefault("maxFilesPerTrigger", str(max_per_trigger))
     reader = spark.readStream.format(fmt).options(**opts)
     if fmt != "text":
-        reader = reader.schema(LINE_SCHEMA)
+        reader = reader.schema(schema or LINE_SCHEMA)
     return reader.load(f"{path.rstrip('/')}/topic={topic}")
 
 
 def read_changes(spark: SparkSession, topic: str = "changes", fmt: str = "kafka",
                  path: str | None = None, options: dict | None = None,
                  max_per_trigger: int | None = 100) -> DataFrame:
-    """Change-feed envelopes as JSON lines; see ``operators.ingest.parse_changes``."""
+    """Change-feed envelopes as JSON lines; see ``operators.ingest.parse_changes``.
+    ``max_per_trigger`` bounds a micro-batch like the fetch size of a change client
+    (offsets for Kafka, files for a file topic)."""
     return read_topic(spark, topic, fmt, path, options, max_per_trigger)
 
 
 def write_topic(df: DataFrame, topic: str | None = None, fmt: str = "kafka", path: str | None = None,
-                options: dict | None = None) -> None:
+                options: dict | None = None, extra: tuple[str, ...] = ()) -> None:
     """Append a batch's ``value`` (and ``key``) strings to a topic.
 
     With ``topic=None`` the frame's own ``topic`` column routes each row (one write
-    for every topic). File topics land under ``path/topic=<t>/``."""
+    for every topic). File topics land under ``path/topic=<t>/`` and may carry
+    ``extra`` columns (such as an arrival time, which Kafka keeps as the record
+    timestamp)."""
     cols = [c for c in ("key", "value", "topic") if c in df.columns]
+    if fmt != "kafka":
+        cols += [c for c in extra if c in df.columns]
     out = df.select(*cols)
     if topic is not None:
         out = out.withColumn("topic", F.lit(topic))
