@@ -92,6 +92,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--id", default="dau", help="metric of the hour report: dau or order_amount")
     p.add_argument("--dau", required=True)
     p.add_argument("--orders", required=True)
+    p.add_argument("--first-seen", default=None, help="first-seen table: new devices from one partition")
     p.add_argument("--date", required=True)
 
     p = sub.add_parser("compact", help="rewrite finished days of a foreachBatch table")
@@ -107,7 +108,8 @@ def main(argv: list[str] | None = None) -> int:
         from pulse.operators import metrics, reports
         dau, orders = _kpi_tables(spark, args)
         if args.kind == "total":
-            doc = reports.report_total(metrics.kpi_summary(dau, orders, args.date))
+            first = spark.read.parquet(args.first_seen) if args.first_seen else None
+            doc = reports.report_total(metrics.kpi_summary(dau, orders, args.date, first))
         else:
             doc = reports.report_hour(args.id, dau, orders, args.date)
         print(doc.first()["doc"])

@@ -124,15 +124,19 @@ def order_amount_hour(orders: DataFrame, day: str) -> DataFrame:
             .agg(money_sum("total_amount").alias("order_amount")))
 
 
-def kpi_summary(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
+def kpi_summary(dau: DataFrame, orders: DataFrame, day: str,
+                first_seen: DataFrame | None = None) -> DataFrame:
     """Headline list (ord, id, name, value): dau, new devices, revenue, in that order.
 
-    Three one-row aggregates concatenated with ``unionByName``."""
+    Three one-row aggregates concatenated with ``unionByName``. With the first-seen
+    table (``streaming.jobs.run_first_seen``) every part reads one day's partition;
+    without it, new devices come from the DAU history up to ``day``."""
     def row(ord_, kpi, df, col):
         return df.select(F.lit(ord_).alias("ord"), F.lit(kpi[0]).alias("id"),
                          F.lit(kpi[1]).alias("name"), F.col(col).cast("double").alias("value"))
+    new = new_devices(dau, day) if first_seen is None else new_devices_on(first_seen, day)
     return (row(1, KPI_DAU, dau_total(dau, day), "dau")
-            .unionByName(row(2, KPI_NEW_MID, new_devices(dau, day), "new_mid"))
+            .unionByName(row(2, KPI_NEW_MID, new, "new_mid"))
             .unionByName(row(3, KPI_ORDER_AMOUNT, order_amount(orders, day), "order_amount")))
 
 

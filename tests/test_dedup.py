@@ -72,3 +72,13 @@ def test_hourly_active_exact_and_approx(spark):
     exact = {r.logHour: r.active for r in metrics.hourly_active(df, "2024-01-15").collect()}
     approx = {r.logHour: r.active for r in metrics.hourly_active(df, "2024-01-15", approx=True).collect()}
     assert exact == {"00": 7, "01": 7, "02": 7} and approx == exact
+
+
+def test_kpi_summary_with_first_seen_table(spark):
+    dau = spark.createDataFrame([("a", "2024-01-14", "01", 1, "x"), ("a", "2024-01-15", "02", 2, "x"),
+                                 ("b", "2024-01-15", "03", 3, "x")], SCHEMA)
+    orders = spark.createDataFrame([("2024-01-15", "01", 2.5)], "create_date string, create_hour string, total_amount double")
+    first_seen = dedup.first_per_key(dau, ["mid"], ["ts"])
+    a = {r.id: r.value for r in metrics.kpi_summary(dau, orders, "2024-01-15").collect()}
+    b = {r.id: r.value for r in metrics.kpi_summary(dau, orders, "2024-01-15", first_seen).collect()}
+    assert a == b == {"dau": 2.0, "new_mid": 1.0, "order_amount": 2.5}
