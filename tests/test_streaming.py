@@ -219,3 +219,15 @@ def test_order_job_compacts_finished_days(spark, scratch):
     assert os.listdir(f"{t.replace('file:', '')}/create_date=2024-01-15") == ["batch=compact"]
     users = t.replace("file:", "") + "_users"
     assert sorted(os.listdir(f"{users}/gen=0")) == ["batch=compact"]
+
+
+def test_late_start_after_compaction(spark, scratch):
+    t = scratch("late_after_compact")
+    jobs.dau_batch(startup_lines(spark, [("a", BASE + 5)]), 0, t)
+    jobs.dau_batch(startup_lines(spark, [("b", BASE + 9)]), 1, t)
+    sinks.compact_days(spark, t, "logDate", ["2024-01-15"])
+    jobs.dau_batch(startup_lines(spark, [("a", BASE + 1), ("c", BASE + 2)]), 2, t)
+    assert table_rows(spark, t) == [("a", "2024-01-15", BASE + 5), ("b", "2024-01-15", BASE + 9),
+                                    ("c", "2024-01-15", BASE + 2)]
+    jobs.dau_batch(startup_lines(spark, [("a", BASE + 1), ("c", BASE + 2)]), 2, t)  # replay
+    assert len(table_rows(spark, t)) == 3
