@@ -49,3 +49,24 @@ def test_star_join_shuffles_line_items_twice_without_broadcast(spark, q):
     assert sum("l_orderkey" in e for e in exchanges) == 1
     assert sum("l_partkey" in e for e in exchanges) == 1
     assert "BroadcastExchange" in p  # the 25-row nation dimension keeps its hint
+
+
+def test_first_order_join_is_salted_and_hot_list_broadcast(spark, q):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = q["flag_first_order"](spark, SF)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        p = plan_of(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert any("hashpartitioning(user_id" in line and "_salt" in line for line in p.splitlines())
+    assert "BroadcastExchange" in p and "partial_min" in p
+
+
+def test_kpi_list_is_a_union_without_joins(spark, q):
+    p = plan_of(q["kpi_summary"](spark, SF))
+    physical = p.split("== Physical Plan ==")[-1]
+    assert "Union" in physical
+    assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
