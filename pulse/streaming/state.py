@@ -10,11 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, StructField, StructType
 
+# The processors below run in Python workers on the executors. Pickle this module's
+# classes and helpers by value, so the workers need pandas and pyspark only, not
+# this package on their path. (The module imports nothing from the package.)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FLAG = "is_first_order"
 
