@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, fertility
+from pulse.llm import bpe, fertility, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fertility.quality_rules(table(spark, sf_dir, "documents"), vocabulary(PIECES))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                        "lang", "script", "n_tokens", "chars_per_token", "byte_share", "entropy")
+
+
+@query("op6_simhash_trie")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
