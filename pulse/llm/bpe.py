@@ -388,8 +388,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool
             ids, counts = bpe.encode_block(block.column("text"))
             offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int64())
             ids = pa.array(ids)
-            decimal = pc.binary_join(pa.LargeListArray.from_arrays(offsets, pc.cast(ids, pa.large_string())), ",")
-            decoded = pc.binary_join(pa.LargeListArray.from_arrays(offsets, tokens.take(ids)), b"")
+            decimal = pc.binary_join(pa.LargeListArray.from_arrays(offsets, pc.cast(ids, pa.large_string())), pa.scalar(",", pa.large_string()))
+            decoded = pc.binary_join(pa.LargeListArray.from_arrays(offsets, tokens.take(ids)), pa.scalar(b"", pa.large_binary()))
             out = {"doc_id": block.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
                    "ids_sha256": digest(decimal), "decoded_sha256": digest(decoded)}
             if with_ids:
