@@ -6,8 +6,8 @@ the share of byte-fallback tokens and the entropy of the tokens. Bands reject a
 fertility leaves what is usual for its language (or script, where the language is unknown):
 
 * characters per token: a band around the median over all documents of the same language that
-  pass the base rules (``BAND`` times the median), widened by ``SLACK / sqrt(tokens)`` because a
-  short text is a noisy measurement. Groups below ``MIN_GROUP`` documents have no stable
+  pass the base rules (``BAND`` times the median), widened by the share ``SLACK / sqrt(tokens)``
+  because a short text is a noisy measurement. Groups below ``MIN_GROUP`` documents have no stable
   median; they and documents without language use the fixed band of their script;
 * byte-fallback share: an upper bound per script, widened the same way;
 * token entropy: bits, for texts of at least ``ENTROPY_TOKENS`` tokens.
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from pulse.llm.common import ASCII_SPACE, blocks, encode_words, ensure_columns, map_arrow, ragged, written
 
-BAND = (0.93, 1.25)
-SLACK = 3.0
+BAND = (0.96, 1.25)
+SLACK = 1.3
 MIN_GROUP = 100
 ENTROPY_TOKENS, ENTROPY_LOW, ENTROPY_HIGH = 64, 2.0, 13.0
 # Bands per script: characters per token low and high, highest byte-fallback share (fixed values).
@@ -213,8 +213,9 @@ def judge(measured: DataFrame) -> DataFrame:
     lang_bands = written(bands(measured), "bands").select(F.col("lang").alias("_lang"), F.col("low").alias("_low"), F.col("high").alias("_high"))
     rows = rows.join(lang_bands, F.col("lang") == F.col("_lang"), "left")
     slack = F.lit(SLACK) / F.sqrt(F.greatest(F.col("n_tokens"), F.lit(1)))
-    fine = (F.col("chars_per_token").between(F.coalesce("_low", F.col("_s.low")) - slack, F.coalesce("_high", F.col("_s.high")) + slack)
-            & (F.col("byte_share") <= F.col("_s.bytes") + slack / 3)
+    low, high = F.coalesce("_low", F.col("_s.low")), F.coalesce("_high", F.col("_s.high"))
+    fine = (F.col("chars_per_token").between(low * (1 - slack), high * (1 + slack))
+            & (F.col("byte_share") <= F.col("_s.bytes") + slack)
             & ((F.col("n_tokens") < ENTROPY_TOKENS) | F.col("entropy").between(ENTROPY_LOW, ENTROPY_HIGH)))
     return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(fine, F.lit(False))).drop("_s", "_lang", "_low", "_high")
 

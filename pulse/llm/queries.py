@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, fertility, simhash
+from pulse.llm import bpe, fertility, html_density, langid, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,3 +56,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_simhash_trie")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_text_density")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_hyperdimensional_langid")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op8_warc_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(spark, warc.write(table(spark, sf_dir, "pages"))).drop("url")
+
