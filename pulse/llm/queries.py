@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulse.llm import bpe, fertility, html_density, langid, simhash, warc
+from pulse.llm import bpe, fertility, html_density, langid, line_dedup, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +73,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, warc.write(table(spark, sf_dir, "pages"))).drop("url")
 
+
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines before and after, the numbers of the lines that went, digest of the text left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed",
+        F.length("text").cast("long").alias("n_chars_left"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
