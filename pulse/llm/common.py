@@ -117,16 +117,17 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20, keep_nulls: bool = False) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with about ``size`` bytes in ``column``: the memory of a
     task follows the size of a block, not the number of rows in an Arrow batch. A larger single
-    value is a block of its own. Null values become empty."""
+    value is a block of its own. Null values become empty unless ``keep_nulls``."""
     for batch in batches:
         texts = batch.column(column)
         kind = pa.large_binary() if pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type) else pa.large_string()
-        texts = texts.cast(kind).fill_null(b"" if kind == pa.large_binary() else "")
-        batch = batch.set_column(batch.schema.get_field_index(column), column, texts)
-        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        texts = texts.cast(kind)
+        filled = texts.fill_null(b"" if kind == pa.large_binary() else "")
+        batch = batch.set_column(batch.schema.get_field_index(column), column, texts if keep_nulls else filled)
+        ends = np.cumsum(pc.binary_length(filled).to_numpy(zero_copy_only=False))
         lo = 0
         while lo < len(batch):
             base = ends[lo - 1] if lo else 0

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import bpe, fertility, html_density, langid, line_dedup, simhash, warc
+from pulse.llm import bpe, decontaminate, fertility, html_density, langid, line_dedup, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +81,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select(
         "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed",
         F.length("text").cast("long").alias("n_chars_left"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+@query("op5_cgk_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of a document and a benchmark item found in it."""
+    return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
