@@ -33,6 +33,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# What a bitmap broadcast may hold at most: 8 MB, whatever the size of the tables.
+BITMAP_BITS = 1 << 26
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost
     executors, and gives the planner real sizes."""
@@ -149,3 +153,43 @@ def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
         return values[:0]
     at = np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
     return values[at + np.arange(total)]
+
+
+def bitmap(keys: DataFrame) -> DataFrame:
+    """Rows (bucket, bits) that say which values of ``k`` may occur: at most ``BITMAP_BITS`` bits."""
+    return keys.select(F.pmod("k", F.lit(BITMAP_BITS)).alias("k")).groupBy(F.bitmap_bucket_number("k").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("k")).alias("bits"))
+
+
+def may_hold(df: DataFrame, bits: DataFrame) -> DataFrame:
+    """``df`` with ``_hit``: whether its ``_k`` may be among the keys of ``bits`` (broadcast, bounded by
+    ``BITMAP_BITS``)."""
+    place = F.pmod("_k", F.lit(BITMAP_BITS))
+    own = bits.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
+    df = df.withColumn("_p", F.bitmap_bit_position(place))
+    df = df.join(F.broadcast(own), F.bitmap_bucket_number(place) == F.col("_bucket"), "left")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_p") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod("_p", F.lit(8)))), F.lit(2))
+    return df.withColumn("_hit", F.coalesce(bit == 1, F.lit(False))).drop("_p", "_bits", "_bucket")
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_t``, a hash of the text: (doc_id, _t) names a document also where doc_id is
+    null or repeats. Rows equal in both are the same document."""
+    return docs.withColumn("_t", F.xxhash64(F.col("text").cast("string")))
+
+
+def without(docs: DataFrame, gone: DataFrame, single: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, _t) is not in ``gone``, and one row only of those in
+    ``single``. Rows that the bitmap shows to be in neither are passed on where they are read; only the
+    others are shuffled and compared exactly."""
+    names = docs.columns
+    listed = gone.select("doc_id", "_t") if single is None else gone.select("doc_id", "_t").unionByName(single.select("doc_id", "_t"))
+    key = F.xxhash64("doc_id", "_t")
+    row = with_key(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
+    marked = may_hold(row.withColumn("_k", key), bitmap(listed.select(key.alias("k"))))
+    out = gone.select(F.col("doc_id").alias("_d"), F.col("_t").alias("_u"))
+    hit = marked.where("_hit").join(out, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_u")), "left_anti")
+    if single is not None:
+        hit = hit.dropDuplicates(["doc_id", "_t"])
+    return hit.select("_row").unionByName(marked.where("not _hit").select("_row")).select("_row.*")

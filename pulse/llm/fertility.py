@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import ASCII_SPACE, blocks, encode_words, ensure_columns, map_arrow, ragged, written
+from pulse.llm.common import ASCII_SPACE, blocks, encode_words, ensure_columns, map_arrow, ragged, with_key, without, written
 
 BAND = (0.96, 1.25)
 SLACK = 1.3
@@ -41,7 +41,7 @@ SCRIPT_BANDS = {"latin": (1.0, 12.0, 0.2), "cyrillic": (0.8, 12.0, 0.3), "greek"
 SYMBOLS = "#*$%&|<>"
 CACHE_WORDS, CACHE_WORD_CHARS = 500_000, 48
 
-METRICS = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+METRICS = ("doc_id long, lang string, _t long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "n_tokens long, byte_share double, entropy double, script string")
 MEASURED = [x.split()[0] for x in METRICS.split(", ")]
 
@@ -182,9 +182,10 @@ def metrics(docs: DataFrame, vocabulary: str) -> DataFrame:
         for block in blocks(batches, "text"):
             rows = measure_block(block.column("text"), tok)
             cols = [pa.array(c) for c in zip(*rows)]
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("lang"), *cols], names=MEASURED)
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("lang"), block.column("_t"), *cols], names=MEASURED)
 
-    return map_arrow(ensure_columns(docs, {"doc_id": "long", "lang": "string", "text": "string"}), run, METRICS)
+    rows = with_key(ensure_columns(docs, {"doc_id": "long", "lang": "string", "text": "string"}))
+    return map_arrow(rows, run, METRICS)
 
 
 def base_failed() -> F.Column:
@@ -226,3 +227,9 @@ def quality_rules(docs: DataFrame, vocabulary: str) -> DataFrame:
     The measured rows are written to the shared folder, as both the bands and the verdicts
     read them; the texts are encoded once."""
     return judge(written(metrics(docs, vocabulary), "fertility"))
+
+
+def keep(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep. The verdict on rows that repeat doc_id
+    and text but not lang is that of the strictest."""
+    return without(docs, written(quality_rules(docs, vocabulary).where("not kept").select("doc_id", "_t").distinct(), "rejected"))

@@ -38,10 +38,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import blocks, encode_words, map_arrow, written
+from pulse.llm.common import bitmap, blocks, encode_words, map_arrow, may_hold, written
 
 MAX_EDITS, MIN_WORDS, NEAR_WORDS = 1, 4, 10
-BITMAP_BITS = 1 << 26  # 8 MB: the bound of what is broadcast
 LATEST = (1 << 63) - 1
 _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 _TRIM = string.punctuation + "«»„“”‘’…–—¿¡"
@@ -158,24 +157,6 @@ def line_table(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NE
                      "d long, t long, line int, words int, h1 long, h2 long, halves array<bigint>")
 
 
-def bitmap(keys: DataFrame) -> DataFrame:
-    """Rows (bucket, bits) that say which values of ``k`` may occur: at most ``BITMAP_BITS`` bits."""
-    return keys.select(F.pmod("k", F.lit(BITMAP_BITS)).alias("k")).groupBy(F.bitmap_bucket_number("k").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("k")).alias("bits"))
-
-
-def may_hold(df: DataFrame, bits: DataFrame) -> DataFrame:
-    """``df`` with ``_hit``: whether its ``_k`` may be among the keys of ``bits`` (broadcast, bounded by
-    ``BITMAP_BITS``)."""
-    place = F.pmod("_k", F.lit(BITMAP_BITS))
-    own = bits.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
-    df = df.withColumn("_p", F.bitmap_bit_position(place))
-    df = df.join(F.broadcast(own), F.bitmap_bucket_number(place) == F.col("_bucket"), "left")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_p") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod("_p", F.lit(8)))), F.lit(2))
-    return df.withColumn("_hit", F.coalesce(bit == 1, F.lit(False))).drop("_p", "_bits", "_bucket")
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with their place in the order of documents: d (doc_id, null last), t."""
     return docs.withColumns({"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(LATEST)), "t": F.xxhash64("text")})

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import bpe, decontaminate, fertility, html_density, langid, licenses, line_dedup, simhash, warc
+from pulse.llm import bpe, decontaminate, fertility, html_density, langid, licenses, line_dedup, quality_mil, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,3 +95,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op9_license_rules"] = licenses.scan_sql()
+
+
+@query("op4_attention_mil_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

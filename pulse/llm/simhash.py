@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import blocks, components, ensure_columns, map_arrow, written
+from pulse.llm.common import blocks, components, ensure_columns, map_arrow, with_key, without, written
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 HOT_ROWS = 1 << 20
@@ -54,13 +54,13 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS, seed: int = SEE
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint as a signed long."""
+    """Rows (doc_id, _t, fp): the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             fps = [fingerprint(t.as_buffer().to_pybytes(), shingle_words) for t in block.column("text")]
-            yield pa.RecordBatch.from_pydict({"doc_id": block.column("doc_id"), "fp": pa.array(np.array(fps, np.uint64).view(np.int64))})
+            yield pa.RecordBatch.from_pydict({"doc_id": block.column("doc_id"), "_t": block.column("_t"), "fp": pa.array(np.array(fps, np.uint64).view(np.int64))})
 
-    return map_arrow(ensure_columns(docs, {"doc_id": "long", "text": "string"}), run, "doc_id long, fp long")
+    return map_arrow(with_key(ensure_columns(docs, {"doc_id": "long", "text": "string"})), run, "doc_id long, _t long, fp long")
 
 
 # --- the trie walk inside a task -----------------------------------------------------------
@@ -210,16 +210,35 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hot_rows: int = HOT_ROWS) ->
     return map_arrow(tasks, run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (the smallest
-    doc_id of all documents that links of at most ``max_bits`` bits reach)."""
+def groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
+    """(rows (doc_id, _t, fp) of the documents, rows (fp, component, component_id) of the fingerprints):
+    ``component`` is the smallest fingerprint reachable, ``component_id`` the smallest doc_id."""
     marked = written(fingerprints(docs, shingle_words), "fingerprints")
     leaves = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "leaves")
     linked = components(links(leaves.select("fp"), max_bits))
     found = leaves.join(linked.select(F.col("node").alias("fp"), "component"), "fp", "left")
     found = found.withColumn("component", F.coalesce("component", "fp"))
     firsts = found.groupBy("component").agg(F.min("first").alias("component_id"))
-    # written, so that the last join has two plain sides and splits a fingerprint with very many documents
-    by_fp = written(found.join(firsts, "component").select("fp", "component_id"), "component-ids")
+    # written, so that later joins have two plain sides and split a fingerprint with very many documents
+    return marked, written(found.join(firsts, "component").select("fp", "component", "component_id"), "component-ids")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (the smallest
+    doc_id of all documents that links of at most ``max_bits`` bits reach)."""
+    marked, by_fp = groups(docs, shingle_words, max_bits)
     return (marked.join(by_fp, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, all columns, one of each group: the smallest doc_id (null last), of
+    several rows with it the one whose text hash is smallest, of equal rows one."""
+    marked, by_fp = groups(docs, shingle_words, max_bits)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_t")
+    per_fp = marked.groupBy("fp").agg(F.min(order).alias("first"))
+    stays = written(per_fp.join(by_fp, "fp").groupBy("component").agg(F.min("first").alias("first")), "stays")
+    stay_fp = written(by_fp.join(stays, "component").select("fp", "first"), "stays-by-fingerprint")
+    gone = written(marked.join(stay_fp, "fp").where(order != F.col("first")).select("doc_id", "_t").distinct(), "near-duplicates")
+    twice = marked.groupBy("doc_id", "_t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "_t")
+    return without(docs, gone, written(twice, "repeated-rows"))
