@@ -5,10 +5,10 @@ public vocabulary (BPE pieces with byte fallback). Per document this gives chara
 the share of byte-fallback tokens and the entropy of the tokens. Bands reject a document whose
 fertility leaves what is usual for its language (or script, where the language is unknown):
 
-* characters per token: a band around the median over all documents of the same language that
-  pass the base rules (``BAND`` times the median), widened by the share ``SLACK / sqrt(tokens)``
-  because a short text is a noisy measurement. Groups below ``MIN_GROUP`` documents have no stable
-  median; they and documents without language use the fixed band of their script;
+* characters per token: ``SPREAD`` times the distance of the quartiles from the median, over all
+  documents of the same language that pass the base rules and are long enough to measure, widened by the
+  share ``SLACK / sqrt(tokens)`` because a short text is a noisy measurement. Groups below ``MIN_GROUP`` documents
+  have no stable quartiles; they and documents without language use the fixed band of their script;
 * byte-fallback share: an upper bound per script, widened the same way;
 * token entropy: bits, for texts of at least ``ENTROPY_TOKENS`` tokens.
 
@@ -31,9 +31,8 @@ from pyspark.sql import functions as F
 
 from pulse.llm.common import ASCII_SPACE, blocks, encode_words, ensure_columns, map_arrow, ragged, with_key, without, written
 
-BAND = (0.96, 1.25)
-SLACK = 1.3
-MIN_GROUP = 100
+SPREAD, LEAST_SPREAD, LEAST_TOKENS, MIN_GROUP = 4.0, 0.01, 200, 100
+SLACK = 2.0
 ENTROPY_TOKENS, ENTROPY_LOW, ENTROPY_HIGH = 64, 2.0, 13.0
 # Bands per script: characters per token low and high, highest byte-fallback share (fixed values).
 SCRIPT_BANDS = {"latin": (1.0, 12.0, 0.2), "cyrillic": (0.8, 12.0, 0.3), "greek": (0.6, 12.0, 0.5), "arabic": (0.5, 12.0, 0.6),
@@ -192,15 +191,17 @@ def base_failed() -> F.Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def bands(measured: DataFrame, band: tuple[float, float] = BAND, min_group: int = MIN_GROUP) -> DataFrame:
-    """The usual characters per token of each language: rows (lang, low, high) from the median
-    over all its documents that pass the base rules. The median is taken over counts per
-    hundredth of a character, so it is exact, deterministic and needs no sketch."""
-    cpt = F.round(F.col("word_chars") / F.col("n_tokens"), 2)
-    counts = (measured.where(~base_failed() & F.col("lang").isNotNull() & (F.col("n_tokens") > 0))
-              .groupBy("lang", F.least(cpt, F.lit(100.0)).alias("cpt")).agg(F.count(F.lit(1)).alias("n")))
-    return (counts.groupBy("lang").agg(F.expr("percentile(cpt, 0.5, n)").alias("m"), F.sum("n").alias("n"))
-            .where(F.col("n") >= min_group).select("lang", (F.col("m") * band[0]).alias("low"), (F.col("m") * band[1]).alias("high")))
+def bands(measured: DataFrame, spread: float = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
+    """The usual characters per token of each language: rows (lang, low, high) from the quartiles
+    over all its documents that pass the base rules and have ``LEAST_TOKENS``. They are taken over
+    counts per thousandth of a character, so they are deterministic and need no sketch."""
+    cpt = F.round(F.col("word_chars") / F.col("n_tokens"), 3)
+    counts = (measured.where(~base_failed() & F.col("lang").isNotNull() & (F.col("n_tokens") >= LEAST_TOKENS))
+              .groupBy("lang", F.least(cpt, F.lit(20.0)).alias("cpt")).agg(F.count(F.lit(1)).alias("n")))
+    q = counts.groupBy("lang").agg(F.expr("percentile(cpt, array(0.25, 0.5, 0.75), n)").alias("q"), F.sum("n").alias("n")).where(F.col("n") >= min_group)
+    m = F.col("q")[1]
+    return q.select("lang", (m - spread * F.greatest(m - F.col("q")[0], LEAST_SPREAD * m)).alias("low"),
+                    (m + spread * F.greatest(F.col("q")[2] - m, LEAST_SPREAD * m)).alias("high"))
 
 
 def judge(measured: DataFrame) -> DataFrame:
