@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pulse.llm.common import ensure_columns, map_arrow, shared_dir, written
 
 BUCKETS = 1 << 16
-SHARD_BYTES, ROLL_BYTES = 256 << 20, 64 << 20
+SHARD_BYTES, ROLL_BYTES = 64 << 20, 64 << 20
 DATE = "2024-01-15T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _M64 = (1 << 64) - 1
@@ -282,5 +282,6 @@ def read(spark: SparkSession, root: str, payloads: bool = False) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, pa.schema([READ.field(n) for n in names]))
 
-    files = manifest(spark, root).select("name").repartition("name")
+    files = manifest(spark, root).select("name")
+    files = files.repartition(max(1, min(files.count(), 100_000)))  # a task per file: the rows are tiny, the files are not
     return map_arrow(files, run, READ_DDL + (", payload binary" if payloads else ""))
