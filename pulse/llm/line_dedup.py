@@ -1,19 +1,19 @@
 """Line deduplication over a corpus by a deletion-neighbourhood join.
 
-A line is its words (split at white space, punctuation at their ends cut, lower case). Of lines within
-``max_edits`` word edits (insert, delete, replace) of an earlier line, only the earlier one stays;
-earlier means the smaller (doc_id, line number). Lines of fewer than ``min_words`` words always stay,
+A line is its words (split at white space, punctuation at their ends cut, lower case). A line within
+one word edit (insert, delete, replace) of an earlier line goes; earlier means the smaller (doc_id, line
+number). ``max_edits=0`` takes equal lines only. Lines of fewer than ``min_words`` words always stay,
 lines of fewer than ``near_words`` words go only if an earlier line has the same words.
 
 1. Every line gets two 64-bit hashes of its words; of lines with equal hashes the earliest is the first.
 2. Candidates. Two lines one edit apart have either the front or the back half in common, so a first
    line is a candidate only if another first line has one of its halves (four keys per line cover both
-   lengths). This loses no pair and spares the others their neighbourhood. With more than one edit all
-   first lines are candidates.
-3. Neighbourhood join. A candidate emits hashed keys of all variants with up to ``max_edits`` words
-   deleted; lines within the bound share a key. Rows that share a key and whose deletions are at the same
-   places (or that have none) are one edit apart per place, so the earliest line of such a set is kept by
-   a minimum per key: no pairs are formed, whatever the size of a group.
+   lengths). This loses no pair and spares the others their neighbourhood.
+3. Neighbourhood join. A candidate emits hashed keys of itself and of all variants with one word deleted;
+   lines within the bound share a key. Of the lines that share a key, those with the deletion at the same
+   place differ by a replaced word, and the line that is the variant itself differs from all by a deletion.
+   So a minimum per (key, place) and per key finds the earliest partner of each: no pairs are formed,
+   whatever the size of a group.
 4. Verification. The word edit distance of each line to the partner found is computed from the texts.
 5. The lines that go are cut out of their documents.
 
@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -106,29 +105,14 @@ class LineHashes:
             out.append(mix(self.run(line, n - (shorter - front), n) + mix(tag + np.uint64(1))))
         return out
 
-    def variants(self, line: int, max_edits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of all variants of a line with up to ``max_edits`` words deleted, and a code of the
-        places deleted, 0 for none. Of equal neighbouring words the first counts as deleted, so equal
-        variants have one code."""
-        n = int(self.size[line])
-        s = int(self.start[line])
-        word, keys, codes = self.word[s:s + n], [self.whole(np.array([line]), 0)], [np.zeros(1, np.uint64)]
-        first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-        size = np.uint64(n)
-        if max_edits >= 1:
-            total, power = self.sums[0], self.back[0]
-            cut = (total[s + first] - total[s]) + (total[s + n] - total[s + first + 1]) * power[1]
-            keys.append(mix(cut + size - np.uint64(1)))
-            codes.append(mix(first.astype(np.uint64) + np.uint64(1)))
-        for d in range(2, max_edits + 1):
-            for gone in combinations(range(n), d):
-                left = np.delete(word, gone)
-                h = np.uint64(0)
-                for x in left[::-1]:
-                    h = h * _Q[0] + x
-                keys.append(mix(np.array([h + size - np.uint64(d)], np.uint64)))
-                codes.append(mix(np.array([hash(gone) & (1 << 62) - 1], np.uint64)))
-        return np.concatenate(keys), np.concatenate(codes)
+    def variants(self, line: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of a line and of its variants with one word deleted, and a code of the place deleted, 0
+        for none."""
+        n, s, total = int(self.size[line]), int(self.start[line]), self.sums[0]
+        gone = np.arange(n)
+        cut = (total[s + gone] - total[s]) + (total[s + n] - total[s + gone + 1]) * self.back[0][1]
+        keys = np.concatenate((self.whole(np.array([line]), 0), mix(cut + np.uint64(n) - np.uint64(1))))
+        return keys, np.concatenate((np.zeros(1, np.uint64), mix(gone.astype(np.uint64) + np.uint64(1))))
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
@@ -179,15 +163,12 @@ def word_distance(a: list[str], b: list[str], bound: int) -> int:
     return min(row[-1], bound + 1)
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame, max_edits: int) -> DataFrame:
-    """The first lines (d, t, line) that are within ``max_edits`` of an earlier one."""
+def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The first lines (d, t, line) that are one word edit from an earlier one."""
     lines = firsts.where("halves is not null").select("d", "t", "line", "halves")
-    if max_edits == 1:
-        keys = lines.select("d", "t", "line", F.explode("halves").alias("key"))
-        shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-        wanted = written(keys.join(shared, "key", "left_semi").select("d", "t", "line").distinct(), "candidates")
-    else:
-        wanted = written(lines.select("d", "t", "line"), "candidates")
+    keys = lines.select("d", "t", "line", F.explode("halves").alias("key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    wanted = written(keys.join(shared, "key", "left_semi").select("d", "t", "line").distinct(), "candidates")
     of_doc = wanted.groupBy("d", "t").agg(F.collect_list("line").alias("lines"))
     near = may_hold(docs.select("d", "t", "text").withColumn("_k", F.xxhash64("d", "t")), bitmap(wanted.select(F.xxhash64("d", "t").alias("k"))))
     texts = (near.where("_hit").dropDuplicates(["d", "t"]).join(of_doc, ["d", "t"])
@@ -199,7 +180,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame, max_edits: int) -> DataFrame:
         for block in blocks(batches, "text", 1 << 20):
             with np.errstate(over="ignore"):
                 hashes = LineHashes(block.column("text"))
-                got = [hashes.variants(k, max_edits) for k in range(len(block))]
+                got = [hashes.variants(k) for k in range(len(block))]
             row = pa.array(np.repeat(np.arange(len(got)), [len(g[0]) for g in got]))
             yield pa.RecordBatch.from_pydict({"d": block.column("d").take(row), "t": block.column("t").take(row), "line": block.column("line").take(row),
                                               "key": pa.array(np.concatenate([g[0] for g in got]).view(np.int64)),
@@ -225,7 +206,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame, max_edits: int) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [word_distance(normal_words(a), normal_words(b), max_edits) <= max_edits
+            ok = [word_distance(normal_words(a), normal_words(b), 1) <= 1
                   for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())]
             yield batch.select(["d", "t", "line"]).filter(pa.array(ok, pa.bool_()))
 
@@ -234,14 +215,14 @@ def near_lines(docs: DataFrame, firsts: DataFrame, max_edits: int) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """Rows (d, t, line) of the lines that go, of documents with their keys (:func:`keyed`)."""
+    if max_edits not in (0, 1):
+        raise ValueError("max_edits is 0 or 1")
     lines = written(line_table(docs, min_words, near_words), "lines")
     place = F.struct("d", "t", "line")
     firsts = written(lines.groupBy("h1", "h2").agg(F.min(F.struct("d", "t", "line", "halves")).alias("x")).select("h1", "h2", "x.*"), "firsts")
     later = (lines.select("h1", "h2", "d", "t", "line").join(firsts.select("h1", "h2", place.alias("first")), ["h1", "h2"])
              .where(place > F.col("first")).select("d", "t", "line"))
-    if max_edits < 1:
-        return later
-    return later.unionByName(near_lines(docs, firsts, max_edits))
+    return later.unionByName(near_lines(docs, firsts)) if max_edits else later
 
 
 def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
