@@ -109,6 +109,8 @@ class Tree:
                 if m is None and tag_at is not _LENIENT.match:
                     tag_at = _LENIENT.match  # a quote that never ends: from here on any > ends a tag
                     m = tag_at(page, lt)
+                if m is None:
+                    break  # no > is left: the rest is text
             elif nxt == "/" and letter and (end := page.find(">", lt)) >= 0:
                 at = end + 1  # an end tag without a name
                 continue
