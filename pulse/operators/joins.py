@@ -48,42 +48,46 @@ def with_province(orders: DataFrame, nation: DataFrame, key: str = "province_id"
     return orders.join(F.broadcast(dim), key, "left")
 
 
-def sale_detail_wide(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
-                     part: DataFrame, nation: DataFrame) -> DataFrame:
-    """Line item ⋈ order ⋈ user ⋈ SKU (⋈ province), as the detail grid's rows.
+def sale_detail_wide(lineitem: DataFrame, orders: DataFrame | None, customer: DataFrame | None,
+                     part: DataFrame | None, nation: DataFrame | None) -> DataFrame:
+    """Line item ⋈ order ⋈ SKU (⋈ user ⋈ province), as the detail grid's rows; a side that is
+    None is not joined and its columns are absent (the province needs order, customer and nation).
 
     Only ``nation`` carries a broadcast hint (fixed 25 rows). ``customer`` and
     ``part`` grow with the data; the planner broadcasts them while their scan
     statistics stay under ``autoBroadcastJoinThreshold`` and AQE re-plans from
     the real sizes, otherwise they are shuffle-joined.
     """
-    li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    od = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    cu = customer.select("c_custkey", "c_nationkey")
-    pa = part.select("p_partkey", "p_name", "p_brand", "p_retailprice")
-    na = nation.select("n_nationkey", "n_name")
+    j = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
     # Join order (Catalyst keeps it; join reordering needs CBO statistics): the order
     # side is enriched first (orders ⋈ customer ⋈ nation), so the line items, the
     # biggest input, are shuffled once for the order key and once for the part key
     # when neither dimension is small enough to broadcast.
-    buyers = (od.join(cu, od.o_custkey == cu.c_custkey)
-                .join(F.broadcast(na), cu.c_nationkey == na.n_nationkey, "left"))
-    j = (li.join(buyers, li.l_orderkey == buyers.o_orderkey)
-           .join(pa, li.l_partkey == pa.p_partkey))
-    return j.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("_"),
-                 F.col("l_linenumber").cast("string")).alias("order_detail_id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_partkey").cast("string").alias("sku_id"),
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("user_gender"),
-        (F.lit(15) + F.col("c_custkey") % 40).cast("int").alias("user_age"),
-        (F.lit(1) + F.col("c_custkey") % 10).cast("string").alias("user_level"),
-        F.col("p_retailprice").alias("sku_price"),
-        F.col("p_name").alias("sku_name"),
-        F.col("p_brand").alias("sku_tm_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
-        F.col("l_quantity").alias("sku_num"),
-        F.col("l_extendedprice").alias("order_amount"),
-        F.col("n_name").alias("province"),
-    )
+    if orders is not None:
+        buyers = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+        if customer is not None:
+            buyers = buyers.join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+            if nation is not None:
+                dim = nation.select("n_nationkey", "n_name")
+                buyers = buyers.join(F.broadcast(dim), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        j = j.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+    if part is not None:
+        j = j.join(part.select("p_partkey", "p_name", "p_brand", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+    user = F.col("o_custkey")
+    columns = {  # name: (the joined column it needs, its expression)
+        "order_detail_id": ("l_orderkey", F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"))),
+        "order_id": ("l_orderkey", F.col("l_orderkey").cast("string")),
+        "user_id": ("o_custkey", user.cast("string")),
+        "sku_id": ("l_orderkey", F.col("l_partkey").cast("string")),
+        "user_gender": ("o_custkey", F.when(user % 2 == 0, F.lit("M")).otherwise(F.lit("F"))),
+        "user_age": ("o_custkey", (F.lit(15) + user % 40).cast("int")),
+        "user_level": ("o_custkey", (F.lit(1) + user % 10).cast("string")),
+        "sku_price": ("p_retailprice", F.col("p_retailprice")),
+        "sku_name": ("p_name", F.col("p_name")),
+        "sku_tm_id": ("p_brand", F.col("p_brand")),
+        "dt": ("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")),
+        "sku_num": ("l_orderkey", F.col("l_quantity")),
+        "order_amount": ("l_orderkey", F.col("l_extendedprice")),
+        "province": ("n_name", F.col("n_name")),
+    }
+    return j.select(*[c.alias(name) for name, (source, c) in columns.items() if source in j.columns])

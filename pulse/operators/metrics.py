@@ -124,20 +124,33 @@ def order_amount_hour(orders: DataFrame, day: str) -> DataFrame:
             .agg(money_sum("total_amount").alias("order_amount")))
 
 
+def device_kpis(starts: DataFrame, day: str) -> DataFrame:
+    """(dau, new_mid) of ``day`` from the starts up to it (or the DAU table), in one pass: per
+    device, whether it started on the day and the first day it started."""
+    per = (starts.where(F.col("logDate") <= F.lit(day)).groupBy("mid")
+           .agg(F.min("logDate").alias("first_day"), F.max("logDate").alias("last_day")))
+    return per.agg(F.count_if(F.col("last_day") == F.lit(day)).cast("bigint").alias("dau"),
+                   F.count_if(F.col("first_day") == F.lit(day)).cast("bigint").alias("new_mid"))
+
+
 def kpi_summary(dau: DataFrame, orders: DataFrame, day: str,
                 first_seen: DataFrame | None = None) -> DataFrame:
     """Headline list (ord, id, name, value): dau, new devices, revenue, in that order.
 
-    Three one-row aggregates concatenated with ``unionByName``. With the first-seen
-    table (``streaming.jobs.run_first_seen``) every part reads one day's partition;
-    without it, new devices come from the DAU history up to ``day``."""
+    ``dau`` may be the DAU table or the starts themselves. With the first-seen table
+    (``streaming.jobs.run_first_seen``) every part reads one day's partition; without it both
+    device numbers come from one pass over the history up to ``day``."""
     def row(ord_, kpi, df, col):
         return df.select(F.lit(ord_).alias("ord"), F.lit(kpi[0]).alias("id"),
                          F.lit(kpi[1]).alias("name"), F.col(col).cast("double").alias("value"))
-    new = new_devices(dau, day) if first_seen is None else new_devices_on(first_seen, day)
-    return (row(1, KPI_DAU, dau_total(dau, day), "dau")
-            .unionByName(row(2, KPI_NEW_MID, new, "new_mid"))
-            .unionByName(row(3, KPI_ORDER_AMOUNT, order_amount(orders, day), "order_amount")))
+    revenue = row(3, KPI_ORDER_AMOUNT, order_amount(orders, day), "order_amount")
+    if first_seen is not None:
+        active = on_date(dau, "logDate", day).agg(F.count_distinct("mid").alias("dau"))
+        return (row(1, KPI_DAU, active, "dau")
+                .unionByName(row(2, KPI_NEW_MID, new_devices_on(first_seen, day), "new_mid")).unionByName(revenue))
+    named = [F.struct(F.lit(i).alias("ord"), F.lit(k[0]).alias("id"), F.lit(k[1]).alias("name"), F.col(c).cast("double").alias("value"))
+             for i, k, c in ((1, KPI_DAU, "dau"), (2, KPI_NEW_MID, "new_mid"))]
+    return device_kpis(dau, day).select(F.explode(F.array(*named)).alias("k")).select("k.*").unionByName(revenue)
 
 
 # --- detail rows ---------------------------------------------------------------

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions import match_keyword, on_date, prev_day
@@ -46,19 +46,23 @@ def detail_order_by(detail: DataFrame, order: Sequence[tuple[str, str]], n: int,
 
 def paged_detail(detail: DataFrame, start: int, length: int, day: str | None = None,
                  keyword: str | None = None, level: str | None = None,
-                 order: Sequence[tuple[str, str]] = ()) -> DataFrame:
+                 order: Sequence[tuple[str, str]] = (), counted: DataFrame | None = None) -> DataFrame:
     """Rows ``start+1 .. start+length`` of the filtered grid in a total order, each
-    with ``total`` (the filtered row count, a scalar subquery).
+    with ``total`` (the filtered row count, a scalar subquery). A page past the end is one row
+    of nulls that carries ``total``.
 
     ``start`` is a row offset. ``orderBy().offset().limit()`` plans as a top-k
-    (TakeOrderedAndProject) of ``start+length`` rows per partition."""
-    if length <= 0 or start < 0:
-        raise ValueError("start must be >= 0 and length > 0")
+    (TakeOrderedAndProject) of ``start+length`` rows per partition. ``counted``: the same rows with only
+    the columns that the filters read, for the count."""
+    if length not in PAGE_SIZES or start < 0:
+        raise ValueError(f"start must be >= 0 and length one of {PAGE_SIZES}")
     rows = filter_detail(detail, day, keyword, level)
-    total = rows.agg(F.count(F.lit(1))).scalar()
+    total = filter_detail(detail if counted is None else counted, day, keyword, level).agg(F.count(F.lit(1))).scalar()
     page = rows.select(*SALE_DETAIL_COLUMNS).orderBy(*_sort_cols(order, SALE_DETAIL_COLUMNS)) \
         .offset(start).limit(length)
-    return page.withColumn("total", total)
+    past = detail.sparkSession.range(1).select(
+        *[F.lit(None).cast(page.schema[c].dataType).alias(c) for c in SALE_DETAIL_COLUMNS], total.alias("total"))
+    return page.withColumn("total", total).unionByName(past.where(F.col("total") <= F.lit(start)))
 
 
 # --- JSON documents ------------------------------------------------------------
@@ -113,7 +117,8 @@ def _label_counts(label: Column, names, prefix: str) -> tuple[list[Column], Colu
 
 
 def report_detail(detail: DataFrame, draw: int, start: int, length: int, day: str | None = None,
-                  keyword: str | None = None, level: str | None = None) -> DataFrame:
+                  keyword: str | None = None, level: str | None = None,
+                  order: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """``{"draw":d,"data":{"total":n,"stat":[{"options":[age…]},{"options":[gender…]}],
     "detail":[row…]}}`` — one page plus the age and gender shares of the filtered rows.
 
@@ -121,10 +126,15 @@ def report_detail(detail: DataFrame, draw: int, start: int, length: int, day: st
     lists (conditional counts per fixed label), the other the page (top-k)."""
     from pulse.functions import AGE_LABELS, GENDER_LABELS, age_band, gender_label
     rows = filter_detail(detail, day, keyword, level)
-    page = paged_detail(detail, start, length, day, keyword, level).drop("total")
+    if length not in PAGE_SIZES or start < 0:
+        raise ValueError(f"start must be >= 0 and length one of {PAGE_SIZES}")
+    page = rows.select(*SALE_DETAIL_COLUMNS).orderBy(*_sort_cols(order, SALE_DETAIL_COLUMNS)).offset(start).limit(length)
     age_cols, age_opts = _label_counts(age_band("user_age"), AGE_LABELS, "_age")
     gen_cols, gen_opts = _label_counts(gender_label("user_gender"), GENDER_LABELS.values(), "_gender")
-    detail_arr = page.agg(F.array_sort(F.collect_list(F.struct(*SALE_DETAIL_COLUMNS)))).scalar()
+    # the page in its own order: position first, then the rows without it
+    place = Window.partitionBy(F.lit(1)).orderBy(*_sort_cols(order, SALE_DETAIL_COLUMNS))  # at most 100 rows
+    numbered = page.select(F.struct(F.row_number().over(place).alias("i"), F.struct(*SALE_DETAIL_COLUMNS).alias("row")).alias("r"))
+    detail_arr = numbered.agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["row"])).scalar()
     counts = rows.agg(F.count(F.lit(1)).alias("total"), *age_cols, *gen_cols)
     body = counts.select(
         F.lit(int(draw)).alias("draw"),

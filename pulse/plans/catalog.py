@@ -37,33 +37,31 @@ def query(name: str):
 
 # --- shared building blocks -------------------------------------------------------
 
-def startups(spark, sf, with_area=True) -> DataFrame:
+DAY = (P.DAY, P.DAY)
+TWO_DAYS = (P.YESTERDAY, P.DAY)
+UP_TO_DAY = ("0001-01-01", P.DAY)
+
+
+def startups(spark, sf, with_area=True, days=None) -> DataFrame:
     """Startup records with logDate/logHour."""
-    return with_date_hour(views.startup_log(spark, sf, with_area))
+    return with_date_hour(views.startup_log(spark, sf, with_area, days))
 
 
-def dau_table(spark, sf, with_area=True) -> DataFrame:
+def dau_table(spark, sf, with_area=True, days=None) -> DataFrame:
     """The deduplicated startup table: first start per (device, day).
 
     ``area`` is a function of the device, so it cannot change which row wins: it is
     attached after the dedup, to one row per (device, day) instead of every start
-    (one shuffle of the pre-aggregated rows instead of two of all rows)."""
-    firsts = dedup.first_per_key(startups(spark, sf, with_area=False), ["mid", "logDate"], ["ts"])
+    (one shuffle of the pre-aggregated rows instead of two of all rows). ``days`` reads those days only."""
+    firsts = dedup.first_per_key(startups(spark, sf, with_area=False, days=days), ["mid", "logDate"], ["ts"])
     if not with_area:
         return firsts
     return views.attach_area(firsts, spark, sf, "uid").select(*firsts.columns)
 
 
-def order_table(spark, sf) -> DataFrame:
+def order_table(spark, sf, days=None) -> DataFrame:
     """Orders with create_date/create_hour and masked phone."""
-    return ingest.prepare_orders(views.order_info(spark, sf))
-
-
-def activity(spark, sf) -> DataFrame:
-    """(mid, logDate, logHour) of every log line, startups and events."""
-    s = views.startup_log(spark, sf, with_area=False).select("mid", "ts")
-    e = views.event_log(spark, sf, with_area=False).select("mid", "ts")
-    return with_date_hour(s.unionByName(e))
+    return ingest.prepare_orders(views.order_info(spark, sf, days, with_customer=False))
 
 
 def stamped_lines(spark, sf) -> DataFrame:
@@ -122,14 +120,14 @@ def q_epoch(spark, sf):
 
 @query("datetime_split")
 def q_split(spark, sf):
-    o = views.order_info(spark, sf)
+    o = views.order_info(spark, sf, with_customer=False)
     d, h = split_create_time("create_time")
     return o.select("id", "create_time", d.alias("create_date"), h.alias("create_hour"))
 
 
 @query("mask_phone")
 def q_mask(spark, sf):
-    o = views.order_info(spark, sf)
+    o = views.order_info(spark, sf, with_customer=False)
     return o.select("id", mask_phone("consignee_tel").alias("consignee_tel"))
 
 
@@ -153,7 +151,7 @@ def q_route(spark, sf):
 
 @query("filter_date")
 def q_filter_date(spark, sf):
-    return on_date(dau_table(spark, sf), "logDate", P.DAY)
+    return on_date(dau_table(spark, sf, days=DAY), "logDate", P.DAY)
 
 
 @query("shift_day")
@@ -171,13 +169,13 @@ def q_sink_projection(spark, sf):
 @query("kv_fold")
 def q_kv_fold(spark, sf):
     from pulse.functions import fold_map
-    per_hour = metrics.dau_hour(dau_table(spark, sf, with_area=False), P.DAY)
+    per_hour = metrics.dau_hour(dau_table(spark, sf, with_area=False, days=DAY), P.DAY)
     return per_hour.agg(F.to_json(fold_map("logHour", "ct")).alias("doc"))
 
 
 @query("keyword_filter")
 def q_keyword(spark, sf):
-    return reports.filter_detail(views.sale_detail(spark, sf), keyword=P.KEYWORD).select(*SALE_DETAIL_COLUMNS)
+    return reports.filter_detail(views.sale_detail(spark, sf, views.GRID_SIDES), keyword=P.KEYWORD).select(*SALE_DETAIL_COLUMNS)
 
 
 # --- joins -------------------------------------------------------------------------------
@@ -202,13 +200,13 @@ def q_flag_first(spark, sf):
 
 @query("align_days")
 def q_align(spark, sf):
-    d = dau_table(spark, sf, with_area=False)
+    d = dau_table(spark, sf, with_area=False, days=TWO_DAYS)
     return joins.compare_days(d, "logDate", "logHour", lambda cond: F.count_if(cond), P.DAY)
 
 
 @query("hour_spine")
 def q_hour_spine(spark, sf):
-    return metrics.dau_hour_filled(dau_table(spark, sf, with_area=False), P.DAY)
+    return metrics.dau_hour_filled(dau_table(spark, sf, with_area=False, days=DAY), P.DAY)
 
 
 @query("sale_detail_wide")
@@ -226,22 +224,22 @@ def q_province(spark, sf):
 
 @query("dau_total")
 def q_dau_total(spark, sf):
-    return metrics.dau_total(dau_table(spark, sf, with_area=False), P.DAY)
+    return metrics.dau_total(dau_table(spark, sf, with_area=False, days=DAY), P.DAY)
 
 
 @query("dau_hour")
 def q_dau_hour(spark, sf):
-    return metrics.dau_hour(dau_table(spark, sf, with_area=False), P.DAY)
+    return metrics.dau_hour(dau_table(spark, sf, with_area=False, days=DAY), P.DAY)
 
 
 @query("order_amount")
 def q_order_amount(spark, sf):
-    return metrics.order_amount(order_table(spark, sf), P.DAY)
+    return metrics.order_amount(order_table(spark, sf, DAY), P.DAY)
 
 
 @query("order_amount_hour")
 def q_order_amount_hour(spark, sf):
-    return metrics.order_amount_hour(order_table(spark, sf), P.DAY)
+    return metrics.order_amount_hour(order_table(spark, sf, DAY), P.DAY)
 
 
 @query("first_per_key")
@@ -256,12 +254,12 @@ def q_first_per_key_rn(spark, sf):
 
 @query("new_mid")
 def q_new_mid(spark, sf):
-    return metrics.new_devices(dau_table(spark, sf, with_area=False), P.DAY)
+    return metrics.new_devices(startups(spark, sf, with_area=False, days=UP_TO_DAY), P.DAY)
 
 
 @query("kpi_summary")
 def q_kpi(spark, sf):
-    return metrics.kpi_summary(dau_table(spark, sf, with_area=False), order_table(spark, sf), P.DAY)
+    return metrics.kpi_summary(startups(spark, sf, with_area=False, days=UP_TO_DAY), order_table(spark, sf, DAY), P.DAY)
 
 
 @query("launch_count")
@@ -271,39 +269,39 @@ def q_launches(spark, sf):
 
 @query("hourly_active")
 def q_hourly_active(spark, sf):
-    return metrics.hourly_active(activity(spark, sf), P.DAY)
+    return metrics.hourly_active(with_date_hour(views.activity(spark, sf, DAY)), P.DAY)
 
 
 @query("gender_share")
 def q_gender(spark, sf):
-    return metrics.gender_share(views.sale_detail(spark, sf))
+    return metrics.gender_share(views.sale_detail(spark, sf, ("orders",)))
 
 
 @query("age_share")
 def q_age(spark, sf):
-    return metrics.age_share(views.sale_detail(spark, sf))
+    return metrics.age_share(views.sale_detail(spark, sf, ("orders",)))
 
 
 @query("province_sales")
 def q_province_sales(spark, sf):
-    return metrics.province_sales(views.sale_detail(spark, sf))
+    return metrics.province_sales(views.sale_detail(spark, sf, ("orders", "customer", "nation")))
 
 
 @query("sales_band")
 def q_sales_band(spark, sf):
-    return metrics.sales_bands(metrics.province_sales(views.sale_detail(spark, sf)))
+    return metrics.sales_bands(metrics.province_sales(views.sale_detail(spark, sf, ("orders", "customer", "nation"))))
 
 
 @query("sku_rank")
 def q_sku_rank(spark, sf):
-    return metrics.sku_rank(views.sale_detail(spark, sf), P.TOP_N)
+    return metrics.sku_rank(views.sale_detail(spark, sf, ("part",)), P.TOP_N)
 
 
 # --- windows ---------------------------------------------------------------------------------
 
 @query("cum_dau")
 def q_cum_dau(spark, sf):
-    return metrics.cum_dau(dau_table(spark, sf, with_area=False), P.DAY)
+    return metrics.cum_dau(dau_table(spark, sf, with_area=False, days=DAY), P.DAY)
 
 
 @query("day_over_day")
@@ -315,26 +313,27 @@ def q_dod(spark, sf):
 
 @query("paged_detail")
 def q_paged(spark, sf):
-    return reports.paged_detail(views.sale_detail(spark, sf), P.PAGE_START, P.PAGE_LENGTH)
+    return reports.paged_detail(views.sale_detail(spark, sf, views.GRID_SIDES), P.PAGE_START, P.PAGE_LENGTH,
+                                counted=views.sale_detail(spark, sf, ()))
 
 
 @query("detail_order_by")
 def q_detail_order(spark, sf):
-    return reports.detail_order_by(views.sale_detail(spark, sf), P.DETAIL_ORDER, P.DETAIL_N)
+    return reports.detail_order_by(views.sale_detail(spark, sf, views.GRID_SIDES), P.DETAIL_ORDER, P.DETAIL_N)
 
 
 # --- documents ------------------------------------------------------------------------------------
 
 @query("report_total")
 def q_report_total(spark, sf):
-    kpis = metrics.kpi_summary(dau_table(spark, sf, with_area=False), order_table(spark, sf), P.DAY)
+    kpis = metrics.kpi_summary(startups(spark, sf, with_area=False, days=UP_TO_DAY), order_table(spark, sf, DAY), P.DAY)
     return reports.report_total(kpis)
 
 
 @query("report_hour")
 def q_report_hour(spark, sf):
-    d = dau_table(spark, sf, with_area=False)
-    o = order_table(spark, sf)
+    d = dau_table(spark, sf, with_area=False, days=TWO_DAYS)
+    o = order_table(spark, sf, TWO_DAYS)
     a = reports.report_hour("dau", d, o, P.DAY).select(F.lit("dau").alias("id"), "doc")
     b = reports.report_hour("order_amount", d, o, P.DAY).select(F.lit("order_amount").alias("id"), "doc")
     return a.unionByName(b)
@@ -343,7 +342,7 @@ def q_report_hour(spark, sf):
 @query("report_detail")
 def q_report_detail(spark, sf):
     """The drill-down document for the keyword search: page 2 of 20 rows, total, shares."""
-    return reports.report_detail(views.sale_detail(spark, sf), P.DRAW, P.PAGE_START, P.PAGE_LENGTH,
+    return reports.report_detail(views.sale_detail(spark, sf, views.GRID_SIDES), P.DRAW, P.PAGE_START, P.PAGE_LENGTH,
                                  keyword=P.KEYWORD)
 
 

@@ -20,10 +20,10 @@ SELECT 'mid_' || CAST(e.user_id AS VARCHAR) AS mid,
        CAST(e.user_id AS VARCHAR) AS uid,
        'shop_app' AS appid,
        n.n_name AS area,
-       CASE WHEN e.user_id % 10 < 3 THEN 'ios' ELSE 'android' END AS os,
-       CASE WHEN e.user_id % 10 < 3 THEN 'appstore' ELSE 'store_' || CAST(e.user_id % 7 AS VARCHAR) END AS ch,
+       ['phone', 'tablet', 'desktop'][1 + e.user_id % 3] AS os,
+       'channel_' || CAST(e.user_id % 11 AS VARCHAR) AS ch,
        'startup' AS logType,
-       CASE WHEN e.k < 50 THEN '1.2.0' WHEN e.k < 65 THEN '1.1.2' WHEN e.k < 95 THEN '1.1.3' ELSE '1.1.1' END AS vs,
+       CAST(2 + e.k // 40 AS VARCHAR) || '.' || CAST(e.k % 5 AS VARCHAR) AS vs,
        strftime(e.ts, '%Y-%m-%d') AS logDate,
        strftime(e.ts, '%H') AS logHour,
        CAST(epoch_us(e.ts) // 1000 AS BIGINT) AS ts

@@ -1,6 +1,7 @@
 """Parameters of the registered queries (shared by the Spark side and the oracle)."""
 
 DAY = "2024-01-15"
+YESTERDAY = "2024-01-14"
 NOON = "12"
 KEYWORD = "RING red"
 PAGE_START = 10

@@ -21,33 +21,22 @@ from pulse.functions import epoch_millis
 APP_ID = "shop_app"
 STARTUP_TYPE = "startup"
 EVENT_TYPE = "event"
-# Client versions by the event's `k` value (0..99): 50 / 15 / 30 / 5 per cent.
-VERSION_CUTS = ((50, "1.2.0"), (65, "1.1.2"), (95, "1.1.3"))
-VERSION_REST = "1.1.1"
 ORDER_STATUS_NEW = "1001"
 ORDER_STATUS_PAID = "1002"
 
 
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the session's cores when the scan has far fewer input
-    partitions than cores (one large file or row group), so per-row work runs in
-    parallel. A scan of many files — any real fact table — is left alone: no shuffle."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
+def on_days(df: DataFrame, days: tuple[str, str] | None, ts: str = "ts") -> DataFrame:
+    """Rows of the days ``days[0] .. days[1]``, as a range of the raw time column: the scan gets it
+    (row groups and files outside are skipped), which a comparison of formatted days would not do."""
+    if days is None:
         return df
-    return df.repartition(cores) if parts * 2 <= cores else df
-
-
-def _events_for_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` for the views that build and parse JSON per row (worth spreading)."""
-    return spread(table(spark, sf_dir, "events"))
+    kind = df.schema[ts].dataType
+    end = F.date_add(F.lit(days[1]).cast("date"), 1).cast(kind)
+    return df.where((F.col(ts) >= F.lit(days[0]).cast(kind)) & (F.col(ts) < end))
 
 
 def _k() -> Column:
@@ -55,20 +44,17 @@ def _k() -> Column:
 
 
 def _os() -> Column:
-    return F.when(F.col("user_id") % 10 < 3, F.lit("ios")).otherwise(F.lit("android"))
+    kinds = F.array(F.lit("phone"), F.lit("tablet"), F.lit("desktop"))
+    return F.element_at(kinds, (F.col("user_id") % 3 + 1).cast("int"))
 
 
 def _version() -> Column:
     k = _k()
-    expr = F.when(k < VERSION_CUTS[0][0], F.lit(VERSION_CUTS[0][1]))
-    for cut, name in VERSION_CUTS[1:]:
-        expr = expr.when(k < cut, F.lit(name))
-    return expr.otherwise(F.lit(VERSION_REST))
+    return F.concat((F.floor(k / 40) + 2).cast("string"), F.lit("."), (k % 5).cast("string"))
 
 
 def _channel() -> Column:
-    return (F.when(F.col("user_id") % 10 < 3, F.lit("appstore"))
-            .otherwise(F.concat(F.lit("store_"), (F.col("user_id") % 7).cast("string"))))
+    return F.concat(F.lit("channel_"), (F.col("user_id") % 11).cast("string"))
 
 
 def attach_area(df: DataFrame, spark: SparkSession, sf_dir: str, user_col: str = "user_id") -> DataFrame:
@@ -87,19 +73,21 @@ def attach_area(df: DataFrame, spark: SparkSession, sf_dir: str, user_col: str =
     return out.drop("_area_user", "c_nationkey", "n_nationkey")
 
 
-def _events(spark: SparkSession, sf_dir: str, with_area: bool) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def _events(spark: SparkSession, sf_dir: str, with_area: bool, days: tuple[str, str] | None = None) -> DataFrame:
+    ev = on_days(table(spark, sf_dir, "events"), days)
     if with_area:
         return attach_area(ev, spark, sf_dir, "user_id")
     return ev.withColumn("area", F.lit(None).cast("string"))
 
 
-def startup_log(spark: SparkSession, sf_dir: str, with_area: bool = True) -> DataFrame:
+def startup_log(spark: SparkSession, sf_dir: str, with_area: bool = True,
+                days: tuple[str, str] | None = None) -> DataFrame:
     """Parsed startup records: mid, uid, appid, area, os, ch, logType, vs, ts (millis).
 
-    ``with_area=False`` skips the customer join for queries that never read the area.
+    ``with_area=False`` skips the customer join for queries that never read the area; ``days`` reads
+    those days only.
     """
-    ev = _events(spark, sf_dir, with_area).where(F.col("event_type") == "view")
+    ev = _events(spark, sf_dir, with_area, days).where(F.col("event_type") == "view")
     return ev.select(
         F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
         F.col("user_id").cast("string").alias("uid"),
@@ -123,7 +111,7 @@ def event_log(spark: SparkSession, sf_dir: str, with_area: bool = True) -> DataF
         F.col("user_id").cast("string").alias("uid"),
         _os().alias("os"), F.lit(APP_ID).alias("appid"), F.col("area"),
         F.col("event_type").alias("evid"),
-        (k % 50 + 1).alias("pgid"), ((k * 7) % 50 + 1).alias("npgid"), (k % 50).alias("itemid"),
+        (k % 32 + 100).alias("pgid"), ((k * 3) % 32 + 100).alias("npgid"), (k % 25).alias("itemid"),
         epoch_millis("ts").alias("ts"),
     )
 
@@ -135,7 +123,7 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     (a client that sends incomplete lines); ``ts`` is not in the line yet — the
     collector stamps it from ``arrival_ms``.
     """
-    ev = attach_area(_events_for_json(spark, sf_dir), spark, sf_dir, "user_id")
+    ev = attach_area(table(spark, sf_dir, "events"), spark, sf_dir, "user_id")
     k = _k()
     is_start = F.col("event_type") == "view"
     mid = F.concat(F.lit("mid_"), F.col("user_id").cast("string"))
@@ -146,8 +134,8 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.struct(
         F.when(F.col("event_type") != "error", F.lit(EVENT_TYPE)).alias("type"),
         mid.alias("mid"), uid.alias("uid"), _os().alias("os"), F.lit(APP_ID).alias("appid"),
-        F.col("area"), F.col("event_type").alias("evid"), (k % 50 + 1).alias("pgid"),
-        ((k * 7) % 50 + 1).alias("npgid"), (k % 50).alias("itemid"))
+        F.col("area"), F.col("event_type").alias("evid"), (k % 32 + 100).alias("pgid"),
+        ((k * 3) % 32 + 100).alias("npgid"), (k % 25).alias("itemid"))
     return ev.select(
         F.col("event_id").cast("string").alias("key"),
         F.when(is_start, F.to_json(startup)).otherwise(F.to_json(event)).alias("value"),
@@ -183,24 +171,35 @@ def _order_columns() -> list[Column]:
     ]
 
 
-def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), "c_nationkey", "c_name")
-    return (_events_for_json(spark, sf_dir).where(F.col("event_type") == "purchase")
-            .join(cust, "user_id", "left"))
+def _purchases(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None,
+               with_customer: bool = True) -> DataFrame:
+    rows = on_days(table(spark, sf_dir, "events"), days).where(F.col("event_type") == "purchase")
+    if not with_customer:
+        return rows.withColumns({"c_nationkey": F.lit(None).cast("int"), "c_name": F.lit(None).cast("string")})
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey", "c_name")
+    return rows.join(cust, "user_id", "left")
 
 
-def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as string columns, before parsing (= the after-image values)."""
-    return _purchases(spark, sf_dir).select(*_order_columns())
+def order_rows(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None,
+               with_customer: bool = True) -> DataFrame:
+    """Orders as string columns, before parsing (= the after-image values). Without the customer
+    join ``province_id`` and ``consignee`` are empty, for queries that never read them."""
+    return _purchases(spark, sf_dir, days, with_customer).select(*_order_columns())
 
 
-def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_info(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None,
+               with_customer: bool = True) -> DataFrame:
     """Typed order records (``total_amount`` double), without the derived columns."""
-    return order_rows(spark, sf_dir).withColumn(
+    return order_rows(spark, sf_dir, days, with_customer).withColumn(
         "total_amount", F.col("total_amount").cast("double"))
 
 
+def activity(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
+    """(mid, ts) of every log line, app starts and behaviour events alike, in one scan."""
+    ev = on_days(table(spark, sf_dir, "events"), days)
+    return ev.select(F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"), epoch_millis("ts").alias("ts"))
+
+
 def change_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change-feed envelopes (entry_type, table, op, rows).
 
@@ -222,7 +221,7 @@ def change_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = purchases.select(F.lit("ROWDATA").alias("entry_type"), F.lit("order_info").alias("table"),
                                F.lit("UPDATE").alias("op"), F.array(paid).alias("rows"),
                                F.col("id").alias("key"))
-    ev = _events_for_json(spark, sf_dir)
+    ev = table(spark, sf_dir, "events")
     carts = ev.where(F.col("event_type") == "click").select(
         F.lit("ROWDATA").alias("entry_type"), F.lit("cart_info").alias("table"),
         F.lit("INSERT").alias("op"),
@@ -245,12 +244,16 @@ def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- order detail star ---------------------------------------------------------
 
-def sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide order-detail rows: line item + order + customer (user) + part (SKU).
+GRID_SIDES = ("orders", "part")
+
+
+def sale_detail(spark: SparkSession, sf_dir: str,
+                sides: tuple[str, ...] = ("orders", "customer", "nation", "part")) -> DataFrame:
+    """Order-detail rows: line item + order (user) + part (SKU) + customer and nation (province).
 
-    The 11 grid columns plus ``sku_num``, ``order_amount`` and ``province`` for the
-    share, ranking and map reports."""
+    ``sides`` names the tables a report needs; columns of the others are left out. That every line item has
+    its order, part and customer is assumed (referential integrity), so leaving a side out loses no row."""
     from pulse.operators.joins import sale_detail_wide
-    return sale_detail_wide(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"),
-                            table(spark, sf_dir, "customer"), table(spark, sf_dir, "part"),
-                            table(spark, sf_dir, "nation"))
+    of = {t: table(spark, sf_dir, t) for t in sides}
+    return sale_detail_wide(table(spark, sf_dir, "lineitem"), of.get("orders"), of.get("customer"),
+                            of.get("part"), of.get("nation"))

@@ -113,12 +113,3 @@ def test_cdc_quarantine_stream(spark, scratch):
     src = spark.readStream.schema("key string, value string").parquet(src_dir)
     jobs.run_cdc_quarantine(src, out, ck, "available_now").awaitTermination()
     assert [r.value for r in spark.read.parquet(out).collect()] == ["{bad"]
-
-
-def test_spread_only_under_partitioned_scans(spark):
-    from pulse.sources.views import spread
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    many = spark.range(100).repartition(cores)
-    assert spread(one).rdd.getNumPartitions() == cores
-    assert spread(many) is many
