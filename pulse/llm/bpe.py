@@ -18,7 +18,6 @@ and null or repeated doc_id give a row each; an empty table gives no rows; other
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 import os
 import re
@@ -31,9 +30,9 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, ragged
+from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, ragged, worker_state
 
-CACHE_PARTS, CACHE_PREFIXES, CACHE_PART_CHARS = 400_000, 500_000, 48
+CACHE_PARTS, CACHE_PREFIXES, CACHE_PART_CHARS = 250_000, 250_000, 48
 PUNCTUATION = frozenset(".,;:!?")
 _SPACE_RUN = re.compile(r" (?:\s|\Z)")
 # The same for Arrow, whose \s knows ASCII only (white space of Unicode, fixed values).
@@ -122,7 +121,7 @@ class Vocabulary:
                 u = last[begin] if known is None else known[data[:begin]]
                 ok = fits.get(u << 32 | t)
                 if ok is None:
-                    if len(fits) > 300_000:
+                    if len(fits) > 200_000:
                         fits.clear()
                     ok = fits[u << 32 | t] = self.compatible(u, t)
                 if ok:
@@ -354,17 +353,9 @@ class EncodedText:
         return list(chain.from_iterable(t.ids() for t in self.tables))
 
 
-_BPE: dict[bytes, ByteBpe] = {}
-
-
 def shared_bpe(data: bytes, pattern: str) -> ByteBpe:
     """One encoder for each Python worker, kept between tasks."""
-    key = hashlib.sha256(data + pattern.encode()).digest()
-    if key not in _BPE:
-        _BPE.clear()
-        _BPE[key] = ByteBpe(read_ranks(data), pattern)
-        gc.freeze()  # the vocabulary stays; the collector need not walk it again
-    return _BPE[key]
+    return worker_state(("bpe", hashlib.sha256(data + pattern.encode()).digest()), lambda: ByteBpe(read_ranks(data), pattern))
 
 
 def token_table(bpe: ByteBpe) -> pa.Array:

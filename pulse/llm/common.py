@@ -115,6 +115,18 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+_WORKER: dict = {}
+
+
+def worker_state(key, make):
+    """What a task needs and later tasks of the same Python worker can use again (a vocabulary, a
+    cache). A worker keeps one such thing: the next operator's takes the place of the last one's."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]
+
+
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package present on the workers."""
     ship(df.sparkSession)

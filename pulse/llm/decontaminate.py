@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow
+from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, worker_state
 from pulse.llm.line_dedup import _TRIM, mix, normal_words
 
 MAX_RATE, MIN_ITEM_WORDS = 0.2, 5
@@ -213,17 +213,6 @@ def _codes(texts: pa.Array, items: Items) -> tuple[np.ndarray, np.ndarray]:
     return got[real], np.concatenate(([0], np.cumsum(real)))[ends - ends[0]][1:]
 
 
-_ITEMS: dict[bytes, Items] = {}
-
-
-def _shared_items(key: bytes, rows: list, max_rate: float) -> Items:
-    """One set of tables for each Python worker, kept between tasks."""
-    if key not in _ITEMS:
-        _ITEMS.clear()
-        _ITEMS[key] = Items(rows, max_rate)
-    return _ITEMS[key]
-
-
 def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str | None]]]:
     """The items (item_id, text) in blocks of about ``block_chars`` characters."""
     items = ensure_columns(items, {"item_id": "long", "text": "string"}).where("text is not null")
@@ -258,7 +247,7 @@ def _searcher(docs: DataFrame, rows: list, max_rate: float, pairs: bool):
     key = hashlib.sha256(repr((rows, max_rate)).encode()).digest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _shared_items(key, shared.value, max_rate)
+        items = worker_state(("items", key), lambda: Items(shared.value, max_rate))
         for block in blocks(batches, "text", keep_nulls=True):
             hits = items.search(*_codes(block.column("text").fill_null(""), items)) if items.ids else []
             if not pairs:

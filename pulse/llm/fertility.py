@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import ASCII_SPACE, blocks, encode_words, ensure_columns, map_arrow, ragged, with_key, without, written
+from pulse.llm.common import ASCII_SPACE, blocks, encode_words, ensure_columns, map_arrow, ragged, with_key, without, worker_state, written
 
 SPREAD, LEAST_SPREAD, LEAST_TOKENS, MIN_GROUP = 4.0, 0.01, 200, 100
 SLACK = 2.0
@@ -38,7 +38,7 @@ ENTROPY_TOKENS, ENTROPY_LOW, ENTROPY_HIGH = 64, 2.0, 13.0
 SCRIPT_BANDS = {"latin": (1.0, 12.0, 0.2), "cyrillic": (0.8, 12.0, 0.3), "greek": (0.6, 12.0, 0.5), "arabic": (0.5, 12.0, 0.6),
                 "han": (0.3, 6.0, 0.9), "other": (0.3, 12.0, 0.95), "none": (0.3, 12.0, 0.95)}
 SYMBOLS = "#*$%&|<>"
-CACHE_WORDS, CACHE_WORD_CHARS = 500_000, 48
+CACHE_WORDS, CACHE_WORD_CHARS = 250_000, 48
 
 METRICS = ("doc_id long, lang string, _t long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "n_tokens long, byte_share double, entropy double, script string")
@@ -156,16 +156,9 @@ def measure_block(texts: pa.Array, tok: WordPieces) -> list[tuple]:
     return rows
 
 
-_TOK: dict[int, WordPieces] = {}
-
-
 def _pieces_for(model: bytes) -> WordPieces:
     """One tokeniser for each Python worker, kept between tasks."""
-    key = hash(model)
-    if key not in _TOK:
-        _TOK.clear()
-        _TOK[key] = WordPieces(model)
-    return _TOK[key]
+    return worker_state(("pieces", hash(model)), lambda: WordPieces(model))
 
 
 def metrics(docs: DataFrame, vocabulary: str) -> DataFrame:

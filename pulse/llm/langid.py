@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import blocks, ensure_columns, map_arrow
+from pulse.llm.common import blocks, ensure_columns, map_arrow, worker_state
 
 DIMENSIONS, SEED, MAX_LANGUAGES = 1024, 20240115, 5000
 BLOCK_BYTES, DENSE_CELLS, VOCABULARY = 2 << 20, 4 << 20, 4096
@@ -62,14 +62,12 @@ class Letters:
         return np.roll(self.vectors[a], 2, 1) * np.roll(self.vectors[b], 1, 1) * self.vectors[c]
 
 
-_LETTERS: dict[tuple[int, int], Letters] = {}
-
-
 def letters(dimensions: int, seed: int) -> Letters:
-    if (dimensions, seed) not in _LETTERS or _LETTERS[dimensions, seed].known > 50_000:
-        _LETTERS.clear()
-        _LETTERS[dimensions, seed] = Letters(dimensions, seed)
-    return _LETTERS[dimensions, seed]
+    """One table for each Python worker; begun anew when a worker has met very many letters."""
+    table = worker_state(("letters", dimensions, seed), lambda: Letters(dimensions, seed))
+    if table.known > 50_000:
+        table.__init__(dimensions, seed)
+    return table
 
 
 def counts(texts: list[str | None], table: Letters) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
