@@ -388,4 +388,4 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool
             yield pa.RecordBatch.from_pydict(out)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return map_arrow(ensure_columns(docs, {"doc_id": "long", "text": "string"}), run, schema)
+    return map_arrow(ensure_columns(docs, {"doc_id": "long", "text": "string"}), run, schema, state=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -122,15 +124,30 @@ def worker_state(key, make):
     """What a task needs and later tasks of the same Python worker can use again (a vocabulary, a
     cache). A worker keeps one such thing: the next operator's takes the place of the last one's."""
     if key not in _WORKER:
-        _WORKER.clear()
+        release()
         _WORKER[key] = make()
     return _WORKER[key]
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package present on the workers."""
+def release() -> None:
+    """Drops what earlier operators left in this Python worker and hands free memory back."""
+    if _WORKER:
+        _WORKER.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, run, schema, state: bool = False) -> DataFrame:
+    """``df.mapInArrow`` with this package present on the workers. Without ``state`` (an operator
+    that uses :func:`worker_state`) a task first drops what other operators keep there."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not state:
+            release()
+        return run(batches)
+
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20, keep_nulls: bool = False) -> Iterator[pa.RecordBatch]:

@@ -230,14 +230,14 @@ def search(docs: DataFrame, items: DataFrame, max_rate: float = MAX_RATE, block_
     schema = "doc_id long, item_id long, edits int, item_words int, first_word long, end_word long"
     out = docs.sparkSession.createDataFrame([], schema)
     for rows in item_blocks(items, block_chars):
-        out = out.unionByName(map_arrow(docs, _searcher(docs, rows, max_rate, pairs=True), schema))
+        out = out.unionByName(map_arrow(docs, _searcher(docs, rows, max_rate, pairs=True), schema, state=True))
     return out
 
 
 def clean(docs: DataFrame, items: DataFrame, max_rate: float = MAX_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs``, all columns, in whose text no item is found."""
     for rows in item_blocks(items, block_chars):
-        docs = map_arrow(docs, _searcher(docs, rows, max_rate, pairs=False), docs.schema)
+        docs = map_arrow(docs, _searcher(docs, rows, max_rate, pairs=False), docs.schema, state=True)
     return docs
 
 

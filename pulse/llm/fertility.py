@@ -177,7 +177,7 @@ def metrics(docs: DataFrame, vocabulary: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("lang"), block.column("_t"), *cols], names=MEASURED)
 
     rows = with_key(ensure_columns(docs, {"doc_id": "long", "lang": "string", "text": "string"}))
-    return map_arrow(rows, run, METRICS)
+    return map_arrow(rows, run, METRICS, state=True)
 
 
 def base_failed() -> F.Column:

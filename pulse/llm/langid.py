@@ -160,7 +160,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED) -> di
         if sums:
             yield pa.RecordBatch.from_pydict({"lang": list(sums), "v": pa.array(list(sums.values()), pa.list_(pa.int64()))})
 
-    parts = map_arrow(rows, run, "lang string, v array<bigint>").select("lang", F.posexplode("v").alias("i", "x"))
+    parts = map_arrow(rows, run, "lang string, v array<bigint>", state=True).select("lang", F.posexplode("v").alias("i", "x"))
     summed = parts.groupBy("lang", "i").agg(F.sum("x").alias("x"))
     found = summed.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
     got = found.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
@@ -190,7 +190,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
                 "score": pa.array(np.where(known, np.clip(cosine[np.arange(len(best)), best], 0, 1), 0.0))})
 
     rows = ensure_columns(docs, {"doc_id": "long", "text": "string"}).withColumn("held_out", ~learning_rows())
-    return map_arrow(rows, run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return map_arrow(rows, run, "doc_id long, held_out boolean, lang_pred string, score double", state=True)
 
 
 def identify(docs: DataFrame) -> DataFrame:
