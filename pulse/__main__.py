@@ -8,6 +8,7 @@
     python -m pulse first-seen --topic startup_log --kafka host:9092 --table T --checkpoint C
     python -m pulse report total --dau T1 --orders T2 --date 2024-01-15
     python -m pulse report hour --id dau --dau T1 --orders T2 --date 2024-01-15
+    python -m pulse report detail --tables DIR --start 0 --length 20 --keyword "red ring" --order sku_price:desc
     python -m pulse compact --table T --day-col logDate --days 2024-01-13,2024-01-14
 
 Run it with ``spark-submit`` on a cluster (master, executors and
@@ -23,7 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _source(spark: SparkSession, args) -> DataFrame:
-    from pulse.sources.topics import read_topic
+    from pulse.sources.topics import read_changes, read_topic
+    if args.cmd == "cdc":  # bounded micro-batches, as a change client fetches
+        kafka = {"kafka.bootstrap.servers": args.kafka, "startingOffsets": args.starting_offsets} if args.kafka else None
+        return read_changes(spark, args.topic, "kafka" if args.kafka else "parquet", args.topic_path, kafka, args.max_per_trigger or 100)
     if args.kafka:
         return read_topic(spark, args.topic, "kafka", options={"kafka.bootstrap.servers": args.kafka,
                                                                "startingOffsets": args.starting_offsets},
@@ -44,8 +48,9 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
 
 
 def _kpi_tables(spark: SparkSession, args):
-    from pulse.streaming.sinks import read_result
-    return read_result(spark, args.dau), read_result(spark, args.orders)
+    from pulse.streaming.jobs import DAU_KEYS, read_orders
+    from pulse.streaming.sinks import read_latest
+    return read_latest(spark, args.dau, DAU_KEYS), read_orders(spark, args.orders)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -60,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("cdc", help="relay order inserts from the change topic")
     _stream_args(p)
     p.add_argument("--out", required=True)
-    p.add_argument("--quarantine", default=None)
+    p.add_argument("--quarantine", default=None, help="folder of undecodable lines (default <out>_quarantine)")
     p.add_argument("--table", dest="table_name", default="order_info")
 
     p = sub.add_parser("dau", help="first start per device and day")
@@ -88,12 +93,19 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--state-partitions", type=int, default=None)
 
     p = sub.add_parser("report", help="print a report document")
-    p.add_argument("kind", choices=["total", "hour"])
+    p.add_argument("kind", choices=["total", "hour", "detail"])
     p.add_argument("--id", default="dau", help="metric of the hour report: dau or order_amount")
-    p.add_argument("--dau", required=True)
-    p.add_argument("--orders", required=True)
-    p.add_argument("--first-seen", default=None, help="first-seen table: new devices from one partition")
-    p.add_argument("--date", required=True)
+    p.add_argument("--dau", default=None)
+    p.add_argument("--orders", default=None)
+    p.add_argument("--first-seen", default=None, help="first-seen table: new devices of the day")
+    p.add_argument("--date", default=None, help="required by total and hour, a filter of detail")
+    p.add_argument("--tables", default=None, help="detail: folder of lineitem, orders and part")
+    p.add_argument("--draw", type=int, default=1)
+    p.add_argument("--start", type=int, default=0)
+    p.add_argument("--length", type=int, default=10)
+    p.add_argument("--keyword", default=None)
+    p.add_argument("--level", default=None)
+    p.add_argument("--order", action="append", default=[], metavar="COLUMN[:desc]", help="detail: sort order, repeatable")
 
     p = sub.add_parser("compact", help="rewrite finished days of a foreachBatch table")
     p.add_argument("--table", required=True)
@@ -104,11 +116,20 @@ def main(argv: list[str] | None = None) -> int:
     from pulse.session import get_session
     spark = get_session(app_name=f"pulse-{args.cmd}")
 
+    if args.cmd == "report" and args.kind == "detail":
+        from pulse.operators import reports
+        from pulse.sources import views
+        order = [(c, d or "asc") for c, _, d in (o.partition(":") for o in args.order)]
+        doc = reports.report_detail(views.sale_detail(spark, args.tables, views.GRID_SIDES), args.draw, args.start, args.length,
+                                    args.date, args.keyword, args.level, order)
+        print(doc.first()["doc"])
+        return 0
     if args.cmd == "report":
         from pulse.operators import metrics, reports
         dau, orders = _kpi_tables(spark, args)
         if args.kind == "total":
-            first = spark.read.parquet(args.first_seen) if args.first_seen else None
+            from pulse.streaming.sinks import read_latest
+            first = read_latest(spark, args.first_seen, ["mid"]) if args.first_seen else None
             doc = reports.report_total(metrics.kpi_summary(dau, orders, args.date, first))
         else:
             doc = reports.report_hour(args.id, dau, orders, args.date)
@@ -123,16 +144,13 @@ def main(argv: list[str] | None = None) -> int:
     from pulse.streaming import jobs
     src = _source(spark, args)
     trig = args.trigger
-    extra = None
     if args.cmd == "collect":
         q = jobs.run_collector(src, args.landing, args.topics, args.checkpoint, trig)
     elif args.cmd == "cdc":
-        q = jobs.run_cdc_relay(src, args.out, args.checkpoint, args.table_name, trigger=trig)
-        if args.quarantine:
-            extra = jobs.run_cdc_quarantine(src, args.quarantine, args.checkpoint.rstrip("/") + "_quarantine", trig)
+        q = jobs.run_cdc_relay(src, args.out, args.checkpoint, args.table_name, trigger=trig, quarantine=args.quarantine)
     elif args.cmd == "dau":
         if args.mode == "state":
-            q = jobs.run_dau_keyed_state(src, args.table, args.checkpoint, trig, args.retention_days or 1,
+            q = jobs.run_dau_keyed_state(src, args.table, args.checkpoint, trig, args.retention_days,
                                          args.state_partitions)
         else:
             q = jobs.run_dau(src, args.table, args.checkpoint, trig, args.retention_days,
@@ -146,9 +164,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         q = jobs.run_first_seen(src, args.table, args.checkpoint, trig, args.state_partitions)
     if trig == "available_now":
-        for query in (q, extra):
-            if query is not None:
-                query.awaitTermination()
+        q.awaitTermination()
     else:
         spark.streams.awaitAnyTermination()
     return 0

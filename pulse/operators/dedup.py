@@ -24,6 +24,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
                         for c in cols])
 
 
+def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Per key, the row that is largest by ``order``, then by all remaining columns: of
+    several versions of a record in one batch the last. Partial aggregation as above."""
+    cols = df.columns
+    rest = [c for c in cols if c not in keys and c not in order]
+    agg = df.groupBy(*keys).agg(F.max(F.struct(*list(order) + rest)).alias("_last"))
+    return agg.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in cols])
+
+
 def first_per_key_rn(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Same contract as :func:`first_per_key` with ``row_number() = 1`` (cross-check form)."""
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -31,45 +40,75 @@ def first_per_key_rn(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def drop_seen(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
+# At most so many keys count as hot, whatever the size of the input: what is broadcast is bounded.
+HOT_KEYS = 10_000
+
+
+def _hot_limit(counts: DataFrame, hot_rows: int) -> Column:
+    """Rows above which a key is hot: ``hot_rows``, or total / ``HOT_KEYS`` if that is more, so there
+    can't be more than ``HOT_KEYS`` hot keys."""
+    return F.greatest(F.lit(hot_rows).cast("bigint"), counts.agg(F.coalesce(F.sum("_n"), F.lit(0)) / HOT_KEYS).scalar().cast("bigint"))
+
+
+def drop_seen(batch: DataFrame, seen: DataFrame, keys: Sequence[str], hot_rows: int = 1_000_000) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``seen`` (left anti join).
 
     No broadcast hint: the seen-set grows with the active devices of a day, so the
     planner (and AQE at run time, from the real shuffle sizes) decides whether it is
-    small enough to broadcast."""
-    return batch.join(seen.select(*keys), list(keys), "left_anti")
+    small enough to broadcast. A key with more than ``hot_rows`` rows in the batch is spread over
+    salts, as many as its own count asks for, and its seen rows are repeated per salt; the list of hot
+    keys is bounded (``HOT_KEYS``) and broadcast."""
+    keys = list(keys)
+    counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    limit = _hot_limit(counts, hot_rows)
+    salts = F.broadcast(counts.where(F.col("_n") > limit).withColumn("_salts", F.ceil(F.col("_n") / limit)).select(*keys, "_salts"))
+    row = F.xxhash64(*[F.col(c).cast("string") for c in batch.columns])
+    left = (batch.join(salts, keys, "left")
+            .withColumn("_salt", F.pmod(row, F.coalesce("_salts", F.lit(1).cast("bigint")))).drop("_salts"))
+    right = (seen.select(*keys).distinct().join(salts, keys, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1).cast("bigint")) - 1))))
+    # one struct as the key: rows that lie together by the plain key are dealt anew
+    spot = F.struct(*keys, "_salt").alias("_spot")
+    return left.withColumn("_spot", spot).join(right.select(spot), "_spot", "left_anti").select(*batch.columns)
 
 
 def flag_first(orders: DataFrame, user: str = "user_id",
                order: Sequence[str | Column] = ("create_time", "id"),
                known_users: DataFrame | None = None, flag: str = "is_first_order",
-               salts: int = 16, hot_rows: int = 1_000_000) -> DataFrame:
-    """``flag`` = "1" on a user's earliest order (by ``order``), "0" on the others;
-    users in ``known_users`` (one column ``user``) have ordered before: all "0".
+               hot_rows: int = 1_000_000, id_col: str = "id") -> DataFrame:
+    """``flag`` = "1" on a user's earliest order (by ``order``), "0" on the others. Orders without a
+    user are "0". ``known_users`` (``user`` and, optionally, ``first_id``): users who have ordered
+    before; only their order ``first_id``, delivered again, is "1".
 
     One partial aggregate per user gives the earliest order and the user's row count;
     it is joined back to the orders on (user, salt). Users with more than
-    ``hot_rows`` orders are hot: their orders get a salt in ``[0, salts)`` from a hash
-    of the order's own sort key and their aggregate row is repeated per salt, so a
-    user with a third of all orders is spread over ``salts`` join tasks. The hot list
-    is broadcast; its size is bounded by (all orders) / ``hot_rows`` users. Every
-    other user keeps salt 0 and a single aggregate row.
+    ``hot_rows`` orders are hot: their orders get a salt from a hash of the order's own sort key and their
+    aggregate row is repeated per salt, ceil(count / hot_rows) times, so no join task gets more than
+    about ``hot_rows`` orders of one user, whatever that user's count. Every
+    other user keeps salt 0 and a single aggregate row. Only the list of hot users is broadcast, at most
+    ``HOT_KEYS`` of them.
     """
     key = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}")
                      for i, c in enumerate(order)])
-    stats = orders.groupBy(user).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    hot = stats.where(F.col("_n") > hot_rows).select(user, F.lit(True).alias("_hot"))
-    firsts = stats
+    stats = (orders.where(F.col(user).isNotNull()).groupBy(user)
+             .agg(F.min(F.struct(key.alias("k"), F.col(id_col).alias("i"))).alias("_m"), F.count(F.lit(1)).alias("_n"))
+             .select(user, F.col("_m.k").alias("_first"), F.col("_m.i").alias("_first_id"), "_n"))
+    limit = _hot_limit(stats, hot_rows)
+    hot = F.broadcast(stats.where(F.col("_n") > limit).select(user, F.ceil(F.col("_n") / limit).alias("_salts")))
     if known_users is not None:
-        firsts = firsts.join(known_users.select(user).distinct(), user, "left_anti")
-    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    spread = firsts.withColumn("_salt", F.explode(
-        F.when(F.col("_n") > hot_rows, all_salts).otherwise(F.array(F.lit(0).cast("bigint")))))
-    salted = (orders.join(F.broadcast(hot), user, "left")
-              .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(key), F.lit(salts)))
-                          .otherwise(F.lit(0).cast("bigint"))))
-    joined = salted.join(spread.select(user, "_salt", "_first"), [user, "_salt"], "left")
-    is_first = F.coalesce(key == F.col("_first"), F.lit(False))
+        first_id = F.col("first_id") if "first_id" in known_users.columns else F.lit(None).cast(orders.schema[id_col].dataType)
+        known = known_users.groupBy(user).agg(F.min(first_id).alias("_known"), F.lit(True).alias("_seen"))
+        stats = (stats.join(known, user, "left").withColumn("_first", F.when(F.col("_seen").isNull(), F.col("_first")))
+                 .withColumn("_first_id", F.when(F.col("_seen"), F.col("_known")).otherwise(F.col("_first_id"))))
+    one = F.lit(1).cast("bigint")
+    spread = stats.withColumn("_salt", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.when(F.col("_n") > limit, F.ceil(F.col("_n") / limit)).otherwise(one) - 1)))
+    salted = (orders.join(hot, user, "left")
+              .withColumn("_salt", F.pmod(F.xxhash64(key), F.coalesce("_salts", one))))
+    # one struct as the key: rows that lie together by the user are dealt anew
+    firsts = spread.select(F.struct(user, "_salt").alias("_spot"), "_first", "_first_id")
+    joined = salted.withColumn("_spot", F.struct(user, "_salt")).join(firsts, "_spot", "left")
+    is_first = F.coalesce((F.col(id_col) == F.col("_first_id")) & (F.col("_first").isNull() | (key == F.col("_first"))), F.lit(False))
     return (joined.withColumn(flag, F.when(is_first, F.lit("1")).otherwise(F.lit("0")))
             .select(*orders.columns, flag))
 

@@ -52,6 +52,14 @@ def parse_startup(df: DataFrame, value: str = "value") -> DataFrame:
         "mid", "uid", "appid", "area", "os", "ch", "logType", "vs", "logDate", "logHour", "ts")
 
 
+def split_valid_startups(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(startup records, quarantine): lines that have a device and a time, parsed; every other
+    line as it came (``value``), malformed ones included."""
+    fields = F.from_json(F.col(value), STARTUP_WIRE, _PERMISSIVE)
+    ok = F.coalesce(fields["mid"].isNotNull() & fields["ts"].isNotNull(), F.lit(False))
+    return parse_startup(lines.where(ok), value), lines.where(~ok).select(value)
+
+
 def parse_order(df: DataFrame, value: str = "value") -> DataFrame:
     """JSON line -> order record; ``total_amount`` string -> double (bad number -> null)."""
     r = F.from_json(F.col(value), ORDER_WIRE, _PERMISSIVE)
@@ -66,10 +74,12 @@ def prepare_orders(orders: DataFrame) -> DataFrame:
 
 
 def split_valid_orders(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantine): rows without an id or without a parseable create time
-    (no blank, so no hour) go to quarantine instead of failing the batch."""
-    ok = F.col("id").isNotNull() & F.col("create_hour").isNotNull()
-    return orders.where(ok), orders.where(~ok | ok.isNull())
+    """(good, quarantine): rows without an id or whose create time is not a time of the form
+    ``yyyy-MM-dd HH:mm:ss`` go to quarantine instead of failing the batch."""
+    shaped = F.col("create_time").rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
+    ok = F.col("id").isNotNull() & shaped & F.try_to_timestamp("create_time", F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()
+    ok = F.coalesce(ok, F.lit(False))
+    return orders.where(ok), orders.where(~ok)
 
 
 # --- change feed ---------------------------------------------------------------

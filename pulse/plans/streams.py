@@ -1,11 +1,11 @@
 """Stream jobs registered as queries: the stream's result table, for comparison
 with the batch SQL.
 
-The input is cut into consecutive day ranges written one after another to a file
-topic; after each write the job runs with ``availableNow`` and stops, and the next
-run resumes from the checkpoint. Every row of the input goes through the stream.
-Cutting at day boundaries keeps each (device, day) inside one micro-batch, so the
-stream's table equals the batch answer exactly.
+The input is cut by time into consecutive slices, inside days, so devices and users span several
+micro-batches; each slice is written to a file topic, and after each write the job runs with
+``availableNow`` and stops; the next run resumes from the checkpoint. Every row of the input goes through
+the stream. Delivery is at least once: parts of a slice come twice in it, and again with the next one. Some
+orders come first in an older version and are corrected by the next slice.
 """
 
 from __future__ import annotations
@@ -27,28 +27,56 @@ from pulse.streaming import jobs, sinks
 SLICES = 3
 
 
-def day_slices(frame: DataFrame, day: str, k: int = SLICES) -> list[DataFrame]:
-    """``frame`` split into ``k`` consecutive day ranges (all rows kept)."""
-    lo, hi = frame.agg(F.min(day), F.max(day)).first()
+def time_slices(frame: DataFrame, k: int = SLICES) -> list[DataFrame]:
+    """``frame`` split at ``at`` (millis) into ``k`` consecutive ranges (all rows kept), the cuts
+    at noon of a day."""
+    lo, hi = frame.agg(F.min("at"), F.max("at")).first()
     if lo is None:
         return [frame]
-    span = (F.datediff(F.lit(hi).cast("date"), F.lit(lo).cast("date")) + 1)
-    idx = F.floor(F.datediff(F.col(day).cast("date"), F.lit(lo).cast("date")) * k / span)
-    return [frame.where(idx == i) for i in range(k)]
+    day = 86_400_000
+    cuts = [(lo + (hi - lo) * i // k) // day * day + day // 2 for i in range(1, k)]
+    edges = [None, *cuts, None]
+    out = []
+    for a, b in zip(edges, edges[1:]):
+        part = frame if a is None else frame.where(F.col("at") >= a)
+        out.append(part if b is None else part.where(F.col("at") < b))
+    return out
 
 
-def feed_and_run(spark: SparkSession, frame: DataFrame, day: str, cols: list[str],
+def some(df: DataFrame, every: int, key: str = "key") -> DataFrame:
+    """Every so many keys, by hash."""
+    return df.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0)
+
+
+def redelivered(parts: list[DataFrame]) -> list[DataFrame]:
+    """The slices as an at-least-once topic delivers them."""
+    out = [part.unionByName(some(part, 5)) for part in parts]
+    return [out[0], *[now.unionByName(some(before, 7)) for before, now in zip(parts, out[1:])]]
+
+
+def corrected(parts: list[DataFrame]) -> list[DataFrame]:
+    """Every third order of a slice comes with an older amount first; the real record follows
+    with the next slice (a last, further one for the last slice)."""
+    def old(df):
+        return some(df, 3).withColumn("value", F.regexp_replace("value", '"total_amount":"[^"]*"', '"total_amount":"0.01"'))
+    first = [old(p).unionByName(p.join(some(p, 3).select("key"), "key", "left_anti").select(*p.columns)) for p in parts]
+    late = [some(p, 3) for p in parts]
+    return [first[0], *[f.unionByName(l) for f, l in zip(first[1:], late)], late[-1]]
+
+
+def feed_and_run(spark: SparkSession, frame: DataFrame, cols: list[str],
                  start: Callable[[DataFrame, str], object], schema=LINE_SCHEMA,
-                 topic: str = "lines", changes: bool = False) -> None:
-    """Write the slices of ``frame`` to a fresh file topic one by one; after each,
-    run the stream built by ``start(stream_df, checkpoint)`` to completion. The
-    stream reads the topic with ``read_topic`` (``read_changes`` for a change feed)."""
+                 topic: str = "lines", changes: bool = False,
+                 deliver: Callable[[list[DataFrame]], list[DataFrame]] = list) -> None:
+    """Write the slices of ``frame`` (``cols`` and ``at``) to a fresh file topic one by one, as
+    ``deliver`` arranges them; after each, run the stream built by ``start(stream_df, checkpoint)`` to
+    completion. The stream reads the topic with ``read_topic`` (``read_changes`` for a change feed)."""
     base = session.shared_dir(spark, "topics")
     ckpt = session.shared_dir(spark, "checkpoint")
     staged = session.shared_dir(spark, "staged_input")
-    frame.select(*cols, day).write.parquet(staged)  # derive the input once, slice the copy
+    frame.select(*cols, "at").write.parquet(staged)  # derive the input once, slice the copy
     frame = spark.read.parquet(staged)
-    for part in day_slices(frame, day):
+    for part in deliver(time_slices(frame)):
         write_topic(part.select(*cols), topic, fmt="parquet", path=base,
                     extra=tuple(c for c in cols if c not in ("key", "value")))
         if changes:
@@ -70,15 +98,19 @@ def _state_partitions(spark: SparkSession) -> int:
 
 
 def _startup_lines(spark, sf) -> DataFrame:
-    """Stamped lines of the startup topic, with their day for slicing."""
-    lines = ingest.with_log_day(ingest.stamp_lines(views.raw_logs(spark, sf)))
-    return ingest.route_logs(lines).where(F.col("topic") == ingest.TOPIC_STARTUP)
+    """Stamped lines of the startup topic, with their time for slicing."""
+    lines = ingest.route_logs(ingest.stamp_lines(views.raw_logs(spark, sf))).where(F.col("topic") == ingest.TOPIC_STARTUP)
+    return lines.select("key", "value", F.get_json_object("value", "$.ts").cast("bigint").alias("at"))
 
 
 def _order_lines(spark, sf) -> DataFrame:
     rows = views.order_rows(spark, sf)
     return rows.select(F.col("id").alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"),
-                       F.split_part("create_time", F.lit(" "), F.lit(1)).alias("dt"))
+                       F.unix_millis(F.to_timestamp("create_time")).alias("at"))
+
+
+def _order_delivery(parts: list[DataFrame]) -> list[DataFrame]:
+    return redelivered(corrected(parts))
 
 
 def _dau_cols(df: DataFrame) -> DataFrame:
@@ -88,10 +120,10 @@ def _dau_cols(df: DataFrame) -> DataFrame:
 @query("stream_collect")
 def q_stream_collect(spark, sf):
     """Raw lines -> collector stream -> routed topics read back: (key, topic, ts)."""
-    raw = views.raw_logs(spark, sf).withColumn("dt", F.date_format(F.timestamp_millis("arrival_ms"), "yyyy-MM-dd"))
+    raw = views.raw_logs(spark, sf).withColumn("at", F.col("arrival_ms"))
     landing, topics = session.shared_dir(spark, "landing"), session.shared_dir(spark, "topics")
     schema = "key string, value string, arrival_ms bigint"
-    feed_and_run(spark, raw, "dt", ["key", "value", "arrival_ms"],
+    feed_and_run(spark, raw, ["key", "value", "arrival_ms"],
                  lambda s, c: jobs.run_collector(s, landing, topics, c, "available_now"), schema)
     routed = spark.read.parquet(topics)
     return routed.select("key", "topic", F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
@@ -101,13 +133,13 @@ def q_stream_collect(spark, sf):
 def q_stream_cdc(spark, sf):
     """Change envelopes -> relay stream -> order topic read back (one JSON per order)."""
     env = views.change_entries(spark, sf)
-    # Slice by the day of the event each entry comes from.
+    # Slice by the time of the event each entry comes from.
     ev = views.table(spark, sf, "events").select(F.col("event_id").cast("string").alias("key"),
-                                                  F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+                                                  F.unix_millis(F.col("ts").cast("timestamp")).alias("at"))
     lines = env.select("key", F.to_json(F.struct("entry_type", "table", "op", "rows")).alias("value")) \
         .join(ev, "key", "left")
     out = session.shared_dir(spark, "order_topic")
-    feed_and_run(spark, lines, "dt", ["key", "value"],
+    feed_and_run(spark, lines, ["key", "value"],
                  lambda s, c: jobs.run_cdc_relay(s, out, c, trigger="available_now"), changes=True)
     return spark.read.parquet(out).select("value")
 
@@ -116,19 +148,19 @@ def q_stream_cdc(spark, sf):
 def q_stream_dau(spark, sf):
     """Startup topic -> DAU stream (foreachBatch upsert) -> the DAU table."""
     table = session.shared_dir(spark, "dau")
-    feed_and_run(spark, _startup_lines(spark, sf), "dt", ["key", "value"],
-                 lambda s, c: jobs.run_dau(s, table, c, "available_now"))
+    feed_and_run(spark, _startup_lines(spark, sf), ["key", "value"],
+                 lambda s, c: jobs.run_dau(s, table, c, "available_now"), deliver=redelivered)
     return _dau_cols(sinks.read_result(spark, table))
 
 
 @query("stream_dau_state")
 def q_stream_dau_state(spark, sf):
-    """Startup topic -> DAU stream with keyed state (RocksDB, 24 h TTL) -> Parquet file sink."""
+    """Startup topic -> DAU stream with keyed state (RocksDB) -> the latest version per device and day."""
     table = session.shared_dir(spark, "dau_state")
-    feed_and_run(spark, _startup_lines(spark, sf), "dt", ["key", "value"],
+    feed_and_run(spark, _startup_lines(spark, sf), ["key", "value"],
                  lambda s, c: jobs.run_dau_keyed_state(s, table, c, "available_now",
-                                                       state_partitions=_state_partitions(spark)))
-    return _dau_cols(spark.read.parquet(table))
+                                                       state_partitions=_state_partitions(spark)), deliver=redelivered)
+    return _dau_cols(sinks.read_latest(spark, table, jobs.DAU_KEYS))
 
 
 @query("stream_new_mid")
@@ -136,10 +168,10 @@ def q_stream_new_mid(spark, sf):
     """Startup topic -> first-seen stream (keyed state per device) -> new devices per day."""
     from pulse.operators import metrics
     table = session.shared_dir(spark, "first_seen")
-    feed_and_run(spark, _startup_lines(spark, sf), "dt", ["key", "value"],
+    feed_and_run(spark, _startup_lines(spark, sf), ["key", "value"],
                  lambda s, c: jobs.run_first_seen(s, table, c, "available_now",
-                                                  state_partitions=_state_partitions(spark)))
-    first_seen = spark.read.parquet(table)
+                                                  state_partitions=_state_partitions(spark)), deliver=redelivered)
+    first_seen = sinks.read_latest(spark, table, ["mid"])
     per_day = first_seen.groupBy("logDate").agg(F.count(F.lit(1)).alias("new_mid"))
     on_day = metrics.new_devices_on(first_seen, P.DAY).select(F.lit(P.DAY).alias("logDate"), "new_mid")
     return per_day.where(F.col("logDate") != P.DAY).unionByName(on_day)
@@ -147,11 +179,11 @@ def q_stream_new_mid(spark, sf):
 
 @query("sink_dau")
 def q_sink_dau(spark, sf):
-    """The DAU micro-batch function called on day slices, then two batches replayed
-    (the newest and the first): the table must not change."""
+    """The DAU micro-batch function called on time slices with redeliveries, then two batches
+    replayed (the newest and the first): the table must not change."""
     table, topic = session.shared_dir(spark, "dau_sink"), session.shared_dir(spark, "dau_sink_topic")
-    ingest.parse_startup(_startup_lines(spark, sf)).write.parquet(topic)
-    parts = day_slices(spark.read.parquet(topic), "logDate")
+    _startup_lines(spark, sf).write.parquet(topic)
+    parts = [ingest.parse_startup(p) for p in redelivered(time_slices(spark.read.parquet(topic)))]
     for i, part in enumerate(parts):
         jobs.dau_batch(part, i, table)
     jobs.dau_batch(parts[-1], len(parts) - 1, table)
@@ -163,30 +195,30 @@ def q_sink_dau(spark, sf):
 def q_stream_orders(spark, sf):
     """Order topic -> order stream (known-users table) -> the order table."""
     table = session.shared_dir(spark, "orders")
-    feed_and_run(spark, _order_lines(spark, sf), "dt", ["key", "value"],
-                 lambda s, c: jobs.run_orders(s, table, c, "available_now"))
-    return sinks.read_result(spark, table).select(*ORDER_FIELDS)
+    feed_and_run(spark, _order_lines(spark, sf), ["key", "value"],
+                 lambda s, c: jobs.run_orders(s, table, c, "available_now"), deliver=_order_delivery)
+    return jobs.read_orders(spark, table).select(*ORDER_FIELDS)
 
 
 @query("sink_order")
 def q_sink_order(spark, sf):
-    """The order micro-batch function on day slices, then the newest and the first
-    batch replayed."""
+    """The order micro-batch function on time slices with redeliveries and corrections, then the
+    newest and the first batch replayed."""
     table, topic = session.shared_dir(spark, "orders_sink"), session.shared_dir(spark, "orders_sink_topic")
     _order_lines(spark, sf).write.parquet(topic)
-    parts = day_slices(spark.read.parquet(topic), "dt")
+    parts = [p.select("key", "value") for p in _order_delivery(time_slices(spark.read.parquet(topic)))]
     for i, part in enumerate(parts):
-        jobs.orders_batch(part.select("key", "value"), i, table)
-    jobs.orders_batch(parts[-1].select("key", "value"), len(parts) - 1, table)
-    jobs.orders_batch(parts[0].select("key", "value"), 0, table)
-    return sinks.read_result(spark, table).select(*ORDER_FIELDS)
+        jobs.orders_batch(part, i, table)
+    jobs.orders_batch(parts[-1], len(parts) - 1, table)
+    jobs.orders_batch(parts[0], 0, table)
+    return jobs.read_orders(spark, table).select(*ORDER_FIELDS)
 
 
 @query("stream_first_order")
 def q_stream_first_order(spark, sf):
-    """Order topic -> keyed-state flag (transformWithState, RocksDB) -> the order table."""
+    """Order topic -> upserted orders and first orders as keyed state -> the flagged order table."""
     table = session.shared_dir(spark, "orders_state")
-    feed_and_run(spark, _order_lines(spark, sf), "dt", ["key", "value"],
+    feed_and_run(spark, _order_lines(spark, sf), ["key", "value"],
                  lambda s, c: jobs.run_orders_keyed_state(s, table, c, "available_now",
-                                                          state_partitions=_state_partitions(spark)))
-    return sinks.read_result(spark, table).select(*ORDER_FIELDS)
+                                                          state_partitions=_state_partitions(spark)), deliver=_order_delivery)
+    return jobs.read_flagged_orders(spark, table).select(*ORDER_FIELDS)

@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 _S = T.StringType()
 _L = T.LongType()
-_I = T.IntegerType()
 
 # Startup log as it travels on the wire: `type` (bound to `logType` after parsing),
 # no `ts` until the collector stamps the arrival time.
@@ -20,14 +19,6 @@ STARTUP_WIRE = T.StructType([
 STARTUP_FIELDS = ["mid", "uid", "appid", "area", "os", "ch", "logType", "vs",
                   "logDate", "logHour", "ts"]
 
-# Behaviour event log on the wire.
-EVENT_WIRE = T.StructType([
-    T.StructField("type", _S), T.StructField("mid", _S), T.StructField("uid", _S),
-    T.StructField("os", _S), T.StructField("appid", _S), T.StructField("area", _S),
-    T.StructField("evid", _S), T.StructField("pgid", _I), T.StructField("npgid", _I),
-    T.StructField("itemid", _I), T.StructField("ts", _L),
-])
-
 # Order record: every column travels as a string from the change feed;
 # total_amount becomes a double, the last three columns are derived.
 ORDER_SOURCE_FIELDS = [
@@ -54,7 +45,6 @@ DAU_SINK_COLUMNS = ["MID", "UID", "APPID", "AREA", "OS", "CH", "TYPE", "VS",
                     "LOGDATE", "LOGHOUR", "TS"]
 DAU_SINK_SOURCE = ["mid", "uid", "appid", "area", "os", "ch", "logType", "vs",
                    "logDate", "logHour", "ts"]
-ORDER_SINK_COLUMNS = [c.upper() for c in ORDER_FIELDS]
 
 # Wide order-detail row served to the drill-down grid.
 SALE_DETAIL_COLUMNS = ["order_detail_id", "order_id", "user_id", "sku_id", "user_gender",

@@ -64,8 +64,9 @@ def get_session(master: str | None = None, app_name: str = "pulse",
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder is created and
-    registered with ``setCheckpointDir``, so later calls agree."""
+    Only on a local master without one (tests) a private folder is created and registered with
+    ``setCheckpointDir``, so later calls agree; any other master without one is refused, as each
+    executor would write to its own disk."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -74,6 +75,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="pulse-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

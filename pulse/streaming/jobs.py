@@ -19,7 +19,7 @@ from pulse.functions import epoch_millis
 from pulse.operators import dedup, ingest
 from pulse.schemas import ORDER_FIELDS
 from pulse.streaming import sinks
-from pulse.streaming.state import first_seen_stream, first_start_stream, flag_first_stream
+from pulse.streaming.state import first_order_stream, first_seen_stream, first_start_stream
 
 MICRO_BATCH = "5 seconds"
 DAU_KEYS = ["mid", "logDate"]
@@ -45,6 +45,25 @@ class _ShufflePartitions:
             self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
 
 
+class Queries(list):
+    """Several streaming queries of one job, handled like one."""
+
+    def awaitTermination(self, timeout: int | None = None) -> None:
+        for q in self:
+            q.awaitTermination() if timeout is None else q.awaitTermination(timeout)
+
+    def exception(self):
+        return next((e for e in (q.exception() for q in self) if e), None)
+
+    def stop(self) -> None:
+        for q in self:
+            q.stop()
+
+    @property
+    def isActive(self) -> bool:
+        return any(q.isActive for q in self)
+
+
 def _trigger(writer, trigger: str | None):
     """``trigger``: a processing-time interval (default ``5 seconds``) or
     ``"available_now"`` (drain what is there, then stop)."""
@@ -94,35 +113,39 @@ def run_collector(source: DataFrame, landing: str, topics: str, checkpoint: str,
 
 # --- change-feed relay -----------------------------------------------------------
 
+def _file_sink(lines: DataFrame, out_path: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
+    """Parquet file sink: its commit log makes the output exactly-once."""
+    w = lines.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 def run_cdc_relay(source: DataFrame, out_path: str, checkpoint: str, table: str = "order_info",
-                  op: str = "INSERT", trigger: str | None = None) -> StreamingQuery:
+                  op: str = "INSERT", trigger: str | None = None, quarantine: str | None = None) -> Queries:
     """Change envelopes (JSON lines) -> order after-images (JSON lines).
 
-    Stateless; the file sink's commit log makes the output exactly-once."""
+    Lines that do not decode go to ``quarantine`` (default ``<out_path>_quarantine``) as they came, by a
+    second query on the same topic, so the relay never blocks on them."""
     lines = ingest.relay_orders(ingest.parse_changes(source), table, op)
-    w = (lines.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint))
-    w = _trigger(w, trigger)
-    return w.start()
+    _, bad = ingest.split_valid_changes(source)
+    return Queries([_file_sink(lines, out_path, checkpoint, trigger),
+                    _file_sink(bad, quarantine or f"{out_path.rstrip('/')}_quarantine", f"{checkpoint.rstrip('/')}_quarantine", trigger)])
 
 
 def run_cdc_quarantine(source: DataFrame, out_path: str, checkpoint: str,
                        trigger: str | None = None) -> StreamingQuery:
-    """Lines of the change topic that do not decode to an envelope, kept as they came
-    (a second query on the same topic, so the relay never blocks on them)."""
+    """Only the lines of the change topic that do not decode to an envelope."""
     _, bad = ingest.split_valid_changes(source)
-    w = (bad.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint))
-    w = _trigger(w, trigger)
-    return w.start()
+    return _file_sink(bad, out_path, checkpoint, trigger)
 
 
 # --- daily active devices ----------------------------------------------------------
 
 def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int | None = None,
               log: BatchLog | None = None, publish: str | None = None,
-              compact_lag_days: int | None = None, compact_every: int = 100) -> None:
-    """One micro-batch of parsed startups -> new first-starts in the DAU table.
+              compact_lag_days: int | None = None, compact_every: int = 100,
+              bad: DataFrame | None = None) -> None:
+    """One micro-batch of parsed startups -> new first-starts in the DAU table. ``bad``: lines of
+    the batch that are no startups; they go to ``<table>_quarantine`` and are counted.
 
     first start per (device, day) inside the batch (partial aggregate) -> anti join
     with the keys stored by other batches for the same days -> write. With
@@ -142,6 +165,7 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
                            F.count_if(late).alias("late")).where(~late)
         firsts = dedup.first_per_key(src, DAU_KEYS, ["ts"])
         seen = sinks.seen_keys(rows.sparkSession, table, DAU_KEYS, "logDate", days, batch_id)
+        # firsts holds one row per key, so no key is hot here
         new = firsts if seen is None else firsts.join(seen, DAU_KEYS, "left_anti")
         if publish is None:
             sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
@@ -154,6 +178,10 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
                               publish, None, batch_id)
             new.unpersist()
         entry = {"batch": batch_id, **obs_in.get, **obs_out.get}
+        if bad is not None:
+            obs_bad = Observation(f"dau_bad_{batch_id}")
+            sinks.write_batch(bad.observe(obs_bad, F.count(F.lit(1)).alias("quarantined")), f"{table}_quarantine", None, batch_id)
+            entry |= obs_bad.get
         if compact_lag_days is not None and days and batch_id % compact_every == 0:
             from datetime import date, timedelta
             horizon = (date.fromisoformat(days[0]) - timedelta(days=compact_lag_days)).isoformat()
@@ -170,41 +198,47 @@ def run_dau(source: DataFrame, table: str, checkpoint: str, trigger: str | None
             compact_every: int = 100) -> StreamingQuery:
     """``source``: streaming JSON lines of the startup topic. ``publish``: optional
     folder that also receives each batch's new first starts as JSON lines."""
-    startups = ingest.parse_startup(source).where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
-    return _start(startups, lambda df, bid: dau_batch(df, bid, table, retention_days, log, publish,
-                                                      compact_lag_days, compact_every),
-                  checkpoint, trigger)
+    def batch(df: DataFrame, bid: int) -> None:
+        good, bad = ingest.split_valid_startups(df)
+        dau_batch(good, bid, table, retention_days, log, publish, compact_lag_days, compact_every, bad)
+
+    return _start(source, batch, checkpoint, trigger)
+
+
+def _versions(df: DataFrame, table: str, day_col: str | None, checkpoint: str, trigger: str | None,
+              state_partitions: int | None) -> StreamingQuery:
+    """An update-mode aggregate into a last-write-wins table."""
+    w = (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda out, bid: sinks.write_batch(out, table, day_col, bid)))
+    with _ShufflePartitions(df.sparkSession, state_partitions):
+        return _trigger(w, trigger).start()
+
+
+def _startup_quarantine(source: DataFrame, table: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
+    _, bad = ingest.split_valid_startups(source)
+    return _file_sink(bad, f"{table}_quarantine", f"{checkpoint.rstrip('/')}_quarantine", trigger)
 
 
 def run_dau_keyed_state(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
-                        retention_days: int = 1, state_partitions: int | None = None) -> StreamingQuery:
-    """DAU job with the seen-set in RocksDB keyed state (evicted by event-time timers
-    behind a ``retention_days`` watermark) and the built-in Parquet file sink.
+                        retention_days: int | None = None, state_partitions: int | None = None) -> Queries:
+    """DAU job with the devices of a day as keyed state (RocksDB, in the JVM; read the table with
+    ``sinks.read_latest(..., ["mid", "logDate"])``).
 
     Each batch touches only the state of its own (device, day) keys, whatever the
-    size of the day's table; the file sink's commit log makes the output
-    exactly-once, so no per-batch folders are needed."""
-    startups = ingest.parse_startup(source).where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
-    firsts = first_start_stream(startups, retention_days)
-    w = (firsts.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
-         .partitionBy("logDate").outputMode("append"))
-    w = _trigger(w, trigger)
-    with _ShufflePartitions(source.sparkSession, state_partitions):
-        return w.start()
+    size of the day's table. ``retention_days`` evicts finished days; by default nothing is late.
+    Lines that are no startups go to ``<table>_quarantine``."""
+    good, _ = ingest.split_valid_startups(source)
+    return Queries([_versions(first_start_stream(good, retention_days), table, "logDate", checkpoint, trigger, state_partitions),
+                    _startup_quarantine(source, table, checkpoint, trigger)])
 
 
 def run_first_seen(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
-                   state_partitions: int | None = None) -> StreamingQuery:
-    """Table of each device's first start ever, partitioned by that day, kept by keyed
-    state (no expiry) and written through the exactly-once Parquet file sink.
-    ``metrics.new_devices_on`` counts one partition of it."""
-    startups = ingest.parse_startup(source).where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
-    firsts = first_seen_stream(startups)
-    w = (firsts.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
-         .partitionBy("logDate").outputMode("append"))
-    w = _trigger(w, trigger)
-    with _ShufflePartitions(source.sparkSession, state_partitions):
-        return w.start()
+                   state_partitions: int | None = None) -> Queries:
+    """Table of each device's first start ever, kept by keyed state without expiry (read it with
+    ``sinks.read_latest(..., ["mid"])``); ``metrics.new_devices_on`` counts the devices of a day in it."""
+    good, _ = ingest.split_valid_startups(source)
+    return Queries([_versions(first_seen_stream(good), table, None, checkpoint, trigger, state_partitions),
+                    _startup_quarantine(source, table, checkpoint, trigger)])
 
 
 # --- orders ----------------------------------------------------------------------------
@@ -213,32 +247,44 @@ def _order_paths(table: str) -> tuple[str, str]:
     return f"{table}_users", f"{table}_quarantine"
 
 
+def _stored_orders(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(orders, quarantine) of a batch of JSON lines; of several versions of an id in the
+    batch the last by ``operate_time`` (then by the whole record)."""
+    good, bad = ingest.split_valid_orders(ingest.prepare_orders(ingest.parse_order(batch)))
+    return dedup.last_per_key(good, ["id"], ["operate_time"]), bad
+
+
 def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | None = None,
                  compact_lag_days: int | None = None, compact_every: int = 100) -> None:
     """One micro-batch of order JSON lines -> the order table.
 
-    parse -> split create time, mask phone -> quarantine rows without id or hour ->
-    first-order flag against the known-users table -> keyed insert; new buyers are
-    added to the known-users table. All writes are ``batch=<id>`` folders; with
+    parse -> split create time, mask phone -> quarantine rows without id or valid time -> one row per id ->
+    first-order flag against the known-users table -> keyed upsert: the latest batch's version of an id
+    counts (``read_orders``). A first order that is delivered again stays the first. New buyers are
+    added to the known-users table, once each. All writes are ``batch=<id>`` folders; with
     ``compact_lag_days`` finished days of the order table and finished generations of
-    the known-users table are compacted every ``compact_every`` batches."""
+    the known-users table are compacted every ``compact_every`` batches. An id's create time is
+    taken as fixed: versions of an order lie in one day."""
     users_path, bad_path = _order_paths(table)
     spark = batch.sparkSession
-    prepared = ingest.prepare_orders(ingest.parse_order(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        good, bad = ingest.split_valid_orders(prepared)
+        orders, bad = _stored_orders(batch)
         known = sinks.read_or_none(spark, users_path)
-        if known is not None:
-            known = known.where(F.col(sinks.BATCH_COL) != F.lit(str(batch_id))).select("user_id")
-        flagged = dedup.flag_first(good, "user_id", ["create_time", *dedup.numeric_id("id")], known)
+        if known is not None:  # only the batch's users take part in the join
+            known = known.where(F.col(sinks.BATCH_COL) != F.lit(str(batch_id))).select("user_id", "first_id")
+            known = known.join(orders.select("user_id").distinct(), "user_id", "left_semi")
+        flagged = dedup.flag_first(orders, "user_id", ["create_time", *dedup.numeric_id("id")], known)
         flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
         days = sinks.batch_days(flagged, "create_date")
-        sinks.upsert_new(flagged.select(*ORDER_FIELDS), batch_id, table, ["id"], "create_date", days)
+        sinks.write_batch(flagged.select(*ORDER_FIELDS), table, "create_date", batch_id)
         # Known users: gen=<batch_id // compact_every>/batch=<id>; a finished generation is
         # rewritten into one folder when the next one starts.
         gen = batch_id // compact_every
-        buyers = flagged.where(F.col("is_first_order") == "1").select("user_id", F.lit(str(gen)).alias("gen"))
-        sinks.write_batch(buyers, users_path, "gen", batch_id)
+        buyers = flagged.where(F.col("is_first_order") == "1").select("user_id", F.col("id").alias("first_id"))
+        if known is not None:
+            buyers = buyers.join(known.select("user_id"), "user_id", "left_anti")
+        sinks.write_batch(buyers.withColumn("gen", F.lit(str(gen))), users_path, "gen", batch_id)
         obs = Observation(f"quarantine_{batch_id}")
         sinks.write_batch(bad.observe(obs, F.count(F.lit(1)).alias("quarantined")), bad_path, None, batch_id)
         entry = {"batch": batch_id, **obs.get}
@@ -246,14 +292,19 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
             if days:
                 from datetime import date, timedelta
                 horizon = (date.fromisoformat(days[0]) - timedelta(days=compact_lag_days)).isoformat()
-                entry["compacted"] = sinks.compact_finished(spark, table, "create_date", horizon)
+                entry["compacted"] = sinks.compact_finished(spark, table, "create_date", horizon, ["id"])
             if gen > 0:
                 sinks.compact_days(spark, users_path, "gen", [str(gen - 1)])
         if log is not None:
             log(entry)
         flagged.unpersist()
     finally:
-        prepared.unpersist()
+        batch.unpersist()
+
+
+def read_orders(spark, table: str) -> DataFrame | None:
+    """The order table: one row per id, its latest version."""
+    return sinks.read_latest(spark, table, ["id"])
 
 
 def run_orders(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
@@ -264,16 +315,31 @@ def run_orders(source: DataFrame, table: str, checkpoint: str, trigger: str | No
                   checkpoint, trigger)
 
 
-def _insert_orders(batch: DataFrame, batch_id: int, table: str) -> None:
-    sinks.upsert_new(batch.select(*ORDER_FIELDS), batch_id, table, ["id"], "create_date")
+def _upsert_orders(batch: DataFrame, batch_id: int, table: str) -> None:
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        orders, bad = _stored_orders(batch)
+        sinks.write_batch(orders, table, "create_date", batch_id)
+        sinks.write_batch(bad, _order_paths(table)[1], None, batch_id)
+    finally:
+        batch.unpersist()
 
 
 def run_orders_keyed_state(source: DataFrame, table: str, checkpoint: str,
-                           trigger: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """Order job with the first-order flag kept in RocksDB keyed state
-    (``transformWithStateInPandas``) instead of the known-users table."""
+                           trigger: str | None = None, state_partitions: int | None = None) -> Queries:
+    """Order job for a large user base: the orders are upserted without a flag, and a second query keeps
+    each user's first order as keyed state (RocksDB, in the JVM), so a batch never reads the known users.
+    ``read_flagged_orders`` joins the two. Invalid orders go to ``<table>_quarantine``."""
     good, _ = ingest.split_valid_orders(ingest.prepare_orders(ingest.parse_order(source)))
-    schema = good.select(*ORDER_FIELDS[:-1]).withColumn("is_first_order", F.lit("0")).schema
-    flagged = flag_first_stream(good.select(*ORDER_FIELDS[:-1]), schema)
-    with _ShufflePartitions(source.sparkSession, state_partitions):
-        return _start(flagged, lambda df, bid: _insert_orders(df, bid, table), checkpoint, trigger)
+    return Queries([_start(source, lambda df, bid: _upsert_orders(df, bid, table), checkpoint, trigger),
+                    _versions(first_order_stream(good), _order_paths(table)[0], None, f"{checkpoint.rstrip('/')}_users", trigger, state_partitions)])
+
+
+def read_flagged_orders(spark, table: str) -> DataFrame | None:
+    """The order table of :func:`run_orders_keyed_state` with ``is_first_order``."""
+    orders, users = read_orders(spark, table), sinks.read_latest(spark, _order_paths(table)[0], ["user_id"])
+    if orders is None or users is None:
+        return orders
+    users = users.select("first_id", F.lit("1").alias("_is"))  # the first order's id is unique: no hot key
+    return (orders.join(users, orders["id"] == users["first_id"], "left")
+            .select(*orders.columns, F.coalesce("_is", F.lit("0")).alias("is_first_order")))

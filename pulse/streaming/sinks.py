@@ -1,8 +1,13 @@
 """Replay-safe keyed upserts into date-partitioned Parquet tables.
 
 Layout: ``<table>/<day column>=<day>/batch=<id>/part-*.parquet``. A micro-batch
-writes only its own ``batch=<id>`` folders with dynamic partition overwrite, and
-decides what is new by an anti join against the *other* batches of the same days.
+writes only its own ``batch=<id>`` folders with dynamic partition overwrite. Two kinds of tables:
+
+* first write wins (devices of a day): what is new is decided by an anti join against the *other*
+  batches of the same days;
+* last write wins (orders): every batch stores its version of a record, and readers take the version of the
+  latest batch (``read_latest``); ``batch=compact`` is older than any numbered batch.
+
 Re-running a batch (after a failure between the write and the checkpoint commit)
 therefore rewrites identical folders: the table does not change.
 """
@@ -12,18 +17,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_COL = "batch"
 
 
+# What a table that nothing was written to yet raises; anything else is an error.
+_NOT_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _or_none(read) -> DataFrame | None:
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() in _NOT_WRITTEN:
+            return None
+        raise
+
+
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first write."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return _or_none(lambda: spark.read.parquet(path))
 
 
 def batch_days(df: DataFrame, day_col: str) -> list[str]:
@@ -37,10 +52,7 @@ def read_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str])
     if not days:
         return None
     pattern = f"{path.rstrip('/')}/{day_col}={{{','.join(days)}}}"
-    try:
-        return spark.read.option("basePath", path).parquet(pattern)
-    except AnalysisException:
-        return None
+    return _or_none(lambda: spark.read.option("basePath", path).parquet(pattern))
 
 
 def seen_keys(spark: SparkSession, path: str, keys: Sequence[str], day_col: str,
@@ -65,18 +77,22 @@ def write_batch(df: DataFrame, path: str, parts: str | Sequence[str] | None, bat
        .partitionBy(*cols, BATCH_COL).format(fmt).save(path))
 
 
-def upsert_new(df: DataFrame, batch_id: int, path: str, keys: Sequence[str], day_col: str,
-               days: Sequence[str] | None = None) -> DataFrame:
-    """Insert the rows of ``df`` whose key is not stored yet; returns what was written.
+def latest(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key the row of the latest batch (a partial aggregate, safe for hot keys), without ``batch``.
+    A table without batches has one row per key already."""
+    if BATCH_COL not in table.columns:
+        return table
+    cols = [c for c in table.columns if c != BATCH_COL]
+    rest = [c for c in cols if c not in keys]
+    version = F.coalesce(F.col(BATCH_COL).try_cast("bigint"), F.lit(-1).cast("bigint")).alias("_version")
+    agg = table.groupBy(*keys).agg(F.max(F.struct(version, *rest)).alias("_last"))
+    return agg.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in cols])
+
 
-    ``df`` must hold at most one row per key (see ``operators.dedup.first_per_key``)
-    and the key must include ``day_col`` or determine it."""
-    spark = df.sparkSession
-    days = batch_days(df, day_col) if days is None else list(days)
-    seen = seen_keys(spark, path, keys, day_col, days, batch_id)
-    new = df if seen is None else df.join(seen, list(keys), "left_anti")
-    write_batch(new, path, day_col, batch_id)
-    return new
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
+    """A last-write-wins table: one row per key."""
+    t = read_or_none(spark, path)
+    return None if t is None else latest(t, keys)
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame | None:
@@ -85,61 +101,53 @@ def read_result(spark: SparkSession, path: str) -> DataFrame | None:
     return None if t is None else t.drop(BATCH_COL)
 
 
-def compact_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str]) -> int:
-    """Rewrite each of ``days`` from its many ``batch=<id>`` folders into one folder
-    ``batch=compact``; returns the number of rows rewritten.
+def _delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder through Spark's own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
 
-    For finished days only (older than anything a running job can still replay):
-    the rows are first staged under the shared checkpoint folder, then
-    ``INSERT OVERWRITE … PARTITION (<day>=…)`` through an external catalog table
-    replaces every folder of those days at once. Later batches keep anti-joining
-    against the compacted folder (its batch value is never a batch id)."""
-    from pulse.session import shared_dir
+def compact_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str],
+                 keys: Sequence[str] | None = None) -> int:
+    """Rewrite ``days`` from their many ``batch=<id>`` folders into ``batch=compact``; returns
+    the number of rows. ``keys``: a last-write-wins table, of which the latest versions stay.
+
+    For finished days only (older than anything a running job can still replay). The rows are
+    staged next to the table (``<table>_staging``), on the same shared storage, and counted; only if
+    all are there, one ``INSERT OVERWRITE`` of each day replaces its folders. The staging stays until
+    the last day is done, so a failure in between loses nothing, and is deleted then."""
+    import uuid
     current = read_days(spark, path, day_col, days)
     if current is None:
         return 0
-    staging = shared_dir(spark, "compact_staging")
-    current.drop(BATCH_COL).write.partitionBy(day_col).parquet(staging)
-    staged = spark.read.parquet(staging)
-    cols = [c for c in staged.columns if c != day_col]
-    name = f"pulse_compact_{abs(hash((path, tuple(days)))) % 10**9}"
-    view = f"{name}_src"
-    staged.createOrReplaceTempView(view)
-    ddl_cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema.fields
-                         if f.name not in (day_col, BATCH_COL))
-    spark.sql(f"CREATE TABLE {name} ({ddl_cols}, `{day_col}` string, `{BATCH_COL}` string) USING parquet "
-              f"PARTITIONED BY (`{day_col}`, `{BATCH_COL}`) LOCATION '{path}'")
-    try:
-        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "STATIC")
-        try:
-            for day in days:
-                select_cols = ", ".join(f"`{c}`" for c in cols)
-                # Static day, dynamic batch: in static overwrite mode every folder under
-                # the day is replaced.
-                spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{day_col}` = '{day}', `{BATCH_COL}`) "
-                          f"SELECT {select_cols}, 'compact' AS `{BATCH_COL}` FROM {view} WHERE `{day_col}` = '{day}'")
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.dropTempView(view)
-    return staged.count()
+    rows = current.drop(BATCH_COL) if keys is None else latest(current, [*keys, day_col])
+    rows = rows.select(*[c for c in current.columns if c != BATCH_COL])
+    staging = f"{path.rstrip('/')}_staging/{uuid.uuid4().hex[:12]}"
+    expected = Observation("compact")
+    rows.observe(expected, F.count(F.lit(1)).alias("n")).write.partitionBy(day_col).parquet(staging)
+    schema = rows.schema
+    staged = spark.read.schema(schema).parquet(staging)
+    number = staged.count()
+    if number != expected.get["n"]:
+        raise RuntimeError(f"compaction of {path}: staged {number} of {expected.get['n']} rows")
+    for day in days:
+        part = staged.where(F.col(day_col) == day).drop(day_col)
+        # static overwrite of the day's folder: every batch of the day is replaced
+        part.withColumn(BATCH_COL, F.lit("compact")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy(BATCH_COL).parquet(f"{path.rstrip('/')}/{day_col}={day}")
+    _delete(spark, staging)
+    return number
 
 
 def compact_finished(spark: SparkSession, path: str, day_col: str, newest_open_day: str,
-                     window_days: int = 7) -> list[str]:
-    """Compact the ``window_days`` days before ``newest_open_day`` (exclusive) that
-    still have per-batch folders; returns the days compacted. Only those days'
-    folders are listed (a glob), never the whole table."""
-    from datetime import date, timedelta
-    end = date.fromisoformat(newest_open_day)
-    candidates = [(end - timedelta(days=i)).isoformat() for i in range(window_days, 0, -1)]
-    current = read_days(spark, path, day_col, candidates)
+                     keys: Sequence[str] | None = None) -> list[str]:
+    """Compact all days before ``newest_open_day`` that still have numbered batch folders,
+    however far back; returns them. Only such folders are listed and read (a glob)."""
+    pattern = f"{path.rstrip('/')}/{day_col}=*/{BATCH_COL}=[0-9]*"
+    current = _or_none(lambda: spark.read.option("basePath", path).parquet(pattern))
     if current is None:
         return []
-    open_days = sorted(r[0] for r in current.where(F.col(BATCH_COL) != F.lit("compact"))
-                       .select(day_col).distinct().collect())
+    open_days = sorted(r[0] for r in current.where(F.col(day_col) < F.lit(newest_open_day)).select(day_col).distinct().collect())
     if open_days:
-        compact_days(spark, path, day_col, open_days)
+        compact_days(spark, path, day_col, open_days, keys)
     return open_days

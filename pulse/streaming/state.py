@@ -1,165 +1,61 @@
-"""Keyed state: "has this user ordered before?" with ``transformWithStateInPandas``.
+"""Keyed state as streaming aggregates: everything runs in the JVM, state is kept in RocksDB.
 
-State lives in the RocksDB state store, partitioned by user like the stream, so a
-micro-batch looks up only the users it contains (no scan of all known users).
-Inside a batch, a user's rows arrive as Arrow chunks; only the running earliest
-order is held back, so memory per user is one chunk plus one row.
+A minimum per key in update mode gives, after every micro-batch, the current answer for the keys the
+batch touched; the sink stores it as that batch's version and readers take the latest version
+(``sinks.read_latest``). The answer does not depend on the order in which records arrive, nor on how they are
+split into batches or redelivered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-import sys
+from pulse.operators.dedup import numeric_id
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, StructField, StructType
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+EVENT_TIME = "_event_time"
 
-# The processors below run in Python workers on the executors. Pickle this module's
-# classes and helpers by value, so the workers need pandas and pyspark only, not
-# this package on their path. (The module imports nothing from the package.)
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-FLAG = "is_first_order"
-
-
-def _order_key(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sort columns equal to (create_time, id as number (non-numbers first), id)."""
-    num = pd.to_numeric(pdf["id"], errors="coerce")
-    return pd.DataFrame({"t": pdf["create_time"].fillna(""), "has": num.notna().astype(int),
-                         "n": num.fillna(0), "s": pdf["id"].fillna("")}, index=pdf.index)
-
-
-class FirstOrderFlagger(StatefulProcessor):
-    """Per user: the earliest order ever seen gets "1", every other order "0"."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", StructType([StructField("v", BooleanType())]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.seen.exists():
-            for pdf in rows:
-                yield pdf.assign(**{FLAG: "0"})
-            return
-        held = None  # one-row frame: the earliest order so far
-        for pdf in rows:
-            if pdf.empty:
-                continue
-            if held is None and len(pdf) == 1:
-                held = pdf
-                continue
-            cand = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            k = _order_key(cand)
-            first = k.sort_values(["t", "has", "n", "s"], kind="mergesort").index[0]
-            rest = cand.drop(index=first)
-            if not rest.empty:
-                yield rest.assign(**{FLAG: "0"})
-            held = cand.loc[[first]]
-        if held is not None:
-            self.seen.update((True,))
-            yield held.assign(**{FLAG: "1"})
-
-    def close(self) -> None:
-        pass
-
-
-def flag_first_stream(orders: DataFrame, output_schema: StructType) -> DataFrame:
-    """Streaming (or batch) orders -> the same rows with ``is_first_order``."""
-    spark = orders.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    return orders.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=FirstOrderFlagger(), outputStructType=output_schema,
-        outputMode="Append", timeMode="None")
-
-
-# --- first start per (device, day) -------------------------------------------------
-
-DAY_MS = 86_400_000
-DAU_ORDER = ["ts", "uid", "appid", "area", "os", "ch", "logType", "vs", "logHour"]
-EVENT_TIME = "event_time"
-
-
-def _earliest(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The row with the smallest ``ts``; ties settled by the rest of the record (nulls first)."""
-    ts = pdf["ts"]
-    at_min = pdf[ts == ts.min()]
-    if len(at_min) == 1:
-        return at_min
-    order = [c for c in DAU_ORDER if c in pdf.columns]
-    return pdf.sort_values(order, na_position="first", kind="mergesort").head(1)
-
-
-class FirstStartKeeper(StatefulProcessor):
-    """Per key: emit the earliest start of the first batch that sees the key and
-    remember the key.
-
-    Keyed by (device, day) with ``retention_ms``: an event-time timer at the end of
-    the day plus the retention clears the key once the watermark has passed (the
-    per-day seen-set expires), so state holds only the days still open for late data.
-    Keyed by device with ``retention_ms=None``: the key is kept for good, and the
-    output is each device's first start ever (its first-seen day)."""
-
-    def __init__(self, retention_ms: int | None = DAY_MS):
-        self.retention_ms = retention_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", StructType([StructField("v", BooleanType())]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.seen.exists():
-            for _ in rows:
-                pass
-            return
-        best = None
-        for pdf in rows:
-            if pdf.empty:
-                continue
-            cand = pdf if best is None else pd.concat([best, pdf], ignore_index=True)
-            best = cand if len(cand) == 1 else _earliest(cand)
-        if best is not None:
-            self.seen.update((True,))
-            if self.retention_ms is not None:
-                day_start = int(pd.Timestamp(key[1]).value // 1_000_000)
-                self.handle.registerTimer(day_start + DAY_MS + self.retention_ms)
-            yield best.drop(columns=[EVENT_TIME], errors="ignore")
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def first_start_stream(startups: DataFrame, retention_days: int = 1) -> DataFrame:
-    """Streaming parsed startups -> one row per (mid, logDate), kept in RocksDB state.
-
-    The watermark trails the newest start by ``retention_days``: later starts of a day
-    that old are dropped (the late-data bound), and that day's keys are evicted."""
-    from pyspark.sql import functions as F
-    spark = startups.sparkSession
+def use_rocksdb(spark: SparkSession) -> None:
+    """State beyond an executor's memory; the conf is read when a query starts."""
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    timed = (startups.withColumn(EVENT_TIME, F.timestamp_millis("ts"))
-             .withWatermark(EVENT_TIME, f"{int(retention_days)} days"))
-    return timed.groupBy("mid", "logDate").transformWithStateInPandas(
-        statefulProcessor=FirstStartKeeper(retention_days * DAY_MS), outputStructType=startups.schema,
-        outputMode="Append", timeMode="EventTime")
+
+
+def _earliest(rest: list[str]):
+    return F.min(F.struct("ts", *rest)).alias("_first")
+
+
+def first_start_stream(startups: DataFrame, retention_days: int | None = None) -> DataFrame:
+    """Streaming parsed startups -> the earliest start per (mid, logDate), in update mode.
+
+    Without ``retention_days`` nothing is late and the keys of past days stay in the state. With it the
+    watermark trails the newest start by so many days: a day's keys are evicted when it has passed, and
+    starts of such a day are not taken any more (``numRowsDroppedByWatermark`` of the query's progress
+    counts them)."""
+    use_rocksdb(startups.sparkSession)
+    rest = [c for c in startups.columns if c not in ("mid", "logDate", "ts")]
+    keys = ["mid", "logDate"]
+    if retention_days is not None:
+        startups = startups.withColumn(EVENT_TIME, F.timestamp_millis("ts")).withWatermark(EVENT_TIME, f"{int(retention_days)} days")
+        agg = startups.groupBy(F.window(EVENT_TIME, "1 day").alias("_day"), *keys).agg(_earliest(rest)).drop("_day")
+    else:
+        agg = startups.groupBy(*keys).agg(_earliest(rest))
+    return agg.select(*keys, "_first.*")
 
 
 def first_seen_stream(startups: DataFrame) -> DataFrame:
-    """Streaming parsed startups -> each device's first start ever (one row per ``mid``;
-    its ``logDate`` is the day the device was new). State: one flag per device, kept
-    in RocksDB without expiry, touched only for the devices of the batch."""
-    spark = startups.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    return startups.groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=FirstStartKeeper(None), outputStructType=startups.schema,
-        outputMode="Append", timeMode="None")
+    """Streaming parsed startups -> each device's first start ever, in update mode (its
+    ``logDate`` is the day the device was new)."""
+    use_rocksdb(startups.sparkSession)
+    rest = [c for c in startups.columns if c not in ("mid", "ts")]
+    return startups.groupBy("mid").agg(_earliest(rest)).select("mid", "_first.*")
+
+
+def first_order_stream(orders: DataFrame) -> DataFrame:
+    """Streaming orders -> (user_id, first_id): each user's earliest order, in update mode."""
+    use_rocksdb(orders.sparkSession)
+    key = F.struct("create_time", *[c.alias(f"o{i}") for i, c in enumerate(numeric_id("id"))], F.col("id").alias("first_id"))
+    return (orders.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.min(key).alias("_first"))
+            .select("user_id", F.col("_first.first_id").alias("first_id")))

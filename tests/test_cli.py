@@ -49,3 +49,12 @@ def test_cli_cdc_with_quarantine_and_compact(spark, scratch, capsys):
     assert main(["compact", "--table", table, "--day-col", "logDate", "--days", "2024-01-15"]) == 0
     assert "compacted 2 rows" in capsys.readouterr().out
     assert os.listdir(f"{table.replace('file:', '')}/logDate=2024-01-15") == ["batch=compact"]
+
+
+def test_cli_report_detail(spark, capsys):
+    assert main(["report", "detail", "--tables", "/root/testdata/sf0.001", "--start", "0", "--length", "10", "--order", "sku_price:desc",
+                 "--order", "order_detail_id"]) == 0
+    doc = json.loads(capsys.readouterr().out)
+    rows = doc["data"]["detail"]
+    prices = [r["sku_price"] for r in rows]
+    assert len(rows) == 10 and prices == sorted(prices, reverse=True) and doc["data"]["total"] > 10

@@ -57,3 +57,28 @@ def test_level_and_day_filters(spark, detail):
     day = detail.select("dt").first().dt
     assert reports.filter_detail(detail, day=day).count() == detail.where(F.col("dt") == day).count()
     assert reports.filter_detail(detail, day="not-a-day").count() == 0
+
+
+def test_a_page_past_the_end_keeps_the_total(spark, detail):
+    total = detail.count()
+    rows = reports.paged_detail(detail, total + 10, 10).collect()
+    assert [r.total for r in rows] == [total] and rows[0].order_detail_id is None
+    last = reports.paged_detail(detail, max(0, total - 1), 10).collect()
+    assert len(last) == 1 and last[0].order_detail_id is not None
+
+
+def test_page_sizes_are_bounded(detail):
+    import pytest
+    for start, length in ((0, 11), (0, 0), (-1, 10), (0, 1000)):
+        with pytest.raises(ValueError):
+            reports.paged_detail(detail, start, length)
+        with pytest.raises(ValueError):
+            reports.report_detail(detail, 1, start, length)
+
+
+def test_report_detail_takes_an_order(detail):
+    import json
+    doc = json.loads(reports.report_detail(detail, 1, 0, 20, order=[("sku_price", "desc"), ("user_age", "asc")]).first().doc)
+    got = [r["order_detail_id"] for r in doc["data"]["detail"]]
+    want = [r.order_detail_id for r in reports.detail_order_by(detail, [("sku_price", "desc"), ("user_age", "asc")], 20).collect()]
+    assert got == want

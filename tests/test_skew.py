@@ -68,3 +68,20 @@ def test_first_per_key_with_hot_device_is_exact(spark):
         total = got.count()
     assert hot.ts == 10_000_000 - (n - 1 - (n - 1) % 3)
     assert total == 501
+
+
+def test_drop_seen_with_hot_device_is_exact_and_spread(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("mid"),
+        F.lit("2024-01-15").alias("logDate"), F.col("id").alias("ts"))
+    seen = spark.range(250).select((F.col("id") * 2).cast("string").alias("mid"), F.lit("2024-01-15").alias("logDate"))
+    keys = ["mid", "logDate"]
+    with conf(spark, FORCE_SKEW):
+        out = dedup.drop_seen(rows, seen, keys, hot_rows=1_000)
+        got = sorted((r.mid, r.ts) for r in out.collect())
+        parts = out.where("mid = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    want = sorted((r.mid, r.ts) for r in rows.join(seen, keys, "left_anti").collect())
+    assert got == want and sum(m == "hot" for m, _ in got) == 10_000
+    assert len(parts) >= 4
+    everything = seen.unionByName(spark.createDataFrame([("hot", "2024-01-15")], "mid string, logDate string"))
+    assert dedup.drop_seen(rows, everything, keys, hot_rows=1_000).where("mid = 'hot'").count() == 0

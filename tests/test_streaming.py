@@ -148,18 +148,22 @@ def test_file_topics_round_trip(spark, scratch):
     assert spark.read.parquet(f"{base}/topic=changes").first().value == '{"id":"3","op":"INSERT"}'
 
 
-def test_keyed_state_dau_drops_starts_behind_watermark(spark, scratch):
+def test_keyed_state_dau_evicts_finished_days(spark, scratch):
     topic, table, ckpt = scratch("ks_topic"), scratch("ks_table"), scratch("ks_ckpt")
     def run(recs):
         lines = [(m, json.dumps({"type": "startup", "mid": m, "ts": t})) for m, t in recs]
         spark.createDataFrame(lines, "key string, value string").write.mode("append").parquet(topic)
         src = spark.readStream.schema("key string, value string").parquet(topic)
-        jobs.run_dau_keyed_state(src, table, ckpt, "available_now", retention_days=1).awaitTermination()
+        q = jobs.run_dau_keyed_state(src, table, ckpt, "available_now", retention_days=1)
+        q.awaitTermination()
+        return [p["stateOperators"][0] for p in q[0].recentProgress if p["stateOperators"]]
     run([("a", BASE + 9), ("a", BASE + 4), ("b", BASE + 1)])
-    run([("a", BASE + 5 * DAY_MS)])
-    run([("c", BASE + 3)])          # 5 days behind the watermark: dropped
+    assert run([("a", BASE + 5 * DAY_MS)])[0]["numRowsTotal"] >= 1
+    late = run([("c", BASE + 3)])   # 5 days behind the watermark: counted, not taken
+    assert sum(s["numRowsDroppedByWatermark"] for s in late) == 1
+    assert late[-1]["numRowsTotal"] == 1  # the keys of the finished day were evicted, the open day's stays
     run([("a", BASE + 5 * DAY_MS + 1)])  # same key later: already seen
-    got = sorted((r.mid, r.logDate, r.ts) for r in spark.read.parquet(table).collect())
+    got = sorted((r.mid, r.logDate, r.ts) for r in sinks.read_latest(spark, table, jobs.DAU_KEYS).collect())
     assert got == [("a", "2024-01-15", BASE + 4), ("a", "2024-01-20", BASE + 5 * DAY_MS), ("b", "2024-01-15", BASE + 1)]
 
 
@@ -231,3 +235,110 @@ def test_late_start_after_compaction(spark, scratch):
                                     ("c", "2024-01-15", BASE + 2)]
     jobs.dau_batch(startup_lines(spark, [("a", BASE + 1), ("c", BASE + 2)]), 2, t)  # replay
     assert len(table_rows(spark, t)) == 3
+
+
+def feed(spark, topic, lines):
+    spark.createDataFrame([(None, x) for x in lines], "key string, value string").write.mode("append").parquet(topic)
+    return spark.readStream.schema("key string, value string").parquet(topic)
+
+
+def start_line(mid, ts):
+    return json.dumps({"type": "startup", "mid": mid, "ts": ts})
+
+
+def test_late_and_malformed_starts_give_the_same_table_in_both_modes(spark, scratch):
+    tables = {}
+    for mode in ("table", "state"):
+        topic, table, ckpt = (scratch(f"{mode}_{x}") for x in ("topic", "table", "ckpt"))
+        logs = []
+        for lines in ([start_line("a", BASE + 3 * DAY_MS), "not json", json.dumps({"mid": "x"})],
+                      [start_line("b", BASE), start_line("a", BASE + 3 * DAY_MS + 1), json.dumps({"ts": 5})]):
+            src = feed(spark, topic, lines)
+            q = (jobs.run_dau(src, table, ckpt, "available_now", log=logs.append) if mode == "table"
+                 else jobs.run_dau_keyed_state(src, table, ckpt, "available_now"))
+            q.awaitTermination()
+            assert not q.exception()
+        tables[mode] = sorted((r.mid, r.logDate, r.ts) for r in sinks.read_latest(spark, table, jobs.DAU_KEYS).collect())
+        bad = sorted(r.value for r in spark.read.parquet(f"{table}_quarantine").collect())
+        assert bad == sorted(["not json", json.dumps({"mid": "x"}), json.dumps({"ts": 5})])
+        if mode == "table":
+            assert [x["quarantined"] for x in logs] == [2, 1]
+    assert tables["table"] == tables["state"] == [("a", "2024-01-18", BASE + 3 * DAY_MS), ("b", "2024-01-15", BASE)]
+
+
+def order_line(i, user, time, amount="1.0", operate=""):
+    return json.dumps({"id": str(i), "user_id": user, "create_time": time, "total_amount": amount, "operate_time": operate,
+                       "consignee_tel": "13812348888"})
+
+
+ORDER_BATCHES = [
+    [order_line(1, "u", "2024-01-15 10:00:00", "10.0"), order_line(1, "u", "2024-01-15 10:00:00", "10.0"),
+     order_line(2, "u", "2024-01-15 11:00:00"), order_line(3, None, "2024-01-15 11:00:00"), order_line(9, "x", "2024/01/15 10:00:00"),
+     order_line(10, "x", "garbage 10:00:00"), order_line(11, "x", ""), "{broken"],
+    [order_line(1, "u", "2024-01-15 10:00:00", "10.0"), order_line(2, "u", "2024-01-15 11:00:00", "5.0", "2024-01-16 00:00:00"),
+     order_line(2, "u", "2024-01-15 11:00:00", "4.0", "2024-01-15 23:00:00"), order_line(4, "v", "2024-01-16 09:00:00")],
+    [order_line(5, "v", "2024-01-17 09:00:00"), order_line(6, None, "2024-01-17 09:00:00")],
+]
+ORDERS_WANTED = {"1": (10.0, "1"), "2": (5.0, "0"), "3": (1.0, "0"), "4": (1.0, "1"), "5": (1.0, "0"), "6": (1.0, "0")}
+
+
+def test_orders_are_upserted_in_both_modes(spark, scratch):
+    """Repeats inside and across batches, a corrected order, orders without a user, invalid times."""
+    for mode in ("table", "state"):
+        topic, table, ckpt = (scratch(f"up_{mode}_{x}") for x in ("topic", "table", "ckpt"))
+        for lines in ORDER_BATCHES:
+            src = feed(spark, topic, lines)
+            run = jobs.run_orders if mode == "table" else jobs.run_orders_keyed_state
+            q = run(src, table, ckpt, "available_now")
+            q.awaitTermination()
+            assert not q.exception()
+        rows = (jobs.read_orders if mode == "table" else jobs.read_flagged_orders)(spark, table).collect()
+        assert {r.id: (r.total_amount, r.is_first_order) for r in rows} == ORDERS_WANTED and len(rows) == 6
+        assert spark.read.parquet(f"{table}_quarantine").count() == 4
+
+
+def test_known_users_are_a_set_and_replays_change_nothing(spark, scratch):
+    table = scratch("set")
+    parts = [spark.createDataFrame([(x,) for x in lines], "value string") for lines in ORDER_BATCHES]
+    for bid in (0, 1, 2, 2, 1, 0):
+        jobs.orders_batch(parts[bid], bid, table)
+    rows = jobs.read_orders(spark, table).collect()
+    assert {r.id: (r.total_amount, r.is_first_order) for r in rows} == ORDERS_WANTED
+    users = [r.user_id for r in spark.read.parquet(f"{table}_users").collect()]
+    assert sorted(users) == ["u", "v"]
+    assert sinks.compact_days(spark, table, "create_date", ["2024-01-15"], ["id"]) == 3
+    assert {r.id: (r.total_amount, r.is_first_order) for r in jobs.read_orders(spark, table).collect()} == ORDERS_WANTED
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import pytest
+
+    from pulse import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session(), "x")
+
+
+def test_only_a_missing_table_counts_as_not_written(spark, scratch):
+    import pytest
+    assert sinks.read_or_none(spark, scratch("nothing")) is None
+    path = scratch("text")
+    spark.createDataFrame([("no parquet",)], "value string").write.text(path)
+    with pytest.raises(Exception, match="parquet|Parquet"):
+        sinks.read_or_none(spark, path).count()
