@@ -12,7 +12,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # White space of the word pattern ``[^\x20\x09-\x0D]+`` (fixed values).
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -27,7 +26,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
         root = "file://" + tempfile.mkdtemp(prefix="pulse-llm-")
@@ -92,10 +91,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(tops)
 
 
-def long_schema(**fields: str) -> T.StructType:
-    return T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in fields.items()))
-
-
 _SHIPPED: set[str] = set()
 
 
