@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 from pulse.operators import dedup, metrics
 

@@ -1,6 +1,5 @@
 """Edge cases of the column functions and the ingest operators (FIXTURES §3)."""
 
-from pyspark.sql import functions as F
 
 from pulse.functions import (AGE_LABELS, age_band, mask_phone, match_keyword, on_date, prev_day,
                              route_topic, sales_band, split_create_time, stamp_ts)
