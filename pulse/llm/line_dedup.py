@@ -236,8 +236,8 @@ def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_words: int = MI
     hit = marked.where("_hit").join(gone, ["d", "t"], "left")
     miss = marked.where("not _hit").withColumn("removed", F.lit(None).cast("array<int>"))
     out = hit.select(*miss.columns).unionByName(miss)
-    lines = F.split("text", "\n", -1)
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed")), lambda i: F.element_at(lines, i + 1))
+    out = out.withColumn("_lines", F.split("text", "\n", -1))  # a column: inside a lambda it would be split once per line
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed")), lambda i: F.element_at("_lines", i + 1))
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return out.select(*[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in names],
-                      F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+                      F.greatest(F.size("_lines"), F.lit(0)).alias("n_lines"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
