@@ -34,6 +34,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+BATCH_ROWS = 2000
 # What a bitmap broadcast may hold at most: 8 MB, whatever the size of the tables.
 BITMAP_BITS = 1 << 26
 
@@ -141,11 +142,15 @@ def map_arrow(df: DataFrame, run, schema, state: bool = False) -> DataFrame:
             release()
         return run(batches)
 
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:  # whole texts: some MB a batch, in the JVM and in Python
+        spark.conf.set(key, str(BATCH_ROWS))
     return df.mapInArrow(task, schema)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20, keep_nulls: bool = False) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 2 << 20, keep_nulls: bool = False) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with about ``size`` bytes in ``column``: the memory of a
     task follows the size of a block, not the number of rows in an Arrow batch. A larger single
     value is a block of its own. Null values become empty unless ``keep_nulls``."""
