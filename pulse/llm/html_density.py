@@ -2,9 +2,12 @@
 
 The page becomes a tree of block nodes (inline tags only count as tags). Every node has a density:
 characters per tag, adjusted by the share of its characters and tags that are links. The densities of
-a node's children are summed, and the node with the largest sum holds the article; where it lies in an
-``article`` or ``main`` element, that element does. The smallest density on the path from that node to
-the body is the threshold below which a block of links inside the article counts as a menu.
+a node's children are summed, and the smallest density on the path from the node with the largest sum to
+the body is the threshold. From the body down, every block that reaches it (as do all blocks around it) gives
+the subtree with the largest sum inside it; so an article in several containers is kept from all of them.
+Where the densest node lies in an ``article`` or ``main`` element, that element is the article: ``main`` if it
+holds several articles, and else the innermost ``article`` with those of its siblings that reach the threshold.
+Inside the article a block of links below the threshold counts as a menu.
 
 Never part of an article, whatever their density: scripts, styles, forms, navigation, asides, footers,
 headers outside the article, and elements whose class, id or role calls them a menu, sidebar, notice,
@@ -239,12 +242,11 @@ def _article(tree: Tree) -> str:
     while path[-1]:
         path.append(parent[path[-1]])
     limit = min(dens[k] for k in path if block[k])
-    root = next((k for name in ("article", "main") for k in path if tree.tag[k] == name), best)
+    roots = _roots(tree, path, dens, total, holder, limit)
     inside = [False] * n
-    inside[root] = True
-    for k in range(root + 1, n):
+    for k in range(n):
         menu = block[k] and link_tags[k] >= 3 and link_chars[k] >= 0.9 * chars[k] and dens[k] < limit
-        inside[k] = inside[parent[k]] and not dropped[k] and not menu
+        inside[k] = (k in roots or k > 0 and inside[parent[k]]) and not dropped[k] and not menu
     out: list[str] = []
     words: list[str] = []
     for k, text in [*texts, (0, None)]:
@@ -257,6 +259,35 @@ def _article(tree: Tree) -> str:
     return "\n".join(out)
 
 
+def _roots(tree: Tree, path: list[int], dens: list[float], total: list[float], holder: list[int], limit: float) -> set[int]:
+    """The nodes whose subtrees are the article. ``path``: the densest node and all above it."""
+    n, tag, parent = len(tree.tag), tree.tag, tree.parent
+    main = next((k for k in path if tag[k] == "main"), None)
+    article = next((k for k in path if tag[k] == "article"), None)
+    if main is not None:
+        outer, several = [-1] * n, 0  # the outermost article around a node, below main
+        for k in range(main + 1, n):
+            if parent[k] < main:
+                break
+            outer[k] = outer[parent[k]] if outer[parent[k]] >= 0 else k if tag[k] == "article" else -1
+            several += outer[k] == k and dens[k] > 0
+        if several > 1 or article is None:
+            return {main}
+    if article is not None:
+        return {article} | {k for k in range(n) if tag[k] == "article" and parent[k] == parent[article] and 0 < limit <= dens[k]}
+    best = list(range(n))  # the node of the largest sum in each subtree, the first of several
+    for k in range(n - 1, 0, -1):
+        p = parent[k]
+        if total[best[k]] > total[best[p]] or best[p] != p and total[best[k]] == total[best[p]]:
+            best[p] = best[k]
+    reach, roots = [False] * n, {path[0]}
+    for k in range(n):
+        reach[k] = tree.block[k] and dens[k] > 0 and dens[k] >= limit and (not k or reach[holder[parent[k]]])
+        if reach[k]:
+            roots.add(best[k])
+    return roots
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """Rows (page_id, url, text, n_chars), one per row of ``pages``; no shuffle, whole pages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,6 +40,27 @@ def test_densest_subtree_without_article_tags():
     assert got == f"Head\n{PARA}\n{PARA} Again."
 
 
+LONG = "Words of a long paragraph that goes on and on, as articles do. " * 5
+
+
+def test_article_in_several_containers():
+    """Each section's sum is larger than that of the container of both."""
+    texts = [f"{LONG}Number {k}." for k in range(10)]
+    halves = ["".join(f"<p>{x}</p>" for x in part) for part in (texts[:5], texts[5:])]
+    menu = "<div>" + "".join(f"<a href=/{k}>Menu item {k}</a>" for k in range(6)) + "</div>"
+    for between in ("", menu):
+        for source in (f"{menu}<div><section>{halves[0]}</section>{between}<section>{halves[1]}</section></div>{menu}",
+                       f"{menu}<div>{halves[0]}</div>{between}<div><div>{halves[1]}</div></div>{menu}"):
+            assert main_text(page(source)) == "\n".join(texts)
+
+
+def test_several_articles():
+    texts = [f"{LONG}Number {k}." for k in range(6)]
+    one, two = f"<article><p>{texts[0]}</p></article>", "<article>" + "".join(f"<p>{x}</p>" for x in texts[1:]) + "</article>"
+    assert main_text(page(f"<main>{one}{two}</main>")) == main_text(page(f"<div>{one}{two}</div>")) == "\n".join(texts)
+    assert main_text(page(f"<main>{two}<p>Beside</p></main>")) == "\n".join(texts[1:])
+
+
 def test_page_inside_a_form_or_a_marked_container():
     assert main_text(page(f"<form><p>{PARA}</p></form>")) == PARA
     assert main_text(page(f"<div class='widget'><p>{PARA}</p></div>")) == PARA
