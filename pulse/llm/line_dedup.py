@@ -1,6 +1,7 @@
 """Line deduplication over a corpus by a deletion-neighbourhood join.
 
-A line is its words (split at white space, punctuation at their ends cut, lower case). A line within
+A line is its words (split at white space, punctuation at their ends cut, lower case; each letter of a
+script written without spaces, such as Han, Kana or Thai, is a word). A line within
 one word edit (insert, delete, replace) of an earlier line goes; earlier means the smaller (doc_id, line
 number). ``max_edits=0`` takes equal lines only. Lines of fewer than ``min_words`` words always stay,
 lines of fewer than ``near_words`` words go only if an earlier line has the same words.
@@ -28,6 +29,7 @@ no rows; other columns of the documents pass through.
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Iterator
 
@@ -42,7 +44,11 @@ from pulse.llm.common import bitmap, blocks, encode_words, map_arrow, may_hold,
 MAX_EDITS, MIN_WORDS, NEAR_WORDS = 1, 4, 10
 LATEST = (1 << 63) - 1
 _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
-_TRIM = string.punctuation + "«»„“”‘’…–—¿¡"
+_TRIM = string.punctuation + "«»„“”‘’…–—¿¡" + "。、，．！？：；「」『』（）【】《》〈〉・～"
+# Thai, Lao, Tibetan, Myanmar, Khmer, Kana, Han (fixed values). In UTF-8 they begin with a byte from E0 on, but not E2.
+UNSPACED = ("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+            "\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af])")
+_UNSPACED = re.compile(UNSPACED)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -53,7 +59,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def normal_words(line: str) -> list[str]:
-    return [w for x in line.split() if (w := x.strip(_TRIM).lower())]
+    return [w for x in _UNSPACED.sub(r" \1 ", line).split() if (w := x.strip(_TRIM).lower())]
+
+
+def split_words(texts: pa.Array) -> pa.ListArray:
+    """The words of the texts, not yet trimmed: split at white space and around every unspaced letter."""
+    ends = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]] if len(texts) else np.zeros(0, np.uint8)
+    if ((data >= 0xE0) & (data != 0xE2)).any():
+        texts = pc.replace_substring_regex(texts, UNSPACED, r" \1 ")
+    return pc.utf8_split_whitespace(texts)
 
 
 class LineHashes:
@@ -61,7 +76,7 @@ class LineHashes:
 
     def __init__(self, lines: pa.Array):
         import xxhash
-        split = pc.utf8_split_whitespace(lines)
+        split = split_words(lines)
         ends = split.offsets.to_numpy().astype(np.int64)
         codes, words = encode_words(split.values.slice(ends[0], ends[-1] - ends[0]))
         ends -= ends[0]

@@ -77,6 +77,24 @@ def test_odd_rows(frame):
     assert sorted((r["doc_id"], r["text"]) for r in twice) == [(1, "a b c d"), (1, "a b c d"), (2, "")]
 
 
+def test_scripts_without_spaces(frame):
+    """Each letter counts: copies and near copies of unspaced lines go; blocks with and without such letters agree."""
+    rnd = random.Random(6)
+    han, thai = ["".join(chr(rnd.randrange(a, b)) for _ in range(300)) for a, b in ((0x4E00, 0x9FA0), (0x0E01, 0x0E2F))]
+    rows = [(1, f"{han}\n{thai}\nかなかな\n漢字"), (2, f"{thai}\n{han}。\n「かなかな」\n漢字"), (3, han[:150] + "x" + han[150:]),
+            (4, han[:7] + thai[7:]), (5, thai[:99] + thai[100:]), (6, "plain “words” in a line"), (7, "plain words in a line")]
+    check(frame(rows), rows)
+    got = {r["doc_id"]: r["removed"] for r in L.dedup_lines(frame(rows)).collect()}
+    assert got == {1: [], 2: [0, 1, 2], 3: [0], 4: [], 5: [0], 6: [], 7: [0]}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("aB ,.。漢かกꞏ\u3000\u30fc\U00020001é\U0001F600"), max_size=12))
+def test_words_of_both_kinds_agree(text):
+    got = [w for x in L.split_words(pa.array(["x", text], pa.large_string()).slice(1))[0].as_py() if (w := x.strip(L._TRIM).lower())]
+    assert got == L.normal_words(text)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from(["a", "b", "c"]), min_size=2, max_size=9), st.data())
 def test_one_edit_shares_a_half_and_a_variant(words, data):
