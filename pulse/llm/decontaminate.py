@@ -1,7 +1,9 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
-Texts and items are words (split at white space, punctuation at their ends cut, lower case). An item of
-n words is found where some run of a text's words is within ``floor(max_rate * n)`` word edits of it.
+Texts and items are words (split at white space, punctuation at their ends cut, lower case; each letter of a
+script written without spaces is a word). An item of n words is found where some run of a text's words is
+within ``floor(max_rate * n)`` word edits of it; an item of fewer than ``min_item_words`` words where a run
+equals it (at the default rate that is the same), by hashes of all runs of its size, compared word by word.
 
 Where a window has fewer word pairs of items than that bound leaves in common with an item (an edit destroys
 two pairs at most), it is passed over; this loses nothing.
@@ -15,8 +17,8 @@ by the exact edit distance of the item to any run of the words around the window
 Items go to the tasks in blocks of at most ``BLOCK_CHARS`` characters (the text is read once per block), so
 a task's memory does not grow with the benchmark. No shuffle: whole texts are searched where they are read.
 
-Defined results: null or empty texts match nothing; items without ``min_item_words`` words are no evidence
-and match nothing; equal items are found as one each; repeated rows and null ids give rows like any
+Defined results: null or empty texts match nothing; items without words
+match nothing; equal items are found as one each; repeated rows and null ids give rows like any
 other; empty tables give no rows; other columns are ignored (or pass through, in :func:`clean`).
 """
 
@@ -27,12 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, worker_state
-from pulse.llm.line_dedup import _TRIM, mix, normal_words
+from pulse.llm.line_dedup import _TRIM, mix, normal_words, split_words
 
 MAX_RATE, MIN_ITEM_WORDS = 0.2, 5
 RECALL, AGREEMENT, BITS, WALKS, SEED = 0.99, 0.45, 3, 2, 7
@@ -48,7 +49,7 @@ class Items:
         self.ids, self.words, seen = [], [], set()
         for item, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")):
             words = normal_words(text or "")
-            if len(words) >= min_words and (item, tuple(words)) not in seen:
+            if words and (item, tuple(words)) not in seen:
                 seen.add((item, tuple(words)))
                 self.ids.append(item)
                 self.words.append(words)
@@ -60,16 +61,27 @@ class Items:
         if not self.ids:
             return
         self.span = len(names) + 2
-        self.pairs = np.unique(np.concatenate([c[:-1] * self.span + c[1:] for c in self.codes]))
+        self.short = {}  # size -> (hashes of the items of that size, sorted; the items)
+        for size in np.unique(self.sizes[self.sizes < min_words]).tolist():
+            mine = np.flatnonzero(self.sizes == size)
+            self.edits[mine] = 0
+            keys = self.run_keys(np.concatenate([self.codes[i] for i in mine]), size)[::size]
+            order = np.argsort(keys, kind="stable")
+            self.short[size] = keys[order], mine[order]
+        long = np.flatnonzero(self.sizes >= min_words)
+        self.classes = []
+        if not len(long):
+            return
+        self.pairs = np.unique(np.concatenate([self.codes[i][:-1] * self.span + self.codes[i][1:] for i in long]))
         # size classes, a quarter apart; an item is embedded by its first words, as many as its class has
-        self.classes, size = [], int(self.sizes.min())
+        size = int(self.sizes[long].min())
         while size <= self.sizes.max():
             self.classes.append(size)
             size = max(size + 1, size * 5 // 4)
         self.class_of = np.searchsorted(self.classes, self.sizes, side="right") - 1
         # A run within k edits of an item of n words has at most n + k words and keeps n - 1 - 2k of the
         # item's pairs. For each class: the fewest such pairs, and the widest such run.
-        of = [self.class_of == k for k in range(len(self.classes))]
+        of = [(self.class_of == k) & (self.sizes >= min_words) for k in range(len(self.classes))]
         self.least = [max(1, int((self.sizes[m] - 1 - 2 * self.edits[m]).min())) if m.any() else 1 << 30 for m in of]
         self.reach = [int((self.sizes[m] + self.edits[m]).max()) if m.any() else 1 for m in of]
         self.tables = math.ceil(math.log(1 - recall) / math.log(1 - AGREEMENT ** BITS) / WALKS)
@@ -77,7 +89,7 @@ class Items:
         self.steps = [[np.sort(rng.choice(2 * c, BITS, replace=False)) for _ in range(self.tables * WALKS)] for c in self.classes]
         keys, owner = [], []
         for k in range(len(self.classes)):
-            mine = np.flatnonzero(self.class_of == k)
+            mine = np.flatnonzero(of[k])
             if len(mine):
                 flat = np.concatenate([self.codes[i] for i in mine])
                 ends = np.cumsum(self.sizes[mine])
@@ -115,6 +127,35 @@ class Items:
                     at += (shown >> np.uint64(17) & np.uint64(1)).astype(np.int64)
             return mix(out + mix(np.arange(number, dtype=np.uint64) + np.uint64(1000 * (k + 1)))[:, None])
 
+    def run_keys(self, words: np.ndarray, size: int) -> np.ndarray:
+        """A hash of each run of ``size`` words."""
+        n = max(0, len(words) - size + 1)
+        out = np.zeros(n, np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(size):
+                out = mix(out * _Q + words[k:k + n].astype(np.uint64))
+        return out
+
+    def exact(self, words: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """The rows of :meth:`search` for the short items: the first run that equals the item."""
+        begins = np.concatenate(([0], ends[:-1]))
+        first: dict[tuple[int, int], int] = {}
+        for size, (keys, owner) in self.short.items():
+            run = self.run_keys(words, size)
+            left, right = np.searchsorted(keys, run, side="left"), np.searchsorted(keys, run, side="right")
+            at = np.flatnonzero(right > left)
+            text = np.searchsorted(ends, at, side="right")
+            inside = at + size <= ends[text]
+            at, text = at[inside], text[inside]
+            _, once = np.unique(np.stack((text, run[at].view(np.int64)), 1), axis=0, return_index=True)  # the first of each text and run
+            for s, t in zip(at[once].tolist(), text[once].tolist()):
+                for item in owner[left[s]:right[s]].tolist():
+                    places = [s] if np.array_equal(words[s:s + size], self.codes[item]) else at[(text == t) & (run[at] == run[s])]
+                    hit = next((int(a) for a in places if np.array_equal(words[a:a + size], self.codes[item])), None)
+                    if hit is not None:
+                        first[t, item] = hit - int(begins[t])
+        return [(t, item, 0, a, a + int(self.sizes[item])) for (t, item), a in sorted(first.items())]
+
     def windows(self, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Starts of the windows that may hold an item, and for each class which of them. ``words``: codes
         of all texts, ``ends``: where each text ends."""
@@ -137,6 +178,8 @@ class Items:
 
     def search(self, words: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """Verified (text, item, edits, first word, end) of all texts: the best run per text and item."""
+        if not self.classes:
+            return self.exact(words, ends)
         starts, fits = self.windows(words, ends)
         found: dict[tuple[int, int], set[int]] = {}
         for lo in range(0, len(starts), 1 << 15):
@@ -154,7 +197,7 @@ class Items:
                     for item in set(self.owner[left[x]:right[x]].tolist()):
                         found.setdefault((int(text[pick[w[x]]]), item), set()).add(s)
         begins = np.concatenate(([0], ends[:-1]))
-        out = []
+        out = self.exact(words, ends)
         for (text, item), places in sorted(found.items()):
             n, edits, best = int(self.sizes[item]), int(self.edits[item]), None
             reach = 0  # windows that overlap are verified as one region
@@ -200,7 +243,7 @@ def nearest_run(item: np.ndarray, words: np.ndarray, bound: int) -> tuple[int, i
 
 def _codes(texts: pa.Array, items: Items) -> tuple[np.ndarray, np.ndarray]:
     """Item word numbers of all texts, one after the other, and where each text ends."""
-    split = pc.utf8_split_whitespace(texts)
+    split = split_words(texts)
     ends = split.offsets.to_numpy().astype(np.int64)
     codes, words = encode_words(split.values.slice(ends[0], ends[-1] - ends[0]))
     table = np.empty(len(words), np.int64)

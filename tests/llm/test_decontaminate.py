@@ -90,6 +90,19 @@ def test_table(frame):
     assert D.clean(docs, frame([], ITEM)).count() == len(ROWS)
 
 
+def test_short_items_and_scripts_without_spaces(frame):
+    """Short items are found where a run equals them, items in unspaced scripts by their letters."""
+    han = "今日は天気がとても良いので散歩に行きました"
+    items = frame([(1, "two words"), (2, "Answer"), (3, han), (4, "w x y z"), (5, "漢字"), (6, "two words"), (7, "one two three four five six")], ITEM)
+    docs = frame([(1, "here are two WORDS and two words"), (2, "two"), (3, "words two"), (4, "answers answer."), (5, "w x y"), (6, "z w x y z"),
+                  (7, f"前の文。{han}。後の文"), (8, han[:9] + "雨" + han[10:]), (9, han[:12]), (10, "かな漢字かな"), (11, "one two three four five six")])
+    got = {(r["doc_id"], r["item_id"], r["edits"], r["first_word"], r["end_word"]) for r in D.search(docs, items).collect()}
+    assert {g[:3] for g in got} == {(1, 1, 0), (1, 6, 0), (4, 2, 0), (6, 4, 0), (7, 3, 0), (8, 3, 1), (10, 5, 0), (11, 7, 0)}
+    assert {(1, 1, 0, 2, 4), (4, 2, 0, 1, 2), (6, 4, 0, 1, 5), (10, 5, 0, 2, 4)} <= got
+    only = frame([(1, "two words")], ITEM)
+    assert sorted(r["doc_id"] for r in D.clean(docs, only).collect()) == list(range(2, 12))
+
+
 def test_query(spark):
     items = [(r["item_id"], normal_words(r["text"])) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     got = QUERIES["op5_cgk_decontamination"](spark, SF).collect()
