@@ -79,6 +79,19 @@ PLAIN_NAMES = {
     "CDDL-1.0": ["common development and distribution 1 0", "cddl 1 0"], "BSL-1.0": ["boost software 1 0", "bsl 1 0", "boost"],
     "CC0-1.0": ["cc0", "cc0 1 0", "creative commons zero", "creative commons cc0 1 0 universal"],
 }
+# The published notices of the GNU family, by licence name and version, also as cut at a semicolon; only :func:`scan`
+# has them and the patterns below, its SQL form knows the sentences and rules above.
+GNU = [("gpl", "GPL", "general public", ("1", "2", "3")), ("lgpl", "LGPL", "lesser general public", ("2", "2.1", "3")),
+       ("library", "LGPL", "library general public", ("2",)), ("agpl", "AGPL", "affero general public", ("3",))]
+# Sentences with a slot for the holder, on normalised sentences; the last one is the first line of a wrapped clause.
+SLOTS = [
+    ("bsd-name", r"^neither the names? of .+ n?or the names of (?:[a-z]+ )?(?:other )?contributors may be used to endorse or promote products derived from this software without (?:specific )?prior written permission$"),
+    ("bsd-name", r"^(?:the )?names? of .+ may not be used to endorse or promote products derived from this software without (?:specific )?prior written permission$"),
+    ("bsd-asis", r"^this software is provided by .+ as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed$"),
+    ("bsd-neither", r"^neither the names? of "),
+]
+# A full stop inside the holder of "neither the name of Google Inc. nor the names of" ends no sentence.
+HOLDER_STOP = r"[.!?:]+(?=\s[^;]{0,150}n?or the names? of)(?<=neither\s{1,9}the\s{1,9}names?\s{1,9}of\s[^;]{1,150})"
 NOTICE = (r"^(?:(?:this|the|all) [a-z]+ (?:is|are) )?(?:licensed|released|distributed|available|published|provided) under (?:the )?(?:terms of (?:the )?)?(.+)$")
 SPDX = r"^spdx license identifier (.+)$"
 BREAK = "\x1e"
@@ -125,6 +138,38 @@ def rule_pattern(sequence: str) -> str:
     return out
 
 
+def gnu_notices() -> tuple[dict[str, str], list[tuple[str, str]]]:
+    """Normalised sentences of the GNU notices with their identifiers, and the rules for these."""
+    known = {f"this {x} is free software": "gpl-free" for x in ("program", "library", "software", "file", "package", "module", "code")}
+    rules = []
+    for key, short, name, versions in GNU:
+        terms = f"you can redistribute it and or modify it under the terms of the gnu {name} license"
+        by = "as published by the free software foundation"
+        known[f"{terms} {by}"] = f"{key}-terms"
+        for v in versions:
+            number, full = v.replace(".", " "), v if "." in v else v + ".0"
+            for n in dict.fromkeys((number, full.replace(".", " "))):
+                for later in (f"either version {n} of the license or at your option any later version", f"either version {n} of the license or any later version"):
+                    known[later] = f"either-{v}+"
+                    known[f"{terms} {by} {later}"] = f"{key}-{v}+"
+                for only in (f"version {n} of the license", f"version {n} of the license only", f"only version {n} of the license"):
+                    known[only] = f"version-{v}"
+                    known[f"{terms} {by} {only}"] = f"{key}-{v}"
+                for one in (f"{terms} {by} version {n}", f"{terms} {by} version {n} only", f"{terms} version {n} {by}", f"{terms} version {n} only {by}",
+                            f"you can redistribute it and or modify it under the terms of version {n} of the gnu {name} license {by}"):
+                    known[one] = f"{key}-{v}"
+            for kind, whole, part in (("or-later", f"{key}-{v}+", f"either-{v}+"), ("only", f"{key}-{v}", f"version-{v}")):
+                rules += [(f"{short}-{full}-{kind}", f"gpl-free? {whole}"), (f"{short}-{full}-{kind}", f"gpl-free? {key}-terms {part}")]
+    return known, rules
+
+
+def rule_patterns() -> list[tuple[str, str]]:
+    """All rules as patterns; a BSD text with a third clause, even if that is cut by line ends, is not one with two."""
+    two = "<bsd-binary>"
+    return [(name, rule_pattern(rule).replace(two, two + "(?!<bsd-name>|<bsd-neither>)") if name == "BSD-2-Clause" else rule_pattern(rule))
+            for name, rule in [*RULES, *gnu_notices()[1]]]
+
+
 # The two engines' spellings are built from the same steps: (pattern, replacement).
 _LINES = [(r"spdx-license-identifier:", "spdx-license-identifier "), (r"\s*[\r\n]+\s*", BREAK), (r"[.!?;:]+\s+", BREAK)]
 _WRAPPED = [(r"spdx-license-identifier:", "spdx-license-identifier "), (r"[\r\n][ \t]*[\r\n]\s*", BREAK), (r"[.!?;:]+\s+", BREAK)]
@@ -139,26 +184,29 @@ def _steps(c: Column, steps: list[tuple[str, str]]) -> Column:
 
 def _identifiers(text: Column, steps: list[tuple[str, str]]) -> Column:
     """The identifiers of the sentences of a text (lower case), as one string ``<id><id>...``."""
-    known = F.create_map(*[F.lit(x) for k, s in SENTENCES.items() for x in (normal(s), k)])
+    sentences = gnu_notices()[0] | {normal(s): k for k, s in SENTENCES.items()}
+    known = F.create_map(*[F.lit(x) for s, k in sentences.items() for x in (s, k)])
     names = F.create_map(*[F.lit(x) for k, v in licence_names().items() for x in (k, v)])
 
     def one(sentence: Column) -> Column:
         x = F.trim(_steps(sentence, [("licence", "license"), ("[^a-z0-9]+", " ")]))
         called = F.concat(F.regexp_extract(x, NOTICE, 1), F.regexp_extract(x, SPDX, 1))
         name = F.element_at(names, F.trim(_steps(called, _NAME)))
-        return F.coalesce(F.element_at(known, x), F.when(called != "", F.when(name.isNotNull(), F.concat(F.lit("n:"), name))
+        return F.coalesce(F.element_at(known, x), *[F.when(x.rlike(pattern), k) for k, pattern in SLOTS], F.when(called != "", F.when(name.isNotNull(), F.concat(F.lit("n:"), name))
                           .when(called.contains("licen") | x.startswith("spdx"), "unknown")),
                           F.when(x.rlike("^copyright (?:c )?[0-9]"), "copyright"))
 
+    text = F.when(text.rlike(r"neither\s+the\s+name"), F.regexp_replace(text, HOLDER_STOP, "")).otherwise(text)
     parts = F.transform(F.split(_steps(text, steps), BREAK), one)
-    return F.array_join(F.transform(F.filter(parts, lambda i: i.isNotNull()), lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
+    out = F.array_join(F.transform(F.filter(parts, lambda i: i.isNotNull()), lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
+    # these are words of a licence only after one of its sentences
+    return F.regexp_replace(out, "(?<!<bsd-binary>)<bsd-neither>|(?<!-terms>)<(?:either|version)-[0-9.]+[+]?>", "")
 
 
 def _matched(sequence: Column) -> tuple[Column, Column]:
     """(licences found, in rule order and then by notice; identifiers that no rule took)."""
     found = []
-    for name, rule in RULES:
-        pattern = rule_pattern(rule)
+    for name, pattern in rule_patterns():
         found.append(F.when(sequence.rlike(pattern), F.lit(name)))
         sequence = F.regexp_replace(sequence, pattern, "")
     notices = F.regexp_extract_all(sequence, F.lit("<n:([^>]+)>"), 1)

@@ -41,6 +41,52 @@ def test_cases(frame):
     assert L.scan(frame([])).collect() == []
 
 
+GPL2 = """    This program is free software; you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+LGPL21 = """    This library is free software; you can redistribute it and/or
+    modify it under the terms of the GNU Lesser General Public
+    License as published by the Free Software Foundation; either
+    version 2.1 of the License, or (at your option) any later version.
+"""
+BSD_HEAD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+   * Redistributions of source code must retain the above copyright
+notice, this list of conditions and the following disclaimer.
+   * Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the
+distribution.
+"""
+GOOGLE = BSD_HEAD + """   * Neither the name of Google Inc. nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""
+
+
+def test_published_notices(frame):
+    own = BSD3.replace("the copyright holder nor", "St. Example Ltd. nor")
+    cases = [(GPL2, "GPL-2.0-or-later"), (GPL2.replace("2 of", "3 of"), "GPL-3.0-or-later"), (LGPL21, "LGPL-2.1-or-later"),
+             (LGPL21.replace("Lesser", "Library").replace("2.1", "2"), "LGPL-2.0-or-later"), (LGPL21.replace("Foundation; either", "Foundation, either"), "LGPL-2.1-or-later"),
+             (LGPL21.replace("either\n    ", "").replace(", or (at your option) any later version", ""), "LGPL-2.1-only"),
+             ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+              "the Free Software Foundation, version 3.", "GPL-3.0-only"),
+             (GOOGLE, "BSD-3-Clause"), (BSD_HEAD, "BSD-2-Clause"), (own, "BSD-3-Clause"), (BSD3.replace("nor the names", "nor\nthe names"), "BSD-3-Clause"),
+             ("Copyright\nNeither the name of a king. Version 2 of the license. Either version 2 of the license, or any later version.", "")]
+    got = {r["doc_id"]: r for r in L.scan(frame([(i, c[0]) for i, c in enumerate(cases)])).collect()}
+    assert [got[i]["licenses"] for i in range(len(cases))] == [c[1] for c in cases]
+    assert all(r["n_unmatched"] == 0 for i, r in got.items() if i != 10)
+
+
 def test_cases_in_sql(frame):
     import duckdb
     con = duckdb.connect()
