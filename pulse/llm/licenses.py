@@ -8,7 +8,8 @@ licence sentence, ``n:X`` for a notice ("licensed under the X License") or an SP
 then matched against ordered rules; a rule's sentences are taken out before the next rule is tried, so
 the four sentences of the MIT text are one licence and a BSD text with three clauses is not also one with two.
 
-Only texts that hold one of ``ANCHORS`` are cut; every known sentence and notice holds one, so nothing is lost.
+Only texts that hold one of ``ANCHORS`` (with anything but letters and digits between the words of one, as sentences
+are normalised) are cut; every known sentence and notice holds one, so nothing is lost.
 
 Defined results: null and empty texts have no licence ('' and zero counts); repeated rows each get a row; an
 empty table gives no rows; other columns are ignored.
@@ -220,7 +221,9 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = ensure_columns(docs, {"doc_id": "long", "text": "string"}).withColumn("low", F.lower(F.coalesce("text", F.lit(""))))
     some = F.lit(False)
     for a in ANCHORS:
-        some = some | F.col("low").contains(a)
+        if " " not in a:
+            some = some | F.col("low").contains(a)
+    some = some | F.col("low").rlike("|".join(a.replace(" ", "[^a-z0-9]+") for a in ANCHORS if " " in a))
     rows = rows.select("doc_id", F.when(some, F.col("low")).alias("low"))
     rows = rows.select("doc_id", F.when(F.col("low").isNotNull(), _identifiers(F.col("low"), _LINES)).alias("a"),
                        F.when(F.col("low").isNotNull(), _identifiers(F.col("low"), _WRAPPED)).alias("b"))

@@ -87,6 +87,13 @@ def test_published_notices(frame):
     assert all(r["n_unmatched"] == 0 for i, r in got.items() if i != 10)
 
 
+def test_anchors_across_line_ends(frame):
+    cases = [("This work is in the public\ndomain.", "Public-Domain"), ("Released\nunder the GNU GPL 3.0", "GPL-3.0-only"), ("x\n\n# Distributed \n# under  MIT.", "MIT"),
+             ("available  under ISC", "ISC"), ("in the public eye, a domain", "")]
+    got = {r["doc_id"]: r["licenses"] for r in L.scan(frame([(i, c[0]) for i, c in enumerate(cases)])).collect()}
+    assert [got[i] for i in range(len(cases))] == [c[1] for c in cases]
+
+
 def test_cases_in_sql(frame):
     import duckdb
     con = duckdb.connect()
