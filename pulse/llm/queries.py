@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import bpe, decontaminate, fertility, html_density, langid, licenses, line_dedup, quality_mil, simhash, warc
+from pulse.llm import bpe, decontaminate, fertility, html_density, langid, licenses, line_dedup, lloyd, quality_mil, secret_scan, simhash, spelling, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +100,18 @@ ORACLE_SQL["op9_license_rules"] = licenses.scan_sql()
 @query("op4_attention_mil_quality")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_resident_lloyd")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query("op12_markov_secrets")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_bloom_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
