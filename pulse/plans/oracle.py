@@ -295,6 +295,7 @@ ORACLE_SQL.update({
     "stream_cdc": ORACLE_SQL["cdc_after_image"],
     "stream_dau": DAU,
     "stream_dau_state": DAU,
+    "stream_dau_ttl": DAU,
     "stream_new_mid": f"""WITH x AS (SELECT mid, MIN(logDate) AS f FROM ({STARTUP}) s GROUP BY mid)
                            SELECT f AS logDate, COUNT(*) AS new_mid FROM x WHERE f <> '{D}' GROUP BY f
                            UNION ALL

@@ -163,6 +163,16 @@ def q_stream_dau_state(spark, sf):
     return _dau_cols(sinks.read_latest(spark, table, jobs.DAU_KEYS))
 
 
+@query("stream_dau_ttl")
+def q_stream_dau_ttl(spark, sf):
+    """Startup topic -> DAU stream whose seen devices expire a day after their last write."""
+    table = session.shared_dir(spark, "dau_ttl")
+    feed_and_run(spark, _startup_lines(spark, sf), ["key", "value"],
+                 lambda s, c: jobs.run_dau_ttl(s, table, c, "available_now",
+                                               state_partitions=_state_partitions(spark)), deliver=redelivered)
+    return _dau_cols(sinks.read_result(spark, table))
+
+
 @query("stream_new_mid")
 def q_stream_new_mid(spark, sf):
     """Startup topic -> first-seen stream (keyed state per device) -> new devices per day."""
@@ -216,9 +226,9 @@ def q_sink_order(spark, sf):
 
 @query("stream_first_order")
 def q_stream_first_order(spark, sf):
-    """Order topic -> upserted orders and first orders as keyed state -> the flagged order table."""
+    """Order topic -> the orders of each user as keyed state, flagged in the stream -> the order table."""
     table = session.shared_dir(spark, "orders_state")
     feed_and_run(spark, _order_lines(spark, sf), ["key", "value"],
                  lambda s, c: jobs.run_orders_keyed_state(s, table, c, "available_now",
                                                           state_partitions=_state_partitions(spark)), deliver=_order_delivery)
-    return jobs.read_flagged_orders(spark, table).select(*ORDER_FIELDS)
+    return jobs.read_orders(spark, table).select(*ORDER_FIELDS)

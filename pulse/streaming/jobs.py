@@ -8,6 +8,7 @@ backfill or a test, and it is what ``foreachBatch`` calls in the stream.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -19,7 +20,8 @@ from pulse.functions import epoch_millis
 from pulse.operators import dedup, ingest
 from pulse.schemas import ORDER_FIELDS
 from pulse.streaming import sinks
-from pulse.streaming.state import first_order_stream, first_seen_stream, first_start_stream
+from pulse.streaming.keyed import DAY_MS, device_days, first_orders
+from pulse.streaming.state import first_seen_stream, first_start_stream
 
 MICRO_BATCH = "5 seconds"
 DAU_KEYS = ["mid", "logDate"]
@@ -27,22 +29,25 @@ DAU_KEYS = ["mid", "logDate"]
 BatchLog = Callable[[dict], None]
 
 
-class _ShufflePartitions:
-    """Set ``spark.sql.shuffle.partitions`` while a query starts. For a stateful query
-    the value becomes its number of state partitions, recorded in the checkpoint at
-    the first start; size it to the cluster's cores, not to the data."""
-
-    def __init__(self, spark, n: int | None):
-        self.spark, self.n, self.old = spark, n, None
-
-    def __enter__(self):
-        if self.n:
-            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
-            self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
-
-    def __exit__(self, *exc):
-        if self.n:
-            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+@contextlib.contextmanager
+def _starting(spark, state_partitions: int | None, only_with_data: bool = False):
+    """Settings that a stateful query takes over when it starts. ``state_partitions`` becomes its number of
+    state partitions, recorded in the checkpoint at the first start; size it to the cluster's cores, not to
+    the data. ``only_with_data``: no batches without input (a query on wall-clock time would have
+    them for ever, also when it drains a topic; expired state is passed over when it is read)."""
+    wanted = {}
+    if state_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if only_with_data:
+        wanted["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 class Queries(list):
@@ -210,7 +215,7 @@ def _versions(df: DataFrame, table: str, day_col: str | None, checkpoint: str, t
     """An update-mode aggregate into a last-write-wins table."""
     w = (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(lambda out, bid: sinks.write_batch(out, table, day_col, bid)))
-    with _ShufflePartitions(df.sparkSession, state_partitions):
+    with _starting(df.sparkSession, state_partitions):
         return _trigger(w, trigger).start()
 
 
@@ -232,6 +237,19 @@ def run_dau_keyed_state(source: DataFrame, table: str, checkpoint: str, trigger:
                     _startup_quarantine(source, table, checkpoint, trigger)])
 
 
+def run_dau_ttl(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
+                ttl_ms: int = DAY_MS, state_partitions: int | None = None) -> Queries:
+    """DAU job whose seen devices expire ``ttl_ms`` after they were last written (wall clock): the
+    first start of every (device, day) is appended when it is seen, nothing is written for the
+    others, and state holds about a day. Read the table with ``sinks.read_result``."""
+    good, _ = ingest.split_valid_startups(source)
+    w = (device_days(good, ttl_ms).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda out, bid: sinks.write_batch(out, table, "logDate", bid)))
+    with _starting(source.sparkSession, state_partitions, only_with_data=True):
+        main = _trigger(w, trigger).start()
+    return Queries([main, _startup_quarantine(source, table, checkpoint, trigger)])
+
+
 def run_first_seen(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
                    state_partitions: int | None = None) -> Queries:
     """Table of each device's first start ever, kept by keyed state without expiry (read it with
@@ -315,31 +333,18 @@ def run_orders(source: DataFrame, table: str, checkpoint: str, trigger: str | No
                   checkpoint, trigger)
 
 
-def _upsert_orders(batch: DataFrame, batch_id: int, table: str) -> None:
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        orders, bad = _stored_orders(batch)
-        sinks.write_batch(orders, table, "create_date", batch_id)
-        sinks.write_batch(bad, _order_paths(table)[1], None, batch_id)
-    finally:
-        batch.unpersist()
-
-
 def run_orders_keyed_state(source: DataFrame, table: str, checkpoint: str,
                            trigger: str | None = None, state_partitions: int | None = None) -> Queries:
-    """Order job for a large user base: the orders are upserted without a flag, and a second query keeps
-    each user's first order as keyed state (RocksDB, in the JVM), so a batch never reads the known users.
-    ``read_flagged_orders`` joins the two. Invalid orders go to ``<table>_quarantine``."""
-    good, _ = ingest.split_valid_orders(ingest.prepare_orders(ingest.parse_order(source)))
-    return Queries([_start(source, lambda df, bid: _upsert_orders(df, bid, table), checkpoint, trigger),
-                    _versions(first_order_stream(good), _order_paths(table)[0], None, f"{checkpoint.rstrip('/')}_users", trigger, state_partitions)])
-
-
-def read_flagged_orders(spark, table: str) -> DataFrame | None:
-    """The order table of :func:`run_orders_keyed_state` with ``is_first_order``."""
-    orders, users = read_orders(spark, table), sinks.read_latest(spark, _order_paths(table)[0], ["user_id"])
-    if orders is None or users is None:
-        return orders
-    users = users.select("first_id", F.lit("1").alias("_is"))  # the first order's id is unique: no hot key
-    return (orders.join(users, orders["id"] == users["first_id"], "left")
-            .select(*orders.columns, F.coalesce("_is", F.lit("0")).alias("is_first_order")))
+    """Order job for a large user base: a user's orders are keyed state (RocksDB), so a batch reads
+    neither the known users nor the order table. The stream carries ``is_first_order`` and only the rows that a
+    batch changes; the table stores them as the batch's versions (``read_orders``). A batch that changes nothing
+    writes nothing. Invalid orders go to ``<table>_quarantine``."""
+    good, bad = ingest.split_valid_orders(ingest.prepare_orders(ingest.parse_order(source)))
+
+    def store(out: DataFrame, bid: int) -> None:
+        sinks.write_batch(dedup.last_per_key(out, ["id"], ["operate_time"]), table, "create_date", bid)
+
+    w = first_orders(good).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
+    with _starting(source.sparkSession, state_partitions, only_with_data=True):
+        main = _trigger(w, trigger).start()
+    return Queries([main, _file_sink(bad, _order_paths(table)[1], f"{checkpoint.rstrip('/')}_quarantine", trigger)])

@@ -8,21 +8,14 @@ split into batches or redelivered.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.operators.dedup import numeric_id
+from pulse.streaming.keyed import use_rocksdb
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EVENT_TIME = "_event_time"
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """State beyond an executor's memory; the conf is read when a query starts."""
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-
-
 def _earliest(rest: list[str]):
     return F.min(F.struct("ts", *rest)).alias("_first")
 
@@ -51,11 +44,3 @@ def first_seen_stream(startups: DataFrame) -> DataFrame:
     use_rocksdb(startups.sparkSession)
     rest = [c for c in startups.columns if c not in ("mid", "ts")]
     return startups.groupBy("mid").agg(_earliest(rest)).select("mid", "_first.*")
-
-
-def first_order_stream(orders: DataFrame) -> DataFrame:
-    """Streaming orders -> (user_id, first_id): each user's earliest order, in update mode."""
-    use_rocksdb(orders.sparkSession)
-    key = F.struct("create_time", *[c.alias(f"o{i}") for i, c in enumerate(numeric_id("id"))], F.col("id").alias("first_id"))
-    return (orders.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.min(key).alias("_first"))
-            .select("user_id", F.col("_first.first_id").alias("first_id")))
