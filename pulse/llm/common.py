@@ -35,6 +35,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 BATCH_ROWS = 2000
+BATCH_BYTES = 4 << 20    # of an Arrow batch on its way to Python
+TRIM_BYTES = 8 << 20     # of text after which a task hands freed memory back
 # What a bitmap broadcast may hold at most: 8 MB, whatever the size of the tables.
 BITMAP_BITS = 1 << 26
 
@@ -129,6 +131,11 @@ def release() -> None:
     """Drops what earlier operators left in this Python worker and hands free memory back."""
     if _WORKER:
         _WORKER.clear()
+    trim()
+
+
+def trim() -> None:
+    """Hands freed memory back to the system: allocators would keep it while the worker idles."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # glibc only
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -136,24 +143,30 @@ def release() -> None:
 
 def map_arrow(df: DataFrame, run, schema, state: bool = False) -> DataFrame:
     """``df.mapInArrow`` with this package present on the workers. Without ``state`` (an operator
-    that uses :func:`worker_state`) a task first drops what other operators keep there."""
+    that uses :func:`worker_state`) a task first drops what other operators keep there; at its end every
+    task hands freed memory back."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
             release()
-        return run(batches)
+        yield from run(batches)
+        trim()
 
     spark = df.sparkSession
     ship(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:  # whole texts: some MB a batch, in the JVM and in Python
-        spark.conf.set(key, str(BATCH_ROWS))
+    # whole texts: some MB a batch, in the JVM and in Python
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, None) or "0"
+        if not now.isdecimal() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
     return df.mapInArrow(task, schema)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 2 << 20, keep_nulls: bool = False) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with about ``size`` bytes in ``column``: the memory of a
     task follows the size of a block, not the number of rows in an Arrow batch. A larger single
-    value is a block of its own. Null values become empty unless ``keep_nulls``."""
+    value is a block of its own. Null values become empty unless ``keep_nulls``. What earlier blocks have
+    left free is handed back every ``TRIM_BYTES``."""
+    done = 0
     for batch in batches:
         texts = batch.column(column)
         kind = pa.large_binary() if pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type) else pa.large_string()
@@ -166,6 +179,10 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = 2 << 20,
             base = ends[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(ends, base + size, side="right")))
             yield batch.slice(lo, hi - lo)
+            done += int(ends[hi - 1] - base)
+            if done >= TRIM_BYTES:
+                trim()
+                done = 0
             lo = hi
 
 

@@ -38,7 +38,7 @@ ENTROPY_TOKENS, ENTROPY_LOW, ENTROPY_HIGH = 64, 2.0, 13.0
 SCRIPT_BANDS = {"latin": (1.0, 12.0, 0.2), "cyrillic": (0.8, 12.0, 0.3), "greek": (0.6, 12.0, 0.5), "arabic": (0.5, 12.0, 0.6),
                 "han": (0.3, 6.0, 0.9), "other": (0.3, 12.0, 0.95), "none": (0.3, 12.0, 0.95)}
 SYMBOLS = "#*$%&|<>"
-CACHE_WORDS, CACHE_WORD_CHARS = 250_000, 48
+CACHE_WORDS, CACHE_WORD_CHARS = 120_000, 48  # some 30 MB at most
 
 METRICS = ("doc_id long, lang string, _t long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "n_tokens long, byte_share double, entropy double, script string")
