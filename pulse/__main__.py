@@ -25,6 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 def _source(spark: SparkSession, args) -> DataFrame:
     from pulse.sources.topics import read_changes, read_topic
+    if args.topic_log:
+        opts = {"startingOffsets": args.starting_offsets, "group": args.group or args.cmd}
+        most = args.max_per_trigger or (100 if args.cmd == "cdc" else None)
+        return read_topic(spark, args.topic, "log", args.topic_log, opts, most, args.min_partitions)
     if args.cmd == "cdc":  # bounded micro-batches, as a change client fetches
         kafka = {"kafka.bootstrap.servers": args.kafka, "startingOffsets": args.starting_offsets} if args.kafka else None
         return read_changes(spark, args.topic, "kafka" if args.kafka else "parquet", args.topic_path, kafka, args.max_per_trigger or 100)
@@ -40,6 +44,8 @@ def _stream_args(p: argparse.ArgumentParser) -> None:
     g = p.add_mutually_exclusive_group(required=True)
     g.add_argument("--kafka", help="bootstrap servers")
     g.add_argument("--topic-path", help="folder holding topic=<name>/ file topics")
+    g.add_argument("--topic-log", help="folder holding topic=<name>/ topic logs")
+    p.add_argument("--group", default=None, help="topic logs: name under which the position is kept (default: the command)")
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--max-per-trigger", type=int, default=None)
     p.add_argument("--min-partitions", type=int, default=None)
@@ -71,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("dau", help="first start per device and day")
     _stream_args(p)
     p.add_argument("--table", required=True)
-    p.add_argument("--mode", choices=["table", "state"], default="table")
+    p.add_argument("--mode", choices=["table", "state", "ttl"], default="table")
     p.add_argument("--retention-days", type=int, default=None)
     p.add_argument("--state-partitions", type=int, default=None)
     p.add_argument("--compact-lag-days", type=int, default=None,
@@ -97,7 +103,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--id", default="dau", help="metric of the hour report: dau or order_amount")
     p.add_argument("--dau", default=None)
     p.add_argument("--orders", default=None)
-    p.add_argument("--first-seen", default=None, help="first-seen table: new devices of the day")
+    p.add_argument("--first-seen", default=None, help="first-seen table: new devices of the day (with --kept)")
+    p.add_argument("--kept", action="store_true", help="answer from the totals that the jobs keep next to their tables")
     p.add_argument("--date", default=None, help="required by total and hour, a filter of detail")
     p.add_argument("--tables", default=None, help="detail: folder of lineitem, orders and part")
     p.add_argument("--draw", type=int, default=1)
@@ -126,13 +133,15 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "report":
         from pulse.operators import metrics, reports
-        dau, orders = _kpi_tables(spark, args)
-        if args.kind == "total":
-            from pulse.streaming.sinks import read_latest
-            first = read_latest(spark, args.first_seen, ["mid"]) if args.first_seen else None
-            doc = reports.report_total(metrics.kpi_summary(dau, orders, args.date, first))
+        if args.kept:  # a few rows of totals a day instead of the tables
+            from pulse.streaming import jobs
+            hours, orders = jobs.read_device_hours(spark, args.dau), jobs.read_order_hours(spark, args.orders)
+            doc = (reports.report_total(metrics.kpi_totals(hours, jobs.read_new_devices(spark, args.first_seen), orders, args.date))
+                   if args.kind == "total" else reports.report_hour_totals(args.id, hours, orders, args.date))
         else:
-            doc = reports.report_hour(args.id, dau, orders, args.date)
+            dau, orders = _kpi_tables(spark, args)
+            doc = (reports.report_total(metrics.kpi_summary(dau, orders, args.date))
+                   if args.kind == "total" else reports.report_hour(args.id, dau, orders, args.date))
         print(doc.first()["doc"])
         return 0
     if args.cmd == "compact":
@@ -143,7 +152,9 @@ def main(argv: list[str] | None = None) -> int:
 
     from pulse.streaming import jobs
     src = _source(spark, args)
-    trig = args.trigger
+    # a bounded topic log is drained batch by batch; availableNow would take one of them
+    drained = bool(args.topic_log) and args.trigger == "available_now"
+    trig = "0 seconds" if drained else args.trigger
     if args.cmd == "collect":
         q = jobs.run_collector(src, args.landing, args.topics, args.checkpoint, trig)
     elif args.cmd == "cdc":
@@ -151,7 +162,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "dau":
         if args.mode == "state":
             q = jobs.run_dau_keyed_state(src, args.table, args.checkpoint, trig, args.retention_days,
-                                         args.state_partitions)
+                                         args.state_partitions, args.compact_lag_days, args.compact_every)
+        elif args.mode == "ttl":
+            q = jobs.run_dau_ttl(src, args.table, args.checkpoint, trig, state_partitions=args.state_partitions)
         else:
             q = jobs.run_dau(src, args.table, args.checkpoint, trig, args.retention_days,
                              compact_lag_days=args.compact_lag_days, compact_every=args.compact_every)
@@ -163,7 +176,10 @@ def main(argv: list[str] | None = None) -> int:
                                 compact_lag_days=args.compact_lag_days, compact_every=args.compact_every)
     else:
         q = jobs.run_first_seen(src, args.table, args.checkpoint, trig, args.state_partitions)
-    if trig == "available_now":
+    if drained:
+        from pulse.sources.topic_log import drain
+        drain(q)
+    elif trig == "available_now":
         q.awaitTermination()
     else:
         spark.streams.awaitAnyTermination()

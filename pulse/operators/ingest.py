@@ -89,12 +89,17 @@ def parse_changes(df: DataFrame, value: str = "value") -> DataFrame:
     return df.select(F.from_json(F.col(value), CHANGE_ENVELOPE, _PERMISSIVE).alias("_e")).select("_e.*")
 
 
+def tag_changes(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(value, _e, _ok): every line with its envelope and whether it has an entry type and a table."""
+    env = F.from_json(F.col(value), CHANGE_ENVELOPE, _PERMISSIVE)
+    ok = env.isNotNull() & env["entry_type"].isNotNull() & env["table"].isNotNull()
+    return lines.select(F.col(value), env.alias("_e"), F.coalesce(ok, F.lit(False)).alias("_ok"))
+
+
 def split_valid_changes(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(envelopes, quarantine): lines that decode to an envelope with an entry type and a
     table, parsed; every other line as it came (``value``), instead of failing the job."""
-    env = F.from_json(F.col(value), CHANGE_ENVELOPE, _PERMISSIVE)
-    ok = env.isNotNull() & env["entry_type"].isNotNull() & env["table"].isNotNull()
-    tagged = lines.select(F.col(value), env.alias("_e"), F.coalesce(ok, F.lit(False)).alias("_ok"))
+    tagged = tag_changes(lines, value)
     return (tagged.where("_ok").select("_e.*"),
             tagged.where(~F.col("_ok")).select(value))
 

@@ -70,11 +70,10 @@ def new_devices(dau: DataFrame, day: str) -> DataFrame:
     return firsts.agg(F.count_if(F.col("first_day") == F.lit(day)).cast("bigint").alias("new_mid"))
 
 
-def new_devices_on(first_seen: DataFrame, day: str) -> DataFrame:
-    """Same answer as :func:`new_devices`, from the first-seen table kept by the stream
-    (``streaming.jobs.run_first_seen``): one partition is counted, whatever the
-    length of the history."""
-    return on_date(first_seen, "logDate", day).agg(F.count(F.lit(1)).alias("new_mid"))
+def new_devices_on(new_per_day: DataFrame, day: str) -> DataFrame:
+    """Same answer as :func:`new_devices`, from the counts per day that the first-seen stream keeps
+    (``streaming.jobs.read_new_devices``): one day's rows are read, whatever the length of the history."""
+    return on_date(new_per_day, "logDate", day).agg(F.coalesce(F.sum("new_mid"), F.lit(0)).cast("bigint").alias("new_mid"))
 
 
 def cum_dau(dau: DataFrame, day: str) -> DataFrame:
@@ -133,24 +132,28 @@ def device_kpis(starts: DataFrame, day: str) -> DataFrame:
                    F.count_if(F.col("first_day") == F.lit(day)).cast("bigint").alias("new_mid"))
 
 
-def kpi_summary(dau: DataFrame, orders: DataFrame, day: str,
-                first_seen: DataFrame | None = None) -> DataFrame:
+def _kpi_row(place: int, kpi: tuple[str, str], df: DataFrame, col: str) -> DataFrame:
+    return df.select(F.lit(place).alias("ord"), F.lit(kpi[0]).alias("id"), F.lit(kpi[1]).alias("name"), F.col(col).cast("double").alias("value"))
+
+
+def kpi_summary(dau: DataFrame, orders: DataFrame, day: str) -> DataFrame:
     """Headline list (ord, id, name, value): dau, new devices, revenue, in that order.
 
-    ``dau`` may be the DAU table or the starts themselves. With the first-seen table
-    (``streaming.jobs.run_first_seen``) every part reads one day's partition; without it both
-    device numbers come from one pass over the history up to ``day``."""
-    def row(ord_, kpi, df, col):
-        return df.select(F.lit(ord_).alias("ord"), F.lit(kpi[0]).alias("id"),
-                         F.lit(kpi[1]).alias("name"), F.col(col).cast("double").alias("value"))
-    revenue = row(3, KPI_ORDER_AMOUNT, order_amount(orders, day), "order_amount")
-    if first_seen is not None:
-        active = on_date(dau, "logDate", day).agg(F.count_distinct("mid").alias("dau"))
-        return (row(1, KPI_DAU, active, "dau")
-                .unionByName(row(2, KPI_NEW_MID, new_devices_on(first_seen, day), "new_mid")).unionByName(revenue))
+    ``dau`` may be the DAU table or the starts themselves; both device numbers come from one pass over
+    the history up to ``day``. :func:`kpi_totals` answers from totals instead."""
     named = [F.struct(F.lit(i).alias("ord"), F.lit(k[0]).alias("id"), F.lit(k[1]).alias("name"), F.col(c).cast("double").alias("value"))
              for i, k, c in ((1, KPI_DAU, "dau"), (2, KPI_NEW_MID, "new_mid"))]
-    return device_kpis(dau, day).select(F.explode(F.array(*named)).alias("k")).select("k.*").unionByName(revenue)
+    devices = device_kpis(dau, day).select(F.explode(F.array(*named)).alias("k")).select("k.*")
+    return devices.unionByName(_kpi_row(3, KPI_ORDER_AMOUNT, order_amount(orders, day), "order_amount"))
+
+
+def kpi_totals(device_hours: DataFrame, new_per_day: DataFrame, order_hours: DataFrame, day: str) -> DataFrame:
+    """:func:`kpi_summary` from the totals that the stream jobs keep (``read_device_hours``,
+    ``read_new_devices``, ``read_order_hours``): a few rows of one day are read, no device and no order."""
+    active = on_date(device_hours, "logDate", day).agg(F.coalesce(F.sum("devices"), F.lit(0)).alias("dau"))
+    money = on_date(order_hours, "create_date", day).where(F.col("orders") > 0).agg(F.sum("amount").cast("double").alias("order_amount"))
+    return (_kpi_row(1, KPI_DAU, active, "dau").unionByName(_kpi_row(2, KPI_NEW_MID, new_devices_on(new_per_day, day), "new_mid"))
+            .unionByName(_kpi_row(3, KPI_ORDER_AMOUNT, money, "order_amount")))
 
 
 # --- detail rows ---------------------------------------------------------------

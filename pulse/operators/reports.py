@@ -102,6 +102,15 @@ def report_hour(metric: str, dau: DataFrame, orders: DataFrame, day: str) -> Dat
     return dau.sparkSession.range(1).select(F.lit(None).cast("string").alias("doc"))
 
 
+def report_hour_totals(metric: str, device_hours: DataFrame, order_hours: DataFrame, day: str) -> DataFrame:
+    """:func:`report_hour` from the totals that the stream jobs keep."""
+    if metric == "dau":
+        return _hour_doc(device_hours.where(F.col("devices") > 0), "logDate", "logHour", F.sum("devices"), day)
+    if metric == "order_amount":
+        return _hour_doc(order_hours.where(F.col("orders") > 0), "create_date", "create_hour", F.sum("amount").cast("double"), day)
+    return device_hours.sparkSession.range(1).select(F.lit(None).cast("string").alias("doc"))
+
+
 def _label_counts(label: Column, names, prefix: str) -> tuple[list[Column], Column]:
     """Count columns for each fixed label (and for a null label), plus the expression
     that turns them into the non-empty ``[{name, value}]`` options sorted by name —

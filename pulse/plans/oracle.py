@@ -288,7 +288,16 @@ SELECT *, CASE WHEN row_number() OVER (PARTITION BY user_id
 FROM ({ORDERS}) o
 """
 
+VIEWED = """SELECT CAST(event_id AS VARCHAR) AS key, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ts FROM events WHERE event_type = 'view'"""
+
 ORACLE_SQL.update({
+    "src_topic": f"""WITH v AS ({VIEWED}), b AS (SELECT MIN(ts) AS lo, MAX(ts) AS hi FROM v)
+                     SELECT key, ts FROM v, b WHERE ts >= ((lo + (hi - lo) // 2) // 86400000) * 86400000 + 43200000""",
+    "src_cdc": """WITH t AS (SELECT CAST(SUM(CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 WHEN 'signup' THEN 1 ELSE 0 END) AS BIGINT) AS n FROM events),
+                  m AS (SELECT n, (n + 9) // 10 AS most FROM t)
+                  SELECT f.fetch, LEAST(most, n - f.fetch * most) AS messages, LEAST(most, n - f.fetch * most) AS distinct_keys
+                  FROM m, (SELECT UNNEST(generate_series(0, 9)) AS fetch) f WHERE n > f.fetch * most""",
+    "sink_topic": VIEWED,
     "stream_collect": f"""SELECT CAST(event_id AS VARCHAR) AS key,
                            CASE WHEN event_type = 'view' THEN 'startup_log' ELSE 'event_log' END AS topic,
                            CAST(epoch_us(ts) // 1000 AS BIGINT) AS ts FROM events""",
@@ -301,6 +310,8 @@ ORACLE_SQL.update({
                            UNION ALL
                            SELECT '{D}', COUNT(*) FILTER (WHERE f = '{D}') FROM x""",
     "sink_dau": DAU,
+    "report_total_kept": ORACLE_SQL["report_total"],
+    "report_hour_kept": ORACLE_SQL["report_hour"],
     "stream_orders": ORDERS_FLAGGED,
     "sink_order": ORDERS_FLAGGED,
     "stream_first_order": ORDERS_FLAGGED,

@@ -20,7 +20,7 @@ from pulse.operators import ingest
 from pulse.plans import params as P
 from pulse.plans.catalog import query
 from pulse.schemas import ORDER_FIELDS
-from pulse.sources import views
+from pulse.sources import topic_log, views
 from pulse.sources.topics import LINE_SCHEMA, read_changes, read_topic, write_topic
 from pulse.streaming import jobs, sinks
 
@@ -117,6 +117,67 @@ def _dau_cols(df: DataFrame) -> DataFrame:
     return df.select("mid", "uid", "appid", "area", "os", "ch", "logType", "vs", "logDate", "logHour", "ts")
 
 
+def _log_lines(lines: DataFrame) -> DataFrame:
+    return lines.select("key", "value", F.timestamp_millis("at").alias("timestamp"))
+
+
+@query("src_topic")
+def q_src_topic(spark, sf):
+    """A stream that starts at the latest message of a topic log with history, and goes on by offsets:
+    (key, ts) of what is written after its start, in two appends and two runs."""
+    base, ckpt, out = (session.shared_dir(spark, x) for x in ("topic_log", "checkpoint", "received"))
+    _startup_lines(spark, sf).write.parquet(staged := session.shared_dir(spark, "staged_input"))
+    old, new = time_slices(spark.read.parquet(staged), 2)
+    appended = [new.where(F.pmod(F.xxhash64("key"), F.lit(2)) == k) for k in range(2)]
+    for part, run in ((old, False), (None, True), (appended[0], True), (appended[1], True), (None, True)):
+        if part is not None:
+            write_topic(_log_lines(part), "startup_log", "log", base)
+        if run:
+            q = (read_topic(spark, "startup_log", "log", base, min_partitions=8).writeStream.format("parquet")
+                 .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+            q.awaitTermination()
+            if q.exception():
+                raise q.exception()
+    return spark.read.schema("key string, value string").parquet(out).select("key", F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
+FETCHES = 10
+
+
+@query("src_cdc")
+def q_src_cdc(spark, sf):
+    """Change envelopes in one append, fetched in batches of at most a tenth of them: (fetch, messages,
+    distinct_keys) per batch; the keys are numbered so that a message that came twice would show."""
+    base, ckpt, out = (session.shared_dir(spark, x) for x in ("topic_log", "checkpoint", "fetched"))
+    lines = views.change_lines(spark, sf)
+    number = F.xxhash64("key", "value").cast("string")
+    write_topic(lines.select(number.alias("key"), "value"), "changes", "log", base)
+    most = -(-lines.count() // FETCHES)
+    stream = read_changes(spark, "changes", "log", base, {"startingOffsets": "earliest", "group": "query"}, most)
+    topic_log.drain(stream.writeStream.option("checkpointLocation", ckpt).trigger(processingTime="0 seconds")
+                    .foreachBatch(lambda df, bid: sinks.write_batch(df.select("key"), out, None, bid)).start())
+    got = spark.read.parquet(out)
+    return got.groupBy(F.col(sinks.BATCH_COL).cast("bigint").alias("fetch")).agg(
+        F.count(F.lit(1)).alias("messages"), F.count_distinct("key").alias("distinct_keys"))
+
+
+@query("sink_topic")
+def q_sink_topic(spark, sf):
+    """The collector's batches on time slices, each run twice and the first once more at the end; a stream
+    on the startup topic reads after every run and stores what it gets as it comes: (key, ts)."""
+    landing, base, ckpt, out = (session.shared_dir(spark, x) for x in ("landing", "topic_log", "checkpoint", "received"))
+    views.raw_logs(spark, sf).withColumn("at", F.col("arrival_ms")).write.parquet(staged := session.shared_dir(spark, "staged_input"))
+    parts = list(enumerate(time_slices(spark.read.parquet(staged))))
+    for bid, part in [x for p in parts for x in (p, p)] + parts[:1]:
+        jobs.collect_batch(part.drop("at"), bid, landing, base)
+        q = (read_topic(spark, ingest.TOPIC_STARTUP, "log", base, {"startingOffsets": "earliest"}).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return spark.read.schema("key string, value string").parquet(out).select("key", F.get_json_object("value", "$.ts").cast("bigint").alias("ts"))
+
+
 @query("stream_collect")
 def q_stream_collect(spark, sf):
     """Raw lines -> collector stream -> routed topics read back: (key, topic, ts)."""
@@ -181,10 +242,9 @@ def q_stream_new_mid(spark, sf):
     feed_and_run(spark, _startup_lines(spark, sf), ["key", "value"],
                  lambda s, c: jobs.run_first_seen(s, table, c, "available_now",
                                                   state_partitions=_state_partitions(spark)), deliver=redelivered)
-    first_seen = sinks.read_latest(spark, table, ["mid"])
-    per_day = first_seen.groupBy("logDate").agg(F.count(F.lit(1)).alias("new_mid"))
-    on_day = metrics.new_devices_on(first_seen, P.DAY).select(F.lit(P.DAY).alias("logDate"), "new_mid")
-    return per_day.where(F.col("logDate") != P.DAY).unionByName(on_day)
+    per_day = jobs.read_new_devices(spark, table)
+    on_day = metrics.new_devices_on(per_day, P.DAY).select(F.lit(P.DAY).alias("logDate"), "new_mid")
+    return per_day.where((F.col("logDate") != P.DAY) & (F.col("new_mid") > 0)).unionByName(on_day)
 
 
 @query("sink_dau")
@@ -232,3 +292,37 @@ def q_stream_first_order(spark, sf):
                  lambda s, c: jobs.run_orders_keyed_state(s, table, c, "available_now",
                                                           state_partitions=_state_partitions(spark)), deliver=_order_delivery)
     return jobs.read_orders(spark, table).select(*ORDER_FIELDS)
+
+
+def _kept_totals(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The totals that the jobs keep: devices per hour, new devices per day, orders per hour; over slices with
+    redeliveries, corrected orders, and a replayed batch of each foreachBatch job."""
+    dau, seen, orders = (session.shared_dir(spark, x) for x in ("dau_totals", "seen_totals", "order_totals"))
+    _startup_lines(spark, sf).write.parquet(starts := session.shared_dir(spark, "staged_starts"))
+    _order_lines(spark, sf).write.parquet(lines := session.shared_dir(spark, "staged_orders"))
+    starts, lines = spark.read.parquet(starts), spark.read.parquet(lines)
+    parts = [ingest.parse_startup(p) for p in redelivered(time_slices(starts))]
+    for i, part in [*enumerate(parts), (0, parts[0])]:
+        jobs.dau_batch(part, i, dau)
+    feed_and_run(spark, starts, ["key", "value"],
+                 lambda s, c: jobs.run_first_seen(s, seen, c, "available_now", state_partitions=_state_partitions(spark)), deliver=redelivered)
+    parts = [p.select("key", "value") for p in _order_delivery(time_slices(lines))]
+    for i, part in [*enumerate(parts), (len(parts) - 1, parts[-1])]:
+        jobs.orders_batch(part, i, orders)
+    return jobs.read_device_hours(spark, dau), jobs.read_new_devices(spark, seen), jobs.read_order_hours(spark, orders)
+
+
+@query("report_total_kept")
+def q_report_total_kept(spark, sf):
+    """The headline document from the totals that the stream jobs keep."""
+    from pulse.operators import metrics, reports
+    return reports.report_total(metrics.kpi_totals(*_kept_totals(spark, sf), P.DAY))
+
+
+@query("report_hour_kept")
+def q_report_hour_kept(spark, sf):
+    """Both hour documents (id, doc) from the totals that the stream jobs keep."""
+    from pulse.operators import reports
+    devices, _, orders = _kept_totals(spark, sf)
+    docs = [reports.report_hour_totals(m, devices, orders, P.DAY).select(F.lit(m).alias("id"), "doc") for m in ("dau", "order_amount")]
+    return docs[0].unionByName(docs[1])

@@ -1,8 +1,9 @@
 """Topic and change-feed sources and sinks.
 
 A topic is a stream of JSON strings in a ``value`` column. With the Kafka connector
-on the classpath the same functions read/write Kafka; without it (as in the tests)
-a folder of JSON-lines / Parquet files plays the topic, one sub-folder per topic.
+on the classpath the same functions read/write Kafka (``fmt="kafka"``); without it a topic is a log in a
+folder (``fmt="log"``, see ``topic_log``: offsets per partition, bounded batches, commits per epoch), or just
+a folder of JSON-lines / Parquet files, one sub-folder per topic.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulse.sources import topic_log
+
 LINE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                             T.StructField("value", T.StringType())])
 
@@ -24,7 +27,8 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str |
     ``options`` say otherwise; ``max_per_trigger`` bounds a micro-batch
     (``maxOffsetsPerTrigger``); ``min_partitions`` splits the topic's partitions into
     at least that many tasks, so a topic with few partitions still spreads over the
-    executors. File formats (``parquet``/``json``) read ``path/topic=<topic>`` with a
+    executors. ``fmt="log"``: the same offsets and bound (in messages) on a topic log; ``options`` are those of the
+    ``topic_log`` source. File formats (``parquet``/``json``) read ``path/topic=<topic>`` with a
     fixed schema; the bound is ``maxFilesPerTrigger``.
     """
     opts = dict(options or {})
@@ -40,6 +44,14 @@ def read_topic(spark: SparkSession, topic: str, fmt: str = "kafka", path: str |
                           F.col("value").cast("string").alias("value"), "timestamp")
     if path is None:
         raise ValueError("file topics need a path")
+    if fmt == "log":
+        topic_log.register(spark)
+        if max_per_trigger:
+            opts.setdefault("maxMessages", str(max_per_trigger))
+        if min_partitions:
+            opts.setdefault("messagesPerTask", str(max(1, (max_per_trigger or 100_000) // min_partitions)))
+        raw = spark.readStream.format("topic_log").options(**opts).load(f"{path.rstrip('/')}/topic={topic}")
+        return raw.select("key", "value", "timestamp")
     if max_per_trigger:
         opts.setdefault("maxFilesPerTrigger", str(max_per_trigger))
     reader = spark.readStream.format(fmt).options(**opts)
@@ -53,20 +65,23 @@ def read_changes(spark: SparkSession, topic: str = "changes", fmt: str = "kafka"
                  max_per_trigger: int | None = 100) -> DataFrame:
     """Change-feed envelopes as JSON lines; see ``operators.ingest.parse_changes``.
     ``max_per_trigger`` bounds a micro-batch like the fetch size of a change client
-    (offsets for Kafka, files for a file topic)."""
+    (messages of Kafka and of a topic log, files of a file topic)."""
     return read_topic(spark, topic, fmt, path, options, max_per_trigger)
 
 
 def write_topic(df: DataFrame, topic: str | None = None, fmt: str = "kafka", path: str | None = None,
-                options: dict | None = None, extra: tuple[str, ...] = ()) -> None:
+                options: dict | None = None, extra: tuple[str, ...] = (), epoch: int | None = None) -> None:
     """Append a batch's ``value`` (and ``key``) strings to a topic.
 
     With ``topic=None`` the frame's own ``topic`` column routes each row (one write
     for every topic). File topics land under ``path/topic=<t>/`` and may carry
     ``extra`` columns (such as an arrival time, which Kafka keeps as the record
-    timestamp)."""
+    timestamp). ``fmt="log"`` appends to topic logs; with ``epoch`` (the batch id of a stream) a batch that is
+    written again changes nothing."""
     cols = [c for c in ("key", "value", "topic") if c in df.columns]
-    if fmt != "kafka":
+    if fmt == "log":
+        cols += ["timestamp"] if "timestamp" in df.columns else []
+    elif fmt != "kafka":
         cols += [c for c in extra if c in df.columns]
     out = df.select(*cols)
     if topic is not None:
@@ -76,6 +91,11 @@ def write_topic(df: DataFrame, topic: str | None = None, fmt: str = "kafka", pat
         return
     if path is None:
         raise ValueError("file topics need a path")
+    if fmt == "log":
+        topic_log.register(df.sparkSession)
+        opts = dict(options or {}) | ({} if epoch is None else {"epoch": str(epoch)})
+        out.write.format("topic_log").mode("append").options(**opts).save(path)
+        return
     out.write.mode("append").partitionBy("topic").format(fmt).save(path)
 
 

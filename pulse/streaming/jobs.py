@@ -12,16 +12,16 @@ import contextlib
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulse.functions import epoch_millis
 from pulse.operators import dedup, ingest
 from pulse.schemas import ORDER_FIELDS
+from pulse.sources.topics import write_topic
 from pulse.streaming import sinks
-from pulse.streaming.keyed import DAY_MS, device_days, first_orders
-from pulse.streaming.state import first_seen_stream, first_start_stream
+from pulse.streaming.keyed import DAY_MS, device_days, earliest, first_orders
 
 MICRO_BATCH = "5 seconds"
 DAU_KEYS = ["mid", "logDate"]
@@ -57,6 +57,10 @@ class Queries(list):
         for q in self:
             q.awaitTermination() if timeout is None else q.awaitTermination(timeout)
 
+    def processAllAvailable(self) -> None:
+        for q in self:
+            q.processAllAvailable()
+
     def exception(self):
         return next((e for e in (q.exception() for q in self) if e), None)
 
@@ -88,19 +92,20 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: str | None, name: str |
 # --- collector -------------------------------------------------------------------
 
 def collect_batch(batch: DataFrame, batch_id: int, landing: str, topics: str,
-                  arrival_col: str = "arrival_ms", invalid: str | None = None) -> None:
+                  arrival_col: str = "arrival_ms", invalid: str | None = None, options: dict | None = None) -> None:
     """Stamp, land by day and route one batch of raw lines: two sinks, one read.
 
     Lines that are not JSON objects cannot be stamped; they go to ``invalid``
-    (default ``<landing>_invalid``) as they came. All writes are ``batch=<id>``
-    folders with dynamic overwrite (replay-safe)."""
+    (default ``<landing>_invalid``) as they came. Landing and invalid lines are ``batch=<id>`` folders with
+    dynamic overwrite, the topics are topic logs below ``topics`` with the batch as epoch: a batch that
+    is run again changes none of them, and a stream on a topic sees no line twice."""
     stamped = ingest.with_log_day(ingest.stamp_lines(batch.withColumn("_raw", F.col("value")), arrival_col))
     stamped = stamped.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = stamped.where(F.col("value").isNotNull())
         sinks.write_batch(good.select("value", "dt"), landing, "dt", batch_id, fmt="text")
-        routed = ingest.route_logs(good).select("key", "value", "topic")
-        sinks.write_batch(routed, topics, "topic", batch_id)
+        routed = ingest.route_logs(good).select("key", "value", "topic", F.timestamp_millis(arrival_col).alias("timestamp"))
+        write_topic(routed, fmt="log", path=topics, options={"writer": "collector", **(options or {})}, epoch=batch_id)
         bad = stamped.where(F.col("value").isNull()).select(F.col("_raw").alias("value"))
         sinks.write_batch(bad, invalid or f"{landing.rstrip('/')}_invalid", None, batch_id)
     finally:
@@ -108,12 +113,13 @@ def collect_batch(batch: DataFrame, batch_id: int, landing: str, topics: str,
 
 
 def run_collector(source: DataFrame, landing: str, topics: str, checkpoint: str,
-                  trigger: str | None = None) -> StreamingQuery:
-    """``source``: streaming (key, value[, arrival_ms | timestamp]) of raw log lines."""
+                  trigger: str | None = None, options: dict | None = None) -> StreamingQuery:
+    """``source``: streaming (key, value[, arrival_ms | timestamp]) of raw log lines. ``options``: of the
+    topic logs (``partitions``)."""
     if "arrival_ms" not in source.columns:
         stamp = epoch_millis("timestamp") if "timestamp" in source.columns else F.unix_millis(F.current_timestamp())
         source = source.withColumn("arrival_ms", stamp)
-    return _start(source, lambda df, bid: collect_batch(df, bid, landing, topics), checkpoint, trigger)
+    return _start(source, lambda df, bid: collect_batch(df, bid, landing, topics, options=options), checkpoint, trigger)
 
 
 # --- change-feed relay -----------------------------------------------------------
@@ -124,16 +130,26 @@ def _file_sink(lines: DataFrame, out_path: str, checkpoint: str, trigger: str |
     return _trigger(w, trigger).start()
 
 
-def run_cdc_relay(source: DataFrame, out_path: str, checkpoint: str, table: str = "order_info",
-                  op: str = "INSERT", trigger: str | None = None, quarantine: str | None = None) -> Queries:
-    """Change envelopes (JSON lines) -> order after-images (JSON lines).
+def relay_batch(batch: DataFrame, batch_id: int, out_path: str, quarantine: str, table: str = "order_info",
+                op: str = "INSERT") -> None:
+    """One batch of change envelopes (JSON lines), decoded once: the after-images of ``op`` on ``table``
+    go to the topic log ``out_path`` with the batch as epoch, lines that do not decode to ``quarantine``."""
+    tagged = ingest.tag_changes(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        images = ingest.relay_orders(tagged.where("_ok").select("_e.*"), table, op)
+        write_topic(images, fmt="log", path=out_path, options={"writer": "relay"}, epoch=batch_id)
+        sinks.write_batch(tagged.where("not _ok").select("value"), quarantine, None, batch_id)
+    finally:
+        tagged.unpersist()
 
-    Lines that do not decode go to ``quarantine`` (default ``<out_path>_quarantine``) as they came, by a
-    second query on the same topic, so the relay never blocks on them."""
-    lines = ingest.relay_orders(ingest.parse_changes(source), table, op)
-    _, bad = ingest.split_valid_changes(source)
-    return Queries([_file_sink(lines, out_path, checkpoint, trigger),
-                    _file_sink(bad, quarantine or f"{out_path.rstrip('/')}_quarantine", f"{checkpoint.rstrip('/')}_quarantine", trigger)])
+
+def run_cdc_relay(source: DataFrame, out_path: str, checkpoint: str, table: str = "order_info",
+                  op: str = "INSERT", trigger: str | None = None, quarantine: str | None = None) -> StreamingQuery:
+    """Change envelopes (JSON lines) -> order after-images (JSON lines) on the topic log ``out_path`` (a
+    topic's folder, ``<base>/topic=<t>``). Lines that do not decode go to ``quarantine`` (default
+    ``<out_path>_quarantine``) as they came, so the relay never blocks on them."""
+    bad = quarantine or f"{out_path.rstrip('/')}_quarantine"
+    return _start(source, lambda df, bid: relay_batch(df, bid, out_path, bad, table, op), checkpoint, trigger)
 
 
 def run_cdc_quarantine(source: DataFrame, out_path: str, checkpoint: str,
@@ -172,16 +188,15 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
         seen = sinks.seen_keys(rows.sparkSession, table, DAU_KEYS, "logDate", days, batch_id)
         # firsts holds one row per key, so no key is hot here
         new = firsts if seen is None else firsts.join(seen, DAU_KEYS, "left_anti")
-        if publish is None:
-            sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
-        else:
-            # Two sinks from one computation: the table first (the source of truth),
-            # then the same rows as JSON lines on a downstream topic folder.
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
-            sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
+        # Several sinks from one computation: the table first (the source of truth), then the counts per hour,
+        # then the same rows as JSON lines on a downstream topic folder.
+        new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
+        _write_counts(new, f"{table}_hours", ["logDate", "logHour"], "devices", batch_id)
+        if publish is not None:
             sinks.write_batch(new.select(F.col("mid").alias("key"), F.to_json(F.struct(*new.columns)).alias("value")),
                               publish, None, batch_id)
-            new.unpersist()
+        new.unpersist()
         entry = {"batch": batch_id, **obs_in.get, **obs_out.get}
         if bad is not None:
             obs_bad = Observation(f"dau_bad_{batch_id}")
@@ -210,11 +225,39 @@ def run_dau(source: DataFrame, table: str, checkpoint: str, trigger: str | None
     return _start(source, batch, checkpoint, trigger)
 
 
-def _versions(df: DataFrame, table: str, day_col: str | None, checkpoint: str, trigger: str | None,
-              state_partitions: int | None) -> StreamingQuery:
-    """An update-mode aggregate into a last-write-wins table."""
-    w = (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda out, bid: sinks.write_batch(out, table, day_col, bid)))
+def _write_counts(changes: DataFrame, path: str, keys: list[str], name: str, batch_id: int) -> None:
+    """What a batch adds to and takes from the number of devices by ``keys`` (a day first). ``_was``:
+    where a device was counted before."""
+    one = F.lit(1).cast("bigint")
+    rows = changes.select(*keys, one.alias(name))
+    if "_was" in changes.columns:
+        taken = changes.where(F.col("_was").isNotNull()).select("_was.*").select(*keys, (-one).alias(name))
+        rows = rows.unionByName(taken)
+    sums = rows.groupBy(*keys).agg(F.sum(name).alias(name)).where(F.col(name) != 0)
+    sinks.write_batch(sums, path, keys[0], batch_id)
+
+
+def _changes(df: DataFrame, table: str, day_col: str | None, totals: tuple[str, list[str], str], checkpoint: str, trigger: str | None,
+             state_partitions: int | None, compact_lag_days: int | None = None, compact_every: int = 100) -> StreamingQuery:
+    """A stream of changed records into a last-write-wins table and its totals; with ``compact_lag_days``
+    finished days are compacted every ``compact_every`` batches."""
+    path, keys, name = totals
+
+    def store(out: DataFrame, bid: int) -> None:
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            sinks.write_batch(out.drop("_was"), table, day_col, bid)
+            _write_counts(out, path, keys, name, bid)
+            if day_col and compact_lag_days is not None and bid and bid % compact_every == 0:
+                newest = out.agg(F.max(day_col)).first()[0]
+                if newest is not None:
+                    from datetime import date, timedelta
+                    horizon = (date.fromisoformat(newest) - timedelta(days=compact_lag_days)).isoformat()
+                    sinks.compact_finished(out.sparkSession, table, day_col, horizon, DAU_KEYS)
+        finally:
+            out.unpersist()
+
+    w = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
     with _starting(df.sparkSession, state_partitions):
         return _trigger(w, trigger).start()
 
@@ -225,16 +268,17 @@ def _startup_quarantine(source: DataFrame, table: str, checkpoint: str, trigger:
 
 
 def run_dau_keyed_state(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
-                        retention_days: int | None = None, state_partitions: int | None = None) -> Queries:
-    """DAU job with the devices of a day as keyed state (RocksDB, in the JVM; read the table with
-    ``sinks.read_latest(..., ["mid", "logDate"])``).
+                        retention_days: int | None = None, state_partitions: int | None = None,
+                        compact_lag_days: int | None = None, compact_every: int = 100) -> Queries:
+    """DAU job with the earliest start of every (device, day) as keyed state (RocksDB; read the table with
+    ``sinks.read_latest(..., DAU_KEYS)``), and the devices per hour of first start (``read_device_hours``).
 
-    Each batch touches only the state of its own (device, day) keys, whatever the
-    size of the day's table. ``retention_days`` evicts finished days; by default nothing is late.
-    Lines that are no startups go to ``<table>_quarantine``."""
+    Each batch touches only the state of its own keys and writes only what changes. ``retention_days``
+    evicts finished days; by default nothing is late. Lines that are no startups go to ``<table>_quarantine``."""
     good, _ = ingest.split_valid_startups(source)
-    return Queries([_versions(first_start_stream(good, retention_days), table, "logDate", checkpoint, trigger, state_partitions),
-                    _startup_quarantine(source, table, checkpoint, trigger)])
+    main = _changes(earliest(good, DAU_KEYS, retention_days), table, "logDate", (f"{table}_hours", ["logDate", "logHour"], "devices"),
+                    checkpoint, trigger, state_partitions, compact_lag_days, compact_every)
+    return Queries([main, _startup_quarantine(source, table, checkpoint, trigger)])
 
 
 def run_dau_ttl(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
@@ -253,14 +297,33 @@ def run_dau_ttl(source: DataFrame, table: str, checkpoint: str, trigger: str | N
 def run_first_seen(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
                    state_partitions: int | None = None) -> Queries:
     """Table of each device's first start ever, kept by keyed state without expiry (read it with
-    ``sinks.read_latest(..., ["mid"])``); ``metrics.new_devices_on`` counts the devices of a day in it."""
+    ``sinks.read_latest(..., ["mid"])``), and the number of new devices per day (``read_new_devices``): a row per day and
+    batch, moved when an earlier start of a device arrives."""
     good, _ = ingest.split_valid_startups(source)
-    return Queries([_versions(first_seen_stream(good), table, None, checkpoint, trigger, state_partitions),
-                    _startup_quarantine(source, table, checkpoint, trigger)])
+    main = _changes(earliest(good, ["mid"]), table, None, (f"{table}_days", ["logDate"], "new_mid"), checkpoint, trigger, state_partitions)
+    return Queries([main, _startup_quarantine(source, table, checkpoint, trigger)])
+
+
+def read_device_hours(spark, table: str) -> DataFrame | None:
+    """(logDate, logHour, devices): devices by the hour of their first start of the day, as the batches
+    have counted them."""
+    return sinks.read_totals(spark, f"{table}_hours", ["logDate", "logHour"], ["devices"])
+
+
+def read_new_devices(spark, table: str) -> DataFrame | None:
+    """(logDate, new_mid) of the first-seen table."""
+    return sinks.read_totals(spark, f"{table}_days", ["logDate"], ["new_mid"])
 
 
 # --- orders ----------------------------------------------------------------------------
 
+ORDER_KEYS = ["id", "create_date"]
+ORDER_RANGE = 1_000_000  # ids of one folder of the id index
+MOST_FOLDERS = 1_000     # of the index that a batch names; beyond, it reads the index unfiltered
+# What an order contributes to the totals of its day.
+CONTRIBUTION = ["create_date", "create_hour", "total_amount"]
+
+
 def _order_paths(table: str) -> tuple[str, str]:
     return f"{table}_users", f"{table}_quarantine"
 
@@ -272,6 +335,38 @@ def _stored_orders(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     return dedup.last_per_key(good, ["id"], ["operate_time"]), bad
 
 
+def _id_folder() -> Column:
+    """Folder of the id index: a range of numeric ids, so new orders and corrections of recent ones touch
+    a few; other ids by hash."""
+    number = F.floor(F.col("id").try_cast("bigint") / ORDER_RANGE).cast("string")
+    return F.coalesce(number, F.concat(F.lit("h"), F.pmod(F.xxhash64("id"), F.lit(64)).cast("string")))
+
+
+def _earlier_contributions(spark, index: str, orders: DataFrame, batch_id: int) -> DataFrame | None:
+    """(id, _was struct) of those of ``orders`` that batches before ``batch_id`` have stored: only the
+    folders of their ids are read."""
+    known = sinks.read_or_none(spark, index)
+    if known is None:
+        return None
+    folders = [r[0] for r in orders.select("folder").distinct().limit(MOST_FOLDERS + 1).collect()]
+    if len(folders) <= MOST_FOLDERS:
+        known = known.where(F.col("folder").isin(folders))
+    known = known.where(sinks.version() < batch_id).withColumn("_at", sinks.version())
+    known = known.join(orders.select("id"), "id", "left_semi")
+    return known.groupBy("id").agg(F.max_by(F.struct(*CONTRIBUTION), "_at").alias("_was"))
+
+
+def _write_totals(changes: DataFrame, table: str, batch_id: int) -> None:
+    """What a batch adds to and takes from the totals per day and hour (``<table>_hours``). ``changes``:
+    the contribution of each stored order and, in ``_was``, the one that it replaces."""
+    money = F.col("total_amount").cast("decimal(18,2)")
+    taken = changes.where(F.col("_was").isNotNull()).select("_was.*").select("create_date", "create_hour", (-money).alias("amount"), F.lit(-1).alias("orders"))
+    added = changes.select("create_date", "create_hour", money.alias("amount"), F.lit(1).alias("orders"))
+    sums = added.unionByName(taken).groupBy("create_date", "create_hour").agg(
+        F.sum("amount").cast("decimal(28,2)").alias("amount"), F.sum("orders").alias("orders"))
+    sinks.write_batch(sums.where("orders <> 0 or amount <> 0"), f"{table}_hours", "create_date", batch_id)
+
+
 def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | None = None,
                  compact_lag_days: int | None = None, compact_every: int = 100) -> None:
     """One micro-batch of order JSON lines -> the order table.
@@ -279,10 +374,13 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
     parse -> split create time, mask phone -> quarantine rows without id or valid time -> one row per id ->
     first-order flag against the known-users table -> keyed upsert: the latest batch's version of an id
     counts (``read_orders``). A first order that is delivered again stays the first. New buyers are
-    added to the known-users table, once each. All writes are ``batch=<id>`` folders; with
-    ``compact_lag_days`` finished days of the order table and finished generations of
-    the known-users table are compacted every ``compact_every`` batches. An id's create time is
-    taken as fixed: versions of an order lie in one day."""
+    added to the known-users table, once each.
+
+    The id index (``<table>_ids``, folders of id ranges) says where an id lies and what it contributes: an order
+    that comes with another day leaves a ``_gone`` row in its old day, and the totals per day and hour
+    (``<table>_hours``, ``read_order_hours``) get the difference to the version before. All writes are
+    ``batch=<id>`` folders and look only at earlier batches; with ``compact_lag_days`` finished days of the
+    order table and finished generations of the known-users table are compacted every ``compact_every`` batches."""
     users_path, bad_path = _order_paths(table)
     spark = batch.sparkSession
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -293,9 +391,20 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
             known = known.where(F.col(sinks.BATCH_COL) != F.lit(str(batch_id))).select("user_id", "first_id")
             known = known.join(orders.select("user_id").distinct(), "user_id", "left_semi")
         flagged = dedup.flag_first(orders, "user_id", ["create_time", *dedup.numeric_id("id")], known)
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+        flagged = flagged.withColumn("folder", _id_folder()).persist(StorageLevel.MEMORY_AND_DISK)
         days = sinks.batch_days(flagged, "create_date")
-        sinks.write_batch(flagged.select(*ORDER_FIELDS), table, "create_date", batch_id)
+        earlier = _earlier_contributions(spark, f"{table}_ids", flagged, batch_id)
+        was = F.lit(None).cast("struct<create_date string, create_hour string, total_amount double>")
+        placed = flagged.withColumn("_was", was) if earlier is None else flagged.join(earlier, "id", "left")
+        placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
+        gone = placed.where(F.col("_was.create_date") != F.col("create_date")).select(
+            *[F.col("id") if c == "id" else F.col("_was.create_date").alias(c) if c == "create_date" else F.lit(None).cast(placed.schema[c].dataType).alias(c)
+              for c in ORDER_FIELDS], F.lit(True).alias(sinks.GONE))
+        live = placed.select(*ORDER_FIELDS, F.lit(False).alias(sinks.GONE))
+        sinks.write_batch(live.unionByName(gone), table, "create_date", batch_id)
+        changed = placed.where(~F.struct(*CONTRIBUTION).eqNullSafe(F.col("_was")))
+        _write_totals(changed, table, batch_id)
+        sinks.write_batch(changed.select("id", *CONTRIBUTION, "folder"), f"{table}_ids", "folder", batch_id)
         # Known users: gen=<batch_id // compact_every>/batch=<id>; a finished generation is
         # rewritten into one folder when the next one starts.
         gen = batch_id // compact_every
@@ -315,14 +424,21 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
                 sinks.compact_days(spark, users_path, "gen", [str(gen - 1)])
         if log is not None:
             log(entry)
+        placed.unpersist()
         flagged.unpersist()
     finally:
         batch.unpersist()
 
 
 def read_orders(spark, table: str) -> DataFrame | None:
-    """The order table: one row per id, its latest version."""
-    return sinks.read_latest(spark, table, ["id"])
+    """The order table: one row per id, its latest version. An id's versions of a day are compared within the
+    day (a version that moved has left a ``_gone`` row), so a filter on ``create_date`` prunes the scan."""
+    return sinks.read_latest(spark, table, ORDER_KEYS)
+
+
+def read_order_hours(spark, table: str) -> DataFrame | None:
+    """(create_date, create_hour, amount, orders) as the batches have kept them, corrections included."""
+    return sinks.read_totals(spark, f"{table}_hours", ["create_date", "create_hour"], ["amount", "orders"])
 
 
 def run_orders(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
@@ -337,12 +453,20 @@ def run_orders_keyed_state(source: DataFrame, table: str, checkpoint: str,
                            trigger: str | None = None, state_partitions: int | None = None) -> Queries:
     """Order job for a large user base: a user's orders are keyed state (RocksDB), so a batch reads
     neither the known users nor the order table. The stream carries ``is_first_order`` and only the rows that a
-    batch changes; the table stores them as the batch's versions (``read_orders``). A batch that changes nothing
-    writes nothing. Invalid orders go to ``<table>_quarantine``."""
+    batch changes; the table stores them as the batch's versions (``read_orders``), and the totals per day and hour
+    get the differences (``read_order_hours``). A batch that changes nothing writes nothing. Invalid orders
+    go to ``<table>_quarantine``."""
     good, bad = ingest.split_valid_orders(ingest.prepare_orders(ingest.parse_order(source)))
 
     def store(out: DataFrame, bid: int) -> None:
-        sinks.write_batch(dedup.last_per_key(out, ["id"], ["operate_time"]), table, "create_date", bid)
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = dedup.last_per_key(out.drop("_was"), ORDER_KEYS, ["_seq"]).drop("_seq")
+            sinks.write_batch(rows, table, "create_date", bid)
+            # each row says what it replaces, so several of an id in one batch add up to the last
+            _write_totals(out.where(~F.col(sinks.GONE) & ~F.struct(*CONTRIBUTION).eqNullSafe(F.col("_was"))), table, bid)
+        finally:
+            out.unpersist()
 
     w = first_orders(good).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
     with _starting(source.sparkSession, state_partitions, only_with_data=True):

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -20,6 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
+PARTS = ["create_date", "create_hour", "total_amount"]  # what an order contributes to the totals
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -80,16 +82,71 @@ def device_days(startups: DataFrame, ttl_ms: int = DAY_MS) -> DataFrame:
         statefulProcessor=DeviceDays(columns, ttl_ms), outputStructType=startups.schema, outputMode="Append", timeMode="ProcessingTime")
 
 
+class Earliest(StatefulProcessor):
+    """Per key: the earliest record ever seen (by ``ts``, then by the other columns), whatever the order of
+    arrival. Emits it only when it changes, with ``_was``: where the one before was counted. With ``day_end``, the
+    event-time column, a key is forgotten when the watermark has passed its day."""
+
+    def __init__(self, columns: list[str], day_end: str | None = None):
+        self.columns, self.day_end = columns, day_end
+        self.order = ["ts", *[c for c in columns if c != "ts"]]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", T.StructType([T.StructField("record", T.StringType())]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        top = min(rows, key=lambda r: _nulls_first(r[c] for c in self.order))
+        stored = self.best.get()
+        old = None if stored is None else dict(zip(self.columns, json.loads(stored[0])))
+        new = {c: top[c] for c in self.columns}
+        if old is not None and _nulls_first(old[c] for c in self.order) <= _nulls_first(new[c] for c in self.order):
+            return
+        self.best.update((json.dumps(list(new.values())),))
+        if self.day_end is not None and old is None:
+            self.handle.registerTimer(int(top[self.day_end].timestamp() * 1000))
+        yield Row(**new, _was=None if old is None else Row(logDate=old["logDate"], logHour=old["logHour"]))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.best.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+DAY_END = "_day_end"
+
+
+def earliest(startups: DataFrame, keys: list[str], retention_days: int | None = None) -> DataFrame:
+    """Streaming parsed startups -> the earliest start of every key, in update mode, a row when it changes.
+
+    Without ``retention_days`` nothing is late and no key is forgotten. With it (``keys`` include the day) the
+    watermark trails the end of the newest day by so many days: the keys of days before are evicted, and starts of
+    such days are not taken any more (``numRowsDroppedByWatermark`` of the query's progress counts them)."""
+    use_rocksdb(startups.sparkSession)
+    columns = startups.columns
+    was = T.StructType([T.StructField("logDate", T.StringType()), T.StructField("logHour", T.StringType())])
+    schema = T.StructType([*startups.schema.fields, T.StructField("_was", was)])
+    rows = combine_first(startups, keys, ["ts"])
+    if retention_days is not None:
+        rows = rows.withColumn(DAY_END, F.timestamp_millis((F.floor(F.col("ts") / DAY_MS) + 1) * DAY_MS)).withWatermark(DAY_END, f"{int(retention_days)} days")
+    state = Earliest(columns, None if retention_days is None else DAY_END)
+    return rows.groupBy(*keys).transformWithState(statefulProcessor=state, outputStructType=schema, outputMode="Update",
+                                                  timeMode="None" if retention_days is None else "EventTime")
+
+
 class FirstOrders(StatefulProcessor):
     """Per user: the stored orders and which of them is the first (by create time, then id as a
     number, then id). Emits the rows of the order table that a batch changes, with the flag: orders that are
     new or come in another version, and orders whose flag turns because an earlier one has arrived or the
     first one has got a later time. An order that is delivered again as it was emits nothing. Of several
     versions in a batch the largest by ``operate_time``, then by the whole record, counts; of several
-    batches the last. A row may be emitted twice in a batch; the one that holds is the larger (``dedup.last_per_key``)."""
+    batches the last. A row may be emitted again in a batch; the one with the highest ``_seq`` holds. ``_was``: what the
+    version before contributed to its day; one that lay in another day is also emitted there, as ``_gone``."""
 
     def __init__(self, columns: list[str], flag: str):
-        self.columns, self.flag = columns, flag
+        self.columns, self.flag, self.seq, self.came = columns, flag, 0, {}
         self.version = [columns.index("operate_time"), *range(len(columns))]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -104,8 +161,17 @@ class FirstOrders(StatefulProcessor):
         return time, whole, int(order_id) if whole else 0, order_id
 
     def row(self, order_id: str, is_first: bool) -> Row:
-        values = json.loads(self.orders.getValue((order_id,))[0])
-        return Row(**dict(zip(self.columns, values)), **{self.flag: "1" if is_first else "0"})
+        """The stored order; what it replaces is the version before if it has just come."""
+        values = dict(zip(self.columns, json.loads(self.orders.getValue((order_id,))[0])))
+        parts = values if order_id not in self.came else self.came.pop(order_id)
+        old = None if parts is None else Row(**{c: parts[c] for c in PARTS})
+        self.seq += 1
+        return Row(**values, **{self.flag: "1" if is_first else "0"}, _was=old, _gone=False, _seq=self.seq)
+
+    def left(self, old: dict) -> Row:
+        """The place that an order has left."""
+        self.seq += 1
+        return Row(**{c: old[c] if c in ("id", "create_date") else None for c in self.columns}, **{self.flag: None}, _was=None, _gone=True, _seq=self.seq)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         known = key[0] is not None  # orders without a user are never a first order
@@ -114,16 +180,21 @@ class FirstOrders(StatefulProcessor):
         before = first = None if stored is None else stored[0]
         top = None if first is None else self.rank(self.orders.getValue((first,))[1], first)
         touched = lost = False  # the first order has come again; with a later time
+        self.seq, self.came = 0, {}  # came: the version before of the (one or two) orders not yet emitted
         for r in rows:
             values, order_id = [r[c] for c in self.columns], r["id"]
-            record = json.dumps(values)
+            record, old = json.dumps(values), None
             if self.orders.containsKey((order_id,)):
-                old, _, at = self.orders.getValue((order_id,))
-                have = json.loads(old)
-                if old == record or at == now and _nulls_first(have[k] for k in self.version) > _nulls_first(values[k] for k in self.version):
+                before_it, _, at = self.orders.getValue((order_id,))
+                have = json.loads(before_it)
+                if before_it == record or at == now and _nulls_first(have[k] for k in self.version) > _nulls_first(values[k] for k in self.version):
                     continue
+                old = dict(zip(self.columns, have))
+                if old["create_date"] != r["create_date"]:
+                    yield self.left(old)
             mine = self.rank(r["create_time"], order_id)
             self.orders.updateValue((order_id,), (record, r["create_time"], now))
+            self.came.setdefault(order_id, old)
             if known and order_id == first:
                 touched, lost, top = True, lost or mine > top, mine
             elif known and (top is None or mine < top):
@@ -147,8 +218,11 @@ class FirstOrders(StatefulProcessor):
 
 
 def first_orders(orders: DataFrame, flag: str = "is_first_order") -> DataFrame:
-    """Streaming valid orders -> the changed rows of the order table with ``flag``, in update mode."""
+    """Streaming valid orders -> the changed rows of the order table with ``flag``, ``_was``, ``_gone`` and
+    ``_seq``, in update mode."""
     use_rocksdb(orders.sparkSession)
-    schema = T.StructType([*orders.schema.fields, T.StructField(flag, T.StringType())])
+    was = T.StructType([T.StructField(c, orders.schema[c].dataType) for c in PARTS])
+    schema = T.StructType([*orders.schema.fields, T.StructField(flag, T.StringType()), T.StructField("_was", was),
+                           T.StructField("_gone", T.BooleanType()), T.StructField("_seq", T.LongType())])
     return orders.groupBy("user_id").transformWithState(
         statefulProcessor=FirstOrders(orders.columns, flag), outputStructType=schema, outputMode="Update", timeMode="ProcessingTime")

@@ -6,7 +6,10 @@ writes only its own ``batch=<id>`` folders with dynamic partition overwrite. Two
 * first write wins (devices of a day): what is new is decided by an anti join against the *other*
   batches of the same days;
 * last write wins (orders): every batch stores its version of a record, and readers take the version of the
-  latest batch (``read_latest``); ``batch=compact`` is older than any numbered batch.
+  latest batch (``read_latest``); ``batch=compact`` is older than any numbered batch. A record that moves to another
+  day leaves a row with ``_gone`` in the old one, so a day is read without the others;
+* totals: every batch stores what it adds to a (day, ...) total, or takes from it; readers sum a day's rows
+  (``read_totals``).
 
 Re-running a batch (after a failure between the write and the checkpoint commit)
 therefore rewrites identical folders: the table does not change.
@@ -17,10 +20,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_COL = "batch"
+GONE = "_gone"  # of a record that has moved to another day
 
 
 # What a table that nothing was written to yet raises; anything else is an error.
@@ -79,22 +83,36 @@ def write_batch(df: DataFrame, path: str, parts: str | Sequence[str] | None, bat
 
 def latest(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key the row of the latest batch (a partial aggregate, safe for hot keys), without ``batch``.
-    A table without batches has one row per key already."""
+    A table without batches has one row per key already. Rows that are gone are left out."""
     if BATCH_COL not in table.columns:
         return table
-    cols = [c for c in table.columns if c != BATCH_COL]
-    rest = [c for c in cols if c not in keys]
-    version = F.coalesce(F.col(BATCH_COL).try_cast("bigint"), F.lit(-1).cast("bigint")).alias("_version")
-    agg = table.groupBy(*keys).agg(F.max(F.struct(version, *rest)).alias("_last"))
+    cols = [c for c in table.columns if c not in (BATCH_COL, GONE)]
+    rest = [c for c in table.columns if c not in keys and c != BATCH_COL]
+    agg = table.groupBy(*keys).agg(F.max(F.struct(version().alias("_version"), *rest)).alias("_last"))
+    if GONE in table.columns:
+        agg = agg.where(~F.coalesce(F.col(f"_last.{GONE}"), F.lit(False)))
     return agg.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in cols])
 
 
+def version() -> Column:
+    """The batch as a number; compacted rows are older than any batch."""
+    return F.coalesce(F.col(BATCH_COL).try_cast("bigint"), F.lit(-1).cast("bigint"))
+
+
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
-    """A last-write-wins table: one row per key."""
+    """A last-write-wins table: one row per key. A day column among ``keys`` can be filtered before
+    the versions are compared: the predicate reaches the scan."""
     t = read_or_none(spark, path)
     return None if t is None else latest(t, keys)
 
 
+def read_totals(spark: SparkSession, path: str, keys: Sequence[str], values: Sequence[str]) -> DataFrame | None:
+    """The sums of ``values`` by ``keys`` over what the batches have added: a row per batch and key is
+    read, whatever the number of records; a filter on a day among the keys prunes the scan."""
+    t = read_or_none(spark, path)
+    return None if t is None else t.groupBy(*keys).agg(*[F.sum(v).cast(t.schema[v].dataType).alias(v) for v in values])
+
+
 def read_result(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored rows without the bookkeeping ``batch`` column."""
     t = read_or_none(spark, path)
@@ -120,8 +138,8 @@ def compact_days(spark: SparkSession, path: str, day_col: str, days: Sequence[st
     current = read_days(spark, path, day_col, days)
     if current is None:
         return 0
-    rows = current.drop(BATCH_COL) if keys is None else latest(current, [*keys, day_col])
-    rows = rows.select(*[c for c in current.columns if c != BATCH_COL])
+    rows = current.drop(BATCH_COL) if keys is None else latest(current, list(dict.fromkeys([*keys, day_col])))
+    rows = rows.select(*[F.lit(False).alias(c) if c == GONE and keys is not None else c for c in current.columns if c != BATCH_COL])
     staging = f"{path.rstrip('/')}_staging/{uuid.uuid4().hex[:12]}"
     expected = Observation("compact")
     rows.observe(expected, F.count(F.lit(1)).alias("n")).write.partitionBy(day_col).parquet(staging)

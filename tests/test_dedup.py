@@ -2,6 +2,7 @@
 
 import random
 
+from pyspark.sql import functions as F
 
 from pulse.operators import dedup, metrics
 
@@ -73,11 +74,14 @@ def test_hourly_active_exact_and_approx(spark):
     assert exact == {"00": 7, "01": 7, "02": 7} and approx == exact
 
 
-def test_kpi_summary_with_first_seen_table(spark):
+def test_kpi_totals_as_kpi_summary(spark):
     dau = spark.createDataFrame([("a", "2024-01-14", "01", 1, "x"), ("a", "2024-01-15", "02", 2, "x"),
                                  ("b", "2024-01-15", "03", 3, "x")], SCHEMA)
     orders = spark.createDataFrame([("2024-01-15", "01", 2.5)], "create_date string, create_hour string, total_amount double")
-    first_seen = dedup.first_per_key(dau, ["mid"], ["ts"])
-    a = {r.id: r.value for r in metrics.kpi_summary(dau, orders, "2024-01-15").collect()}
-    b = {r.id: r.value for r in metrics.kpi_summary(dau, orders, "2024-01-15", first_seen).collect()}
-    assert a == b == {"dau": 2.0, "new_mid": 1.0, "order_amount": 2.5}
+    per_hour = dau.groupBy("logDate", "logHour").agg(F.count(F.lit(1)).alias("devices"))
+    new = dedup.first_per_key(dau, ["mid"], ["ts"]).groupBy("logDate").agg(F.count(F.lit(1)).alias("new_mid"))
+    money = orders.groupBy("create_date", "create_hour").agg(F.sum("total_amount").cast("decimal(28,2)").alias("amount"), F.count(F.lit(1)).alias("orders"))
+    for day in ("2024-01-15", "2024-01-14", "2024-02-01"):
+        a = {r.id: r.value for r in metrics.kpi_summary(dau, orders, day).collect()}
+        b = {r.id: r.value for r in metrics.kpi_totals(per_hour, new, money, day).collect()}
+        assert a == b

@@ -1,0 +1,189 @@
+"""Keyed state: expiry after the last write, changes only, moved orders, kept totals."""
+
+import json
+import os
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from pulse.streaming import jobs, sinks
+
+BASE = 1_705_276_800_000  # 2024-01-15 00:00:00 UTC
+HOUR = 3_600_000
+
+
+def start(mid, ts):
+    return json.dumps({"type": "startup", "mid": mid, "ts": ts})
+
+
+def order(i, user, when, amount=1.0, operate=""):
+    return json.dumps({"id": str(i), "user_id": user, "create_time": when, "total_amount": str(amount), "operate_time": operate,
+                       "consignee_tel": "13812348888"})
+
+
+def feed(spark, topic, lines):
+    spark.createDataFrame([(None, x) for x in lines], "key string, value string").write.mode("append").parquet(topic)
+    return spark.readStream.schema("key string, value string").parquet(topic)
+
+
+def run(job, spark, topic, lines, *args, **kw):
+    q = job(feed(spark, topic, lines), *args, trigger="available_now", **kw)
+    q.awaitTermination()
+    assert not q.exception()
+    return q
+
+
+def batches(table):
+    """The batch folders that hold files, by day."""
+    local, out = table.replace("file:", ""), {}
+    for folder, _, files in os.walk(local):
+        parts = dict(x.split("=") for x in folder[len(local):].split("/") if "=" in x)
+        if "batch" in parts and any(f.endswith("parquet") for f in files):
+            out.setdefault(parts["batch"], set()).add(next((v for k, v in parts.items() if k != "batch"), ""))
+    return out
+
+
+def test_devices_expire_after_their_last_write(spark, scratch):
+    """The clock moves on under a running query: a is forgotten, b was written again and is still known."""
+    topic, table, ckpt, ttl = scratch("topic"), scratch("table"), scratch("ckpt"), 20_000
+    q = jobs.run_dau_ttl(feed(spark, topic, [start("a", BASE + 1), start("b", BASE + 1), start("b", BASE + 5)]), table, ckpt, "0 seconds", ttl_ms=ttl, state_partitions=2)
+    try:
+        q.processAllAvailable()
+        begun = time.time()
+        time.sleep(10)
+        feed(spark, topic, [start("b", BASE + 2)])
+        q.processAllAvailable()
+        time.sleep(max(0, begun + ttl / 1000 + 1 - time.time()))
+        feed(spark, topic, [start("a", BASE + 3), start("b", BASE + 3)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = sorted((r.mid, r.ts) for r in sinks.read_result(spark, table).collect())
+    assert rows == [("a", BASE + 1), ("a", BASE + 3), ("b", BASE + 1)]
+
+
+def test_unchanged_devices_are_not_written_again(spark, scratch):
+    topic, table, ckpt = scratch("topic"), scratch("seen"), scratch("ckpt")
+    days = {}
+    for lines in ([start("a", BASE + 5), start("b", BASE + 6), start("a", BASE + 50)],
+                  [start("a", BASE + 5), start("b", BASE + 30 * HOUR)],           # nothing changes
+                  [start("b", BASE - HOUR), start("c", BASE + HOUR)]):            # b was new a day before
+        run(jobs.run_first_seen, spark, topic, lines, table, ckpt, state_partitions=2)
+        days = {r.logDate: r.new_mid for r in jobs.read_new_devices(spark, table).collect()}
+    assert {b: len(d) for b, d in batches(table).items()} == {"0": 1, "2": 1}
+    assert spark.read.parquet(table).count() == 4
+    assert {r.mid: r.ts for r in sinks.read_latest(spark, table, ["mid"]).collect()} == {"a": BASE + 5, "b": BASE - HOUR, "c": BASE + HOUR}
+    assert days == {"2024-01-14": 1, "2024-01-15": 2}
+
+
+def test_device_hours_follow_an_earlier_start(spark, scratch):
+    topic, table, ckpt = scratch("topic"), scratch("dau"), scratch("ckpt")
+    for lines in ([start("a", BASE + 5 * HOUR), start("b", BASE + 5 * HOUR)], [start("a", BASE + 2 * HOUR), start("b", BASE + 6 * HOUR)]):
+        run(jobs.run_dau_keyed_state, spark, topic, lines, table, ckpt, state_partitions=2)
+    got = {r.logHour: r.devices for r in jobs.read_device_hours(spark, table).collect() if r.devices}
+    assert got == {"02": 1, "05": 1}
+    want = {r.logHour: r["count"] for r in sinks.read_latest(spark, table, jobs.DAU_KEYS).groupBy("logHour").count().collect()}
+    assert got == want
+
+
+def test_keyed_state_compacts_finished_days(spark, scratch):
+    topic, table, ckpt = scratch("topic"), scratch("dau"), scratch("ckpt")
+    for d in range(4):
+        run(jobs.run_dau_keyed_state, spark, topic, [start(f"m{d}", BASE + 24 * d * HOUR), start("a", BASE + 24 * d * HOUR)], table, ckpt,
+            state_partitions=2, compact_lag_days=1, compact_every=1)
+    assert "compact" in batches(table) and len(sinks.read_latest(spark, table, jobs.DAU_KEYS).collect()) == 8
+
+
+def flags(spark, table):
+    return {r.id: (r.total_amount, r.create_date, r.is_first_order) for r in jobs.read_orders(spark, table).collect()}
+
+
+def test_the_stream_flags_first_orders_and_writes_changes_only(spark, scratch):
+    topic, table, ckpt = scratch("topic"), scratch("orders"), scratch("ckpt")
+    steps = [
+        [order(1, "u", "2024-01-15 10:00:00"), order(2, "u", "2024-01-15 11:00:00"), order(7, None, "2024-01-15 11:00:00")],
+        [order(1, "u", "2024-01-15 10:00:00"), order(2, "u", "2024-01-15 11:00:00")],      # changes nothing
+        [order(3, "u", "2024-01-14 09:00:00")],                                             # an earlier one: two flags turn
+        [order(3, "u", "2024-01-16 09:00:00", 3.0, "2024-01-16 10:00:00")],                 # the first one moves to a later day
+        [order(2, "u", "2024-01-15 11:00:00", 9.0, "2024-01-16 12:00:00"), order(2, "u", "2024-01-15 11:00:00", 8.0, "2024-01-16 11:00:00")],
+    ]
+    want = [
+        {"1": (1.0, "2024-01-15", "1"), "2": (1.0, "2024-01-15", "0"), "7": (1.0, "2024-01-15", "0")},
+        None,
+        {"1": (1.0, "2024-01-15", "0"), "3": (1.0, "2024-01-14", "1")},
+        {"1": (1.0, "2024-01-15", "1"), "3": (3.0, "2024-01-16", "0")},
+        {"2": (9.0, "2024-01-15", "0")},
+    ]
+    state = {}
+    for lines, change in zip(steps, want):
+        run(jobs.run_orders_keyed_state, spark, topic, lines, table, ckpt, state_partitions=2)
+        state |= change or {}
+        assert flags(spark, table) == state
+    assert batches(table) == {"0": {"2024-01-15"}, "2": {"2024-01-14", "2024-01-15"}, "3": {"2024-01-14", "2024-01-15", "2024-01-16"}, "4": {"2024-01-15"}}
+    assert "is_first_order" in spark.read.parquet(table).columns
+    check_totals(spark, table)
+
+
+def check_totals(spark, table):
+    kept = {(r.create_date, r.create_hour): (float(r.amount), r.orders) for r in jobs.read_order_hours(spark, table).collect() if r.orders}
+    again = {(r.create_date, r.create_hour): (float(r.amount), r.orders) for r in jobs.read_orders(spark, table).groupBy("create_date", "create_hour").agg(
+        F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("amount"), F.count(F.lit(1)).alias("orders")).collect()}
+    assert kept == again
+
+
+@pytest.mark.parametrize("mode", ["table", "state"])
+def test_moved_orders_and_totals(spark, scratch, mode):
+    """Random corrections of amount, hour and day, several of an id in a batch, redeliveries: one row per id, in its
+    last day; a day read alone agrees; the kept totals are those of the table."""
+    rng = random.Random(5)
+    table, topic, ckpt, last, parts = scratch("orders"), scratch("topic"), scratch("ckpt"), {}, []
+    for b in range(4):
+        lines = []
+        for i in rng.sample(range(12), 7):
+            for k in range(rng.randint(1, 2)):
+                day, hour, amount = rng.randint(14, 16), rng.randint(0, 2), rng.randint(1, 99) / 4
+                lines.append(order(i, f"u{i % 3}", f"2024-01-{day} {hour:02d}:00:00", amount, f"2024-02-{b + 1:02d} 00:00:0{k}"))
+                last[str(i)] = (amount, f"2024-01-{day}")
+        parts.append(lines + (parts[-1][:0] if parts else []))
+    if mode == "table":
+        frames = [spark.createDataFrame([(x,) for x in lines], "value string") for lines in parts]
+        for b in (0, 1, 2, 3, 3, 1):  # the last and an older batch are run again
+            jobs.orders_batch(frames[b], b, table)
+    else:
+        for lines in parts:
+            run(jobs.run_orders_keyed_state, spark, topic, lines, table, ckpt, state_partitions=2)
+    rows = jobs.read_orders(spark, table).collect()
+    assert {r.id: (r.total_amount, r.create_date) for r in rows} == last and len(rows) == len(last)
+    for day in ("2024-01-14", "2024-01-15", "2024-01-16"):
+        alone = jobs.read_orders(spark, table).where(F.col("create_date") == day)
+        assert {r.id for r in alone.collect()} == {i for i, (_, d) in last.items() if d == day}
+    check_totals(spark, table)
+    assert sinks.compact_days(spark, table, "create_date", ["2024-01-14", "2024-01-15", "2024-01-16"], ["id"]) == len(last)
+    assert {r.id: (r.total_amount, r.create_date) for r in jobs.read_orders(spark, table).collect()} == last
+
+
+def test_a_day_of_orders_reads_one_day(spark, scratch):
+    table = scratch("orders")
+    for b in range(3):
+        jobs.orders_batch(spark.createDataFrame([(order(10 * b + k, "u", f"2024-01-{15 + b} 10:00:00"),) for k in range(3)], "value string"), b, table)
+    plan = jobs.read_orders(spark, table).where(F.col("create_date") == "2024-01-16")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "create_date" in text.partition("PartitionFilters: [")[2].partition("]")[0]
+    assert len(plan.inputFiles()) >= 3 and len(plan.collect()) == 3
+    totals = jobs.read_order_hours(spark, table).where(F.col("create_date") == "2024-01-16")
+    assert "create_date" in totals._jdf.queryExecution().executedPlan().toString().partition("PartitionFilters: [")[2].partition("]")[0]
+    assert [(r.create_hour, float(r.amount), r.orders) for r in totals.collect()] == [("10", 3.0, 3)]
+
+
+def test_the_id_index_is_read_by_folder(spark, scratch):
+    """A batch of new orders reads the folder of their range of ids, not the index of all orders."""
+    table = scratch("orders")
+    for b, lo in enumerate((0, 5_000_000)):
+        jobs.orders_batch(spark.createDataFrame([(order(lo + k, "u", "2024-01-15 10:00:00"),) for k in range(3)], "value string"), b, table)
+    new = spark.createDataFrame([("5000001",), ("x",)], "id string").withColumn("folder", jobs._id_folder())
+    assert {r.folder[:1] for r in new.collect()} == {"5", "h"}
+    plan = jobs._earlier_contributions(spark, f"{table}_ids", new, 2)
+    assert "folder" in plan._jdf.queryExecution().executedPlan().toString().partition("PartitionFilters: [")[2].partition("]")[0]
+    assert [r.id for r in plan.collect()] == ["5000001"]
