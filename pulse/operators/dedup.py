@@ -72,6 +72,43 @@ def drop_seen(batch: DataFrame, seen: DataFrame, keys: Sequence[str], hot_rows:
     return left.withColumn("_spot", spot).join(right.select(spot), "_spot", "left_anti").select(*batch.columns)
 
 
+# Bits of a seen-set bitmap: 8 MB at most, whatever the number of keys.
+SEEN_BITS = 1 << 26
+
+
+def seen_bits(rows: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by, bucket, bits): a bitmap of the hashes of the keys of ``rows`` (one for each ``by``);
+    several are merged by or."""
+    k = F.pmod(F.xxhash64(*keys), F.lit(SEEN_BITS))
+    return rows.select(*by, k.alias("_k")).groupBy(*by, F.bitmap_bucket_number("_k").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_k")).alias("bits"))
+
+
+def merged_bits(bits: DataFrame) -> DataFrame:
+    """The bitmaps of several batches as one: ``SEEN_BITS`` bits at most."""
+    return bits.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def maybe_seen(batch: DataFrame, bits: DataFrame, keys: Sequence[str], flag: str = "_maybe") -> DataFrame:
+    """``batch`` with ``flag``: false for keys that are surely not among those of ``bits`` (merged;
+    bounded, so broadcast)."""
+    k = F.pmod(F.xxhash64(*keys), F.lit(SEEN_BITS))
+    marked = batch.withColumn("_k", k).join(F.broadcast(bits.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))),
+                                            F.bitmap_bucket_number("_k") == F.col("_bucket"), "left")
+    at = F.bitmap_bit_position("_k")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2)) == 1
+    return marked.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_k", "_bucket", "_bits")
+
+
+def drop_marked(marked: DataFrame, seen: DataFrame, keys: Sequence[str], flag: str = "_maybe") -> DataFrame:
+    """The rows of :func:`maybe_seen` (a row per key) whose key is not in ``seen``: only rows that the bitmap
+    can't clear are compared exactly, and of ``seen`` only their keys (the smaller side is broadcast by its size)."""
+    doubtful = marked.where(flag).drop(flag)
+    own = seen.select(*keys).join(doubtful.select(*keys), list(keys), "left_semi")
+    return marked.where(~F.col(flag)).drop(flag).unionByName(doubtful.join(own, list(keys), "left_anti"))
+
+
 def flag_first(orders: DataFrame, user: str = "user_id",
                order: Sequence[str | Column] = ("create_time", "id"),
                known_users: DataFrame | None = None, flag: str = "is_first_order",

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions import match_keyword, on_date, prev_day
+from pulse.operators import paging
 from pulse.operators.metrics import money_sum
 from pulse.schemas import SALE_DETAIL_COLUMNS
 
 PAGE_SIZES = (10, 20, 50, 100)
+SEEK_FROM = 10_000  # first row of a page that is sought instead of counted off
 
 
 def filter_detail(detail: DataFrame, day: str | None = None, keyword: str | None = None,
@@ -44,22 +46,33 @@ def detail_order_by(detail: DataFrame, order: Sequence[tuple[str, str]], n: int,
     return detail.select(*columns).orderBy(*_sort_cols(order, columns)).limit(n)
 
 
+def _page(rows: DataFrame, start: int, length: int, order: Sequence[tuple[str, str]], seek_from: int = SEEK_FROM) -> DataFrame:
+    if length not in PAGE_SIZES or start < 0:
+        raise ValueError(f"start must be >= 0 and length one of {PAGE_SIZES}")
+    rows, offset = rows.select(*SALE_DETAIL_COLUMNS), start
+    if start >= seek_from:
+        used = [c for c, _ in order]
+        whole = [(c, d.lower() == "desc") for c, d in order] + [(c, False) for c in SALE_DETAIL_COLUMNS if c not in used]
+        inside, offset, _ = paging.seek(rows, whole, start, length)
+        rows = rows.where(inside)
+    return rows.orderBy(*_sort_cols(order, SALE_DETAIL_COLUMNS)).offset(offset).limit(length)
+
+
 def paged_detail(detail: DataFrame, start: int, length: int, day: str | None = None,
                  keyword: str | None = None, level: str | None = None,
-                 order: Sequence[tuple[str, str]] = (), counted: DataFrame | None = None) -> DataFrame:
+                 order: Sequence[tuple[str, str]] = (), counted: DataFrame | None = None,
+                 seek_from: int = SEEK_FROM) -> DataFrame:
     """Rows ``start+1 .. start+length`` of the filtered grid in a total order, each
     with ``total`` (the filtered row count, a scalar subquery). A page past the end is one row
     of nulls that carries ``total``.
 
     ``start`` is a row offset. ``orderBy().offset().limit()`` plans as a top-k
-    (TakeOrderedAndProject) of ``start+length`` rows per partition. ``counted``: the same rows with only
+    (TakeOrderedAndProject) of ``start+length`` rows per partition; from ``seek_from`` on the page is sought in the
+    histogram of the sort key instead (``paging``), with the same rows. ``counted``: the same rows with only
     the columns that the filters read, for the count."""
-    if length not in PAGE_SIZES or start < 0:
-        raise ValueError(f"start must be >= 0 and length one of {PAGE_SIZES}")
     rows = filter_detail(detail, day, keyword, level)
     total = filter_detail(detail if counted is None else counted, day, keyword, level).agg(F.count(F.lit(1))).scalar()
-    page = rows.select(*SALE_DETAIL_COLUMNS).orderBy(*_sort_cols(order, SALE_DETAIL_COLUMNS)) \
-        .offset(start).limit(length)
+    page = _page(rows, start, length, order, seek_from)
     past = detail.sparkSession.range(1).select(
         *[F.lit(None).cast(page.schema[c].dataType).alias(c) for c in SALE_DETAIL_COLUMNS], total.alias("total"))
     return page.withColumn("total", total).unionByName(past.where(F.col("total") <= F.lit(start)))
@@ -135,9 +148,7 @@ def report_detail(detail: DataFrame, draw: int, start: int, length: int, day: st
     lists (conditional counts per fixed label), the other the page (top-k)."""
     from pulse.functions import AGE_LABELS, GENDER_LABELS, age_band, gender_label
     rows = filter_detail(detail, day, keyword, level)
-    if length not in PAGE_SIZES or start < 0:
-        raise ValueError(f"start must be >= 0 and length one of {PAGE_SIZES}")
-    page = rows.select(*SALE_DETAIL_COLUMNS).orderBy(*_sort_cols(order, SALE_DETAIL_COLUMNS)).offset(start).limit(length)
+    page = _page(rows, start, length, order)
     age_cols, age_opts = _label_counts(age_band("user_age"), AGE_LABELS, "_age")
     gen_cols, gen_opts = _label_counts(gender_label("user_gender"), GENDER_LABELS.values(), "_gender")
     # the page in its own order: position first, then the rows without it

@@ -317,6 +317,13 @@ def q_paged(spark, sf):
                                 counted=views.sale_detail(spark, sf, ()))
 
 
+@query("paged_detail_deep")
+def q_paged_deep(spark, sf):
+    """The page in the middle of the grid, sorted by price downwards, found by seeking."""
+    grid, slim = views.sale_detail(spark, sf, views.GRID_SIDES), views.sale_detail(spark, sf, ())
+    return reports.paged_detail(grid, slim.count() // 2, P.PAGE_LENGTH, order=[("sku_price", "desc"), ("order_id", "asc")], counted=slim, seek_from=0)
+
+
 @query("detail_order_by")
 def q_detail_order(spark, sf):
     return reports.detail_order_by(views.sale_detail(spark, sf, views.GRID_SIDES), P.DETAIL_ORDER, P.DETAIL_N)

@@ -310,6 +310,11 @@ ORACLE_SQL.update({
                            UNION ALL
                            SELECT '{D}', COUNT(*) FILTER (WHERE f = '{D}') FROM x""",
     "sink_dau": DAU,
+    "paged_detail_deep": f"""SELECT * EXCLUDE (rn) FROM (
+        SELECT {GRID}, COUNT(*) OVER () AS total, row_number() OVER (ORDER BY sku_price DESC NULLS LAST, order_id NULLS FIRST, {GRID_ASC}) AS rn FROM ({DETAIL}) s) t
+        WHERE rn > total // 2 AND rn <= total // 2 + {P.PAGE_LENGTH}""",
+    "seen_union_bits": DAU,
+    "hourly_active_kept": f"SELECT logHour, COUNT(DISTINCT mid) AS active, TRUE AS near FROM ({STARTUP}) s WHERE logDate = '{D}' GROUP BY logHour",
     "report_total_kept": ORACLE_SQL["report_total"],
     "report_hour_kept": ORACLE_SQL["report_hour"],
     "stream_orders": ORDERS_FLAGGED,

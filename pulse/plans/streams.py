@@ -261,6 +261,29 @@ def q_sink_dau(spark, sf):
     return _dau_cols(sinks.read_result(spark, table))
 
 
+@query("seen_union_bits")
+def q_seen_union_bits(spark, sf):
+    """The DAU stream with a bitmap of the days' devices in front of the exact comparison -> the DAU table."""
+    table = session.shared_dir(spark, "dau_bits")
+    feed_and_run(spark, _startup_lines(spark, sf), ["key", "value"],
+                 lambda s, c: jobs.run_dau(s, table, c, "available_now", bitmap=True), deliver=redelivered)
+    return _dau_cols(sinks.read_result(spark, table))
+
+
+@query("hourly_active_kept")
+def q_hourly_active_kept(spark, sf):
+    """Devices per hour of the day from the sketches that the DAU stream keeps, next to the exact number:
+    (logHour, active, near), near if the sketches are within 3 % (or one device)."""
+    from pulse.operators import metrics
+    table = session.shared_dir(spark, "dau_activity")
+    feed_and_run(spark, lines := _startup_lines(spark, sf), ["key", "value"],
+                 lambda s, c: jobs.run_dau(s, table, c, "available_now", activity=True), deliver=redelivered)
+    exact = metrics.hourly_active(ingest.parse_startup(lines), P.DAY)
+    about = metrics.hourly_active_merged(jobs.read_activity(spark, table), P.DAY).withColumnRenamed("active", "_about")
+    gap = F.abs(F.col("active") - F.col("_about"))
+    return exact.join(about, "logHour", "left").select("logHour", "active", F.coalesce(gap <= F.greatest(F.lit(1), F.col("active") * 0.03), F.lit(False)).alias("near"))
+
+
 @query("stream_orders")
 def q_stream_orders(spark, sf):
     """Order topic -> order stream (known-users table) -> the order table."""

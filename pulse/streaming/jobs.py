@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulse.functions import epoch_millis
-from pulse.operators import dedup, ingest
+from pulse.operators import dedup, ingest, metrics
 from pulse.schemas import ORDER_FIELDS
 from pulse.sources.topics import write_topic
 from pulse.streaming import sinks
@@ -164,9 +164,12 @@ def run_cdc_quarantine(source: DataFrame, out_path: str, checkpoint: str,
 def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int | None = None,
               log: BatchLog | None = None, publish: str | None = None,
               compact_lag_days: int | None = None, compact_every: int = 100,
-              bad: DataFrame | None = None) -> None:
+              bad: DataFrame | None = None, bitmap: bool = False, activity: bool = False) -> None:
     """One micro-batch of parsed startups -> new first-starts in the DAU table. ``bad``: lines of
-    the batch that are no startups; they go to ``<table>_quarantine`` and are counted.
+    the batch that are no startups; they go to ``<table>_quarantine`` and are counted. ``bitmap``: keep a bitmap of the
+    days' devices (``<table>_bits``) and compare only devices that it can't clear with the table (counted as
+    ``compared``); worth it once a day's table is much larger than a batch. ``activity``: keep sketches of the
+    devices per hour (``<table>_sketches``, ``read_activity``).
 
     first start per (device, day) inside the batch (partial aggregate) -> anti join
     with the keys stored by other batches for the same days -> write. With
@@ -188,16 +191,29 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
         seen = sinks.seen_keys(rows.sparkSession, table, DAU_KEYS, "logDate", days, batch_id)
         # firsts holds one row per key, so no key is hot here
         new = firsts if seen is None else firsts.join(seen, DAU_KEYS, "left_anti")
+        obs_cmp = Observation(f"dau_compared_{batch_id}") if bitmap and seen is not None else None
+        if obs_cmp is not None:
+            kept = sinks.read_days(rows.sparkSession, f"{table}_bits", "logDate", days)
+            if kept is None:  # the bitmap was not kept from the start: compare all
+                obs_cmp = None
+            else:
+                kept = kept.where(F.col(sinks.BATCH_COL) != F.lit(str(batch_id)))
+                doubtful = dedup.maybe_seen(firsts, dedup.merged_bits(kept), DAU_KEYS).observe(obs_cmp, F.count_if("_maybe").alias("compared"))
+                new = dedup.drop_marked(doubtful, seen, DAU_KEYS)
         # Several sinks from one computation: the table first (the source of truth), then the counts per hour,
         # then the same rows as JSON lines on a downstream topic folder.
         new = new.persist(StorageLevel.MEMORY_AND_DISK)
         sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
         _write_counts(new, f"{table}_hours", ["logDate", "logHour"], "devices", batch_id)
+        if bitmap:
+            sinks.write_batch(dedup.seen_bits(new, DAU_KEYS, ["logDate"]), f"{table}_bits", "logDate", batch_id)
+        if activity:
+            sinks.write_batch(metrics.activity_sketches(src), f"{table}_sketches", "logDate", batch_id)
         if publish is not None:
             sinks.write_batch(new.select(F.col("mid").alias("key"), F.to_json(F.struct(*new.columns)).alias("value")),
                               publish, None, batch_id)
         new.unpersist()
-        entry = {"batch": batch_id, **obs_in.get, **obs_out.get}
+        entry = {"batch": batch_id, **obs_in.get, **obs_out.get, **(obs_cmp.get if obs_cmp is not None else {})}
         if bad is not None:
             obs_bad = Observation(f"dau_bad_{batch_id}")
             sinks.write_batch(bad.observe(obs_bad, F.count(F.lit(1)).alias("quarantined")), f"{table}_quarantine", None, batch_id)
@@ -215,12 +231,13 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
 def run_dau(source: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
             retention_days: int | None = None, log: BatchLog | None = None,
             publish: str | None = None, compact_lag_days: int | None = None,
-            compact_every: int = 100) -> StreamingQuery:
+            compact_every: int = 100, bitmap: bool = False, activity: bool = False) -> StreamingQuery:
     """``source``: streaming JSON lines of the startup topic. ``publish``: optional
-    folder that also receives each batch's new first starts as JSON lines."""
+    folder that also receives each batch's new first starts as JSON lines. ``bitmap``, ``activity``: see
+    :func:`dau_batch`."""
     def batch(df: DataFrame, bid: int) -> None:
         good, bad = ingest.split_valid_startups(df)
-        dau_batch(good, bid, table, retention_days, log, publish, compact_lag_days, compact_every, bad)
+        dau_batch(good, bid, table, retention_days, log, publish, compact_lag_days, compact_every, bad, bitmap, activity)
 
     return _start(source, batch, checkpoint, trigger)
 
@@ -310,6 +327,11 @@ def read_device_hours(spark, table: str) -> DataFrame | None:
     return sinks.read_totals(spark, f"{table}_hours", ["logDate", "logHour"], ["devices"])
 
 
+def read_activity(spark, table: str) -> DataFrame | None:
+    """(logDate, logHour, sketch, batch) of the devices active per hour; see ``metrics.hourly_active_merged``."""
+    return sinks.read_or_none(spark, f"{table}_sketches")
+
+
 def read_new_devices(spark, table: str) -> DataFrame | None:
     """(logDate, new_mid) of the first-seen table."""
     return sinks.read_totals(spark, f"{table}_days", ["logDate"], ["new_mid"])

@@ -85,3 +85,28 @@ def test_kpi_totals_as_kpi_summary(spark):
         a = {r.id: r.value for r in metrics.kpi_summary(dau, orders, day).collect()}
         b = {r.id: r.value for r in metrics.kpi_totals(per_hour, new, money, day).collect()}
         assert a == b
+
+
+def test_seen_bits_clear_new_keys(spark):
+    """Rows cleared by the bitmap are surely new; the others are compared exactly."""
+    seen = spark.createDataFrame([(f"m{i}", "2024-01-15") for i in range(500)], "mid string, logDate string")
+    batch = spark.createDataFrame([(f"m{i}", "2024-01-15", i) for i in range(400, 2400)] + [("m1", "2024-01-16", 1), (None, "2024-01-15", 2)],
+                                  "mid string, logDate string, ts long")
+    keys = ["mid", "logDate"]
+    parts = dedup.seen_bits(seen.limit(250), keys).unionByName(dedup.seen_bits(seen, keys))
+    marked = dedup.maybe_seen(batch, dedup.merged_bits(parts), keys)
+    assert {r.mid for r in marked.where("_maybe").collect()} >= {f"m{i}" for i in range(400, 500)}
+    assert marked.where("_maybe").count() < 120
+    new = dedup.drop_marked(marked, seen, keys)
+    want = batch.join(seen, keys, "left_anti")
+    assert sorted(map(str, new.collect())) == sorted(map(str, want.collect())) and new.columns == batch.columns
+
+
+def test_merged_sketches_ignore_redelivery(spark):
+    rows = [(f"m{i}", "2024-01-15", f"{i % 2:02d}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "mid string, logDate string, logHour string")
+    parts = [metrics.activity_sketches(df.where(F.pmod(F.xxhash64("mid"), F.lit(3)) == k)) for k in range(3)]
+    for sketches in (parts[0].unionByName(parts[1]).unionByName(parts[2]), parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[1])):
+        got = {r.logHour: r.active for r in metrics.hourly_active_merged(sketches, "2024-01-15").collect()}
+        assert set(got) == {"00", "01"} and all(abs(n - 10_000) <= 300 for n in got.values())
+    assert metrics.hourly_active_merged(parts[0], "2024-01-16").count() == 0

@@ -26,6 +26,33 @@ def test_paging_is_a_window_of_the_total_order(spark, detail):
         reports.paged_detail(detail, 0, 0)
 
 
+@pytest.mark.parametrize("order", [(), (("sku_price", "desc"), ("order_id", "asc")), (("user_level", "asc"), ("user_age", "desc"))])
+def test_sought_pages_are_those_of_the_offset(spark, detail, order):
+    """Pages at the start, the middle and the end, over heavy ties, at range ends and past the end."""
+    total = detail.count()
+    for start in (0, 7, total // 2, total - 5, total, total + 3):
+        a = reports.paged_detail(detail, start, 20, order=order, seek_from=1 << 60).collect()
+        b = reports.paged_detail(detail, start, 20, order=order, seek_from=0).collect()
+        assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+def test_seeking_reads_one_range(spark):
+    """Nulls, ties and both directions; what is left to sort holds few rows and the page."""
+    from pulse.operators import paging
+    rows = [(None if i % 11 == 0 else i % 40, f"k{i % 7}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b string, c long")
+    for order in ([("a", False), ("b", True), ("c", False)], [("a", True), ("b", False), ("c", True)], [("c", False)]):
+        keys = [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in order]
+        whole = [tuple(r) for r in df.orderBy(*keys).collect()]
+        for start in (0, 1, 299, 1500, 2990, 2999):
+            inside, offset, total = paging.seek(df, order, start, 20, few=50)
+            left = df.where(inside)
+            assert total == 3000 and left.count() <= 200
+            assert [tuple(r) for r in left.orderBy(*keys).offset(offset).limit(20).collect()] == whole[start:start + 20]
+    text = df.where(paging.seek(df, [("c", False)], 1500, 20, few=50)[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert "c#" in text and ">" in text and "<" in text  # a range of the plain column, which scans can use
+
+
 def test_report_detail_shape(spark, detail):
     doc = json.loads(reports.report_detail(detail, 7, 0, 10, keyword="ring").first().doc)
     assert doc["draw"] == 7

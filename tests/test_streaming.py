@@ -38,6 +38,22 @@ def test_replay_leaves_table_unchanged(spark, scratch):
     assert len(before) == 4
 
 
+def test_a_bitmap_spares_new_devices_the_comparison(spark, scratch):
+    """The same table with and without the bitmap; only devices that may be known are compared."""
+    plain, bits, logs = scratch("plain"), scratch("bits"), []
+    parts = [[(f"m{i}", BASE + i) for i in range(200)], [(f"m{i}", BASE + i) for i in range(190, 400)],
+             [("m5", BASE + 9), ("z", BASE + DAY_MS)]]
+    frames = [startup_lines(spark, p) for p in parts]
+    for bid in (0, 1, 2, 2, 1):
+        jobs.dau_batch(frames[bid], bid, plain)
+        jobs.dau_batch(frames[bid], bid, bits, log=logs.append, bitmap=True, activity=True)
+    assert table_rows(spark, bits) == table_rows(spark, plain) and len(table_rows(spark, bits)) == 401
+    assert "compared" not in logs[0] and 10 <= logs[1]["compared"] < 30 and logs[1]["rows_new"] == 200
+    assert logs[2]["compared"] == 1 and logs[2]["rows_new"] == 1
+    from pulse.operators import metrics
+    assert metrics.hourly_active_merged(jobs.read_activity(spark, bits), "2024-01-15").first().active == 400
+
+
 def test_any_split_gives_same_keys(spark, scratch):
     rnd = random.Random(3)
     recs = [(f"m{rnd.randint(0, 30)}", BASE + rnd.randint(0, 3 * DAY_MS)) for _ in range(300)]
