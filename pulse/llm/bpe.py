@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, ragged, worker_state
 
-CACHE_PARTS, CACHE_PREFIXES, CACHE_PART_CHARS = 120_000, 120_000, 48  # some 40 MB at most
+CACHE_PARTS, CACHE_PREFIXES, CACHE_PART_CHARS = 250_000, 250_000, 48  # some 90 MB at most
 PUNCTUATION = frozenset(".,;:!?")
 _SPACE_RUN = re.compile(r" (?:\s|\Z)")
 # The same for Arrow, whose \s knows ASCII only (white space of Unicode, fixed values).
@@ -121,7 +121,7 @@ class Vocabulary:
                 u = last[begin] if known is None else known[data[:begin]]
                 ok = fits.get(u << 32 | t)
                 if ok is None:
-                    if len(fits) > CACHE_PREFIXES:
+                    if len(fits) > 200_000:
                         fits.clear()
                     ok = fits[u << 32 | t] = self.compatible(u, t)
                 if ok:
