@@ -7,21 +7,22 @@ vectors pass a hidden layer, gated attention (tanh times sigmoid) gives each pas
 one over its document, and the weighted mean goes through a logistic unit. It scores every passage of every
 whole text.
 
-Learning uses at most ``TRAIN_DOCS`` labelled documents per class, those with the smallest hash of doc_id (a
-bounded, documented sample; the same one at any partitioning), and of a document at most the
-``TRAIN_PASSAGES`` passages with the smallest hash of (doc_id, passage); scoring has no such bound. The
-training set, some tens of MB at most, is fitted with numpy on the driver, in full batches with fixed
+Learning uses a bounded, documented sample of labelled documents, the same one at any partitioning: at most
+``TRAIN_DOCS`` per class, those with the smallest hash of doc_id, and of these, in that order, as many as fit into
+``TRAIN_PASSAGES`` passages in all. A document is learned from whole or not at all; scoring has no such bound. The
+training set, some 90 MB at most, is fitted with numpy on the driver, in full batches with fixed
 seeds. Class weights are even, and the intercept is corrected afterwards for the labels' real shares, so the
 score is a probability.
 
 Defined results: null, empty and blank texts are a bag of one empty passage and get a score like any other; with
 no labels, or labels of one class only, every score is the smoothed share of label 1; labels other than
-0 and 1 and null labels are not learned from; of several labels of a document the largest counts; null doc_id
-is held out; repeated rows each get a row; an empty table gives no rows; other columns are ignored.
+0 and 1 and null labels are not learned from; of several labels of a document the largest counts, of several texts of
+a labelled doc_id the one with the smallest hash; very long texts are scored whole; null doc_id is held out; repeated rows each get a row; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,11 +35,12 @@ from pulse.llm.common import blocks, ensure_columns, map_arrow, written
 from pulse.llm.line_dedup import mix
 
 PASSAGE_WORDS = 64
-TRAIN_DOCS, TRAIN_PASSAGES = 2000, 16
+TRAIN_DOCS, TRAIN_PASSAGES = 2000, 120_000
 HIDDEN, GATE, STEPS, RATE, DECAY, SEED = 24, 12, 150, 0.02, 1e-3, 11
 THRESHOLD = 0.3
 # Classes of characters: white space, lower, upper, digit, other letters, then punctuation by kind (fixed values).
 _KINDS = ["\t\n\x0b\x0c\r \x85\xa0 　", ".!?", ",;:", "'\"`´‘’“”«»", "()[]{}", "<>|\\/", "#*$%&@^~", "-_+="]
+_WORD = re.compile(f"[^{_KINDS[0]}]+")
 CLASSES = 5 + len(_KINDS)
 EXTRA = 9
 FEATURES = CLASSES + CLASSES * CLASSES + EXTRA
@@ -221,22 +223,32 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
         part = labels.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = F.broadcast(written(chosen, "chosen"))  # at most 2 * train_docs rows
-    rows = ensure_columns(docs, {"doc_id": "long", "text": "string"}).join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    rows = ensure_columns(docs, {"doc_id": "long", "text": "string"}).join(chosen, "doc_id")
+    rows = (rows.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+            .select("doc_id", "quality", "one.text"))
+    rows = written(rows, "chosen-texts")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            sizes = [max(1, -(-len(_WORD.findall(t)) // PASSAGE_WORDS)) for t in block.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"doc_id": block.column("doc_id"), "k": block.column("k"), "n": pa.array(sizes, pa.int64())})
+
+    room, taken = TRAIN_PASSAGES, []
+    found = map_arrow(rows.select("doc_id", F.xxhash64("doc_id").alias("k"), "text"), count, "doc_id long, k long, n long")
+    for r in sorted(found.collect(), key=lambda r: (r["k"], r["doc_id"])):  # at most 2 * train_docs rows
+        if r["n"] <= room:
+            room -= r["n"]
+            taken.append(r["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", 2 << 20):
+        for block in blocks(batches, "text"):
             x, sizes = encode(block.column("text").to_pylist())
-            ids = block.column("doc_id").to_numpy()
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            place = np.arange(len(x)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            with np.errstate(over="ignore"):
-                order = mix(ids.astype(np.uint64)[owner] * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
-            best = np.lexsort((order, owner))
-            keep = np.sort(best[(np.arange(len(x)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) < TRAIN_PASSAGES])
-            vectors = [x[keep[owner[keep] == k]].astype(np.float32).tobytes() for k in range(len(sizes))]
+            ends = np.cumsum(sizes)
+            vectors = [x[e - n:e].astype(np.float32).tobytes() for e, n in zip(ends, sizes)]
             yield pa.RecordBatch.from_pydict({"doc_id": block.column("doc_id"), "quality": block.column("quality"), "x": pa.array(vectors, pa.binary())})
 
-    got = map_arrow(rows, run, "doc_id long, quality int, x binary").collect()
+    learned = rows.where(F.col("doc_id").isin(taken)).select("doc_id", "quality", "text")
+    got = map_arrow(learned, run, "doc_id long, quality int, x binary").collect()
     got.sort(key=lambda r: r["doc_id"])  # the same order at any partitioning
     bags = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in got]
     y = np.array([r["quality"] for r in got], np.float64)

@@ -77,3 +77,50 @@ def test_query_held_out_accuracy(spark):
     assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
     held = [r for r in got if r["held_out"] and r["doc_id"] in labels]
     assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in held]) >= 0.85
+
+
+def plain_score(model, text):
+    """Passage by passage: hidden layer, gated attention, weighted mean, logistic unit."""
+    x, _ = Q.encode([text or ""])
+    w = {k: v.astype(np.float64) for k, v in model.w.items()}
+    hidden, weights = [], []
+    for row in x:
+        z = np.clip((row - model.mean) / model.scale, -8, 8)
+        h = np.tanh(z @ w["wh"] + w["bh"])
+        hidden.append(h)
+        weights.append(np.tanh(h @ w["v"] + w["bv"]) / (1 + np.exp(-(h @ w["u"] + w["bu"]))) @ w["a"])
+    e = np.exp(np.array(weights) - max(weights))
+    mean = sum(h * k for h, k in zip(hidden, e / e.sum()))
+    return 1 / (1 + np.exp(-(mean @ w["c"] + w["b"][0] + model.shift)))
+
+
+def test_scores_as_passage_by_passage(frame):
+    docs, labels = docs_and_labels()
+    docs = docs + [(500, "w " * 5000), (501, None), (502, GOOD * 40)]
+    model = Q.train(frame(docs), frame(labels, DDL))
+    got = {r["doc_id"]: r["score"] for r in Q.score(frame(docs), model).collect()}
+    for i, text in docs:
+        assert abs(got[i] - plain_score(model, text)) < 1e-3
+
+
+def test_same_model_in_any_order(frame):
+    """Repeated ids with other texts, rows in another order and partitioning: the same model."""
+    docs, labels = docs_and_labels()
+    docs = docs + [(i, docs[i + 1][1]) for i in range(0, 20)]
+    a = Q.train(frame(docs).repartition(1), frame(labels, DDL))
+    b = Q.train(frame(docs[::-1]).repartition(5), frame(labels[::-1], DDL))
+    assert all((a.w[k] == b.w[k]).all() for k in a.w) and a.shift == b.shift
+
+
+def test_documents_are_learned_whole(frame, monkeypatch):
+    """All passages of a document are learned from, or none if they don't fit."""
+    docs, labels = docs_and_labels(60)
+    docs[1] = (1, docs[1][1] + " " + GOOD * 200)
+    sizes = {}
+    fit = Q.fit
+    monkeypatch.setattr(Q, "fit", lambda x, n, y, p: sizes.update(n=sorted(n.tolist())) or fit(x, n, y, p))
+    Q.train(frame(docs), frame(labels, DDL))
+    assert sizes["n"][-1] == Q.encode([docs[1][1]])[1][0] > 16
+    monkeypatch.setattr(Q, "TRAIN_PASSAGES", sizes["n"][-1] - 1)
+    Q.train(frame(docs), frame(labels, DDL))
+    assert sizes["n"][-1] < 16
