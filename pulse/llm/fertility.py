@@ -5,12 +5,14 @@ public vocabulary (BPE pieces with byte fallback). Per document this gives chara
 the share of byte-fallback tokens and the entropy of the tokens. Bands reject a document whose
 fertility leaves what is usual for its language (or script, where the language is unknown):
 
-* characters per token: ``SPREAD`` times the distance of the quartiles from the median, over all
-  documents of the same language that pass the base rules and are long enough to measure, widened by the
-  share ``SLACK / sqrt(tokens)`` because a short text is a noisy measurement. Groups below ``MIN_GROUP`` documents
-  have no stable quartiles; they and documents without language use the fixed band of their script;
+* characters per token: ``SPREAD`` times the distance of the quartiles from the median, over the tokens of all
+  documents of the language that pass the base rules. A group's band is drawn towards a wider one by what its
+  size lacks: a language of n documents has the weight n / (n + ``PRIOR``) against the band of its script, found the
+  same way, and that against the script's fixed band. So every language has a band of its own and no size is a
+  threshold; documents without language have that of their script. A text's band is widened by the share
+  ``SLACK / sqrt(tokens)``, because a short text is a noisy measurement;
 * byte-fallback share: an upper bound per script, widened the same way;
-* token entropy: bits, for texts of at least ``ENTROPY_TOKENS`` tokens.
+* token entropy: a lower and an upper bound in bits, widened the same way.
 
 Defined results: null or empty text has no words, all counts 0, ``base_failed``; repeated rows
 each get their own result row; null doc_id or lang stay null; an empty table gives no rows;
@@ -31,9 +33,9 @@ from pyspark.sql import functions as F
 
 from pulse.llm.common import ASCII_SPACE, blocks, encode_words, ensure_columns, map_arrow, ragged, with_key, without, worker_state, written
 
-SPREAD, LEAST_SPREAD, LEAST_TOKENS, MIN_GROUP = 4.0, 0.01, 200, 100
+SPREAD, LEAST_SPREAD, PRIOR = 4.0, 0.01, 10.0
 SLACK = 2.0
-ENTROPY_TOKENS, ENTROPY_LOW, ENTROPY_HIGH = 64, 2.0, 13.0
+ENTROPY_LOW, ENTROPY_HIGH = 2.0, 13.0
 # Bands per script: characters per token low and high, highest byte-fallback share (fixed values).
 SCRIPT_BANDS = {"latin": (1.0, 12.0, 0.2), "cyrillic": (0.8, 12.0, 0.3), "greek": (0.6, 12.0, 0.5), "arabic": (0.5, 12.0, 0.6),
                 "han": (0.3, 6.0, 0.9), "other": (0.3, 12.0, 0.95), "none": (0.3, 12.0, 0.95)}
@@ -184,17 +186,30 @@ def base_failed() -> F.Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def bands(measured: DataFrame, spread: float = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
-    """The usual characters per token of each language: rows (lang, low, high) from the quartiles
-    over all its documents that pass the base rules and have ``LEAST_TOKENS``. They are taken over
-    counts per thousandth of a character, so they are deterministic and need no sketch."""
-    cpt = F.round(F.col("word_chars") / F.col("n_tokens"), 3)
-    counts = (measured.where(~base_failed() & F.col("lang").isNotNull() & (F.col("n_tokens") >= LEAST_TOKENS))
-              .groupBy("lang", F.least(cpt, F.lit(20.0)).alias("cpt")).agg(F.count(F.lit(1)).alias("n")))
-    q = counts.groupBy("lang").agg(F.expr("percentile(cpt, array(0.25, 0.5, 0.75), n)").alias("q"), F.sum("n").alias("n")).where(F.col("n") >= min_group)
-    m = F.col("q")[1]
-    return q.select("lang", (m - spread * F.greatest(m - F.col("q")[0], LEAST_SPREAD * m)).alias("low"),
-                    (m + spread * F.greatest(F.col("q")[2] - m, LEAST_SPREAD * m)).alias("high"))
+def bands(measured: DataFrame, spread: float = SPREAD, prior: float = PRIOR) -> DataFrame:
+    """The usual characters per token: rows (script, lang, low, high), lang null for the script as a whole. The
+    quartiles are taken over counts of tokens per thousandth of a character, so they are deterministic and
+    need no sketch; a language's documents count for the script that most of its tokens are in."""
+    cpt = F.least(F.round(F.col("word_chars") / F.col("n_tokens"), 3), F.lit(20.0)).alias("cpt")
+    counts = (measured.where(~base_failed() & (F.col("n_tokens") > 0)).groupBy("script", "lang", cpt)
+              .agg(F.sum("n_tokens").alias("w"), F.count(F.lit(1)).alias("n")))
+    counts = written(counts, "fertility-counts")  # a row per script, language and thousandth
+
+    def quartiles(rows: DataFrame, keys: list[str], *more) -> DataFrame:
+        m, q1, q3 = (F.col("q")[k] for k in (1, 0, 2))
+        found = rows.groupBy(*keys).agg(F.expr("percentile(cpt, array(0.25, 0.5, 0.75), w)").alias("q"), F.sum("n").alias("n"), *more)
+        low, high = (m - spread * F.greatest(m - q1, LEAST_SPREAD * m), m + spread * F.greatest(q3 - m, LEAST_SPREAD * m))
+        return found.withColumn("low", low).withColumn("high", high).withColumn("share", F.col("n") / (F.col("n") + prior))
+
+    fixed = [F.when(F.col("script") == s, F.struct(F.lit(float(b[0])).alias("low"), F.lit(float(b[1])).alias("high"))) for s, b in SCRIPT_BANDS.items()]
+    drawn = lambda own, wide: F.col("share") * own + (1 - F.col("share")) * wide
+    whole = quartiles(counts, ["script"]).withColumn("_f", F.coalesce(*fixed)).select(
+        "script", drawn(F.col("low"), F.col("_f.low")).alias("wide_low"), drawn(F.col("high"), F.col("_f.high")).alias("wide_high"))
+    main = counts.where(F.col("lang").isNotNull()).groupBy("lang", "script").agg(F.sum("w").alias("w"))
+    main = main.groupBy("lang").agg(F.max_by("script", F.struct("w", "script")).alias("script"))
+    own = quartiles(counts.where(F.col("lang").isNotNull()), ["lang"]).join(main, "lang").join(whole, "script").select(
+        "script", "lang", drawn(F.col("low"), F.col("wide_low")).alias("low"), drawn(F.col("high"), F.col("wide_high")).alias("high"))
+    return own.unionByName(whole.select("script", F.lit(None).cast("string").alias("lang"), F.col("wide_low").alias("low"), F.col("wide_high").alias("high")))
 
 
 def judge(measured: DataFrame) -> DataFrame:
@@ -204,15 +219,17 @@ def judge(measured: DataFrame) -> DataFrame:
     rows = measured.withColumn("base_failed", base_failed())
     cpt = F.when(F.col("n_tokens") > 0, F.col("word_chars") / F.col("n_tokens"))
     rows = rows.withColumn("chars_per_token", cpt).withColumn("_s", F.coalesce(*by_script))
-    # written first: a handful of rows, so the planner broadcasts them by their real size
-    lang_bands = written(bands(measured), "bands").select(F.col("lang").alias("_lang"), F.col("low").alias("_low"), F.col("high").alias("_high"))
-    rows = rows.join(lang_bands, F.col("lang") == F.col("_lang"), "left")
+    # written first: a row per language and script, so the planner broadcasts them by their real size
+    found = written(bands(measured), "bands")
+    by_lang = found.where(F.col("lang").isNotNull()).select(F.col("lang").alias("_lang"), F.col("low").alias("_low"), F.col("high").alias("_high"))
+    by_whole = found.where(F.col("lang").isNull()).select(F.col("script").alias("_script"), F.col("low").alias("_wide_low"), F.col("high").alias("_wide_high"))
+    rows = rows.join(by_lang, F.col("lang") == F.col("_lang"), "left").join(by_whole, F.col("script") == F.col("_script"), "left")
     slack = F.lit(SLACK) / F.sqrt(F.greatest(F.col("n_tokens"), F.lit(1)))
-    low, high = F.coalesce("_low", F.col("_s.low")), F.coalesce("_high", F.col("_s.high"))
+    low, high = F.coalesce("_low", "_wide_low", F.col("_s.low")), F.coalesce("_high", "_wide_high", F.col("_s.high"))
     fine = (F.col("chars_per_token").between(low * (1 - slack), high * (1 + slack))
             & (F.col("byte_share") <= F.col("_s.bytes") + slack)
-            & ((F.col("n_tokens") < ENTROPY_TOKENS) | F.col("entropy").between(ENTROPY_LOW, ENTROPY_HIGH)))
-    return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(fine, F.lit(False))).drop("_s", "_lang", "_low", "_high")
+            & F.col("entropy").between(ENTROPY_LOW * (1 - slack), ENTROPY_HIGH * (1 + slack)))
+    return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(fine, F.lit(False))).drop("_s", "_lang", "_low", "_high", "_script", "_wide_low", "_wide_high")
 
 
 def quality_rules(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 import random
 import re
 
+import numpy as np
 import sentencepiece
 
 from conftest_llm import SF, with_clashes
@@ -80,3 +81,58 @@ def test_query(spark):
     good = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
     clean = [r for r in got if r["doc_id"] in good and not r["base_failed"]]
     assert sum(r["kept"] for r in clean) >= 0.99 * len(clean)
+
+
+def plain_bands(rows, prior=10.0, spread=4.0):
+    """{lang or script: (low, high)} from lists with a characters-per-token value for every token."""
+    fixed = Q.SCRIPT_BANDS["latin"]
+
+    def quartiles(own):
+        values = np.repeat([min(round(r["word_chars"] / r["n_tokens"], 3), 20.0) for r in own], [r["n_tokens"] for r in own])
+        q1, m, q3 = np.percentile(values, [25, 50, 75])
+        return m - spread * max(m - q1, 0.01 * m), m + spread * max(q3 - m, 0.01 * m), len(own) / (len(own) + prior)
+
+    rows = [r for r in rows if r["n_words"] >= 10 and 100 * r["n_repeat_words"] <= 20 * r["n_words"] and r["n_tokens"]]
+    low, high, share = quartiles(rows)
+    wide = (share * low + (1 - share) * fixed[0], share * high + (1 - share) * fixed[1])
+    out = {None: wide}
+    for lang in {r["lang"] for r in rows} - {None}:
+        low, high, share = quartiles([r for r in rows if r["lang"] == lang])
+        out[lang] = (share * low + (1 - share) * wide[0], share * high + (1 - share) * wide[1])
+    return out
+
+
+def test_verdicts_as_by_hand(frame):
+    """Languages of 1, 12 and 80 documents and documents without language: no size is a threshold."""
+    rnd = random.Random(4)
+    stock = {"aa": ["winter", "garden", "window", "letter", "summer"], "bb": ["zq", "xk", "vj", "qz", "jx", "kq"], "cc": ["internationalization", "government", "information"]}
+    texts = []
+    for lang, n in (("aa", 80), ("bb", 12), ("cc", 1), (None, 9)):
+        for i in range(n):
+            words = [rnd.choice(stock[lang or "aa"]) + rnd.choice(stock[lang or "aa"]) for _ in range(rnd.randrange(12, 300))]
+            if i % 10 == 3:
+                words = [f"q{k}z7x{k * 37 % 91}" for k in range(rnd.randrange(20, 200))]
+            texts.append((len(texts), " ".join(words), lang))
+    got = Q.quality_rules(frame(texts), vocabulary(PIECES)).collect()
+    bands = plain_bands(got)
+    rejected = 0
+    for r in got:
+        low, high = bands.get(r["lang"], bands[None])
+        slack = 2 / math.sqrt(max(r["n_tokens"], 1))
+        cpt = r["word_chars"] / r["n_tokens"]
+        fine = (low * (1 - slack) <= cpt <= high * (1 + slack) and r["byte_share"] <= Q.SCRIPT_BANDS["latin"][2] + slack
+                and 2.0 * (1 - slack) <= r["entropy"] <= 13.0 * (1 + slack))
+        assert r["kept"] == (not r["base_failed"] and fine)
+        rejected += not r["base_failed"] and not fine
+    assert rejected >= 5 and len(bands) == 4
+
+
+def test_a_language_has_nearly_the_same_band_in_a_tenth_of_the_corpus(spark):
+    from pulse.llm.common import written
+    found = []
+    for sf in (SF, SF.replace("0.001", "0.01")):
+        measured = written(Q.metrics(spark.read.parquet(f"{sf}/documents.parquet"), vocabulary(PIECES)), "measured")
+        found.append({r["lang"]: r for r in Q.bands(measured).collect() if r["lang"]})
+    for lang in found[0]:
+        a, b = found[0][lang], found[1][lang]
+        assert abs(a["low"] - b["low"]) < 0.15 and abs(a["high"] - b["high"]) < 0.5
