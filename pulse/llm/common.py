@@ -50,46 +50,59 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes a table of :func:`written` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_columns(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Only the columns an operator reads, cast to the given types; whatever else a table
     carries (also names an operator uses inside) stays out of the plan. The columns must exist."""
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in schema.items()])
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a long, b long)``: rows (node, component), where
     component is the smallest node reachable. Nodes without an edge do not appear.
 
     Alternating large-star and small-star rounds (each one groupBy-min and one join on the
-    node), written to the shared folder after every round; ends when a round changes nothing.
-    No component is ever gathered in one place: a row is one edge, and the joins' stream side
-    is splittable when one node has very many edges. An empty table gives no rows."""
+    node); ends when a round changes nothing, after a number of rounds that grows with the logarithm of the longest path.
+    No component is ever gathered in one place: a row is one edge. The neighbourhoods' minima are written before
+    they are joined, so both sides of a join are plain shuffles and Spark can split a node with very many edges. Tables
+    of earlier rounds are deleted. An empty table gives no rows."""
     spark = edges.sparkSession
     cur = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .distinct(), "edges")
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def minima(e: DataFrame) -> DataFrame:
+        return written(e.groupBy("a").agg(F.min("b").alias("m")), "minima")
+
+    def star(e: DataFrame, large: bool) -> tuple[DataFrame, DataFrame]:
         if large:  # every larger neighbour is tied to the smallest of the neighbourhood
             both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-            return (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                    .where("a <> b").distinct())
-        low = e.groupBy("a").agg(F.min("b").alias("m"))  # every node and its smaller neighbours
+            low = minima(both)
+            own = low.select("a", F.least("a", "m").alias("m"))
+            return (both.join(own, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                    .where("a <> b").distinct()), low
+        low = minima(e)  # every node and its smaller neighbours
         far = e.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return far.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
+        return far.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), low
 
     def sign(e: DataFrame):
         return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
     last = None
-    for _ in range(max_rounds):
-        cur = written(star(star(cur, True), False), "stars")
-        now = sign(cur)
-        if now == last:
-            break
+    while (now := sign(cur)) != last:
         last = now
-    else:
-        raise RuntimeError("components did not settle")
+        for large in (True, False):
+            edges, low = star(cur, large)
+            after = written(edges, "stars")
+            dropped(cur)
+            dropped(low)
+            cur = after
     tops = cur.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(tops)
 
