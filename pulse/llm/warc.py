@@ -154,7 +154,9 @@ def write(pages: DataFrame, root: str | None = None, shard_bytes: int = SHARD_BY
 
     rows = placed(pages.withColumn("holder", F.lit(None).cast("long")).withColumn("kind", F.lit(1))).unionByName(
         placed(decisions.withColumn("kind", F.lit(0))), allowMissingColumns=True)
-    rows = rows.repartition("shard", "part").sortWithinPartitions("shard", "part", "page_id", "kind", "digest", "url")
+    # as many tasks as shards, unless the session asks for more
+    shards = sum(max(p for _, s, p in plan if s == k) for k in {s for _, s, _ in plan})
+    rows = rows.repartition(max(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), "shard", "part").sortWithinPartitions("shard", "part", "page_id", "kind", "digest", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
