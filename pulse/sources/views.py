@@ -39,6 +39,13 @@ def on_days(df: DataFrame, days: tuple[str, str] | None, ts: str = "ts") -> Data
     return df.where((F.col(ts) >= F.lit(days[0]).cast(kind)) & (F.col(ts) < end))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the cores if its scan is a single task for them all (one row group), for views that build
+    and parse JSON row by row. A table of several splits, as any real one, is read as it lies: no shuffle."""
+    sc = df.sparkSession.sparkContext
+    return df.repartition(sc.defaultParallelism) if df.rdd.getNumPartitions() == 1 < sc.defaultParallelism else df
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -123,7 +130,7 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     (a client that sends incomplete lines); ``ts`` is not in the line yet — the
     collector stamps it from ``arrival_ms``.
     """
-    ev = attach_area(table(spark, sf_dir, "events"), spark, sf_dir, "user_id")
+    ev = attach_area(dealt(table(spark, sf_dir, "events")), spark, sf_dir, "user_id")
     k = _k()
     is_start = F.col("event_type") == "view"
     mid = F.concat(F.lit("mid_"), F.col("user_id").cast("string"))
@@ -172,8 +179,9 @@ def _order_columns() -> list[Column]:
 
 
 def _purchases(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None,
-               with_customer: bool = True) -> DataFrame:
-    rows = on_days(table(spark, sf_dir, "events"), days).where(F.col("event_type") == "purchase")
+               with_customer: bool = True, deal: bool = False) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    rows = on_days(dealt(events) if deal else events, days).where(F.col("event_type") == "purchase")
     if not with_customer:
         return rows.withColumns({"c_nationkey": F.lit(None).cast("int"), "c_name": F.lit(None).cast("string")})
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey", "c_name")
@@ -209,7 +217,7 @@ def change_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     first kind survives the relay's filter.
     """
     from pulse.schemas import ORDER_SOURCE_FIELDS
-    purchases = _purchases(spark, sf_dir).select(*_order_columns())
+    purchases = _purchases(spark, sf_dir, deal=True).select(*_order_columns())
     image = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value"))
                       for n in ORDER_SOURCE_FIELDS])
     paid = F.array(F.struct(F.lit("id").alias("name"), F.col("id").alias("value")),
