@@ -182,7 +182,8 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """The first lines (d, t, line) that are one word edit from an earlier one."""
     lines = firsts.where("halves is not null").select("d", "t", "line", "halves")
     keys = lines.select("d", "t", "line", F.explode("halves").alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # written first: both sides of the join are then plain shuffles, and a key of very many lines can be split
+    shared = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared-halves")
     wanted = written(keys.join(shared, "key", "left_semi").select("d", "t", "line").distinct(), "candidates")
     of_doc = wanted.groupBy("d", "t").agg(F.collect_list("line").alias("lines"))
     near = may_hold(docs.select("d", "t", "text").withColumn("_k", F.xxhash64("d", "t")), bitmap(wanted.select(F.xxhash64("d", "t").alias("k"))))
