@@ -7,15 +7,20 @@ the body is the threshold. From the body down, every block that reaches it (as d
 the subtree with the largest sum inside it; so an article in several containers is kept from all of them.
 Where the densest node lies in an ``article`` or ``main`` element, that element is the article: ``main`` if it
 holds several articles, and else the innermost ``article`` with those of its siblings that reach the threshold.
-Inside the article a block of links below the threshold counts as a menu.
+Inside the article a block below the threshold goes if it is a menu (links of few words and little else) or if a
+word of its class or id that may also be a subject (``related``, ``search`` ...) calls it boilerplate; at or above the
+threshold such a block stays.
 
 Never part of an article, whatever their density: scripts, styles, forms, navigation, asides, footers,
 headers outside the article, and elements whose class, id or role calls them a menu, sidebar, notice,
-advert or reader comments.
+advert or reader comments. A button stays where it stands in the text of a block.
+
+What decides where: on pages whose boilerplate is in such elements or so named these rules leave the article alone, and
+the densities only confirm it; on pages without these hints the densities find it (see the tests).
 
 Defined results: null or empty html gives an empty text; broken markup is read on as far as it goes
-(unclosed tags end with their parent, a tag without end is text); repeated rows each get a row; an
-empty table gives no rows; other columns are ignored.
+(unclosed tags end with their parent, a tag without end is text); a very long page is read whole; of several densest
+nodes the first in page order counts; repeated rows each get a row; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,15 +43,17 @@ BLOCK = frozenset("address article aside blockquote body caption center col colg
                   "ol optgroup option p plaintext pre search section summary table tbody td tfoot th thead title tr ul xmp".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form "
                    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p plaintext pre search section summary table ul xmp".split())
-NEVER = frozenset("applet audio button canvas datalist dialog embed fieldset footer form frame frameset head iframe input "
+NEVER = frozenset("applet audio canvas datalist dialog embed fieldset footer form frame frameset head iframe input "
                   "legend link map menu meta meter nav noembed noframes noscript object optgroup option output progress "
                   "script select style svg template textarea title video aside".split())
 KEEP = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 WORDS = frozenset("ad ads adsense advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment "
-                  "comments commentlist consent cookie cookies discussion disqus footer gdpr login masthead menu modal nav "
-                  "navbar navigation newsletter notice notices overlay pager pagination popup promo promotion recommended "
-                  "related replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored "
-                  "subscribe toolbar topbar widget widgets".split())
+                  "comments commentlist consent cookie cookies disqus footer gdpr masthead menu modal nav "
+                  "navbar navigation newsletter notice notices pager pagination popup sidebar sidenav signup "
+                  "sponsor sponsored subscribe toolbar topbar widget widgets".split())
+# Words that may also name what an article is about.
+DOUBTFUL = frozenset("discussion login overlay promo promotion recommended related replies reply respond search share sharing skip social".split())
+MENU_LINK = 24  # characters of a link in a menu, on average at most
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NOT_MARKS = ("has", "no", "with", "without", "is", "not")
 # What ends an open element: tag -> (elements it closes, elements that shield them).
@@ -61,7 +68,7 @@ _MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
-def marked(attributes: str) -> bool:
+def marked(attributes: str, words: frozenset = WORDS) -> bool:
     """Whether class, id or role call an element boilerplate."""
     for m in _MARKS.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
@@ -71,7 +78,7 @@ def marked(attributes: str) -> bool:
             continue
         for name in value.split():
             parts = [p.lower() for p in _PARTS.findall(name)]
-            if parts and parts[0] not in NOT_MARKS and not WORDS.isdisjoint(parts):
+            if parts and parts[0] not in NOT_MARKS and not words.isdisjoint(parts):
                 return True
     return False
 
@@ -84,8 +91,10 @@ class Tree:
         self.never = NEVER - {"form"} if forms else NEVER
         self.marks = marks
         self.tag, self.parent, self.block, self.dropped, self.link = ["#"], [-1], [True], [False], [False]
+        self.doubtful: set[int] = set()
         self.texts: list[tuple[int, str | None]] = []
         self._stack = [0]
+        self._blocks = [0]  # places of open blocks in the stack
         self._open: dict[str, list[int]] = {}  # places in the stack, by tag
         self._read(page)
 
@@ -160,13 +169,18 @@ class Tree:
         self.block.append(block)
         self.dropped.append(drop)
         self.link.append(self.link[above] or name == "a")
+        if self.marks and attributes and not drop and name not in KEEP and marked(attributes, DOUBTFUL):
+            self.doubtful.add(len(self.tag) - 1)
         self._open.setdefault(name, []).append(len(self._stack))
+        if block:
+            self._blocks.append(len(self._stack))
         self._stack.append(len(self.tag) - 1)
 
     def _pop(self) -> None:
         k = self._stack.pop()
         self._open[self.tag[k]].pop()
         if self.block[k]:
+            self._blocks.pop()
             self.texts.append((k, None))
 
     def _end(self, name: str) -> None:
@@ -174,7 +188,7 @@ class Tree:
         if not depths:
             return
         to = depths[-1]
-        if name not in BLOCK and any(self.block[k] for k in self._stack[max(to, len(self._stack) - 64) + 1:]):
+        if name not in BLOCK and self._blocks[-1] > to:
             return  # an inline end tag doesn't end the block it is in
         while len(self._stack) > to:
             self._pop()
@@ -209,6 +223,12 @@ def _article(tree: Tree) -> str:
     for k in range(1, n):
         if not block[k]:
             holder[k] = holder[parent[k]]
+    buttons = {k for k in range(n) if tree.tag[k] == "button"}
+    if buttons:  # those that stand alone in their block are controls
+        spoken = {holder[k] for k, t in tree.texts if t and not dropped[k] and k not in buttons and not t.isspace()}
+        dropped = list(dropped)
+        for k in range(1, n):
+            dropped[k] = dropped[k] or dropped[parent[k]] or k in buttons and holder[k] not in spoken
     texts = [(k, entities.unescape(t) if t and "&" in t else t) for k, t in tree.texts if not dropped[k]]
     for k, text in texts:
         if text and (size := _size(text)):
@@ -245,7 +265,8 @@ def _article(tree: Tree) -> str:
     roots = _roots(tree, path, dens, total, holder, limit)
     inside = [False] * n
     for k in range(n):
-        menu = block[k] and link_tags[k] >= 3 and link_chars[k] >= 0.9 * chars[k] and dens[k] < limit
+        menu = block[k] and dens[k] < limit and (k in tree.doubtful or link_tags[k] >= 3 and link_chars[k] >= 0.9 * chars[k]
+                                                 and link_chars[k] <= MENU_LINK * link_tags[k])
         inside[k] = (k in roots or k > 0 and inside[parent[k]]) and not dropped[k] and not menu
     out: list[str] = []
     words: list[str] = []

@@ -61,6 +61,38 @@ def test_several_articles():
     assert main_text(page(f"<main>{two}<p>Beside</p></main>")) == "\n".join(texts[1:])
 
 
+def test_content_that_looks_like_boilerplate_stays():
+    """Lists of references, sections named like boilerplate, buttons in a sentence."""
+    titles = [f"A study of the {k}th question and what became of it" for k in ("first", "second", "third", "fourth", "fifth")]
+    refs = "<ul>" + "".join(f"<li><a href=/{k}>{x}</a></li>" for k, x in enumerate(titles)) + "</ul>"
+    assert main_text(page(f"<article><p>{LONG}</p>{refs}</article>")) == "\n".join([LONG.strip(), *titles])
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Item {k}</a></li>" for k in range(6)) + "</ul>"
+    assert main_text(page(f"<article><p>{LONG}</p>{menu}<p>{PARA}</p></article>")) == f"{LONG.strip()}\n{PARA}"
+    for name in ("related-work", "search-strategy", "discussion"):
+        assert main_text(page(f"<article><p>{LONG}</p><div class='{name}'><p>{LONG}</p></div></article>")) == f"{LONG.strip()}\n{LONG.strip()}"
+    links = "".join(f"<a href=/{k}>More {k}</a>" for k in range(8))
+    assert main_text(page(f"<article><p>{LONG}</p><div class='related'>{links}</div></article>")) == LONG.strip()
+    assert main_text(page(f"<article><p>Press the <button>Save</button> key. {LONG}</p><p><button>Save</button></p></article>")) == f"Press the Save key. {LONG.strip()}"
+
+
+def test_depth_of_inline_elements_changes_nothing():
+    for depth in (3, 63, 64, 65, 500):
+        assert main_text(page("<b>" + f"<p>{PARA}" + "<i>" * depth + "one</b>two")) == f"{PARA}onetwo"
+
+
+def test_pages_without_any_hints(monkeypatch):
+    """No article, class, id or named element: the densities find the article, and without them it is lost."""
+    from pulse.llm import html_density as H
+    menu = lambda k, n: "<div>" + "".join(f"<a href=/{k}/{i}>Topic {i}</a> " for i in range(n)) + "</div>"
+    pages = []
+    for n, inner in ((3, 1), (6, 2), (12, 3)):
+        texts = [f"{LONG}Number {k} of {n}." for k in range(n)]
+        pages.append((page(menu(1, 9) + "<div>" * inner + "".join(f"<p>{x}</p>" for x in texts) + "</div>" * inner + menu(2, 5) + menu(3, 14)), "\n".join(texts)))
+    assert all(main_text(source) == want for source, want in pages)
+    monkeypatch.setattr(H, "density", lambda *a: 1.0)
+    assert not any(main_text(source) == want for source, want in pages)
+
+
 def test_page_inside_a_form_or_a_marked_container():
     assert main_text(page(f"<form><p>{PARA}</p></form>")) == PARA
     assert main_text(page(f"<div class='widget'><p>{PARA}</p></div>")) == PARA
