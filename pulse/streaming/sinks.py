@@ -31,9 +31,19 @@ GONE = "_gone"  # of a record that has moved to another day
 _NOT_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def _or_none(read) -> DataFrame | None:
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any path of a glob, exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
+
+
+def _or_none(spark: SparkSession, pattern: str, base: str | None = None) -> DataFrame | None:
+    """The Parquet files of a path or glob, or None if nothing was written yet."""
+    if not _exists(spark, pattern):
+        return None
     try:
-        return read()
+        reader = spark.read if base is None else spark.read.option("basePath", base)
+        return reader.parquet(pattern)
     except AnalysisException as e:
         if e.getCondition() in _NOT_WRITTEN:
             return None
@@ -42,7 +52,7 @@ def _or_none(read) -> DataFrame | None:
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first write."""
-    return _or_none(lambda: spark.read.parquet(path))
+    return _or_none(spark, path)
 
 
 def batch_days(df: DataFrame, day_col: str) -> list[str]:
@@ -56,7 +66,7 @@ def read_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str])
     if not days:
         return None
     pattern = f"{path.rstrip('/')}/{day_col}={{{','.join(days)}}}"
-    return _or_none(lambda: spark.read.option("basePath", path).parquet(pattern))
+    return _or_none(spark, pattern, path)
 
 
 def seen_keys(spark: SparkSession, path: str, keys: Sequence[str], day_col: str,
@@ -162,7 +172,7 @@ def compact_finished(spark: SparkSession, path: str, day_col: str, newest_open_d
     """Compact all days before ``newest_open_day`` that still have numbered batch folders,
     however far back; returns them. Only such folders are listed and read (a glob)."""
     pattern = f"{path.rstrip('/')}/{day_col}=*/{BATCH_COL}=[0-9]*"
-    current = _or_none(lambda: spark.read.option("basePath", path).parquet(pattern))
+    current = _or_none(spark, pattern, path)
     if current is None:
         return []
     open_days = sorted(r[0] for r in current.where(F.col(day_col) < F.lit(newest_open_day)).select(day_col).distinct().collect())
