@@ -50,6 +50,30 @@ SENTENCES = {
     "lgpl-3+": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
     "agpl-3+": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
     "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "mpl-2-cut": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
+    "mpl-2-text": "All distribution of Covered Software in Source Code Form, including any Modifications that You create or to which You contribute, must be under the terms of this License",
+    "mpl-1-text": "The Source Code version of Covered Code may be distributed only under the terms of this License or a future version of this License released under Section 6.1, and You must include a copy of this License with every copy of the Source Code You distribute",
+    "apache-text": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form",
+    "gpl-2-text": "The licenses for most software are designed to take away your freedom to share and change it",
+    "gpl-2-share": "By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all its users",
+    "gpl-3-text": "The GNU General Public License is a free, copyleft license for software and other kinds of works",
+    "agpl-3-text": "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software",
+    "lgpl-2-share": "By contrast, the GNU General Public Licenses are intended to guarantee your freedom to share and change free software--to make sure the software is free for all its users",
+    "lgpl-2-text": "This license, the Lesser General Public License, applies to some specially designated software packages--typically libraries--of the Free Software Foundation and other authors who decide to use it",
+    "lgpl-3-text": "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below",
+    "gfdl-text": "The purpose of this License is to make a manual, textbook, or other functional and useful document \"free\" in the sense of freedom",
+    "cc0-text": "To the greatest extent permitted by, but not in contravention of, applicable law, Affirmer hereby overtly, fully, permanently, irrevocably and unconditionally waives, abandons, and surrenders all of Affirmer's Copyright and Related Rights and associated claims and causes of action, whether now known or unknown (including existing as well as future claims and causes of action), in the Work (i) in all territories worldwide, (ii) for the maximum duration provided by applicable law or treaty (including future time extensions), (iii) in any current or future medium and for any number of copies, and (iv) for any purpose whatsoever, including without limitation commercial, advertising or promotional purposes (the \"Waiver\")",
+    "epl-1-title": "Eclipse Public License - v 1.0",
+    "epl-2-title": "Eclipse Public License - v 2.0",
+    "epl-text": "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE (\"AGREEMENT\")",
+    "zlib-asis": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-liable": "In no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "bsl-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following",
+    "artistic-1-text": "The intent of this document is to state the conditions under which a Package may be copied, such that the Copyright Holder maintains some semblance of artistic control over the development of the package, while giving the users of the package the right to use and distribute the Package in a more-or-less customary fashion, plus the right to make reasonable modifications",
+    "artistic-2-text": "This license establishes the terms under which a given free software Package may be copied, modified, distributed, and/or redistributed",
+    "wtfpl-text": "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed",
+    "0bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
     "unlicense": "This is free and unencumbered software released into the public domain",
     "public": "This work is in the public domain",
     "reserved": "All rights reserved",
@@ -61,12 +85,33 @@ RULES = [
     ("BSD-3-Clause", "bsd-grant bsd-source bsd-binary bsd-name bsd-asis?"),
     ("BSD-2-Clause", "bsd-grant bsd-source bsd-binary bsd-asis?"),
     ("Apache-2.0", "n:Apache-2.0 apache-use apache-copy? apache-asis? apache-see?"),
+    ("Apache-2.0", "apache-text n:Apache-2.0?"),
+    # full texts of the GNU family: the notice of their appendix says how to apply them
+    ("AGPL-3.0", "agpl-3-text gpl-free? agpl-3+? agpl-terms? either-3+?"),
+    ("LGPL-3.0", "lgpl-3-text"),
+    ("LGPL-2.1", "gpl-2-text? lgpl-2-share? lgpl-2-text gpl-free? lgpl-2.1+? lgpl-terms? either-2.1+?"),
+    ("GPL-3.0", "gpl-3-text gpl-free? gpl-3+? gpl-terms? either-3+?"),
+    ("GPL-2.0", "gpl-2-text gpl-2-share gpl-free? gpl-2+? gpl-terms? either-2+?"),
+    ("GFDL", "gfdl-text"),
     ("AGPL-3.0-or-later", "gpl-free? agpl-3+"),
     ("LGPL-3.0-or-later", "gpl-free? lgpl-3+"),
     ("GPL-3.0-or-later", "gpl-free? gpl-3+"),
     ("GPL-2.0-or-later", "gpl-free? gpl-2+"),
     ("GPL-2.0-only", "gpl-free? gpl-2"),
+    ("MPL-2.0", "mpl-2-text mpl-2? mpl-2-cut?"),
     ("MPL-2.0", "mpl-2"),
+    ("MPL-2.0", "mpl-2-cut"),
+    ("MPL-1.1", "mpl-1-text"),
+    ("CC0-1.0", "cc0-text"),
+    ("EPL-1.0", "epl-1-title epl-text"),
+    ("EPL-2.0", "epl-2-title epl-text"),
+    ("EPL", "epl-text"),
+    ("Zlib", "zlib-asis? zlib-liable? zlib-grant"),
+    ("BSL-1.0", "bsl-grant"),
+    ("Artistic-1.0", "artistic-1-text"),
+    ("Artistic-2.0", "artistic-2-text"),
+    ("WTFPL", "wtfpl-text"),
+    ("0BSD", "0bsd-grant isc-asis?"),
     ("Unlicense", "unlicense"),
     ("Public-Domain", "public"),
 ]

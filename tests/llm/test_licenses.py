@@ -22,6 +22,8 @@ CASES = [
     ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0-only", 0), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0", 0),
     ("This work is licenced under a strange Foo Licence.", "", 1), ("released under pressure", "", 0), ("All rights reserved.", "", 0), ("words of no licence", "", 0),
     ("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "", 1),
+    ("2. Waiver. " + S["cc0-text"] + ".", "CC0-1.0", 0), (S["zlib-asis"] + ". " + S["zlib-liable"] + ".\n" + S["zlib-grant"] + ": 1", "Zlib", 0),
+    ("3.1. " + S["mpl-2-text"] + ". " + S["mpl-2"] + ". If", "MPL-2.0", 0), ("Eclipse Public License - v 1.0\n" + S["epl-text"] + ".", "EPL-1.0", 0),
     ("It is provided under the CC BY-SA 3.0 Unported license!", "", 0), (None, "", 0), ("", "", 0), ("x " * 60000 + "\nReleased under the ISC license.", "ISC", 0),
 ]
 
@@ -87,6 +89,36 @@ def test_published_notices(frame):
     assert all(r["n_unmatched"] == 0 for i, r in got.items() if i != 10)
 
 
+def wrapped(text, width=70):
+    import textwrap
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_full_texts(frame):
+    """What tells the published texts, in the surroundings and the wrapping they have there; an appendix on how to
+    apply a licence is not a notice of its own."""
+    gpl3 = GPL2.replace("software;", "software:").replace("Foundation; either version 2", "Foundation, either version 3")
+    cases = [
+        ("Apache License\nVersion 2.0, January 2004\n\n2. Grant of Copyright License. " + wrapped(S["apache-text"] + ".") + "\n\n3. Grant of Patent License.", "Apache-2.0"),
+        ("Preamble\n\n  " + wrapped(S["gpl-2-text"] + ".  " + S["gpl-2-share"] + ".") + "\n\nHow to Apply These Terms to Your New Programs\n\n" + GPL2, "GPL-2.0"),
+        ("Preamble\n\n  " + wrapped(S["gpl-3-text"] + ".") + "\n\nHow to Apply These Terms\n\n" + gpl3, "GPL-3.0"),
+        ("Preamble\n\n  " + wrapped(S["agpl-3-text"] + ".") + "\n\n" + gpl3.replace("General", "Affero General"), "AGPL-3.0"),
+        ("Preamble\n\n  " + wrapped(S["gpl-2-text"] + ".  " + S["lgpl-2-share"] + ".") + "\n\n  " + wrapped(S["lgpl-2-text"] + ".") + "\n\n" + LGPL21, "LGPL-2.1"),
+        ("  " + wrapped(S["lgpl-3-text"] + ".") + "\n", "LGPL-3.0"),
+        ("3.1. Distribution of Source Form\n\n" + wrapped(S["mpl-2-text"] + ". You must inform recipients.") + "\n\nExhibit A\n\n  This Source Code Form is subject to the terms of the Mozilla\n"
+         "  Public License, v. 2.0. If a copy of the MPL was not distributed with this\n  file, You can obtain one.", "MPL-2.0"),
+        ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. */".replace(" * ", "   ").replace("/* ", ""), "MPL-2.0"),
+        ("2. Waiver. " + wrapped(S["cc0-text"] + ".") + "\n", "CC0-1.0"),
+        ("Eclipse Public License - v 2.0\n\n    " + wrapped(S["epl-text"] + ". ANY USE") + "\n", "EPL-2.0"),
+        ("zlib License\n\n" + wrapped(S["zlib-asis"] + ". " + S["zlib-liable"] + ".") + "\n\n" + wrapped(S["zlib-grant"] + ":") + "\n\n1. The origin", "Zlib"),
+        ("Boost Software License\n\n" + wrapped(S["bsl-grant"] + ":") + "\n\nThe copyright notices", "BSL-1.0"),
+        ("Preamble\n\n" + wrapped(S["artistic-2-text"] + ".") + "\n", "Artistic-2.0"), (wrapped(S["0bsd-grant"] + ".") + "\n", "0BSD"),
+        (wrapped(S["gfdl-text"] + ": to assure everyone the effective freedom."), "GFDL"), (GPL2, "GPL-2.0-or-later"),
+    ]
+    got = {r["doc_id"]: r["licenses"] for r in L.scan(frame([(i, c[0]) for i, c in enumerate(cases)])).collect()}
+    assert [got[i] for i in range(len(cases))] == [c[1] for c in cases]
+
+
 def test_anchors_across_line_ends(frame):
     cases = [("This work is in the public\ndomain.", "Public-Domain"), ("Released\nunder the GNU GPL 3.0", "GPL-3.0-only"), ("x\n\n# Distributed \n# under  MIT.", "MIT"),
              ("available  under ISC", "ISC"), ("in the public eye, a domain", "")]
