@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, worker_state
+from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, worker_state, written
 from pulse.llm.line_dedup import _TRIM, mix, normal_words, split_words
 
 MAX_RATE, MIN_ITEM_WORDS = 0.2, 5
@@ -256,31 +256,42 @@ def _codes(texts: pa.Array, items: Items) -> tuple[np.ndarray, np.ndarray]:
     return got[real], np.concatenate(([0], np.cumsum(real)))[ends - ends[0]][1:]
 
 
-def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str | None]]]:
-    """The items (item_id, text) in blocks of about ``block_chars`` characters."""
+def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[tuple[list[tuple[int | None, str | None]], bool]]:
+    """The items (item_id, text) in blocks of about ``block_chars`` characters, and whether there are several."""
     items = ensure_columns(items, {"item_id": "long", "text": "string"}).where("text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     number = max(1, -(-total // block_chars))
     for b in range(number):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(number)) == b)
-        yield [(r["item_id"], r["text"]) for r in part.collect()]
+        yield [(r["item_id"], r["text"]) for r in part.collect()], number > 1
 
 
 def search(docs: DataFrame, items: DataFrame, max_rate: float = MAX_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Rows (doc_id, item_id, edits, item_words, first_word, end_word): each document and item found in
-    it, with the nearest run of words."""
+    it, with the nearest run of words. A benchmark of several blocks takes a pass over the documents for each; its
+    results are written and its broadcast is dropped before the next, so one block is in memory at a time."""
     docs = ensure_columns(docs, {"doc_id": "long", "text": "string"})
     schema = "doc_id long, item_id long, edits int, item_words int, first_word long, end_word long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for rows in item_blocks(items, block_chars):
-        out = out.unionByName(map_arrow(docs, _searcher(docs, rows, max_rate, pairs=True), schema, state=True))
+    for rows, several in item_blocks(items, block_chars):
+        run, shared = _searcher(docs, rows, max_rate, pairs=True)
+        found = map_arrow(docs, run, schema, state=True)
+        if several:
+            found = written(found, "found")
+            shared.destroy()
+        out = out.unionByName(found)
     return out
 
 
 def clean(docs: DataFrame, items: DataFrame, max_rate: float = MAX_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs``, all columns, in whose text no item is found."""
-    for rows in item_blocks(items, block_chars):
-        docs = map_arrow(docs, _searcher(docs, rows, max_rate, pairs=False), docs.schema, state=True)
+    """The rows of ``docs``, all columns, in whose text no item is found; of several blocks one is in memory
+    at a time."""
+    for rows, several in item_blocks(items, block_chars):
+        run, shared = _searcher(docs, rows, max_rate, pairs=False)
+        docs = map_arrow(docs, run, docs.schema, state=True)
+        if several:
+            docs = written(docs, "clean")
+            shared.destroy()
     return docs
 
 
@@ -304,4 +315,4 @@ def _searcher(docs: DataFrame, rows: list, max_rate: float, pairs: bool):
                     "edits": pa.array(edits, pa.int32()), "item_words": pa.array(items.sizes[list(item)], pa.int32()),
                     "first_word": pa.array(first, pa.int64()), "end_word": pa.array(end, pa.int64())})
 
-    return run
+    return run, shared

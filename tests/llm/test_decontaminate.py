@@ -84,6 +84,7 @@ def test_table(frame):
     assert sorted(map(str, blocks)) == sorted(map(str, D.search(frame(ROWS), items).collect()))
     docs = with_clashes(frame(ROWS))
     clean = D.clean(docs, items)
+    assert sorted(map(str, D.clean(docs, items, block_chars=20).collect())) == sorted(map(str, clean.collect()))
     assert clean.columns == docs.columns
     kept = clean.collect()
     assert sorted(r["doc_id"] for r in kept) == [3, 4, 5, 6] and [r["text"] for r in kept if r["doc_id"] == 4] == [None]
