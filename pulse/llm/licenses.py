@@ -250,14 +250,16 @@ def _identifiers(text: Column, steps: list[tuple[str, str]]) -> Column:
 
 
 def _matched(sequence: Column) -> tuple[Column, Column]:
-    """(licences found, in rule order and then by notice; identifiers that no rule took)."""
-    found = []
+    """(licences found, in rule order and then by notice; identifiers that no rule took). The rules are tried
+    only where there are identifiers."""
+    some, found, left = sequence != "", [], sequence
     for name, pattern in rule_patterns():
-        found.append(F.when(sequence.rlike(pattern), F.lit(name)))
-        sequence = F.regexp_replace(sequence, pattern, "")
-    notices = F.regexp_extract_all(sequence, F.lit("<n:([^>]+)>"), 1)
-    rest = F.regexp_replace(sequence, "<n:[^>]+>|<copyright>|<reserved>", "")
-    return F.concat(F.filter(F.array(*found), lambda x: x.isNotNull()), notices), rest
+        found.append(F.when(left.rlike(pattern), F.lit(name)))
+        left = F.regexp_replace(left, pattern, "")
+    notices = F.regexp_extract_all(left, F.lit("<n:([^>]+)>"), 1)
+    rest = F.regexp_replace(left, "<n:[^>]+>|<copyright>|<reserved>", "")
+    names = F.concat(F.filter(F.array(*found), lambda x: x.isNotNull()), notices)
+    return F.when(some, names).otherwise(F.array().cast("array<string>")), F.when(some, rest).otherwise("")
 
 
 def scan(docs: DataFrame) -> DataFrame:
