@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, ragged, worker_state
 
-CACHE_PARTS, CACHE_PREFIXES, CACHE_PART_CHARS = 250_000, 250_000, 48  # some 90 MB at most
+CACHE_PARTS, CACHE_PREFIXES, CACHE_FITS, CACHE_PART_CHARS = 150_000, 150_000, 120_000, 48  # some 50 MB at most
 PUNCTUATION = frozenset(".,;:!?")
 _SPACE_RUN = re.compile(r" (?:\s|\Z)")
 # The same for Arrow, whose \s knows ASCII only (white space of Unicode, fixed values).
@@ -58,7 +58,7 @@ class Vocabulary:
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self.fits: dict[int, bool] = {}
-        self.spines: dict[tuple[int, bool], list[tuple[bytes, float]]] = {}
+        self.spines: dict[int, tuple[int, ...]] = {}
         self.root: dict = {}  # from the last byte back: byte -> node; -1 -> rank of the token
         for token, rank in ranks.items():
             node = self.root
@@ -76,38 +76,39 @@ class Vocabulary:
             parts[best:best + 2] = [parts[best] + parts[best + 1]]
         return parts
 
-    def spine(self, token: int, right: bool) -> list[tuple[bytes, float]]:
-        """The symbols at one end of a token as it grows, each with the time it is merged on."""
-        got = self.spines.get((token, right))
+    def spine(self, token: int, right: bool) -> tuple[int, ...]:
+        """The symbols at one end of a token as it grows, by rank; each is merged on at the time (the rank)
+        of the next."""
+        got = self.spines.get(2 * token + right)
         if got is None:
-            data = self.bytes_of[token]
-            got = [(data, float("inf"))]
+            data, got = self.bytes_of[token], (token,)
             if len(data) > 1:
                 parts = self.merged(data, 2)
                 if len(parts) == 2 and all(x in self.ranks for x in parts):
-                    below = self.spine(self.ranks[parts[right]], right)
-                    got = [*below[:-1], (below[-1][0], self.ranks[data]), *got]
-            self.spines[token, right] = got
+                    got = (*self.spine(self.ranks[parts[right]], right), token)
+            self.spines[2 * token + right] = got
         return got
 
     def compatible(self, u: int, t: int) -> bool:
         """Whether token ``u`` (-1: none) then token ``t`` is the encoding of their bytes."""
+        bytes_of, ranks = self.bytes_of, self.ranks
         if u < 0:
-            return self.merged(self.bytes_of[t]) == [self.bytes_of[t]]
+            return self.merged(bytes_of[t]) == [bytes_of[t]]
         left, right, i, j = self.spine(u, True), self.spine(t, False), 0, 0
+        never = float("inf")
         while True:
-            (a, a_next), (b, b_next) = left[i], right[j]
-            r = self.ranks.get(a + b)
+            a_next = left[i + 1] if i + 1 < len(left) else never
+            b_next = right[j + 1] if j + 1 < len(right) else never
+            r = ranks.get(bytes_of[left[i]] + bytes_of[right[j]])
             if r is not None and r < a_next and r <= b_next:
                 return False
             if a_next <= b_next:
-                if a_next == float("inf"):
+                if a_next == never:
                     return True
                 i += 1
             else:
                 j += 1
 
-
     def last_token(self, data: bytes, end: int, last: list[int] | None, known: dict[bytes, int] | None = None) -> int:
         """The one token that can end the encoding of ``data[:end]``. The last token of a shorter
         prefix is ``last[i]``, or ``known`` has it by its bytes; -1 for the empty one."""
@@ -121,7 +122,7 @@ class Vocabulary:
                 u = last[begin] if known is None else known[data[:begin]]
                 ok = fits.get(u << 32 | t)
                 if ok is None:
-                    if len(fits) > 200_000:
+                    if len(fits) > CACHE_FITS:
                         fits.clear()
                     ok = fits[u << 32 | t] = self.compatible(u, t)
                 if ok:
@@ -173,12 +174,13 @@ class PrefixEncoder:
 
 
 class Parts(dict):
-    """Ids of cut parts of a text; encodes a missing part and remembers it if it is short."""
+    """Ids of cut parts of a text; encodes a missing part and remembers it if it is short. When half of
+    ``CACHE_PARTS`` are new, those of before that were not asked for again are forgotten."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         super().__init__()
         self.pattern = regex.compile(pattern)
-        self.v, self.split, self.known = vocabulary, self.pattern.findall, {b"": -1}
+        self.v, self.split, self.known, self.before = vocabulary, self.pattern.findall, {b"": -1}, {}
 
     def piece(self, piece: str) -> list[int]:
         """The tables of short pieces are kept in one mapping, prefix to last token: a piece goes
@@ -210,14 +212,18 @@ class Parts(dict):
 
     def __missing__(self, part: str) -> tuple[int, ...]:
         word = part[1:] if part[:1] == " " else part
-        if word.isalpha():  # the pattern takes a run of letters and the space before it as one match
+        ids = self.before.pop(part, None)
+        if ids is not None:
+            pass
+        elif word.isalpha():  # the pattern takes a run of letters and the space before it as one match
             ids = tuple(self.piece(part))
         elif word[-1:] in PUNCTUATION and word[:-1].isalpha():
             ids = (*self.piece(part[:-1]), *self.piece(part[-1]))
         else:
             ids = tuple(chain.from_iterable(map(self.piece, self.split(part))))
         if len(part) <= CACHE_PART_CHARS:
-            if len(self) >= CACHE_PARTS:
+            if len(self) >= CACHE_PARTS // 2:
+                self.before = dict(self)
                 self.clear()
             self[part] = ids
         return ids
