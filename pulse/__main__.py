@@ -81,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--retention-days", type=int, default=None)
     p.add_argument("--state-partitions", type=int, default=None)
     p.add_argument("--compact-lag-days", type=int, default=None,
-                   help="table mode: compact days finished this long ago")
+                   help="compact days finished this long ago")
     p.add_argument("--compact-every", type=int, default=100)
 
     p = sub.add_parser("orders", help="order table with first-order flags")
@@ -90,7 +90,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mode", choices=["table", "state"], default="table")
     p.add_argument("--state-partitions", type=int, default=None)
     p.add_argument("--compact-lag-days", type=int, default=None,
-                   help="table mode: compact days finished this long ago")
+                   help="compact days finished this long ago")
     p.add_argument("--compact-every", type=int, default=100)
 
     p = sub.add_parser("first-seen", help="first start ever per device")
@@ -170,7 +170,8 @@ def main(argv: list[str] | None = None) -> int:
                              compact_lag_days=args.compact_lag_days, compact_every=args.compact_every)
     elif args.cmd == "orders":
         if args.mode == "state":
-            q = jobs.run_orders_keyed_state(src, args.table, args.checkpoint, trig, args.state_partitions)
+            q = jobs.run_orders_keyed_state(src, args.table, args.checkpoint, trig, args.state_partitions,
+                                            args.compact_lag_days, args.compact_every)
         else:
             q = jobs.run_orders(src, args.table, args.checkpoint, trig,
                                 compact_lag_days=args.compact_lag_days, compact_every=args.compact_every)

@@ -242,6 +242,18 @@ def run_dau(source: DataFrame, table: str, checkpoint: str, trigger: str | None
     return _start(source, batch, checkpoint, trigger)
 
 
+def _compact_behind(batch: DataFrame, table: str, day_col: str, keys: list[str], batch_id: int,
+                    lag_days: int | None, every: int) -> None:
+    """Every so many batches, compacts the days that lie ``lag_days`` or more behind the batch's newest."""
+    if lag_days is None or not batch_id or batch_id % every:
+        return
+    newest = batch.agg(F.max(day_col)).first()[0]
+    if newest is not None:
+        from datetime import date, timedelta
+        horizon = (date.fromisoformat(newest) - timedelta(days=lag_days)).isoformat()
+        sinks.compact_finished(batch.sparkSession, table, day_col, horizon, keys)
+
+
 def _write_counts(changes: DataFrame, path: str, keys: list[str], name: str, batch_id: int) -> None:
     """What a batch adds to and takes from the number of devices by ``keys`` (a day first). ``_was``:
     where a device was counted before."""
@@ -265,12 +277,8 @@ def _changes(df: DataFrame, table: str, day_col: str | None, totals: tuple[str,
         try:
             sinks.write_batch(out.drop("_was"), table, day_col, bid)
             _write_counts(out, path, keys, name, bid)
-            if day_col and compact_lag_days is not None and bid and bid % compact_every == 0:
-                newest = out.agg(F.max(day_col)).first()[0]
-                if newest is not None:
-                    from datetime import date, timedelta
-                    horizon = (date.fromisoformat(newest) - timedelta(days=compact_lag_days)).isoformat()
-                    sinks.compact_finished(out.sparkSession, table, day_col, horizon, DAU_KEYS)
+            if day_col:
+                _compact_behind(out, table, day_col, DAU_KEYS, bid, compact_lag_days, compact_every)
         finally:
             out.unpersist()
 
@@ -472,12 +480,14 @@ def run_orders(source: DataFrame, table: str, checkpoint: str, trigger: str | No
 
 
 def run_orders_keyed_state(source: DataFrame, table: str, checkpoint: str,
-                           trigger: str | None = None, state_partitions: int | None = None) -> Queries:
+                           trigger: str | None = None, state_partitions: int | None = None,
+                           compact_lag_days: int | None = None, compact_every: int = 100) -> Queries:
     """Order job for a large user base: a user's orders are keyed state (RocksDB), so a batch reads
     neither the known users nor the order table. The stream carries ``is_first_order`` and only the rows that a
     batch changes; the table stores them as the batch's versions (``read_orders``), and the totals per day and hour
-    get the differences (``read_order_hours``). A batch that changes nothing writes nothing. Invalid orders
-    go to ``<table>_quarantine``."""
+    get the differences (``read_order_hours``). A batch that changes nothing writes nothing; with
+    ``compact_lag_days`` finished days are compacted every ``compact_every`` batches. Invalid orders go to
+    ``<table>_quarantine``."""
     good, bad = ingest.split_valid_orders(ingest.prepare_orders(ingest.parse_order(source)))
 
     def store(out: DataFrame, bid: int) -> None:
@@ -487,6 +497,7 @@ def run_orders_keyed_state(source: DataFrame, table: str, checkpoint: str,
             sinks.write_batch(rows, table, "create_date", bid)
             # each row says what it replaces, so several of an id in one batch add up to the last
             _write_totals(out.where(~F.col(sinks.GONE) & ~F.struct(*CONTRIBUTION).eqNullSafe(F.col("_was"))), table, bid)
+            _compact_behind(out, table, "create_date", ["id"], bid, compact_lag_days, compact_every)
         finally:
             out.unpersist()
 

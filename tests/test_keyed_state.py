@@ -96,6 +96,17 @@ def test_keyed_state_compacts_finished_days(spark, scratch):
     assert "compact" in batches(table) and len(sinks.read_latest(spark, table, jobs.DAU_KEYS).collect()) == 8
 
 
+def test_order_state_compacts_finished_days(spark, scratch):
+    topic, table, ckpt = scratch("topic"), scratch("orders"), scratch("ckpt")
+    for d in range(3):
+        run(jobs.run_orders_keyed_state, spark, topic, [order(d, "u", f"2024-01-{15 + d} 10:00:00"), order(0, "u", f"2024-01-{15 + d} 09:00:00", d),
+                                                           order(9, "w", "2024-01-15 08:00:00")], table, ckpt,
+            state_partitions=2, compact_lag_days=1, compact_every=1)
+    assert "compact" in batches(table)
+    assert flags(spark, table) == {"0": (2.0, "2024-01-17", "0"), "1": (1.0, "2024-01-16", "1"), "2": (1.0, "2024-01-17", "0"), "9": (1.0, "2024-01-15", "1")}
+    check_totals(spark, table)
+
+
 def flags(spark, table):
     return {r.id: (r.total_amount, r.create_date, r.is_first_order) for r in jobs.read_orders(spark, table).collect()}
 
