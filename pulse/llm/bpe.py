@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from pulse.llm.common import blocks, encode_words, ensure_columns, map_arrow, ragged, worker_state
 
-CACHE_PARTS, CACHE_PREFIXES, CACHE_FITS, CACHE_PART_CHARS = 150_000, 150_000, 120_000, 48  # some 50 MB at most
+CACHE_PARTS, CACHE_PREFIXES, CACHE_FITS, CACHE_PART_CHARS = 200_000, 250_000, 300_000, 48  # some 90 MB at most
 PUNCTUATION = frozenset(".,;:!?")
 _SPACE_RUN = re.compile(r" (?:\s|\Z)")
 # The same for Arrow, whose \s knows ASCII only (white space of Unicode, fixed values).
