@@ -38,7 +38,7 @@ ROUNDS = 4
 LIMIT = 1 << 24
 MEMBER_BYTES = 64 << 20   # of a resident partition
 BLOCK_BYTES = 16 << 10    # of the members that travel as one record
-TASK_SALTS = 4            # salts that one scan task deals its members to
+CHUNK = 16_384            # members that a task works on at once
 
 
 def to_integers(df: DataFrame) -> DataFrame:
@@ -118,6 +118,28 @@ def pack(pos: int, entry: np.ndarray, salt: np.ndarray, rows: np.ndarray) -> Ite
             yield (pos, int(entry[lo]), int(salt[lo])), rows[a:min(hi, a + most)].tobytes()
 
 
+def together(records: Iterator, edges: list[int], dtype: np.dtype) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """The members of many records at once: (position, their entries, their salts, their components), about
+    ``CHUNK`` members at a time, so array work doesn't depend on how small the records are."""
+    held: dict[int, list] = {}
+    count = 0
+
+    def hand_on() -> Iterator:
+        for pos, own in held.items():
+            x = np.frombuffer(b"".join(d for *_, d in own), dtype).reshape(-1, edges[pos + 1] - edges[pos])
+            sizes = np.array([len(d) for *_, d in own]) // (dtype.itemsize * x.shape[1])
+            yield pos, np.repeat([e for e, *_ in own], sizes), np.repeat([s for _, s, _ in own], sizes), x
+        held.clear()
+
+    for (pos, entry, salt), data in records:
+        held.setdefault(pos, []).append((entry, salt, data))
+        count += len(data) // (dtype.itemsize * (edges[pos + 1] - edges[pos]))
+        if count >= CHUNK:
+            yield from hand_on()
+            count = 0
+    yield from hand_on()
+
+
 class Lloyd:
     """Codebooks of ``parts`` positions, learned from all rows of ``vectors`` (vec_id, label, v)."""
 
@@ -181,16 +203,26 @@ class Lloyd:
         books = self.spark.sparkContext.broadcast(self.books)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            task = TaskContext.get().partitionId() * TASK_SALTS
-            for batch in batches:
-                x = matrix(batch.column("v"), dim)
-                salt = (task + np.arange(len(x)) % TASK_SALTS) % salts
-                records = [r for p, (a, b) in enumerate(zip(edges, edges[1:]))
-                           for r in pack(p, nearest(x[:, a:b], books.value[p])[0], salt, x[:, a:b].astype(dtype))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0][k] for r in records], pa.int32()) for k in range(3)] + [pa.array([r[1] for r in records], pa.binary())],
+            own = TaskContext.get().partitionId() % salts  # the members of a scan task share a salt
+            held, count = [], 0
+
+            def records(x: np.ndarray) -> pa.RecordBatch:
+                salt = np.full(len(x), own)
+                out = [r for p, (a, b) in enumerate(zip(edges, edges[1:]))
+                       for r in pack(p, nearest(x[:, a:b], books.value[p])[0], salt, x[:, a:b].astype(dtype))]
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([r[0][k] for r in out], pa.int32()) for k in range(3)] + [pa.array([r[1] for r in out], pa.binary())],
                     ["pos", "entry", "salt", "data"])
 
+            for batch in batches:
+                held.append(matrix(batch.column("v"), dim))
+                count += len(batch)
+                if count >= CHUNK:
+                    yield records(np.concatenate(held))
+                    held, count = [], 0
+            if count:
+                yield records(np.concatenate(held))
+
         rows = map_arrow(self.kept.select("v"), run, "pos int, entry int, salt int, data binary")
         members = rows.rdd.map(lambda r: ((r[0], r[1], r[2]), bytes(r[3])), preservesPartitioning=True)
         return self.keep(members.partitionBy(self.partitions, owner))
@@ -203,17 +235,13 @@ class Lloyd:
         moved = self.spark.sparkContext.accumulator(0)
 
         def assign(records: Iterator) -> Iterator:
-            for (pos, entry, salt), data in records:
-                x = np.frombuffer(data, dtype).reshape(-1, edges[pos + 1] - edges[pos])
+            for pos, entry, salt, x in together(records, edges, dtype):
                 to, _ = nearest(x, books.value[pos])
                 stay = to == entry
-                if stay.all():
-                    yield True, ((pos, entry, salt), data)
-                    continue
-                if stay.any():
-                    yield True, ((pos, entry, salt), x[stay].tobytes())
                 moved.add(int((~stay).sum()))
-                for record in pack(pos, to[~stay], np.full((~stay).sum(), salt), x[~stay]):
+                for record in pack(pos, entry[stay], salt[stay], x[stay]):
+                    yield True, record
+                for record in pack(pos, to[~stay], salt[~stay], x[~stay]):
                     yield False, record
 
         done = home.mapPartitions(assign, preservesPartitioning=True).persist(StorageLevel.DISK_ONLY)
@@ -227,10 +255,14 @@ class Lloyd:
 
         def sums(records: Iterator) -> Iterator:
             total: dict = {}
-            for (pos, entry, _), data in records:
-                x = np.frombuffer(data, dtype).reshape(-1, edges[pos + 1] - edges[pos])
-                n, s = total.get((pos, entry), (0, 0))
-                total[pos, entry] = n + len(x), s + x.sum(0, dtype=np.int64)
+            for pos, entry, _, x in together(records, edges, dtype):
+                order = np.argsort(entry, kind="stable")
+                entry = entry[order]
+                first = np.flatnonzero(np.concatenate(([True], entry[1:] != entry[:-1])))
+                added = np.add.reduceat(x[order].astype(np.int64), first, axis=0)
+                for e, n, s in zip(entry[first].tolist(), np.diff(np.append(first, len(entry))).tolist(), added):
+                    have = total.get((pos, e), (0, 0))
+                    total[pos, e] = have[0] + n, have[1] + s
             return iter(total.items())
 
         merged = home.mapPartitions(sums).reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1]), min(self.partitions, self.parts * self.entries))
