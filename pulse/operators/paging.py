@@ -28,7 +28,7 @@ def histogram(rows: DataFrame, col: str, descending: bool) -> list[tuple[Column,
     rows, in sort order: nulls first, or last if descending."""
     c = F.col(col)
     found = rows.where(c.isNotNull()).select(c.alias("v")).orderBy(F.xxhash64("v", F.rand(1))).limit(SPLITS).collect()
-    values = sorted({r["v"] for r in found})
+    values = sorted({r["v"] for r in found if r["v"] == r["v"]})  # NaN sorts behind all of them
     points = F.array(*[_literal(v, rows, col) for v in values]) if values else None
     if points is None:
         place = F.lit(-1)
