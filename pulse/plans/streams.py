@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse import session
@@ -43,9 +43,14 @@ def time_slices(frame: DataFrame, k: int = SLICES) -> list[DataFrame]:
     return out
 
 
+def chosen(every: int, key: str = "key") -> Column:
+    """True for every so many keys, by hash."""
+    return F.pmod(F.xxhash64(key), F.lit(every)) == 0
+
+
 def some(df: DataFrame, every: int, key: str = "key") -> DataFrame:
     """Every so many keys, by hash."""
-    return df.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0)
+    return df.where(chosen(every, key))
 
 
 def redelivered(parts: list[DataFrame]) -> list[DataFrame]:
@@ -59,7 +64,7 @@ def corrected(parts: list[DataFrame]) -> list[DataFrame]:
     with the next slice (a last, further one for the last slice)."""
     def old(df):
         return some(df, 3).withColumn("value", F.regexp_replace("value", '"total_amount":"[^"]*"', '"total_amount":"0.01"'))
-    first = [old(p).unionByName(p.join(some(p, 3).select("key"), "key", "left_anti").select(*p.columns)) for p in parts]
+    first = [old(p).unionByName(p.where(~chosen(3) | F.col("key").isNull())) for p in parts]
     late = [some(p, 3) for p in parts]
     return [first[0], *[f.unionByName(l) for f, l in zip(first[1:], late)], late[-1]]
 
@@ -99,12 +104,13 @@ def _state_partitions(spark: SparkSession) -> int:
 
 def _startup_lines(spark, sf) -> DataFrame:
     """Stamped lines of the startup topic, with their time for slicing."""
-    lines = ingest.route_logs(ingest.stamp_lines(views.raw_logs(spark, sf))).where(F.col("topic") == ingest.TOPIC_STARTUP)
-    return lines.select("key", "value", F.get_json_object("value", "$.ts").cast("bigint").alias("at"))
+    # routed before they are stamped: the stamp changes no type, and only startups are parsed for it
+    lines = ingest.route_logs(views.raw_logs(spark, sf)).where(F.col("topic") == ingest.TOPIC_STARTUP)
+    return ingest.stamp_lines(lines).select("key", "value", F.col("arrival_ms").alias("at"))
 
 
 def _order_lines(spark, sf) -> DataFrame:
-    rows = views.order_rows(spark, sf)
+    rows = views.order_rows(spark, sf, deal=True)
     return rows.select(F.col("id").alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"),
                        F.unix_millis(F.to_timestamp("create_time")).alias("at"))
 

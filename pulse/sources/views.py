@@ -39,11 +39,15 @@ def on_days(df: DataFrame, days: tuple[str, str] | None, ts: str = "ts") -> Data
     return df.where((F.col(ts) >= F.lit(days[0]).cast(kind)) & (F.col(ts) < end))
 
 
+DEALT_SPLITS = 4  # a core, from which on a scan is taken to be even
+
+
 def dealt(df: DataFrame) -> DataFrame:
-    """``df`` dealt over the cores if its scan is a single task for them all (one row group), for views that build
-    and parse JSON row by row. A table of several splits, as any real one, is read as it lies: no shuffle."""
-    sc = df.sparkSession.sparkContext
-    return df.repartition(sc.defaultParallelism) if df.rdd.getNumPartitions() == 1 < sc.defaultParallelism else df
+    """``df`` dealt over the cores if its scan has few splits for them, for views that build and parse JSON row by
+    row: splits can be empty (a file has fewer row groups than ranges) and hold unequal shares. A table of many splits, as
+    any large one, is read as it lies: no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if 1 < cores and df.rdd.getNumPartitions() < DEALT_SPLITS * cores else df
 
 
 def _k() -> Column:
@@ -189,10 +193,10 @@ def _purchases(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None =
 
 
 def order_rows(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None,
-               with_customer: bool = True) -> DataFrame:
+               with_customer: bool = True, deal: bool = False) -> DataFrame:
     """Orders as string columns, before parsing (= the after-image values). Without the customer
-    join ``province_id`` and ``consignee`` are empty, for queries that never read them."""
-    return _purchases(spark, sf_dir, days, with_customer).select(*_order_columns())
+    join ``province_id`` and ``consignee`` are empty, for queries that never read them. ``deal``: see ``dealt``."""
+    return _purchases(spark, sf_dir, days, with_customer, deal).select(*_order_columns())
 
 
 def order_info(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None,
