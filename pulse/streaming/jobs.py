@@ -99,7 +99,9 @@ def collect_batch(batch: DataFrame, batch_id: int, landing: str, topics: str,
     (default ``<landing>_invalid``) as they came. Landing and invalid lines are ``batch=<id>`` folders with
     dynamic overwrite, the topics are topic logs below ``topics`` with the batch as epoch: a batch that
     is run again changes none of them, and a stream on a topic sees no line twice."""
-    stamped = ingest.with_log_day(ingest.stamp_lines(batch.withColumn("_raw", F.col("value")), arrival_col))
+    # the day of the stamp is that of the arrival: the stamped line need not be parsed again for it
+    stamped = ingest.stamp_lines(batch.withColumn("_raw", F.col("value")), arrival_col)
+    stamped = stamped.withColumn("dt", F.date_format(F.timestamp_millis(arrival_col), "yyyy-MM-dd"))
     stamped = stamped.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = stamped.where(F.col("value").isNotNull())
@@ -416,6 +418,7 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         orders, bad = _stored_orders(batch)
+        orders = orders.persist(StorageLevel.MEMORY_AND_DISK)  # read several times below
         known = sinks.read_or_none(spark, users_path)
         if known is not None:  # only the batch's users take part in the join
             known = known.where(F.col(sinks.BATCH_COL) != F.lit(str(batch_id))).select("user_id", "first_id")
@@ -456,6 +459,7 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
             log(entry)
         placed.unpersist()
         flagged.unpersist()
+        orders.unpersist()
     finally:
         batch.unpersist()
 
