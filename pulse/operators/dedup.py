@@ -112,7 +112,7 @@ def drop_marked(marked: DataFrame, seen: DataFrame, keys: Sequence[str], flag: s
 def flag_first(orders: DataFrame, user: str = "user_id",
                order: Sequence[str | Column] = ("create_time", "id"),
                known_users: DataFrame | None = None, flag: str = "is_first_order",
-               hot_rows: int = 1_000_000, id_col: str = "id") -> DataFrame:
+               hot_rows: int = 1_000_000, id_col: str = "id", unique: bool = False, new: str | None = None) -> DataFrame:
     """``flag`` = "1" on a user's earliest order (by ``order``), "0" on the others. Orders without a
     user are "0". ``known_users`` (``user`` and, optionally, ``first_id``): users who have ordered
     before; only their order ``first_id``, delivered again, is "1".
@@ -124,19 +124,31 @@ def flag_first(orders: DataFrame, user: str = "user_id",
     about ``hot_rows`` orders of one user, whatever that user's count. Every
     other user keeps salt 0 and a single aggregate row. Only the list of hot users is broadcast, at most
     ``HOT_KEYS`` of them.
+
+    ``unique``: no two orders share an id. The first orders are then joined back on (user, id), of which every order has
+    its own: no user is hot, nothing is counted or salted. ``new``: a column that is true for the first order of
+    a user who is not among ``known_users``.
     """
     key = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}")
                      for i, c in enumerate(order)])
     stats = (orders.where(F.col(user).isNotNull()).groupBy(user)
              .agg(F.min(F.struct(key.alias("k"), F.col(id_col).alias("i"))).alias("_m"), F.count(F.lit(1)).alias("_n"))
              .select(user, F.col("_m.k").alias("_first"), F.col("_m.i").alias("_first_id"), "_n"))
-    limit = _hot_limit(stats, hot_rows)
-    hot = F.broadcast(stats.where(F.col("_n") > limit).select(user, F.ceil(F.col("_n") / limit).alias("_salts")))
+    counts = stats
     if known_users is not None:
         first_id = F.col("first_id") if "first_id" in known_users.columns else F.lit(None).cast(orders.schema[id_col].dataType)
         known = known_users.groupBy(user).agg(F.min(first_id).alias("_known"), F.lit(True).alias("_seen"))
         stats = (stats.join(known, user, "left").withColumn("_first", F.when(F.col("_seen").isNull(), F.col("_first")))
                  .withColumn("_first_id", F.when(F.col("_seen"), F.col("_known")).otherwise(F.col("_first_id"))))
+    is_first = F.coalesce((F.col(id_col) == F.col("_first_id")) & (F.col("_first").isNull() | (key == F.col("_first"))), F.lit(False))
+    found = [F.when(is_first, F.lit("1")).otherwise(F.lit("0")).alias(flag)]
+    if new is not None:  # a known user's first order has no sort key here
+        found.append((is_first & F.col("_first").isNotNull()).alias(new))
+    if unique:
+        firsts = stats.select(F.struct(user, F.col("_first_id").alias(id_col)).alias("_spot"), "_first", "_first_id")
+        return orders.withColumn("_spot", F.struct(user, id_col)).join(firsts, "_spot", "left").select(*orders.columns, *found)
+    limit = _hot_limit(counts, hot_rows)
+    hot = F.broadcast(counts.where(F.col("_n") > limit).select(user, F.ceil(F.col("_n") / limit).alias("_salts")))
     one = F.lit(1).cast("bigint")
     spread = stats.withColumn("_salt", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.when(F.col("_n") > limit, F.ceil(F.col("_n") / limit)).otherwise(one) - 1)))
@@ -145,9 +157,7 @@ def flag_first(orders: DataFrame, user: str = "user_id",
     # one struct as the key: rows that lie together by the user are dealt anew
     firsts = spread.select(F.struct(user, "_salt").alias("_spot"), "_first", "_first_id")
     joined = salted.withColumn("_spot", F.struct(user, "_salt")).join(firsts, "_spot", "left")
-    is_first = F.coalesce((F.col(id_col) == F.col("_first_id")) & (F.col("_first").isNull() | (key == F.col("_first"))), F.lit(False))
-    return (joined.withColumn(flag, F.when(is_first, F.lit("1")).otherwise(F.lit("0")))
-            .select(*orders.columns, flag))
+    return joined.select(*orders.columns, *found)
 
 
 def numeric_id(col: str = "id") -> list[Column]:

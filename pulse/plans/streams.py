@@ -325,19 +325,31 @@ def q_stream_first_order(spark, sf):
 
 def _kept_totals(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The totals that the jobs keep: devices per hour, new devices per day, orders per hour; over slices with
-    redeliveries, corrected orders, and a replayed batch of each foreachBatch job."""
+    redeliveries, corrected orders, and a replayed batch of each foreachBatch job. The three jobs share nothing but
+    their input and run side by side, as they do on a cluster."""
     dau, seen, orders = (session.shared_dir(spark, x) for x in ("dau_totals", "seen_totals", "order_totals"))
-    _startup_lines(spark, sf).write.parquet(starts := session.shared_dir(spark, "staged_starts"))
-    _order_lines(spark, sf).write.parquet(lines := session.shared_dir(spark, "staged_orders"))
-    starts, lines = spark.read.parquet(starts), spark.read.parquet(lines)
-    parts = [ingest.parse_startup(p) for p in redelivered(time_slices(starts))]
-    for i, part in [*enumerate(parts), (0, parts[0])]:
-        jobs.dau_batch(part, i, dau)
-    feed_and_run(spark, starts, ["key", "value"],
-                 lambda s, c: jobs.run_first_seen(s, seen, c, "available_now", state_partitions=_state_partitions(spark)), deliver=redelivered)
-    parts = [p.select("key", "value") for p in _order_delivery(time_slices(lines))]
-    for i, part in [*enumerate(parts), (len(parts) - 1, parts[-1])]:
-        jobs.orders_batch(part, i, orders)
+    apart = session.sibling(spark)
+
+    def dau_job(starts: DataFrame) -> None:
+        parts = [ingest.parse_startup(p) for p in redelivered(time_slices(starts))]
+        for i, part in [*enumerate(parts), (0, parts[0])]:
+            jobs.dau_batch(part, i, dau)
+
+    def seen_job(starts: DataFrame) -> None:
+        feed_and_run(apart, starts, ["key", "value"],
+                     lambda s, c: jobs.run_first_seen(s, seen, c, "available_now", state_partitions=_state_partitions(apart)), deliver=redelivered)
+
+    def start_jobs() -> None:
+        _startup_lines(spark, sf).write.parquet(path := session.shared_dir(spark, "staged_starts"))
+        session.side_by_side(spark, lambda: dau_job(spark.read.parquet(path)), lambda: seen_job(apart.read.parquet(path)))
+
+    def order_job() -> None:
+        _order_lines(spark, sf).write.parquet(path := session.shared_dir(spark, "staged_orders"))
+        parts = [p.select("key", "value") for p in _order_delivery(time_slices(spark.read.parquet(path)))]
+        for i, part in [*enumerate(parts), (len(parts) - 1, parts[-1])]:
+            jobs.orders_batch(part, i, orders)
+
+    session.side_by_side(spark, start_jobs, order_job)
     return jobs.read_device_hours(spark, dau), jobs.read_new_devices(spark, seen), jobs.read_order_hours(spark, orders)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pulse.functions import epoch_millis
 from pulse.operators import dedup, ingest, metrics
 from pulse.schemas import ORDER_FIELDS
+from pulse.session import side_by_side
 from pulse.sources.topics import write_topic
 from pulse.streaming import sinks
 from pulse.streaming.keyed import DAY_MS, device_days, earliest, first_orders
@@ -202,23 +203,26 @@ def dau_batch(batch: DataFrame, batch_id: int, table: str, retention_days: int |
                 kept = kept.where(F.col(sinks.BATCH_COL) != F.lit(str(batch_id)))
                 doubtful = dedup.maybe_seen(firsts, dedup.merged_bits(kept), DAU_KEYS).observe(obs_cmp, F.count_if("_maybe").alias("compared"))
                 new = dedup.drop_marked(doubtful, seen, DAU_KEYS)
-        # Several sinks from one computation: the table first (the source of truth), then the counts per hour,
-        # then the same rows as JSON lines on a downstream topic folder.
-        new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        sinks.write_batch(new.observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
-        _write_counts(new, f"{table}_hours", ["logDate", "logHour"], "devices", batch_id)
-        if bitmap:
-            sinks.write_batch(dedup.seen_bits(new, DAU_KEYS, ["logDate"]), f"{table}_bits", "logDate", batch_id)
+        # Several sinks from one computation: the table first (the source of truth), then, side by side, from what it
+        # has stored (a write to the table would drop ``new`` from the cache, as it is compared with the table) the counts
+        # per hour, the same rows as JSON lines on a downstream topic folder, and the others.
+        sinks.write_batch(sinks.together(new, "logDate").observe(obs_out, F.count(F.lit(1)).alias("rows_new")), table, "logDate", batch_id)
+        stored, rest = sinks.read_batch(rows.sparkSession, table, "logDate", days, batch_id, new.schema), []
+        if stored is not None:
+            rest.append(lambda: _write_counts(stored, f"{table}_hours", ["logDate", "logHour"], "devices", batch_id))
+            if bitmap:
+                rest.append(lambda: sinks.write_batch(dedup.seen_bits(stored, DAU_KEYS, ["logDate"]), f"{table}_bits", "logDate", batch_id))
+            if publish is not None:
+                rest.append(lambda: sinks.write_batch(
+                    stored.select(F.col("mid").alias("key"), F.to_json(F.struct(*new.columns)).alias("value")), publish, None, batch_id))
         if activity:
-            sinks.write_batch(metrics.activity_sketches(src), f"{table}_sketches", "logDate", batch_id)
-        if publish is not None:
-            sinks.write_batch(new.select(F.col("mid").alias("key"), F.to_json(F.struct(*new.columns)).alias("value")),
-                              publish, None, batch_id)
-        new.unpersist()
+            rest.append(lambda: sinks.write_batch(metrics.activity_sketches(src), f"{table}_sketches", "logDate", batch_id))
+        obs_bad = Observation(f"dau_bad_{batch_id}")
+        if bad is not None:
+            rest.append(lambda: sinks.write_batch(bad.observe(obs_bad, F.count(F.lit(1)).alias("quarantined")), f"{table}_quarantine", None, batch_id))
+        side_by_side(rows.sparkSession, *rest)
         entry = {"batch": batch_id, **obs_in.get, **obs_out.get, **(obs_cmp.get if obs_cmp is not None else {})}
         if bad is not None:
-            obs_bad = Observation(f"dau_bad_{batch_id}")
-            sinks.write_batch(bad.observe(obs_bad, F.count(F.lit(1)).alias("quarantined")), f"{table}_quarantine", None, batch_id)
             entry |= obs_bad.get
         if compact_lag_days is not None and days and batch_id % compact_every == 0:
             from datetime import date, timedelta
@@ -361,10 +365,10 @@ def _order_paths(table: str) -> tuple[str, str]:
 
 
 def _stored_orders(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(orders, quarantine) of a batch of JSON lines; of several versions of an id in the
-    batch the last by ``operate_time`` (then by the whole record)."""
-    good, bad = ingest.split_valid_orders(ingest.prepare_orders(ingest.parse_order(batch)))
-    return dedup.last_per_key(good, ["id"], ["operate_time"]), bad
+    """(orders with the folder of their id, quarantine) of a batch of prepared orders; of several versions of an id
+    in the batch the last by ``operate_time`` (then by the whole record)."""
+    good, bad = ingest.split_valid_orders(batch)
+    return dedup.last_per_key(good, ["id"], ["operate_time"]).withColumn("folder", _id_folder()), bad
 
 
 def _id_folder() -> Column:
@@ -392,9 +396,10 @@ def _write_totals(changes: DataFrame, table: str, batch_id: int) -> None:
     """What a batch adds to and takes from the totals per day and hour (``<table>_hours``). ``changes``:
     the contribution of each stored order and, in ``_was``, the one that it replaces."""
     money = F.col("total_amount").cast("decimal(18,2)")
-    taken = changes.where(F.col("_was").isNotNull()).select("_was.*").select("create_date", "create_hour", (-money).alias("amount"), F.lit(-1).alias("orders"))
-    added = changes.select("create_date", "create_hour", money.alias("amount"), F.lit(1).alias("orders"))
-    sums = added.unionByName(taken).groupBy("create_date", "create_hour").agg(
+    added = F.struct("create_date", "create_hour", money.alias("amount"), F.lit(1).alias("orders"))
+    before = [F.col(f"_was.{c}") for c in ("create_date", "create_hour")]
+    taken = F.when(F.col("_was").isNotNull(), F.struct(*before, (-F.col("_was.total_amount").cast("decimal(18,2)")).alias("amount"), F.lit(-1).alias("orders")))
+    sums = changes.select(F.inline(F.array_compact(F.array(added, taken)))).groupBy("create_date", "create_hour").agg(
         F.sum("amount").cast("decimal(28,2)").alias("amount"), F.sum("orders").alias("orders"))
     sinks.write_batch(sums.where("orders <> 0 or amount <> 0"), f"{table}_hours", "create_date", batch_id)
 
@@ -415,40 +420,42 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
     order table and finished generations of the known-users table are compacted every ``compact_every`` batches."""
     users_path, bad_path = _order_paths(table)
     spark = batch.sparkSession
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = ingest.prepare_orders(ingest.parse_order(batch)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        orders, bad = _stored_orders(batch)
+        orders, bad = _stored_orders(parsed)
         orders = orders.persist(StorageLevel.MEMORY_AND_DISK)  # read several times below
         known = sinks.read_or_none(spark, users_path)
         if known is not None:  # only the batch's users take part in the join
             known = known.where(F.col(sinks.BATCH_COL) != F.lit(str(batch_id))).select("user_id", "first_id")
             known = known.join(orders.select("user_id").distinct(), "user_id", "left_semi")
-        flagged = dedup.flag_first(orders, "user_id", ["create_time", *dedup.numeric_id("id")], known)
-        flagged = flagged.withColumn("folder", _id_folder()).persist(StorageLevel.MEMORY_AND_DISK)
-        days = sinks.batch_days(flagged, "create_date")
-        earlier = _earlier_contributions(spark, f"{table}_ids", flagged, batch_id)
+        # an id comes once in orders
+        placed = dedup.flag_first(orders, "user_id", ["create_time", *dedup.numeric_id("id")], known, unique=True, new="_buyer")
+        earlier = _earlier_contributions(spark, f"{table}_ids", orders, batch_id)
         was = F.lit(None).cast("struct<create_date string, create_hour string, total_amount double>")
-        placed = flagged.withColumn("_was", was) if earlier is None else flagged.join(earlier, "id", "left")
+        placed = placed.withColumn("_was", was) if earlier is None else placed.join(earlier, "id", "left")
         placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
-        gone = placed.where(F.col("_was.create_date") != F.col("create_date")).select(
-            *[F.col("id") if c == "id" else F.col("_was.create_date").alias(c) if c == "create_date" else F.lit(None).cast(placed.schema[c].dataType).alias(c)
-              for c in ORDER_FIELDS], F.lit(True).alias(sinks.GONE))
-        live = placed.select(*ORDER_FIELDS, F.lit(False).alias(sinks.GONE))
-        sinks.write_batch(live.unionByName(gone), table, "create_date", batch_id)
+        rows = placed.select(*ORDER_FIELDS, F.lit(False).alias(sinks.GONE))
+        if earlier is not None:
+            rows = rows.unionByName(placed.where(F.col("_was.create_date") != F.col("create_date")).select(
+                *[F.col("id") if c == "id" else F.col("_was.create_date").alias(c) if c == "create_date" else F.lit(None).cast(placed.schema[c].dataType).alias(c)
+                  for c in ORDER_FIELDS], F.lit(True).alias(sinks.GONE)))
         changed = placed.where(~F.struct(*CONTRIBUTION).eqNullSafe(F.col("_was")))
-        _write_totals(changed, table, batch_id)
-        sinks.write_batch(changed.select("id", *CONTRIBUTION, "folder"), f"{table}_ids", "folder", batch_id)
         # Known users: gen=<batch_id // compact_every>/batch=<id>; a finished generation is
         # rewritten into one folder when the next one starts.
         gen = batch_id // compact_every
-        buyers = flagged.where(F.col("is_first_order") == "1").select("user_id", F.col("id").alias("first_id"))
-        if known is not None:
-            buyers = buyers.join(known.select("user_id"), "user_id", "left_anti")
-        sinks.write_batch(buyers.withColumn("gen", F.lit(str(gen))), users_path, "gen", batch_id)
+        buyers = placed.where("_buyer").select("user_id", F.col("id").alias("first_id"), F.lit(str(gen)).alias("gen"))
         obs = Observation(f"quarantine_{batch_id}")
-        sinks.write_batch(bad.observe(obs, F.count(F.lit(1)).alias("quarantined")), bad_path, None, batch_id)
+        # the table first (the source of truth), then the others side by side
+        sinks.write_batch(sinks.together(rows, "create_date"), table, "create_date", batch_id)
+        side_by_side(
+            spark,
+            lambda: _write_totals(changed, table, batch_id),
+            lambda: sinks.write_batch(changed.select("id", *CONTRIBUTION, "folder"), f"{table}_ids", "folder", batch_id),
+            lambda: sinks.write_batch(buyers, users_path, "gen", batch_id),
+            lambda: sinks.write_batch(bad.observe(obs, F.count(F.lit(1)).alias("quarantined")), bad_path, None, batch_id))
         entry = {"batch": batch_id, **obs.get}
         if compact_lag_days is not None and batch_id % compact_every == 0:
+            days = sinks.batch_days(placed, "create_date")
             if days:
                 from datetime import date, timedelta
                 horizon = (date.fromisoformat(days[0]) - timedelta(days=compact_lag_days)).isoformat()
@@ -458,10 +465,9 @@ def orders_batch(batch: DataFrame, batch_id: int, table: str, log: BatchLog | No
         if log is not None:
             log(entry)
         placed.unpersist()
-        flagged.unpersist()
         orders.unpersist()
     finally:
-        batch.unpersist()
+        parsed.unpersist()
 
 
 def read_orders(spark, table: str) -> DataFrame | None:

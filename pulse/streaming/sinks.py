@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 BATCH_COL = "batch"
 GONE = "_gone"  # of a record that has moved to another day
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # folder of the rows without a day
 
 
 # What a table that nothing was written to yet raises; anything else is an error.
@@ -69,6 +70,14 @@ def read_days(spark: SparkSession, path: str, day_col: str, days: Sequence[str])
     return _or_none(spark, pattern, path)
 
 
+def read_batch(spark: SparkSession, path: str, day_col: str, days: Sequence[str], batch_id: int, schema) -> DataFrame | None:
+    """What batch ``batch_id``, whose rows are of ``days`` or have none, has stored, or None; only its own folders are listed."""
+    pattern = f"{path.rstrip('/')}/{day_col}={{{','.join([*days, NO_DAY])}}}/{BATCH_COL}={batch_id}"
+    if not _exists(spark, pattern):
+        return None
+    return spark.read.schema(schema).option("basePath", path).parquet(pattern).select(*schema.names)
+
+
 def seen_keys(spark: SparkSession, path: str, keys: Sequence[str], day_col: str,
               days: Sequence[str], batch_id: int) -> DataFrame | None:
     """Keys already stored for ``days`` by batches other than ``batch_id``.
@@ -91,6 +100,12 @@ def write_batch(df: DataFrame, path: str, parts: str | Sequence[str] | None, bat
        .partitionBy(*cols, BATCH_COL).format(fmt).save(path))
 
 
+def together(df: DataFrame, col: str) -> DataFrame:
+    """``df`` dealt by ``col``, so a batch writes a file or a few for each of its values instead of one for each value and
+    task. Adaptive execution splits large values and joins small ones; without it ``df`` is left as it lies."""
+    return df.hint("rebalance", F.col(col)) if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true" else df
+
+
 def latest(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key the row of the latest batch (a partial aggregate, safe for hot keys), without ``batch``.
     A table without batches has one row per key already. Rows that are gone are left out."""
