@@ -54,17 +54,21 @@ def some(df: DataFrame, every: int, key: str = "key") -> DataFrame:
 
 
 def redelivered(parts: list[DataFrame]) -> list[DataFrame]:
-    """The slices as an at-least-once topic delivers them."""
-    out = [part.unionByName(some(part, 5)) for part in parts]
+    """The slices as an at-least-once topic delivers them: a slice is read once for itself and what comes twice in it."""
+    twice = F.explode(F.when(chosen(5), F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    out = [part.select(*part.columns, twice.alias("_time")).drop("_time") for part in parts]
     return [out[0], *[now.unionByName(some(before, 7)) for before, now in zip(parts, out[1:])]]
 
 
 def corrected(parts: list[DataFrame]) -> list[DataFrame]:
     """Every third order of a slice comes with an older amount first; the real record follows
-    with the next slice (a last, further one for the last slice)."""
-    def old(df):
-        return some(df, 3).withColumn("value", F.regexp_replace("value", '"total_amount":"[^"]*"', '"total_amount":"0.01"'))
-    first = [old(p).unionByName(p.where(~chosen(3) | F.col("key").isNull())) for p in parts]
+    with the next slice (a last, further one for the last slice). A slice is read once for both kinds; a line without a
+    key comes in both."""
+    old, real = F.regexp_replace("value", '"total_amount":"[^"]*"', '"total_amount":"0.01"'), F.col("value")
+    values = F.filter(F.array(F.struct(chosen(3).alias("is"), old.alias("value")), F.struct((~chosen(3) | F.col("key").isNull()).alias("is"), real.alias("value"))),
+                      lambda x: x["is"])
+    first = [p.select(*[c for c in p.columns if c != "value"], F.explode(values).alias("_v"))
+             .select(*[F.col("_v.value").alias(c) if c == "value" else c for c in p.columns]) for p in parts]
     late = [some(p, 3) for p in parts]
     return [first[0], *[f.unionByName(l) for f, l in zip(first[1:], late)], late[-1]]
 

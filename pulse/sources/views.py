@@ -59,8 +59,8 @@ def _os() -> Column:
     return F.element_at(kinds, (F.col("user_id") % 3 + 1).cast("int"))
 
 
-def _version() -> Column:
-    k = _k()
+def _version(k: Column | None = None) -> Column:
+    k = _k() if k is None else k
     return F.concat((F.floor(k / 40) + 2).cast("string"), F.lit("."), (k % 5).cast("string"))
 
 
@@ -134,14 +134,14 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     (a client that sends incomplete lines); ``ts`` is not in the line yet — the
     collector stamps it from ``arrival_ms``.
     """
-    ev = attach_area(dealt(table(spark, sf_dir, "events")), spark, sf_dir, "user_id")
-    k = _k()
+    ev = attach_area(dealt(table(spark, sf_dir, "events")), spark, sf_dir, "user_id").withColumn("_k", _k())
+    k = F.col("_k")  # parsed once, not in each field
     is_start = F.col("event_type") == "view"
     mid = F.concat(F.lit("mid_"), F.col("user_id").cast("string"))
     uid = F.col("user_id").cast("string")
     startup = F.struct(F.lit(STARTUP_TYPE).alias("type"), mid.alias("mid"), uid.alias("uid"),
                        F.lit(APP_ID).alias("appid"), F.col("area"), _os().alias("os"),
-                       _channel().alias("ch"), _version().alias("vs"))
+                       _channel().alias("ch"), _version(k).alias("vs"))
     event = F.struct(
         F.when(F.col("event_type") != "error", F.lit(EVENT_TYPE)).alias("type"),
         mid.alias("mid"), uid.alias("uid"), _os().alias("os"), F.lit(APP_ID).alias("appid"),

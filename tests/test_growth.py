@@ -206,3 +206,19 @@ def test_the_jobs_of_the_kept_totals_run_side_by_side(spark, scratch, monkeypatc
     assert sorted(met) == ["dau_batch", "orders_batch"]
     assert devices.agg(F.sum("devices")).first()[0] == 35 and new.agg(F.sum("new_mid")).first()[0] == 7
     assert orders.agg(F.sum("orders"), F.sum("amount")).first()[:] == (60, 90)
+
+
+def test_slices_are_read_once_for_their_redeliveries_and_corrections(spark):
+    rows = [(None if i % 9 == 7 else f"k{i}", f'{{"total_amount":"{i}.5"}}', i) for i in range(60)]
+    parts = [spark.createDataFrame(rows[a:a + 30], "key string, value string, at bigint") for a in (0, 30)]
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    by = lambda df: sorted(map(str, df.collect()))
+    first, second = streams.redelivered(parts)
+    assert plan(first).count("LogicalRDD") == 1 and plan(second).count("LogicalRDD") == 2
+    assert by(first) == by(parts[0].unionByName(streams.some(parts[0], 5)))
+    assert by(second) == by(parts[1].unionByName(streams.some(parts[1], 5)).unionByName(streams.some(parts[0], 7)))
+    old = streams.some(parts[0], 3).withColumn("value", F.lit('{"total_amount":"0.01"}'))
+    kept = parts[0].where(~streams.chosen(3) | F.col("key").isNull())
+    first, *_ = streams.corrected(parts)
+    assert plan(first).count("LogicalRDD") == 1 and first.columns == parts[0].columns
+    assert by(first) == by(old.unionByName(kept))
